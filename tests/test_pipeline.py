@@ -1,0 +1,240 @@
+"""End to end: sample files -> tables -> queries, against FIXTURES golden values,
+plus the per-file edge cases (whole-file accept/reject)."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import F1_JOB, F1_ROWS, F1B_JOB, F2_JOB, F2_ROWS, HEADER, csv_text, write_file
+from measures.operators import ledger
+from measures.plans import analytics, pipeline, reads
+from measures.sources.store import Store
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("e2e"))
+    land = os.path.join(base, "landing")
+    write_file(land, f"{F1_JOB}_sample_study001.csv", csv_text(F1_ROWS))
+    write_file(land, f"{F2_JOB}_sample_study002.csv", csv_text(F2_ROWS))
+    store = Store(os.path.join(base, "store"))
+    report = pipeline.run_load(spark, land, store)
+    return spark, store, report, base
+
+
+def test_jobs_completed(loaded):
+    _, _, report, _ = loaded
+    assert report.status() == {F1_JOB: "completed", F2_JOB: "completed"}
+    assert {j["job_id"]: j["rows"] for j in report.jobs} == {F1_JOB: 12, F2_JOB: 9}
+
+
+def test_glucose_read_golden(loaded):
+    spark, store, _, _ = loaded
+    rows = reads.query_measurements(store.measurements(spark), api_layout=True,
+                                    study_id="STUDY001", measurement_type="glucose").collect()
+    assert [(r.id, r.participantId, r.value, r.timestamp, r.qualityScore) for r in rows] == [
+        ("9ca1d38b-3d8f-4916-8368-402ea20bb85c", "P003", "88.2", "2024-01-15T11:00:00.000Z", "0.99"),
+        ("a7bafe00-7016-aa63-a48e-a8bcb1c79d6f", "P002", "102.1", "2024-01-15T10:15:00.000Z", "0.97"),
+        ("b5040dff-6f05-38d5-08ee-83a83cc26a9d", "P001", "95.5", "2024-01-15T09:30:00.000Z", "0.98")]
+
+
+def test_queries_golden(loaded):
+    spark, store, _, _ = loaded
+    facts, roll = store.measurements(spark), store.rollup(spark)
+    assert roll.count() == 21
+    assert [tuple(r) for r in analytics.quality_by_study(facts).collect()] == [
+        ("STUDY001", 0.978, 12), ("STUDY002", 0.962, 9)]
+    assert [tuple(r) for r in analytics.quality_by_study_rollup(roll, digits=6).collect()] == [
+        ("STUDY001", 0.978333, 12), ("STUDY002", 0.962222, 9)]
+    assert [tuple(r) for r in analytics.daily_trend(facts, "P001", "glucose").collect()] == [
+        (dt.date(2024, 1, 15), 95.5)]
+    assert [tuple(r) for r in analytics.daily_trend_rollup(roll, "P001", "glucose").collect()] == [
+        (dt.date(2024, 1, 15), 95.5)]
+    assert [tuple(r) for r in analytics.counts_by_site(facts).collect()] == [
+        ("SITE_A", 12), ("SITE_B", 9)]
+    assert [tuple(r) for r in analytics.counts_by_site_rollup(roll).collect()] == [
+        ("SITE_A", 12), ("SITE_B", 9)]
+    low = analytics.low_quality_buckets(roll).collect()
+    assert [(r.agg_day, r.study_id, r.participant_id, r.measurement_type,
+             r.measurement_count, r.avg_systolic, r.avg_diastolic, r.avg_quality_score,
+             r.low_quality_count) for r in low] == [
+        (dt.date(2024, 1, 16), "STUDY002", "P001", "blood_pressure", 1, 120.0, 80.0, 0.92, 1),
+        (dt.date(2024, 1, 16), "STUDY002", "P002", "blood_pressure", 1, 130.0, 85.0, 0.94, 1)]
+    q6 = sorted(tuple(r) for r in
+                analytics.participants_per_study(store.enrollments(spark)).collect())
+    assert q6 == [("STUDY001", 3), ("STUDY002", 3)]
+    assert analytics.mean_bmi(facts, "STUDY001").first()[0] == 24.99
+    assert analytics.mean_bmi_rollup(roll, "STUDY001").first()[0] == 24.99
+    recent = analytics.recent_measurements(facts, days=1, as_of=dt.date(2024, 1, 17)).count()
+    assert recent == 9
+
+
+def test_enrollments_golden(loaded):
+    spark, store, _, _ = loaded
+    got = sorted((r.study_id, r.participant_id, r.enrolled_at)
+                 for r in store.enrollments(spark).collect())
+    assert got == [("STUDY001", "P001", dt.datetime(2024, 1, 15, 9, 30)),
+                   ("STUDY001", "P002", dt.datetime(2024, 1, 15, 10, 15)),
+                   ("STUDY001", "P003", dt.datetime(2024, 1, 15, 11, 0)),
+                   ("STUDY002", "P001", dt.datetime(2024, 1, 16, 9, 0)),
+                   ("STUDY002", "P002", dt.datetime(2024, 1, 16, 10, 30)),
+                   ("STUDY002", "P003", dt.datetime(2024, 1, 16, 11, 15))]
+
+
+def test_dimensions(loaded):
+    spark, store, _, _ = loaded
+    assert sorted(r[0] for r in store.read(spark, "studies").collect()) == ["STUDY001", "STUDY002"]
+    assert sorted(r[0] for r in store.read(spark, "sites").collect()) == ["SITE_A", "SITE_B"]
+    assert sorted(r[0] for r in store.read(spark, "participants").collect()) == [
+        "P001", "P002", "P003"]
+
+
+def test_reader_filters(loaded):
+    spark, store, _, _ = loaded
+    facts = store.measurements(spark)
+    # A bare end date means midnight: the 09:00 row of that day is excluded.
+    assert reads.query_measurements(facts, end_date="2024-01-16").count() == 12
+    assert reads.query_measurements(facts, study_id="", participant_id=None).count() == 21
+    assert reads.query_measurements(facts, start_date="2024-01-16T09:00:00").count() == 9
+    assert reads.study_exists(facts, "STUDY002") and not reads.study_exists(facts, "STUDY009")
+
+
+def test_ledger_lookup(loaded):
+    spark, store, _, _ = loaded
+    job = ledger.job_by_id(store.jobs(spark), F1_JOB).first()
+    assert job.status == "completed" and job.completed_at is not None
+    assert job.filename == f"{F1_JOB}_sample_study001.csv"
+    assert ledger.job_by_id(store.jobs(spark), "no-such-job").count() == 0
+    st = {r.job_id: (r.status, r.progress, r.message)
+          for r in ledger.job_status(store.jobs(spark)).collect()}
+    assert st[F2_JOB] == ("completed", 100, "Job completed successfully")
+
+
+def test_second_copy_rejected_state_unchanged(loaded):
+    spark, store, _, base = loaded
+    land2 = os.path.join(base, "landing2")
+    write_file(land2, f"{F1B_JOB}_sample_study001.csv", csv_text(F1_ROWS))
+    before = store.rollup(spark).orderBy("agg_day", "participant_id", "measurement_type").collect()
+    report = pipeline.run_load(spark, land2, store)
+    assert report.status() == {F1B_JOB: "failed"}
+    assert "duplicate key" in report.jobs[0]["message"]
+    assert store.measurements(spark).count() == 21
+    after = store.rollup(spark).orderBy("agg_day", "participant_id", "measurement_type").collect()
+    assert before == after
+
+
+def run_single(spark, workdir, name, text, manifest=None):
+    land = os.path.join(workdir, "landing")
+    if text is not None:
+        write_file(land, name, text)
+    else:
+        os.makedirs(land, exist_ok=True)
+        write_file(land, "00000000-0000-0000-0000-000000000000_other.csv", csv_text(F2_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, land, store, manifest=manifest)
+    return report, store
+
+
+JOB = "11111111-2222-3333-4444-555555555555"
+
+
+@pytest.mark.parametrize("rows,expect", [
+    ("STUDY001,P001,pulse,72,bpm,2024-01-15T09:30:00Z,SITE_A,0.9\n" + F1_ROWS,
+     "Invalid types: ['pulse']"),
+    ("STUDY001,P001,glucose,95.5,mg/dL,15/01/2024,SITE_A,0.9\n" + F1_ROWS, "Transform error"),
+    ("STUDY001,P001,glucose,,mg/dL,2024-01-15T09:30:00Z,SITE_A,0.9\n" + F1_ROWS,
+     'null value in column "value"'),
+    ("STUDY001,P001,glucose,n/a,mg/dL,2024-01-15T09:30:00Z,SITE_A,0.9\n" + F1_ROWS,
+     'null value in column "value"'),
+    ("STUDY002,P001,blood_pressure,99999999999/80,mmHg,2024-01-16T09:00:00Z,SITE_B,0.9\n" + F2_ROWS,
+     "integer out of range"),
+    ("STUDY001,P001,glucose,95.5,mg/dL,2024-01-15T09:30:00Z,SITE_A,0.9,extra\n" + F1_ROWS,
+     "Extraction error"),
+    (F1_ROWS + "\n" + F1_ROWS.splitlines()[0], "duplicate key"),
+])
+def test_file_rejected_whole(spark, workdir, rows, expect):
+    report, store = run_single(spark, workdir, f"{JOB}_case.csv", csv_text(rows))
+    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    assert job["status"] == "failed" and expect in job["message"], job
+    assert store.read(spark, "measurements") is None
+
+
+def test_file_accepted_with_soft_problems(spark, workdir):
+    rows = ("STUDY001,P009,glucose,invalid,mg/dL,2024-01-15T09:30:00+02:00,SITE_A,abc\n"
+            "STUDY001,P009,cholesterol, 180 ,mg/dL,2024-01-15T10:30:00Z, SITE_A ,0.949\n"
+            "STUDY001,P009,weight,-5,kg,2024-01-15T11:30:00Z,SITE_A,\n"
+            "STUDY001,P009,height,170,cm,2024-01-15T12:30:00Z,SITE_A")
+    report, store = run_single(spark, workdir, f"{JOB}_case.csv", csv_text(rows))
+    assert report.status()[JOB] == "completed"
+    got = {r.measurement_type: r for r in store.measurements(spark).collect()}
+    assert got["glucose"].timestamp == dt.datetime(2024, 1, 15, 7, 30)
+    assert got["glucose"].value_num is None and got["glucose"].quality_score is None
+    assert got["cholesterol"].value == " 180 " and got["cholesterol"].value_num == 180.0
+    assert got["cholesterol"].site_id == "SITE_A" and str(got["cholesterol"].quality_score) == "0.95"
+    assert got["weight"].value_num is None
+    assert got["height"].quality_score is None  # short row padded with NULL
+    roll = store.rollup(spark).where("measurement_type = 'cholesterol'").first()
+    assert roll.low_quality_count == 0
+
+
+def test_header_normalised_reordered_extra(spark, workdir):
+    header = "Quality_Score, Site ID ,timestamp,UNIT,value,Measurement Type,participant_id,study_id,notes"
+    body = "\n".join(",".join([r.split(",")[i] for i in (7, 6, 5, 4, 3, 2, 1, 0)] + ["x"])
+                     for r in F2_ROWS.splitlines())
+    report, store = run_single(spark, workdir, f"{JOB}_reordered.csv", header + "\n" + body + "\n")
+    assert report.status()[JOB] == "completed"
+    got = store.measurements(spark).where("measurement_type='heart_rate' AND participant_id='P001'")
+    r = got.first()
+    assert (r.value, r.site_id, str(r.quality_score)) == ("72", "SITE_B", "0.98")
+    assert r.id == "d9f8376a-bb49-3e9a-5a13-f3978e7ec89c"
+
+
+def test_missing_column(spark, workdir):
+    header = "study_id,participant_id,measurement_type,value,unit,site_id,quality_score"
+    body = "STUDY001,P001,glucose,95.5,mg/dL,SITE_A,0.98"
+    report, _ = run_single(spark, workdir, f"{JOB}_nots.csv", header + "\n" + body + "\n")
+    assert report.jobs[0]["status"] == "failed"
+    assert report.jobs[0]["message"] == "Missing column timestamp"
+
+
+def test_file_not_found_from_manifest(spark, workdir):
+    manifest = [{"job_id": JOB, "filename": f"{JOB}_gone.csv", "study_id": "STUDY001",
+                 "created_at": dt.datetime(2024, 1, 1)}]
+    report, store = run_single(spark, workdir, None, None, manifest=manifest)
+    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    assert job["status"] == "failed" and job["message"] == f"File not found: {JOB}_gone.csv"
+
+
+def test_batch_duplicates_first_job_wins(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    a = "aaaaaaaa-0000-0000-0000-000000000001"
+    b = "bbbbbbbb-0000-0000-0000-000000000002"
+    c = "cccccccc-0000-0000-0000-000000000003"
+    write_file(land, f"{a}_x.csv", csv_text(F1_ROWS))
+    write_file(land, f"{b}_x.csv", csv_text(F1_ROWS.splitlines()[0] + "\n" + F2_ROWS))
+    write_file(land, f"{c}_x.csv", csv_text(F2_ROWS))
+    manifest = [{"job_id": j, "filename": f"{j}_x.csv", "created_at": dt.datetime(2024, 1, 1, 0, i)}
+                for i, j in enumerate((a, b, c))]
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, land, store, manifest=manifest)
+    # b repeats a row of a (earlier) -> rejected; c repeats b's rows, but b was
+    # not loaded, so c is accepted.
+    assert report.status() == {a: "completed", b: "failed", c: "completed"}
+    assert store.measurements(spark).count() == 21
+
+
+def test_replayed_load_is_idempotent(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{F1_JOB}_s.csv", csv_text(F1_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    pipeline.run_load(spark, land, store, load_id="L1")
+    again = pipeline.run_load(spark, land, store, load_id="L1")
+    assert again.status() == {F1_JOB: "completed"}
+    assert store.measurements(spark).count() == 12
+    assert store.rollup(spark).agg(F.sum("measurement_count")).first()[0] == 12
+
+
+def test_header_matches_fixture_header():
+    assert HEADER.split(",")[0] == "study_id"
