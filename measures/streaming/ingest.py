@@ -19,6 +19,10 @@ from pyspark.sql.streaming import StreamingQuery
 from measures.plans import pipeline
 from measures.sources.store import Store
 
+# The binaryFile source's fixed layout (streams must name their schema).
+BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
+                      "content binary")
+
 
 def start_ingest(spark: SparkSession, landing_root: str, store: Store, checkpoint: str,
                  glob: str = "*.csv", available_now: bool = True,
@@ -27,7 +31,7 @@ def start_ingest(spark: SparkSession, landing_root: str, store: Store, checkpoin
     """Start the ingestion stream.  `available_now` processes what is there
     and stops (scheduled runs); otherwise a processing-time trigger keeps it
     running."""
-    reader = (spark.readStream.format("binaryFile")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
