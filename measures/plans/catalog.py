@@ -11,16 +11,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from measures.operators import dimensions, rollup
-from measures.plans import analytics, reads
+from measures.operators import constraints, dimensions, ledger, rollup, validate
+from measures.plans import analytics, pipeline, reads
 from measures.plans.oracle import (KEYS, MEASURES, faithful_merge_sql, r6, rollup_cte,
                                    rollup_select, with_facts)
-from measures.session import ensure_session
+from measures.session import ensure_session, scratch_dir
+from measures.sinks.landing import write_landing
 from measures.sources import adapter
+from measures.sources.store import Store
 
 # Fixed query parameters of the registered forms.
 TREND_PARTICIPANT = "P0001"
@@ -150,6 +152,81 @@ def r2(spark, d):
     return reads.study_measurements(_facts(spark, d), STUDY_READ)
 
 
+# --- End to end: landing files derived from events -> two loads -> tables -------
+_LOADED: dict[tuple, Store] = {}
+
+
+def _job_name(df: DataFrame) -> Column:
+    half = F.when(F.hour("timestamp") < AM_SPLIT_HOUR, F.lit("am")).otherwise(F.lit("pm"))
+    return F.concat_ws("_", F.col("study_id"), F.to_date("timestamp").cast("string"), half)
+
+
+def loaded_store(spark: SparkSession, sf_dir: str) -> Store:
+    """Stage the adapter's measurements as landing files (one job per study,
+    day and half-day), then load the morning files and the afternoon files
+    as two loads, so the second merges into stored day partitions.  The store
+    lives in the shared scratch folder; one per session and input."""
+    key = (id(spark), sf_dir)
+    if key not in _LOADED:
+        ensure_session(spark)
+        base = scratch_dir(spark, "etl")
+        m = adapter.measurements(adapter.read_events(spark, sf_dir)).drop("event_id")
+        write_landing(_am(m), _job_name(m), f"{base}/landing_am")
+        write_landing(_pm(m), _job_name(m), f"{base}/landing_pm")
+        store = Store(f"{base}/store")
+        pipeline.run_load(spark, f"{base}/landing_am", store, load_id="am")
+        pipeline.run_load(spark, f"{base}/landing_pm", store, load_id="pm")
+        _LOADED[key] = store
+    return _LOADED[key]
+
+
+def q_etl_facts(spark, d):
+    store = loaded_store(spark, d)
+    return store.measurements(spark).select(
+        "id", "study_id", "participant_id", "site_id", "measurement_type", "value", "unit",
+        "timestamp", "quality_score", "value_num", "bp_systolic", "bp_diastolic", "job_id")
+
+
+def q_etl_rollup(spark, d):
+    return round_doubles(loaded_store(spark, d).rollup(spark))
+
+
+def q_etl_enrollments(spark, d):
+    return loaded_store(spark, d).enrollments(spark)
+
+
+def q_etl_jobs(spark, d):
+    jobs = ledger.current_jobs(loaded_store(spark, d).jobs(spark))
+    return jobs.select("job_id", "filename", "status", "progress", "message", "error_message")
+
+
+def q_etl_job_lookup(spark, d):
+    store = loaded_store(spark, d)
+    job = spark.range(1).select(F.md5(F.lit(LOOKUP_JOB)).alias("h")).select(
+        F.concat_ws("-", *[F.substring("h", a, b) for a, b in
+                           ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]).alias("id")).first()[0]
+    return ledger.job_by_id(store.jobs(spark), job).select("id", "filename", "study_id",
+                                                           "status", "error_message")
+
+
+def q_etl_job_status(spark, d):
+    store = loaded_store(spark, d)
+    return ledger.job_status(store.jobs(spark))
+
+
+def q_fk_orphans(spark, d):
+    s = loaded_store(spark, d)
+    return constraints.fk_orphans(s.measurements(spark), s.read(spark, "studies"),
+                                  s.read(spark, "sites"), s.read(spark, "participants"),
+                                  s.enrollments(spark))
+
+
+def q_range_report(spark, d):
+    return validate.range_report(_facts(spark, d))
+
+
+LOOKUP_JOB = "STUDY001_2024-01-15_am"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "facts": q_facts,
     "daily_rollup": q_daily_rollup,
@@ -171,6 +248,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r1_measurements": r1,
     "r1_measurements_api": r1_api,
     "r2_study": r2,
+    "etl_facts": q_etl_facts,
+    "etl_rollup": q_etl_rollup,
+    "etl_enrollments": q_etl_enrollments,
+    "etl_jobs": q_etl_jobs,
+    "etl_job_lookup": q_etl_job_lookup,
+    "etl_job_status": q_etl_job_status,
+    "fk_orphans": q_fk_orphans,
+    "range_report": q_range_report,
 }
 
 # --- DuckDB side ----------------------------------------------------------------
@@ -262,4 +347,41 @@ ORACLES: dict[str, str] = {
     "ORDER BY \"timestamp\" DESC, id LIMIT 1000",
 }
 
+_UUID = ("substr(md5({x}), 1, 8) || '-' || substr(md5({x}), 9, 4) || '-' || substr(md5({x}), 13, 4)"
+         " || '-' || substr(md5({x}), 17, 4) || '-' || substr(md5({x}), 21, 12)")
+_JOB_NAME = ("concat_ws('_', study_id, CAST(CAST(\"timestamp\" AS DATE) AS VARCHAR), "
+             f"CASE WHEN hour(\"timestamp\") < {AM_SPLIT_HOUR} THEN 'am' ELSE 'pm' END)")
+_JOBS = ("jobs AS (SELECT DISTINCT " + _UUID.format(x=_JOB_NAME) + " AS job_id, "
+         + _UUID.format(x=_JOB_NAME) + " || '_' || " + _JOB_NAME + " AS filename, study_id, "
+         + _JOB_NAME + " AS job_name FROM facts)")
+_RANGE_LIMITS_SQL = ("limits(measurement_type, low, high) AS (VALUES "
+                     + ", ".join(f"('{t}', {float(lo)}, {float(hi)})"
+                                 for t, (lo, hi) in validate.RANGE_LIMITS.items()) + ")")
+
+ORACLES.update({
+    "etl_facts": with_facts() + f"SELECT {_FACT_COLS}, "
+    + _UUID.format(x=_JOB_NAME) + " AS job_id FROM facts",
+    "etl_rollup": ORACLES["rollup_merge_faithful"],
+    "etl_enrollments": ORACLES["enrollments"],
+    "etl_jobs": with_facts(_JOBS) + "SELECT job_id, filename, 'completed' AS status, "
+    "100 AS progress, 'Job completed successfully' AS message, "
+    "CAST(NULL AS VARCHAR) AS error_message FROM jobs",
+    "etl_job_lookup": with_facts(_JOBS) + "SELECT job_id AS id, filename, "
+    "CAST(NULL AS VARCHAR) AS study_id, 'completed' AS status, "
+    f"CAST(NULL AS VARCHAR) AS error_message FROM jobs WHERE job_name = '{LOOKUP_JOB}'",
+    "etl_job_status": with_facts(_JOBS) + "SELECT job_id, 'completed' AS status, "
+    "100 AS progress, 'Job completed successfully' AS message FROM jobs",
+    "fk_orphans": "SELECT * FROM (VALUES "
+    "('measurement.study_id -> studies', 0), ('measurement.site_id -> sites', 0), "
+    "('measurement.(participant_id, study_id) -> enrollments', 0), "
+    "('enrollment.participant_id -> participants', 0), ('enrollment.study_id -> studies', 0)) "
+    "t(\"constraint\", orphan_rows)",
+    "range_report": with_facts(_RANGE_LIMITS_SQL) + "SELECT f.measurement_type, "
+    "COUNT(r) AS readings, CAST(SUM(CAST(r < low AS BIGINT)) AS BIGINT) AS below_range, "
+    "CAST(SUM(CAST(r > high AS BIGINT)) AS BIGINT) AS above_range FROM (SELECT measurement_type, "
+    "CASE WHEN measurement_type = 'blood_pressure' THEN CAST(bp_systolic AS DOUBLE) "
+    "ELSE value_num END AS r FROM facts) f JOIN limits USING (measurement_type) "
+    "GROUP BY f.measurement_type",
+})
+
 _ = (KEYS, MEASURES)

@@ -98,8 +98,11 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
                                                     if c not in REQUIRED_COLUMNS])
                    if c not in names]
         groups.append({"header": g["header"], "files": len(g["paths"]), "missing": missing})
-        # Duplicate header names: the first occurrence wins.
-        physical = [f"c{i}" for i in range(len(raw))]
+        # Field names: the header's own (so Spark's header check agrees), or
+        # positional ones when the header repeats a name; the first
+        # occurrence of a repeated column wins.
+        unique = len(set(raw)) == len(raw) and CORRUPT not in raw and all(raw)
+        physical = list(raw) if unique else [f"c{i}" for i in range(len(raw))]
         schema = T.StructType([T.StructField(p, T.StringType()) for p in physical]
                               + [T.StructField(CORRUPT, T.StringType())])
         df = (spark.read.schema(schema)
@@ -110,7 +113,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
         keep, seen = [], set()
         for p, n in zip(physical, names):
             if n in LOADED_COLUMNS and n not in seen:
-                keep.append(F.col(p).alias(n))
+                keep.append(F.col(f"`{p}`").alias(n))
                 seen.add(n)
         width = len(raw)
         parts.append(df.select(
