@@ -41,9 +41,12 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     stored under their own job id (a replayed load).
     """
     spark = candidates.sparkSession
-    pairs = candidates.groupBy("job_id", "study_id", "id").agg(F.count(F.lit(1)).alias("n"))
-    in_file = pairs.where(F.col("n") > 1).select("job_id").distinct()
-    rejected = {r["job_id"]: DUP_IN_FILE for r in in_file.collect()}
+    rank_df = spark.createDataFrame(list(ranks.items()), "job_id string, rank int")
+    # One row per (job, id) with its multiplicity, partially aggregated
+    # before the shuffle on the id.
+    pairs = (candidates.groupBy("job_id", "study_id", "id").agg(F.count(F.lit(1)).alias("n"))
+             .join(F.broadcast(rank_df), "job_id", "inner"))
+    rejected: dict[str, str] = {}
     replayed: list[str] = []
     if stored is not None:
         hits = (pairs.select("job_id", "study_id", "id")
@@ -54,31 +57,39 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
                    .collect())
         for r in per_job:
             if r["foreign"]:
-                rejected.setdefault(r["job_id"], DUP_STORED)
+                rejected[r["job_id"]] = DUP_STORED
             elif r["own"]:
                 replayed.append(r["job_id"])
-    # Ids shared by several surviving files: the job sets sharing an id are
-    # job-level metadata, so the ordered (greedy) choice runs on the driver.
-    alive = [j for j in ranks if j not in rejected]
-    if len(alive) > 1:
-        rank_df = spark.createDataFrame([(j, ranks[j]) for j in alive], "job_id string, rank int")
-        shared = (pairs.join(rank_df, "job_id", "inner")
-                  .groupBy("study_id", "id")
-                  .agg(F.count(F.lit(1)).alias("jobs"),
-                       F.array_sort(F.collect_list("rank")).alias("ranks"))
-                  .where(F.col("jobs") > 1).select("ranks").distinct().collect())
-        by_rank = {ranks[j]: j for j in alive}
-        accepted: set[int] = set()
-        groups_of: dict[int, list[tuple]] = {}
-        for row in shared:
-            group = tuple(row["ranks"])
+    # Ids repeated inside a file or shared by several files, in one pass.
+    # What reaches the driver is job-level: the distinct sets of job ranks
+    # sharing an id, and the ranks of files repeating an id.
+    per_id = (pairs.groupBy("study_id", "id")
+              .agg(F.count(F.lit(1)).alias("jobs"), F.max("n").alias("max_n"),
+                   F.array_sort(F.collect_list("rank")).alias("ranks"),
+                   F.array_sort(F.collect_list(F.when(F.col("n") > 1, F.col("rank"))))
+                   .alias("repeating"))
+              .where((F.col("jobs") > 1) | (F.col("max_n") > 1))
+              .select("ranks", "repeating").distinct().collect())
+    by_rank = {r: j for j, r in ranks.items()}
+    for row in per_id:
+        for r in row["repeating"]:
+            rejected.setdefault(by_rank[r], DUP_IN_FILE)
+    # Sequential rule: a file loses to an earlier accepted file sharing an id;
+    # a rejected file blocks nothing.
+    groups_of: dict[int, list[tuple]] = {}
+    for row in per_id:
+        group = tuple(row["ranks"])
+        if len(group) > 1:
             for r in group:
                 groups_of.setdefault(r, []).append(group)
-        for r in sorted(groups_of):
-            if any(a in accepted for g in groups_of[r] for a in g if a < r):
-                rejected[by_rank[r]] = DUP_BATCH
-            else:
-                accepted.add(r)
+    accepted: set[int] = set()
+    for r in sorted(groups_of):
+        if by_rank[r] in rejected:
+            continue
+        if any(a in accepted for g in groups_of[r] for a in g if a < r):
+            rejected[by_rank[r]] = DUP_BATCH
+        else:
+            accepted.add(r)
     rows = [(j, m) for j, m in rejected.items()]
     return (spark.createDataFrame(rows, "job_id string, message string"), replayed)
 
