@@ -20,10 +20,19 @@ def stored_ids_for(stored: DataFrame, candidates: DataFrame) -> DataFrame:
     (dynamic partition pruning on the join key) and the time bounds prune row
     groups of timestamp-sorted files.
     """
-    bounds = candidates.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    scoped = stored
-    if bounds is not None and bounds["lo"] is not None:
-        scoped = stored.where(F.col("timestamp").between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+    bounds = candidates.groupBy("study_id").agg(F.min("timestamp").alias("lo"),
+                                                F.max("timestamp").alias("hi")).collect()
+    if not bounds:
+        return stored.where(F.lit(False)).select("study_id", "id",
+                                                  F.col("job_id").alias("stored_job_id"))
+    # Per study (a short list): partition pruning on study_id and row-group
+    # pruning on the time span the batch covers in that study.
+    window = None
+    for b in bounds:
+        cond = ((F.col("study_id") == F.lit(b["study_id"]))
+                & F.col("timestamp").between(F.lit(b["lo"]), F.lit(b["hi"])))
+        window = cond if window is None else window | cond
+    scoped = stored.where(F.col("study_id").isin([b["study_id"] for b in bounds]) & window)
     return scoped.select("study_id", "id", F.col("job_id").alias("stored_job_id"))
 
 

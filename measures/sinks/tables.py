@@ -48,6 +48,11 @@ def append_facts(store: Store, facts: DataFrame) -> None:
     _writer(out, "append", "measurements").parquet(store.path("measurements"))
 
 
+def touched_keys(df: DataFrame, key: str) -> list:
+    """Distinct partition values a batch touches (studies or days: a short list)."""
+    return [r[0] for r in df.select(key).distinct().collect()]
+
+
 def _rewrite_partitions(spark: SparkSession, store: Store, table: str, merged: DataFrame) -> None:
     """Replace exactly the partitions present in `merged`."""
     checkpoint_root(spark)
@@ -64,7 +69,9 @@ def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame) -> No
     new = dimensions.first_seen(facts)
     old = store.read(spark, "enrollments")
     if old is not None:
-        old = old.join(new.select("study_id").distinct(), "study_id", "left_semi")
+        # Studies in a load: a short list, used as a literal partition filter.
+        studies = touched_keys(new, "study_id")
+        old = old.where(F.col("study_id").isin(studies))
     merged = dimensions.merge_enrollments(old, new)
     _rewrite_partitions(spark, store, "enrollments", merged)
 
@@ -81,11 +88,15 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
     old = store.read(spark, "rollup")
     new = rollup.daily_rollup(facts)
     if old is not None:
-        done_days = old.where(F.col("load_id") == load_id).select("agg_day").distinct()
-        new = new.join(done_days, "agg_day", "left_anti")
-        touched = new.select("agg_day").distinct()
-        old = old.join(touched, "agg_day", "left_semi").drop("load_id")
-        merged = rollup.merge_faithful(old, new)
+        # Calendar days in the load (bounded by its time span): a literal
+        # partition filter, so only those day folders are listed and read.
+        days = touched_keys(new, "agg_day")
+        old = old.where(F.col("agg_day").isin(days))
+        done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
+        if done:
+            new = new.where(~F.col("agg_day").isin(done))
+            old = old.where(~F.col("agg_day").isin(done))
+        merged = rollup.merge_faithful(old.drop("load_id"), new)
     else:
         merged = new
     _rewrite_partitions(spark, store, "rollup", merged.withColumn("load_id", F.lit(load_id)))
