@@ -23,6 +23,7 @@ from measures.session import ensure_session, scratch_dir
 from measures.sinks.landing import write_landing
 from measures.sources import adapter
 from measures.sources.store import Store
+from measures.streaming import start_ingest, stream_facts, streaming_daily_rollup
 
 # Fixed query parameters of the registered forms.
 TREND_PARTICIPANT = "P0001"
@@ -225,7 +226,94 @@ def q_range_report(spark, d):
     return validate.range_report(_facts(spark, d))
 
 
+def q_stream_ingest_facts(spark, d):
+    """X1 over the staged landing files (both halves): one micro-batch, one load."""
+    store = loaded_store(spark, d)
+    base = store.root.rsplit("/", 1)[0]
+    key = (id(spark), d, "stream")
+    if key not in _LOADED:
+        streamed = Store(f"{base}/store_stream")
+        q = start_ingest(spark, f"{base}/landing_*", streamed, checkpoint=f"{base}/ckpt_ingest")
+        q.awaitTermination()
+        _LOADED[key] = streamed
+    return q_etl_facts_from(_LOADED[key], spark)
+
+
+def q_stream_daily_rollup(spark, d):
+    """Watermarked daily roll-up over the stored facts as a stream, appended
+    to a Parquet sink; only days closed by the watermark are emitted."""
+    store = loaded_store(spark, d)
+    base = store.root.rsplit("/", 1)[0]
+    key = (id(spark), d, "rollup_stream")
+    if key not in _LOADED:
+        out = f"{base}/rollup_stream"
+        q = (streaming_daily_rollup(stream_facts(spark, store), lateness=STREAM_LATENESS)
+             .writeStream.outputMode("append").format("parquet").option("path", out)
+             .option("checkpointLocation", f"{base}/ckpt_rollup").trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
+        _LOADED[key] = Store(out)
+    return round_doubles(spark.read.parquet(_LOADED[key].root))
+
+
+def q_etl_facts_from(store: Store, spark) -> DataFrame:
+    return store.measurements(spark).select(
+        "id", "study_id", "participant_id", "site_id", "measurement_type", "value", "unit",
+        "timestamp", "quality_score", "value_num", "bp_systolic", "bp_diastolic", "job_id")
+
+
+# Analytic queries over the stored, partitioned tables of the two loads.
+def q_stored_q1(spark, d):
+    return analytics.quality_by_study(loaded_store(spark, d).measurements(spark))
+
+
+def q_stored_q1_rollup(spark, d):
+    return analytics.quality_by_study_rollup(loaded_store(spark, d).rollup(spark), digits=6)
+
+
+def q_stored_q2_rollup(spark, d):
+    return analytics.daily_trend_rollup(loaded_store(spark, d).rollup(spark), TREND_PARTICIPANT,
+                                        TREND_TYPE, digits=6)
+
+
+def q_stored_q3_rollup(spark, d):
+    return analytics.counts_by_site_rollup(loaded_store(spark, d).rollup(spark))
+
+
+def q_stored_q4(spark, d):
+    return round_doubles(analytics.low_quality_buckets(loaded_store(spark, d).rollup(spark)))
+
+
+def q_stored_q5(spark, d):
+    s = loaded_store(spark, d)
+    return analytics.recent_measurements(q_etl_facts_from(s, spark).drop("job_id"), RECENT_DAYS,
+                                         RECENT_AS_OF)
+
+
+def q_stored_q6(spark, d):
+    return analytics.participants_per_study(loaded_store(spark, d).enrollments(spark))
+
+
+def q_stored_q7(spark, d):
+    return analytics.mean_bmi(loaded_store(spark, d).measurements(spark), BMI_STUDY)
+
+
+def q_stored_q7_rollup(spark, d):
+    return analytics.mean_bmi_rollup(loaded_store(spark, d).rollup(spark), BMI_STUDY)
+
+
+def q_stored_r1(spark, d):
+    return reads.query_measurements(loaded_store(spark, d).measurements(spark),
+                                    **READ_FILTERS).drop("processed_at")
+
+
+def q_stored_r2(spark, d):
+    return reads.study_measurements(loaded_store(spark, d).measurements(spark),
+                                    STUDY_READ).drop("processed_at")
+
+
 LOOKUP_JOB = "STUDY001_2024-01-15_am"
+STREAM_LATENESS = "1 day"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "facts": q_facts,
@@ -256,6 +344,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "etl_job_status": q_etl_job_status,
     "fk_orphans": q_fk_orphans,
     "range_report": q_range_report,
+    "stream_ingest_facts": q_stream_ingest_facts,
+    "stream_daily_rollup": q_stream_daily_rollup,
+    "stored_q1_quality_by_study": q_stored_q1,
+    "stored_q1_quality_by_study_rollup": q_stored_q1_rollup,
+    "stored_q2_trend_rollup": q_stored_q2_rollup,
+    "stored_q3_counts_by_site_rollup": q_stored_q3_rollup,
+    "stored_q4_low_quality": q_stored_q4,
+    "stored_q5_recent": q_stored_q5,
+    "stored_q6_participants": q_stored_q6,
+    "stored_q7_mean_bmi": q_stored_q7,
+    "stored_q7_mean_bmi_rollup": q_stored_q7_rollup,
+    "stored_r1_measurements": q_stored_r1,
+    "stored_r2_study": q_stored_r2,
 }
 
 # --- DuckDB side ----------------------------------------------------------------
@@ -278,6 +379,21 @@ _READ_WHERE = (f"study_id = '{READ_FILTERS['study_id']}' AND measurement_type =
                f"'{READ_FILTERS['start_date']}' AND \"timestamp\" <= TIMESTAMP "
                f"'{READ_FILTERS['end_date']}'")
 
+def _q7_rollup_sql(ctes: list[str], table: str) -> str:
+    latest = f"""latest AS (
+  SELECT participant_id, measurement_type, value_num FROM (
+    SELECT participant_id, measurement_type, avg_value AS value_num,
+      row_number() OVER (PARTITION BY participant_id, measurement_type
+                         ORDER BY agg_day DESC, site_id DESC) AS rn
+    FROM {table} WHERE study_id = '{BMI_STUDY}' AND measurement_type IN ('weight', 'height')) t
+  WHERE rn = 1), pivoted AS (
+  SELECT MAX(CASE WHEN measurement_type = 'weight' THEN value_num END) AS weight_kg,
+         MAX(CASE WHEN measurement_type = 'height' THEN value_num END) AS height_cm
+  FROM latest GROUP BY participant_id HAVING COUNT(*) = 2)"""
+    return (with_facts(*ctes, latest)
+            + "SELECT ROUND(AVG(weight_kg / POWER(height_cm / 100, 2)), 2) AS avg_bmi FROM pivoted")
+
+
 ORACLES: dict[str, str] = {
     "facts": with_facts() + f"SELECT {_FACT_COLS} FROM facts",
     "daily_rollup": with_facts(_ROLLUP) + f"SELECT {rollup_select()} FROM rollup",
@@ -322,17 +438,7 @@ ORACLES: dict[str, str] = {
     + "SELECT ROUND(AVG(w.v / POWER(h.v / 100, 2)), 2) AS avg_bmi "
     "FROM (SELECT * FROM latest WHERE measurement_type = 'weight') w "
     "JOIN (SELECT * FROM latest WHERE measurement_type = 'height') h USING (participant_id)",
-    "q7_mean_bmi_rollup": with_facts(_ROLLUP, f"""latest AS (
-  SELECT participant_id, measurement_type, value_num FROM (
-    SELECT participant_id, measurement_type, avg_value AS value_num,
-      row_number() OVER (PARTITION BY participant_id, measurement_type
-                         ORDER BY agg_day DESC, site_id DESC) AS rn
-    FROM rollup WHERE study_id = '{BMI_STUDY}' AND measurement_type IN ('weight', 'height')) t
-  WHERE rn = 1), pivoted AS (
-  SELECT MAX(CASE WHEN measurement_type = 'weight' THEN value_num END) AS weight_kg,
-         MAX(CASE WHEN measurement_type = 'height' THEN value_num END) AS height_cm
-  FROM latest GROUP BY participant_id HAVING COUNT(*) = 2)""")
-    + "SELECT ROUND(AVG(weight_kg / POWER(height_cm / 100, 2)), 2) AS avg_bmi FROM pivoted",
+    "q7_mean_bmi_rollup": None,  # filled below from _q7_rollup_sql
     "r1_measurements": with_facts()
     + f"SELECT {_READER_COLS} FROM facts WHERE {_READ_WHERE} "
     "ORDER BY \"timestamp\" DESC, id LIMIT 1000",
@@ -347,6 +453,8 @@ ORACLES: dict[str, str] = {
     "ORDER BY \"timestamp\" DESC, id LIMIT 1000",
 }
 
+ORACLES["q7_mean_bmi_rollup"] = _q7_rollup_sql([_ROLLUP], "rollup")
+
 _UUID = ("substr(md5({x}), 1, 8) || '-' || substr(md5({x}), 9, 4) || '-' || substr(md5({x}), 13, 4)"
          " || '-' || substr(md5({x}), 17, 4) || '-' || substr(md5({x}), 21, 12)")
 _JOB_NAME = ("concat_ws('_', study_id, CAST(CAST(\"timestamp\" AS DATE) AS VARCHAR), "
@@ -384,4 +492,33 @@ ORACLES.update({
     "GROUP BY f.measurement_type",
 })
 
+# Roll-up as stored after the morning and the afternoon load (faithful merge).
+_MERGED = ("merged AS (" + faithful_merge_sql(rounded=False) + ")")
+_STORED_ROLLUP = [rollup_cte("o", "facts", _AM), rollup_cte("n", "facts", _PM), _MERGED]
+
+
+def _merged_oracle(name: str) -> str:
+    """An oracle written over `rollup`, re-pointed at the two-load roll-up."""
+    tail = ORACLES[name][len(with_facts(_ROLLUP)):]
+    return with_facts(*_STORED_ROLLUP) + tail.replace("FROM rollup", "FROM merged")
+
+
+ORACLES.update({
+    "stream_ingest_facts": ORACLES["etl_facts"],
+    "stream_daily_rollup": with_facts(_ROLLUP) + f"SELECT {rollup_select()} FROM rollup "
+    "WHERE CAST(agg_day + INTERVAL 1 DAY AS TIMESTAMP) <= "
+    "(SELECT MAX(\"timestamp\") FROM facts) - INTERVAL 1 DAY",
+    "stored_q1_quality_by_study": ORACLES["q1_quality_by_study"],
+    "stored_q1_quality_by_study_rollup": _merged_oracle("q1_quality_by_study_rollup"),
+    "stored_q2_trend_rollup": _merged_oracle("q2_trend_rollup"),
+    "stored_q3_counts_by_site_rollup": _merged_oracle("q3_counts_by_site_rollup"),
+    "stored_q4_low_quality": _merged_oracle("q4_low_quality"),
+    "stored_q5_recent": ORACLES["q5_recent"],
+    "stored_q6_participants": ORACLES["q6_participants"],
+    "stored_q7_mean_bmi": ORACLES["q7_mean_bmi"],
+    "stored_q7_mean_bmi_rollup": _q7_rollup_sql(_STORED_ROLLUP, "merged"),
+    "stored_r1_measurements": ORACLES["r1_measurements"],
+    "stored_r2_study": ORACLES["r2_study"],
+})
+
 _ = (KEYS, MEASURES)

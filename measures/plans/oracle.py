@@ -57,14 +57,14 @@ FROM o FULL OUTER JOIN n ON {on}
 """
 
 
-def faithful_merge_sql() -> str:
+def faithful_merge_sql(rounded: bool = True) -> str:
     both = "o.measurement_count IS NOT NULL AND n.measurement_count IS NOT NULL"
     only_old = "o.measurement_count IS NOT NULL"
     total = "(o.measurement_count + n.measurement_count)"
 
     def case(merged: str, m: str, rnd: bool = True) -> str:
         e = f"CASE WHEN {both} THEN {merged} WHEN {only_old} THEN o.{m} ELSE n.{m} END"
-        return r6(e) if rnd else e
+        return r6(e) if rnd and rounded else e
 
     def weighted(m: str, denom: str = total) -> str:
         return f"(o.{m} * o.measurement_count + n.{m} * n.measurement_count) / {denom}"
