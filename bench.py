@@ -7,7 +7,8 @@ Each query is executed in full with the `noop` sink (every row is produced,
 nothing is shipped to the driver), after one warm-up run of the adapter scan.
 `etl_two_loads` stages the measurements as landing CSV files and runs the
 whole pipeline twice (morning, then afternoon load, merging into the stored
-roll-up).
+roll-up); the `stored_*` queries then read the partitioned tables it wrote,
+and `stream_*` run the ingestion stream and the streaming roll-up.
 """
 
 from __future__ import annotations
@@ -28,7 +29,12 @@ HEADLINE = ("daily_rollup", "rollup_merge_faithful", "rollup_merge_exact", "enro
             "q3_counts_by_site", "q3_counts_by_site_rollup", "q4_low_quality", "q5_recent",
             "q6_participants", "q7_mean_bmi", "q7_mean_bmi_rollup", "r1_measurements",
             "r2_study", "range_report")
-AFTER_LOAD = ("etl_rollup", "etl_jobs", "etl_job_status")
+AFTER_LOAD = ("etl_rollup", "etl_jobs", "etl_job_status", "stored_q1_quality_by_study",
+              "stored_q1_quality_by_study_rollup", "stored_q2_trend_rollup",
+              "stored_q3_counts_by_site_rollup", "stored_q4_low_quality", "stored_q5_recent",
+              "stored_q6_participants", "stored_q7_mean_bmi", "stored_q7_mean_bmi_rollup",
+              "stored_r1_measurements", "stored_r2_study", "stream_ingest_facts",
+              "stream_daily_rollup")
 
 
 def run(df) -> None:

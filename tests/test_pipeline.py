@@ -238,3 +238,18 @@ def test_replayed_load_is_idempotent(spark, workdir):
 
 def test_header_matches_fixture_header():
     assert HEADER.split(",")[0] == "study_id"
+
+
+def test_crlf_and_bom(spark, workdir):
+    text = "﻿" + csv_text(F2_ROWS).replace("\n", "\r\n")
+    land = os.path.join(workdir, "landing")
+    os.makedirs(land, exist_ok=True)
+    with open(os.path.join(land, f"{JOB}_crlf.csv"), "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, land, store)
+    assert report.status()[JOB] == "completed", report.jobs
+    rows = {(r.participant_id, r.measurement_type): r for r in store.measurements(spark).collect()}
+    r = rows[("P001", "heart_rate")]
+    assert (r.value, r.site_id, str(r.quality_score)) == ("72", "SITE_B", "0.98")
+    assert r.id == "d9f8376a-bb49-3e9a-5a13-f3978e7ec89c"
