@@ -479,11 +479,21 @@ ORACLES.update({
     f"CAST(NULL AS VARCHAR) AS error_message FROM jobs WHERE job_name = '{LOOKUP_JOB}'",
     "etl_job_status": with_facts(_JOBS) + "SELECT job_id, 'completed' AS status, "
     "100 AS progress, 'Job completed successfully' AS message FROM jobs",
-    "fk_orphans": "SELECT * FROM (VALUES "
-    "('measurement.study_id -> studies', 0), ('measurement.site_id -> sites', 0), "
-    "('measurement.(participant_id, study_id) -> enrollments', 0), "
-    "('enrollment.participant_id -> participants', 0), ('enrollment.study_id -> studies', 0)) "
-    "t(\"constraint\", orphan_rows)",
+    "fk_orphans": with_facts(
+        "studies AS (SELECT DISTINCT study_id FROM facts)",
+        "sites AS (SELECT DISTINCT site_id FROM facts)",
+        "enrolled AS (SELECT DISTINCT participant_id, study_id FROM facts)")
+    + "SELECT 'measurement.study_id -> studies' AS \"constraint\", COUNT(*) AS orphan_rows "
+    "FROM facts WHERE study_id NOT IN (SELECT study_id FROM studies) UNION ALL "
+    "SELECT 'measurement.site_id -> sites', COUNT(*) FROM facts "
+    "WHERE site_id NOT IN (SELECT site_id FROM sites) UNION ALL "
+    "SELECT 'measurement.(participant_id, study_id) -> enrollments', COUNT(*) FROM facts f "
+    "WHERE NOT EXISTS (SELECT 1 FROM enrolled e WHERE e.participant_id = f.participant_id "
+    "AND e.study_id = f.study_id) UNION ALL "
+    "SELECT 'enrollment.participant_id -> participants', COUNT(*) FROM enrolled "
+    "WHERE participant_id NOT IN (SELECT participant_id FROM facts) UNION ALL "
+    "SELECT 'enrollment.study_id -> studies', COUNT(*) FROM enrolled "
+    "WHERE study_id NOT IN (SELECT study_id FROM studies)",
     "range_report": with_facts(_RANGE_LIMITS_SQL) + "SELECT f.measurement_type, "
     "COUNT(r) AS readings, CAST(SUM(CAST(r < low AS BIGINT)) AS BIGINT) AS below_range, "
     "CAST(SUM(CAST(r > high AS BIGINT)) AS BIGINT) AS above_range FROM (SELECT measurement_type, "
