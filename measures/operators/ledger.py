@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.schema import LEDGER_SCHEMA, MSG_STARTED, PROGRESS
+from measures.schema import (LEDGER_SCHEMA, MSG_LOADED, MSG_STARTED, MSG_TRANSFORMED,
+                             MSG_VALIDATED, PROGRESS)
 
 EVENT_FIELDS = [f.name for f in LEDGER_SCHEMA.fields]
 
@@ -31,24 +32,53 @@ def pending_events(spark: SparkSession, jobs: list[dict], at: dt.datetime | None
     return spark.createDataFrame(rows, LEDGER_SCHEMA)
 
 
-def stage_events(verdicts: DataFrame, started_at: dt.datetime, finished_at: dt.datetime,
+# Stages a job passes, in order: (stage, progress, message template).
+STAGES = (("extract", PROGRESS["extracted"], "Extracted {rows} rows"),
+          ("transform", PROGRESS["transformed"], MSG_TRANSFORMED),
+          ("validate", PROGRESS["validated"], MSG_VALIDATED),
+          ("load", PROGRESS["loaded"], MSG_LOADED))
+
+
+def stage_events(spark: SparkSession, jobs: list[dict], phase: str, at: dt.datetime,
                  load_id: str) -> DataFrame:
-    """L2/L3: a `running` event at the start of the load and the final state.
+    """L2/L3: a job's history as events, written in two phases.
+
+    phase "checked" (before any table changes): `running`, then one event per
+    stage the job passed checks for (extract 10 %, transform 30 %,
+    validate 50 %).  phase "finished": `Loaded into DB` (90 %) for loaded
+    jobs, then the final state -- completed (100 %) or failed with the
+    progress of its last passed stage and the error message.
 
-    `verdicts`: job_id, filename, study_id, status, progress, message.
+    `jobs`: dicts with job_id, filename, study_id, status, progress, message,
+    rows and failed_stage (None when the job passed every check).
     """
-    running = verdicts.select(
-        "job_id", "filename", "study_id", F.lit("running").alias("status"),
-        F.lit(PROGRESS["started"]).alias("progress"), F.lit(MSG_STARTED).alias("message"),
-        F.lit(None).cast("string").alias("error_message"),
-        F.lit(started_at).cast("timestamp_ntz").alias("event_at"), F.lit(1).alias("seq"),
-        F.lit(load_id).alias("load_id"))
-    final = verdicts.select(
-        "job_id", "filename", "study_id", "status", F.col("progress").cast("int"), "message",
-        F.when(F.col("status") == "failed", F.col("message")).alias("error_message"),
-        F.lit(finished_at).cast("timestamp_ntz").alias("event_at"), F.lit(2).alias("seq"),
-        F.lit(load_id).alias("load_id"))
-    return running.unionByName(final).select(*EVENT_FIELDS)
+    rows = []
+    for j in jobs:
+        base = (j["job_id"], j.get("filename"), j.get("study_id"))
+        passed = [s for s in STAGES if _passed(j, s[0])]
+        if phase == "checked":
+            rows.append((*base, "running", PROGRESS["started"], MSG_STARTED, None, at, 1, load_id))
+            for i, (stage, progress, text) in enumerate(passed):
+                if stage == "load":
+                    continue
+                rows.append((*base, "running", progress, text.format(rows=j.get("rows", 0)),
+                             None, at, 2 + i, load_id))
+        else:
+            if any(stage == "load" for stage, _, _ in passed):
+                rows.append((*base, "running", PROGRESS["loaded"], MSG_LOADED, None, at, 5,
+                             load_id))
+            error = j["message"] if j["status"] == "failed" else None
+            rows.append((*base, j["status"], int(j["progress"]), j["message"], error, at, 6,
+                         load_id))
+    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+
+
+def _passed(job: dict, stage: str) -> bool:
+    order = [s for s, _, _ in STAGES]
+    failed = job.get("failed_stage")
+    if failed is None:
+        return job["status"] == "completed" or stage != "load"
+    return order.index(stage) < order.index(failed)
 
 
 def current_jobs(events: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from measures.functions.ids import measurement_id
+from measures.functions.ids import measurement_id, uuid_layout
 from measures.functions.parsing import (batch_instant, bp_overflow, bp_part, clamp_quality,
                                         null_if_missing, parse_timestamp_utc, strip_ws,
                                         value_num)
@@ -36,19 +36,30 @@ def transform(rows: DataFrame, instant=None) -> DataFrame:
         txt[c] = strip_ws(txt[c])
     stamp = batch_instant(instant)
     typed = rows.select(
-        "job_id", "path", "_too_long", "_missing",
+        "job_id", "path", "_too_long", "_missing", "_has_id",
+        file_uuid(null_if_missing("id")).alias("_file_id"),
         *[txt[c].alias(c) for c in ("study_id", "participant_id", "site_id", "measurement_type",
                                     "value", "unit")],
         parse_timestamp_utc(txt["timestamp"]).alias("timestamp"),
         clamp_quality(txt["quality_score"]).alias("quality_score"),
         stamp.alias("processed_at"), stamp.alias("created_at"))
     return typed.select(
-        measurement_id().alias("id"), "*",
+        F.when(F.col("_has_id"), F.col("_file_id")).otherwise(measurement_id()).alias("id"),
+        *[c for c in typed.columns if c != "_file_id"],
+        (F.col("_has_id") & F.col("_file_id").isNull()).alias("_bad_id"),
         value_num("value").alias("value_num"),
         bp_part("value", 1).alias("bp_systolic"), bp_part("value", 2).alias("bp_diastolic"),
         bp_overflow("value").alias("_bp_overflow"))
 
 
+def file_uuid(c: Column) -> Column:
+    """A file-supplied id in canonical UUID text (lower case, 8-4-4-4-12), or
+    NULL when it is missing or not 32 hex digits once braces and hyphens are
+    removed."""
+    digits = F.lower(F.regexp_replace(strip_ws(c), r"[{}-]", ""))
+    return F.when(digits.rlike(r"^[0-9a-f]{32}\z"), uuid_layout(digits))
+
+
 def _names_where(flags: dict[str, Column]) -> Column:
     """Array of the names whose flag is true (fixed order)."""
     return F.filter(F.array(*[F.when(v, F.lit(k)) for k, v in flags.items()]),
@@ -81,7 +92,8 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         .alias("bad_types"),
         *[F.max(F.col(c).isNull()).alias(f"null_{c}") for c in NOT_NULL_COLUMNS],
         *[F.max(F.length(c) > n).alias(f"long_{c}") for c, n in VARCHAR_LIMITS.items()],
-        F.max("_bp_overflow").alias("bp_overflow"))
+        F.max("_bp_overflow").alias("bp_overflow"),
+        F.max("_bad_id").alias("bad_id"))
     missing_msg = F.array_join(F.transform("missing", lambda c: F.concat(F.lit("Missing column "), c)),
                                "; ")
     types_msg = F.concat(F.lit("Invalid types: "), _py_list(F.col("bad_types")))
@@ -95,6 +107,8 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
                     lambda c: F.concat(F.lit('value too long for column "'), c, F.lit('"'))),
         F.when(F.col("bp_overflow"),
                F.array(F.lit('integer out of range in blood pressure "value"')))
+        .otherwise(F.array().cast("array<string>")),
+        F.when(F.col("bad_id"), F.array(F.lit('missing or invalid uuid in column "id"')))
         .otherwise(F.array().cast("array<string>")))
     stage = (F.when(F.col("too_long"), F.lit(STAGE_EXTRACT))
              .when(has_missing, F.lit(STAGE_VALIDATE))

@@ -93,19 +93,20 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
         v = verdicts.get(job_id)
         j["rows"] = v["rows"] if v else 0
         if not j.get("present"):
-            j.update(status="failed", progress=PROGRESS["started"],
+            j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
                      message=f"File not found: {j['filename']}")
         elif j.get("empty"):
-            j.update(status="failed", progress=PROGRESS["started"],
+            j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
                      message="Extraction error: No columns to parse from file")
         elif v is not None and v["stage"] is not None:
-            j.update(status="failed", progress=v["progress"], message=v["message"])
+            j.update(status="failed", progress=v["progress"], message=v["message"],
+                     failed_stage=v["stage"])
         elif v is None and _missing_columns(j["header"]):
-            j.update(status="failed", progress=PROGRESS["transformed"],
+            j.update(status="failed", progress=PROGRESS["transformed"], failed_stage="validate",
                      message="; ".join(f"Missing column {c}" for c in
                                        _missing_columns(j["header"])))
         else:
-            j.update(status=None)
+            j.update(status=None, failed_stage=None)
     # V6 among the files that passed, in submission order.
     passing = sorted((j for j in jobs.values() if j["status"] is None and j["rows"] > 0),
                      key=lambda j: (j["submitted"] or dt.datetime.min, j["job_id"]))
@@ -118,7 +119,7 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
             candidates, ranks, store.read(spark, "measurements"))
         for r in rejections.collect():
             jobs[r["job_id"]].update(status="failed", progress=PROGRESS["validated"],
-                                     message=r["message"])
+                                     message=r["message"], failed_stage="load")
     for j in jobs.values():
         if j["status"] is None:
             j.update(status="completed", progress=PROGRESS["completed"], message=MSG_COMPLETED)
@@ -129,15 +130,14 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
     # not submitted through a manifest are recorded as pending first.
     submitted = {m["job_id"] for m in manifest or []}
     unrecorded = [j for j in jobs.values() if j["job_id"] not in submitted]
+    checked = ledger.now()
     tables.append_ledger(store, ledger.pending_events(spark, unrecorded, started, load_id)
-                         .unionByName(ledger.stage_events(_job_frame(spark, jobs), started,
-                                                          started, load_id)
-                                      .where(F.col("seq") == 1)))
+                         .unionByName(ledger.stage_events(spark, list(jobs.values()), "checked",
+                                                          checked, load_id)))
     if accepted:
         _write(spark, store, rows, [j for j in accepted if j not in replayed], load_id)
-    finished = ledger.now()
-    tables.append_ledger(store, ledger.stage_events(_job_frame(spark, jobs), started, finished,
-                                                    load_id).where(F.col("seq") == 2))
+    tables.append_ledger(store, ledger.stage_events(spark, list(jobs.values()), "finished",
+                                                    ledger.now(), load_id))
     typed.unpersist()
     return LoadReport(load_id=load_id, jobs=[_public(j) for j in jobs.values()],
                       accepted_rows=rows)
@@ -148,14 +148,6 @@ def _public(j: dict) -> dict:
                                   "message", "rows")}
 
 
-def _job_frame(spark: SparkSession, jobs: dict[str, dict]) -> DataFrame:
-    return spark.createDataFrame(
-        [(j["job_id"], j.get("filename"), j.get("study_id"), j["status"], int(j["progress"]),
-          j["message"]) for j in jobs.values()],
-        "job_id string, filename string, study_id string, status string, progress int, "
-        "message string")
-
-
 def _select_jobs(typed: DataFrame, job_ids: list[str]) -> DataFrame:
     spark = typed.sparkSession
     keep = spark.createDataFrame([(j,) for j in job_ids], "job_id string")
@@ -168,7 +160,7 @@ def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[
            load_id: str) -> None:
     """K5 order: studies, participants, enrollments, sites, facts, roll-up.
     Every step is idempotent under a replay of the same load."""
-    rows = rows.drop("path", "_too_long", "_missing", "_bp_overflow")
+    rows = rows.drop("path", "_too_long", "_missing", "_bp_overflow", "_has_id", "_bad_id")
     tables.append_keys(spark, store, "studies", "study_id", rows)
     tables.append_keys(spark, store, "participants", "participant_id", rows)
     tables.merge_enrollments(spark, store, rows)

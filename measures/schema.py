@@ -28,6 +28,8 @@ REQUIRED_COLUMNS = ("study_id", "participant_id", "measurement_type", "value", "
 # Columns the loader reads besides the required ones.
 LOADED_COLUMNS = ("study_id", "participant_id", "measurement_type", "value", "unit",
                   "timestamp", "site_id", "quality_score")
+# Optional columns: a file may carry its own row ids (used instead of the hash).
+OPTIONAL_COLUMNS = ("id",)
 # String columns whose surrounding whitespace is stripped.
 STRIPPED_COLUMNS = ("study_id", "participant_id", "measurement_type", "unit", "site_id")
 # Column length limits of the stored tables (VARCHAR(n)).

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from measures.functions.ids import uuid_layout
-from measures.schema import LOADED_COLUMNS, REQUIRED_COLUMNS
+from measures.schema import LOADED_COLUMNS, OPTIONAL_COLUMNS, REQUIRED_COLUMNS
 from measures.sources import headers
 
 # Ship the task-side reader by value: executors need no installed package.
@@ -112,13 +112,15 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
               .csv(g["paths"]))
         keep, seen = [], set()
         for p, n in zip(physical, names):
-            if n in LOADED_COLUMNS and n not in seen:
+            if n in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS) and n not in seen:
                 keep.append(F.col(f"`{p}`").alias(n))
                 seen.add(n)
         width = len(raw)
         parts.append(df.select(
             *keep,
-            *[F.lit(None).cast("string").alias(c) for c in LOADED_COLUMNS if c not in seen],
+            *[F.lit(None).cast("string").alias(c) for c in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS)
+              if c not in seen],
+            F.lit("id" in seen).alias("_has_id"),
             # A row longer than its header fails the file; shorter rows are padded.
             (F.col(CORRUPT).isNotNull() & (_field_count(F.col(CORRUPT)) > F.lit(width)))
             .alias("_too_long"),
@@ -130,8 +132,9 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
             rows = rows.unionByName(p)
     else:
         rows = spark.createDataFrame([], T.StructType(
-            [T.StructField(c, T.StringType()) for c in LOADED_COLUMNS]
-            + [T.StructField("_too_long", T.BooleanType()), T.StructField("path", T.StringType()),
+            [T.StructField(c, T.StringType()) for c in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS)]
+            + [T.StructField("_has_id", T.BooleanType()),
+               T.StructField("_too_long", T.BooleanType()), T.StructField("path", T.StringType()),
                T.StructField("_missing", T.ArrayType(T.StringType()))]))
     rows = rows.withColumn("job_id", job_id_of(F.col("path")))
     file_info = heads.select(job_id_of(F.col("path")).alias("job_id"),

@@ -75,9 +75,13 @@ def test_submit_then_load_ledger(spark, workdir):
     job = ledger.job_by_id(store.jobs(spark), F1_JOB).first()
     assert (job.status, job.study_id, job.filename) == ("completed", "STUDY777", f"{F1_JOB}_s.csv")
     assert job.created_at <= job.updated_at and job.completed_at == job.updated_at
-    history = [r.status for r in store.jobs(spark).where(F.col("job_id") == F1_JOB)
-               .orderBy("event_at", "seq").collect()]
-    assert history == ["pending", "running", "completed"]
+    history = [(r.status, r.progress, r.message) for r in
+               store.jobs(spark).where(F.col("job_id") == F1_JOB).orderBy("event_at", "seq")
+               .collect()]
+    assert history == [("pending", 0, None), ("running", 0, "Job started"),
+                       ("running", 10, "Extracted 12 rows"), ("running", 30, "Data transformed"),
+                       ("running", 50, "Validation passed"), ("running", 90, "Loaded into DB"),
+                       ("completed", 100, "Job completed successfully")]
 
 
 def test_live_status_overrides_stored(spark):

@@ -253,3 +253,31 @@ def test_crlf_and_bom(spark, workdir):
     r = rows[("P001", "heart_rate")]
     assert (r.value, r.site_id, str(r.quality_score)) == ("72", "SITE_B", "0.98")
     assert r.id == "d9f8376a-bb49-3e9a-5a13-f3978e7ec89c"
+
+
+def test_file_supplied_ids(spark, workdir):
+    header = "id,study_id,participant_id,measurement_type,value,unit,timestamp,site_id,quality_score"
+    good = ("{0F8FAD5B-D9CB-469F-A165-70867728950E},STUDY009,P001,glucose,95.5,mg/dL,"
+            "2024-01-15T09:30:00Z,SITE_A,0.98")
+    report, store = run_single(spark, workdir, f"{JOB}_ids.csv", header + "\n" + good + "\n")
+    assert report.status()[JOB] == "completed"
+    assert store.measurements(spark).first().id == "0f8fad5b-d9cb-469f-a165-70867728950e"
+
+
+def test_file_supplied_bad_id_rejects(spark, workdir):
+    header = "id,study_id,participant_id,measurement_type,value,unit,timestamp,site_id,quality_score"
+    bad = "not-a-uuid,STUDY009,P001,glucose,95.5,mg/dL,2024-01-15T09:30:00Z,SITE_A,0.98"
+    report, _ = run_single(spark, workdir, f"{JOB}_ids.csv", header + "\n" + bad + "\n")
+    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    assert job["status"] == "failed" and 'column "id"' in job["message"]
+
+
+def test_failed_job_history(spark, workdir):
+    rows = "STUDY001,P001,pulse,72,bpm,2024-01-15T09:30:00Z,SITE_A,0.9\n" + F1_ROWS
+    report, store = run_single(spark, workdir, f"{JOB}_case.csv", csv_text(rows))
+    hist = [(r.status, r.progress) for r in store.jobs(spark).orderBy("event_at", "seq").collect()
+            if r.job_id == JOB]
+    assert hist == [("pending", 0), ("running", 0), ("running", 10), ("running", 30),
+                    ("failed", 30)]
+    job = ledger.job_by_id(store.jobs(spark), JOB).first()
+    assert job.error_message == "Invalid types: ['pulse']"

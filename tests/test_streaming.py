@@ -3,7 +3,7 @@
 import os
 
 from conftest import F1_JOB, F1_ROWS, F2_JOB, F2_ROWS, csv_text, write_file
-from measures.operators import rollup
+from measures.operators import ledger, rollup
 from measures.schema import ROLLUP_KEYS
 from measures.sources.store import Store
 from measures.streaming import start_ingest, stream_facts, streaming_daily_rollup
@@ -23,7 +23,7 @@ def test_ingest_stream_then_rollup_stream(spark, workdir):
     q.awaitTermination(300)
     assert store.measurements(spark).count() == 21
     assert store.rollup(spark).count() == 21
-    status = {r.job_id: r.status for r in store.jobs(spark).where("seq = 2").collect()}
+    status = {r.job_id: r.status for r in ledger.current_jobs(store.jobs(spark)).collect()}
     assert status == {F1_JOB: "completed", F2_JOB: "completed"}
 
     live = (streaming_daily_rollup(stream_facts(spark, store))
