@@ -88,10 +88,18 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
     # grouping and the per-file table both use it.
     heads = read_headers(files).cache()
     # One entry per distinct header: header text and its files (paths only).
-    grouped = (heads.where(F.col("header").isNotNull())
-               .groupBy("header").agg(F.collect_list("path").alias("paths")).collect())
+    grouped = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    # Zero-length files yield no scan split, so they never reach the header
+    # reader; the file index (already listed by Spark) still names them.
+    scanned = {_same_path(p) for g in grouped for p in g["paths"]}
+    empty = [p for p in files.inputFiles() if _same_path(p) not in scanned]
+    if empty:
+        heads = heads.unionByName(spark.createDataFrame(
+            [(p, None, None) for p in empty], "path string, modified timestamp_ntz, header string"))
     parts, groups = [], []
     for g in grouped:
+        if g["header"] is None:
+            continue
         raw = parse_header(g["header"])
         names = [normalise_name(c) for c in raw]
         missing = [c for c in (*REQUIRED_COLUMNS, *[c for c in LOADED_COLUMNS
@@ -143,6 +151,16 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
     return LandingScan(rows=rows, files=file_info, groups=groups)
 
 
+def _same_path(path: str) -> str:
+    """Comparable form of a file path given as `file:/x`, `file:///x` or a
+    percent-encoded URI."""
+    from urllib.parse import unquote
+    p = unquote(path)
+    if p.startswith("file:///"):
+        p = "file:/" + p[len("file:///"):]
+    return p
+
+
 def _field_count(line: F.Column) -> F.Column:
     """Fields in a CSV line: commas outside quoted sections, plus one."""
     unquoted = F.regexp_replace(line, r'"([^"]|"")*"', "")

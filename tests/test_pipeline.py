@@ -281,3 +281,36 @@ def test_failed_job_history(spark, workdir):
                     ("failed", 30)]
     job = ledger.job_by_id(store.jobs(spark), JOB).first()
     assert job.error_message == "Invalid types: ['pulse']"
+
+
+def test_varchar_limit_rejects(spark, workdir):
+    long_site = "S" * 51
+    rows = f"STUDY001,P001,glucose,95.5,mg/dL,2024-01-15T09:30:00Z,{long_site},0.98\n" + F1_ROWS
+    report, _ = run_single(spark, workdir, f"{JOB}_long.csv", csv_text(rows))
+    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    assert job["status"] == "failed" and 'value too long for column "site_id"' in job["message"]
+
+
+def test_empty_and_header_only_files(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    empty_job = "eeeeeeee-0000-0000-0000-000000000001"
+    head_job = "eeeeeeee-0000-0000-0000-000000000002"
+    os.makedirs(land, exist_ok=True)
+    open(os.path.join(land, f"{empty_job}_empty.csv"), "w").close()
+    write_file(land, f"{head_job}_head.csv", HEADER)
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, land, store)
+    by_id = {j["job_id"]: j for j in report.jobs}
+    assert by_id[empty_job]["status"] == "failed"
+    assert by_id[empty_job]["message"].startswith("Extraction error")
+    assert by_id[head_job]["status"] == "completed" and by_id[head_job]["rows"] == 0
+
+
+def test_json_rows(spark, loaded):
+    from measures.functions import to_json_lines
+    spark, store, _, _ = loaded
+    doc = to_json_lines(reads.query_measurements(
+        store.measurements(spark), study_id="STUDY001", participant_id="P001",
+        measurement_type="glucose")).first()[0]
+    assert doc.startswith('{"id":"b5040dff-6f05-38d5-08ee-83a83cc26a9d","studyId":"STUDY001"')
+    assert '"timestamp":"2024-01-15T09:30:00.000Z"' in doc and '"qualityScore":"0.98"' in doc
