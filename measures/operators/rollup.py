@@ -86,7 +86,10 @@ def rollup_partials(facts: DataFrame) -> DataFrame:
             F.sum(is_low_quality("quality_score").cast("int")).cast("long")
              .alias("low_quality_count")]
     for name, src in _PARTIALS:
-        c = F.col(src).cast("decimal(38,2)") if name == "quality" else F.col(src).cast("double")
+        # Quality stays DECIMAL: its sum is exact and, at SUM's natural
+        # precision, the final division keeps its scale (a wider type would
+        # make Spark cut the quotient to 6 places).
+        c = F.col(src) if name == "quality" else F.col(src).cast("double")
         aggs += [F.sum(c).alias(f"sum_{name}"), F.count(src).alias(f"n_{name}")]
     return facts.groupBy(as_day("timestamp").alias("agg_day"), *ROLLUP_KEYS[1:]).agg(*aggs)
 
