@@ -312,8 +312,27 @@ def q_stored_r2(spark, d):
                                     STUDY_READ).drop("processed_at")
 
 
+def _sql(name: str, **params):
+    """A Spark SQL statement over views of the loaded store."""
+    def run(spark, d):
+        from measures.plans import sql
+        store = loaded_store(spark, d)
+        prefix = f"s{abs(hash(store.root)) % 10**8}_"
+        sql.register_views(spark, store, prefix)
+        out = sql.run(spark, name, prefix, **params)
+        if name in ("q4",):
+            out = round_doubles(out.drop("load_id"))
+        if name in ("q5",):
+            out = out.select(*_FACT_COLS_LIST)
+        return out
+    return run
+
+
 LOOKUP_JOB = "STUDY001_2024-01-15_am"
 STREAM_LATENESS = "1 day"
+_FACT_COLS_LIST = ("id", "study_id", "participant_id", "site_id", "measurement_type", "value",
+                   "unit", "timestamp", "quality_score", "value_num", "bp_systolic",
+                   "bp_diastolic")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "facts": q_facts,
@@ -357,6 +376,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_q7_mean_bmi_rollup": q_stored_q7_rollup,
     "stored_r1_measurements": q_stored_r1,
     "stored_r2_study": q_stored_r2,
+    "sql_q1_quality_by_study": _sql("q1_raw"),
+    "sql_q1_quality_by_study_rollup": _sql("q1_rollup"),
+    "sql_q2_trend": _sql("q2_raw", participant=TREND_PARTICIPANT, mtype=TREND_TYPE),
+    "sql_q2_trend_rollup": _sql("q2_rollup", participant=TREND_PARTICIPANT, mtype=TREND_TYPE),
+    "sql_q3_counts_by_site": _sql("q3_raw"),
+    "sql_q3_counts_by_site_rollup": _sql("q3_rollup"),
+    "sql_q4_low_quality": _sql("q4"),
+    "sql_q5_recent": _sql("q5", days=RECENT_DAYS, as_of=RECENT_AS_OF.isoformat()),
+    "sql_q6_participants": _sql("q6"),
+    "sql_q7_mean_bmi": _sql("q7_raw", study=BMI_STUDY),
+    "sql_q7_mean_bmi_rollup": _sql("q7_rollup", study=BMI_STUDY),
 }
 
 # --- DuckDB side ----------------------------------------------------------------
@@ -529,6 +559,17 @@ ORACLES.update({
     "stored_q7_mean_bmi_rollup": _q7_rollup_sql(_STORED_ROLLUP, "merged"),
     "stored_r1_measurements": ORACLES["r1_measurements"],
     "stored_r2_study": ORACLES["r2_study"],
+    "sql_q1_quality_by_study": ORACLES["q1_quality_by_study"],
+    "sql_q1_quality_by_study_rollup": _merged_oracle("q1_quality_by_study_rollup"),
+    "sql_q2_trend": ORACLES["q2_trend"],
+    "sql_q2_trend_rollup": _merged_oracle("q2_trend_rollup"),
+    "sql_q3_counts_by_site": ORACLES["q3_counts_by_site"],
+    "sql_q3_counts_by_site_rollup": _merged_oracle("q3_counts_by_site_rollup"),
+    "sql_q4_low_quality": _merged_oracle("q4_low_quality"),
+    "sql_q5_recent": ORACLES["q5_recent"],
+    "sql_q6_participants": ORACLES["q6_participants"],
+    "sql_q7_mean_bmi": ORACLES["q7_mean_bmi"],
+    "sql_q7_mean_bmi_rollup": _q7_rollup_sql(_STORED_ROLLUP, "merged"),
 })
 
 _ = (KEYS, MEASURES)
