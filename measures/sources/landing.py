@@ -23,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from measures.functions.ids import uuid_layout
 from measures.schema import LOADED_COLUMNS, OPTIONAL_COLUMNS, REQUIRED_COLUMNS
@@ -53,15 +54,24 @@ def file_name_of(path_col) -> F.Column:
     return F.when(found != "", found).otherwise(F.regexp_extract(path_col, r"([^/]*)$", 1))
 
 
+LISTING_SCHEMA = "path string, length bigint, modified timestamp_ntz"
+
+
 def list_files(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> DataFrame:
     """File listing as a DataFrame (path, length, modified).  The binaryFile
-    source only reads contents when the `content` column is selected."""
+    source only reads contents when the `content` column is selected.  A
+    landing folder that does not exist lists no files."""
     roots = [root] if isinstance(root, str) else list(root)
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-            .load(roots)
-            .select("path", "length", F.col("modificationTime").cast("timestamp_ntz")
-                    .alias("modified")))
+    try:
+        listing = (spark.read.format("binaryFile")
+                   .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+                   .load(roots))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    return listing.select("path", "length",
+                          F.col("modificationTime").cast("timestamp_ntz").alias("modified"))
 
 
 def read_headers(files: DataFrame) -> DataFrame:

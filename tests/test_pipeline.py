@@ -314,3 +314,13 @@ def test_json_rows(spark, loaded):
         measurement_type="glucose")).first()[0]
     assert doc.startswith('{"id":"b5040dff-6f05-38d5-08ee-83a83cc26a9d","studyId":"STUDY001"')
     assert '"timestamp":"2024-01-15T09:30:00.000Z"' in doc and '"qualityScore":"0.98"' in doc
+
+
+def test_missing_landing_folder(spark, workdir):
+    manifest = [{"job_id": JOB, "filename": f"{JOB}_x.csv", "created_at": dt.datetime(2024, 1, 1)}]
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, os.path.join(workdir, "no-such-folder"), store,
+                               manifest=manifest)
+    assert report.status() == {JOB: "failed"}
+    assert report.jobs[0]["message"] == f"File not found: {JOB}_x.csv"
+    assert store.read(spark, "measurements") is None
