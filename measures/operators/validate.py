@@ -35,8 +35,10 @@ def transform(rows: DataFrame, instant=None) -> DataFrame:
     for c in STRIPPED_COLUMNS:
         txt[c] = strip_ws(txt[c])
     stamp = batch_instant(instant)
+    # File-level facts (path, header) stay out of the rows: a persisted
+    # batch should not repeat them per row.
     typed = rows.select(
-        "job_id", "path", "_too_long", "_missing", "_has_id",
+        "job_id", "_too_long", "_has_id",
         file_uuid(null_if_missing("id")).alias("_file_id"),
         *[txt[c].alias(c) for c in ("study_id", "participant_id", "site_id", "measurement_type",
                                     "value", "unit")],
@@ -75,18 +77,19 @@ def _py_list(arr: Column) -> Column:
 def file_verdicts(typed: DataFrame) -> DataFrame:
     """V1-V5 + T9/T17/T22: one verdict row per job.
 
-    Output: job_id, rows, stage (NULL when the file passes), message, progress.
-    Check order follows the job's stages: extraction (over-long rows),
-    missing columns, timestamps, measurement types, then load constraints
-    (NOT NULL, VARCHAR length, INT overflow).  Duplicate ids are checked later
-    among the files that pass (constraints.resolve_duplicates).
+    Output: job_id, rows, stage (NULL when the file passes), message,
+    progress, bad_types.  Check order follows the job's stages: extraction
+    (over-long rows), timestamps, measurement types, then load constraints
+    (NOT NULL, VARCHAR length, INT overflow).  Missing columns are a property
+    of the file's header and are judged per file by the caller (they rank
+    after extraction errors); duplicate ids are checked later among the files
+    that pass (constraints.resolve_duplicates).
     """
     bad_type = F.col("measurement_type").isNotNull() & ~F.col("measurement_type").isin(
         *VALID_MEASUREMENT_TYPES)
     agg = typed.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("rows"),
         F.max("_too_long").alias("too_long"),
-        F.max("_missing").alias("missing"),
         F.max(F.col("timestamp").isNull()).alias("bad_ts"),
         F.array_sort(F.collect_set(F.when(bad_type, F.col("measurement_type"))))
         .alias("bad_types"),
@@ -94,10 +97,7 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         *[F.max(F.length(c) > n).alias(f"long_{c}") for c, n in VARCHAR_LIMITS.items()],
         F.max("_bp_overflow").alias("bp_overflow"),
         F.max("_bad_id").alias("bad_id"))
-    missing_msg = F.array_join(F.transform("missing", lambda c: F.concat(F.lit("Missing column "), c)),
-                               "; ")
     types_msg = F.concat(F.lit("Invalid types: "), _py_list(F.col("bad_types")))
-    has_missing = F.size("missing") > 0
     has_bad_types = F.size("bad_types") > 0
     load_errors = F.concat(
         F.transform(_names_where({c: F.col(f"null_{c}") for c in NOT_NULL_COLUMNS}),
@@ -111,15 +111,11 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         F.when(F.col("bad_id"), F.array(F.lit('missing or invalid uuid in column "id"')))
         .otherwise(F.array().cast("array<string>")))
     stage = (F.when(F.col("too_long"), F.lit(STAGE_EXTRACT))
-             .when(has_missing, F.lit(STAGE_VALIDATE))
              .when(F.col("bad_ts"), F.lit(STAGE_TRANSFORM))
              .when(has_bad_types, F.lit(STAGE_VALIDATE))
              .when(F.size(load_errors) > 0, F.lit(STAGE_LOAD)))
     message = (F.when(F.col("too_long"),
                       F.lit("Extraction error: a row has more fields than the header"))
-               .when(has_missing, F.when(has_bad_types,
-                                         F.concat_ws("; ", missing_msg, types_msg))
-                     .otherwise(missing_msg))
                .when(F.col("bad_ts"), F.lit("Transform error: unreadable or missing timestamp"))
                .when(has_bad_types, types_msg)
                .when(F.size(load_errors) > 0,
@@ -128,7 +124,7 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         *[F.when(stage == s, F.lit(p)) for s, p in FAILED_PROGRESS.items()],
         F.lit(PROGRESS["validated"]))
     return agg.select("job_id", "rows", stage.alias("stage"), message.alias("message"),
-                      progress.cast("int").alias("progress"))
+                      progress.cast("int").alias("progress"), "bad_types")
 
 
 def range_report(facts: DataFrame) -> DataFrame:

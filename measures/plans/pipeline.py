@@ -98,13 +98,18 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
         elif j.get("empty"):
             j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
                      message="Extraction error: No columns to parse from file")
-        elif v is not None and v["stage"] is not None:
+        elif v is not None and v["stage"] == "extract":
             j.update(status="failed", progress=v["progress"], message=v["message"],
                      failed_stage=v["stage"])
-        elif v is None and _missing_columns(j["header"]):
+        elif _missing_columns(j["header"]):
+            errors = [f"Missing column {c}" for c in _missing_columns(j["header"])]
+            if v is not None and v["bad_types"]:
+                errors.append(f"Invalid types: {list(v['bad_types'])}")
             j.update(status="failed", progress=PROGRESS["transformed"], failed_stage="validate",
-                     message="; ".join(f"Missing column {c}" for c in
-                                       _missing_columns(j["header"])))
+                     message="; ".join(errors))
+        elif v is not None and v["stage"] is not None:
+            j.update(status="failed", progress=v["progress"], message=v["message"],
+                     failed_stage=v["stage"])
         else:
             j.update(status=None, failed_stage=None)
     # V6 among the files that passed, in submission order.
@@ -160,7 +165,7 @@ def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[
            load_id: str) -> None:
     """K5 order: studies, participants, enrollments, sites, facts, roll-up.
     Every step is idempotent under a replay of the same load."""
-    rows = rows.drop("path", "_too_long", "_missing", "_bp_overflow", "_has_id", "_bad_id")
+    rows = rows.drop("_too_long", "_bp_overflow", "_has_id", "_bad_id")
     tables.append_keys(spark, store, "studies", "study_id", rows)
     tables.append_keys(spark, store, "participants", "participant_id", rows)
     tables.merge_enrollments(spark, store, rows)

@@ -142,8 +142,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
             # A row longer than its header fails the file; shorter rows are padded.
             (F.col(CORRUPT).isNotNull() & (_field_count(F.col(CORRUPT)) > F.lit(width)))
             .alias("_too_long"),
-            F.col("_metadata.file_path").alias("path"),
-            F.array(*[F.lit(m) for m in missing]).cast("array<string>").alias("_missing")))
+            F.col("_metadata.file_path").alias("path")))
     if parts:
         rows = parts[0]
         for p in parts[1:]:
@@ -152,8 +151,8 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
         rows = spark.createDataFrame([], T.StructType(
             [T.StructField(c, T.StringType()) for c in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS)]
             + [T.StructField("_has_id", T.BooleanType()),
-               T.StructField("_too_long", T.BooleanType()), T.StructField("path", T.StringType()),
-               T.StructField("_missing", T.ArrayType(T.StringType()))]))
+               T.StructField("_too_long", T.BooleanType()),
+               T.StructField("path", T.StringType())]))
     rows = rows.withColumn("job_id", job_id_of(F.col("path")))
     file_info = heads.select(job_id_of(F.col("path")).alias("job_id"),
                                file_name_of(F.col("path")).alias("filename"), "path", "modified",
