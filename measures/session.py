@@ -24,6 +24,9 @@ PERFORMANCE_CONF = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Checkpoints cut lineage before partition rewrites; remove their files
+    # once the checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
