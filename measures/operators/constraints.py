@@ -12,7 +12,8 @@ DUP_BATCH = ("Load error: duplicate key value violates unique constraint "
              "(id loaded by an earlier job)")
 
 
-def stored_ids_for(stored: DataFrame, candidates: DataFrame) -> DataFrame:
+def stored_ids_for(stored: DataFrame, candidates: DataFrame,
+                   windows: dict[str, tuple] | None = None) -> DataFrame:
     """Stored (study_id, id, job_id) that could collide with `candidates`.
 
     The id hashes study and timestamp, so only stored rows of the batch's
@@ -20,8 +21,11 @@ def stored_ids_for(stored: DataFrame, candidates: DataFrame) -> DataFrame:
     (dynamic partition pruning on the join key) and the time bounds prune row
     groups of timestamp-sorted files.
     """
-    bounds = candidates.groupBy("study_id").agg(F.min("timestamp").alias("lo"),
-                                                F.max("timestamp").alias("hi")).collect()
+    if windows is None:
+        bounds = candidates.groupBy("study_id").agg(F.min("timestamp").alias("lo"),
+                                                    F.max("timestamp").alias("hi")).collect()
+    else:
+        bounds = [{"study_id": k, "lo": lo, "hi": hi} for k, (lo, hi) in windows.items()]
     if not bounds:
         return stored.where(F.lit(False)).select("study_id", "id",
                                                   F.col("job_id").alias("stored_job_id"))
@@ -37,7 +41,8 @@ def stored_ids_for(stored: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
-                       stored: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+                       stored: DataFrame | None = None,
+                       windows: dict[str, tuple] | None = None) -> tuple[DataFrame, list[str]]:
     """V6 with the reference's sequential semantics.
 
     `candidates`: rows (job_id, study_id, id, timestamp) of files that passed
@@ -46,6 +51,9 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     by another job, or was loaded by an earlier accepted file of this batch.
     A rejected file does not block later ones.
 
+    `windows` (study -> (first, last) timestamp of the candidates), when
+    known, saves the pass that would compute it.
+
     Returns (rejections: job_id, message) and the jobs whose rows are already
     stored under their own job id (a replayed load).
     """
@@ -59,7 +67,7 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     replayed: list[str] = []
     if stored is not None:
         hits = (pairs.select("job_id", "study_id", "id")
-                .join(stored_ids_for(stored, candidates), ["study_id", "id"], "inner"))
+                .join(stored_ids_for(stored, candidates, windows), ["study_id", "id"], "inner"))
         per_job = (hits.groupBy("job_id")
                    .agg(F.max(F.col("stored_job_id") != F.col("job_id")).alias("foreign"),
                         F.max(F.col("stored_job_id") == F.col("job_id")).alias("own"))

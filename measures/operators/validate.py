@@ -78,7 +78,8 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
     """V1-V5 + T9/T17/T22: one verdict row per job.
 
     Output: job_id, rows, stage (NULL when the file passes), message,
-    progress, bad_types.  Check order follows the job's stages: extraction
+    progress, bad_types, and what the file touches: studies, days, min_ts,
+    max_ts.  Check order follows the job's stages: extraction
     (over-long rows), timestamps, measurement types, then load constraints
     (NOT NULL, VARCHAR length, INT overflow).  Missing columns are a property
     of the file's header and are judged per file by the caller (they rank
@@ -96,7 +97,12 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         *[F.max(F.col(c).isNull()).alias(f"null_{c}") for c in NOT_NULL_COLUMNS],
         *[F.max(F.length(c) > n).alias(f"long_{c}") for c, n in VARCHAR_LIMITS.items()],
         F.max("_bp_overflow").alias("bp_overflow"),
-        F.max("_bad_id").alias("bad_id"))
+        F.max("_bad_id").alias("bad_id"),
+        # What a load of this file touches (a few studies, its calendar
+        # span): lets the load prune stored partitions without extra passes.
+        F.array_sort(F.collect_set("study_id")).alias("studies"),
+        F.array_sort(F.collect_set(F.to_date("timestamp"))).alias("days"),
+        F.min("timestamp").alias("min_ts"), F.max("timestamp").alias("max_ts"))
     types_msg = F.concat(F.lit("Invalid types: "), _py_list(F.col("bad_types")))
     has_bad_types = F.size("bad_types") > 0
     load_errors = F.concat(
@@ -124,7 +130,8 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         *[F.when(stage == s, F.lit(p)) for s, p in FAILED_PROGRESS.items()],
         F.lit(PROGRESS["validated"]))
     return agg.select("job_id", "rows", stage.alias("stage"), message.alias("message"),
-                      progress.cast("int").alias("progress"), "bad_types")
+                      progress.cast("int").alias("progress"), "bad_types", "studies", "days",
+                      "min_ts", "max_ts")
 
 
 def range_report(facts: DataFrame) -> DataFrame:

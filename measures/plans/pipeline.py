@@ -121,7 +121,8 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
         candidates = _select_jobs(typed, list(ranks)).select("job_id", "study_id", "id",
                                                              "timestamp")
         rejections, replayed = constraints.resolve_duplicates(
-            candidates, ranks, store.read(spark, "measurements"))
+            candidates, ranks, store.read(spark, "measurements"),
+            windows=_windows([verdicts[j] for j in ranks]))
         for r in rejections.collect():
             jobs[r["job_id"]].update(status="failed", progress=PROGRESS["validated"],
                                      message=r["message"], failed_stage="load")
@@ -140,7 +141,10 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
                          .unionByName(ledger.stage_events(spark, list(jobs.values()), "checked",
                                                           checked, load_id)))
     if accepted:
-        _write(spark, store, rows, [j for j in accepted if j not in replayed], load_id)
+        touched = [verdicts[j] for j in accepted]
+        _write(spark, store, rows, [j for j in accepted if j not in replayed], load_id,
+               studies=sorted({s for v in touched for s in v["studies"]}),
+               days=sorted({d for v in touched for d in v["days"]}))
     tables.append_ledger(store, ledger.stage_events(spark, list(jobs.values()), "finished",
                                                     ledger.now(), load_id))
     typed.unpersist()
@@ -161,16 +165,27 @@ def _select_jobs(typed: DataFrame, job_ids: list[str]) -> DataFrame:
     return typed.join(keep, "job_id", "left_semi")
 
 
+def _windows(verdicts: list[dict]) -> dict[str, tuple]:
+    """Per study, the time span the given files cover (a superset per study
+    when a file holds several studies)."""
+    out: dict[str, tuple] = {}
+    for v in verdicts:
+        for study in v["studies"]:
+            lo, hi = out.get(study, (v["min_ts"], v["max_ts"]))
+            out[study] = (min(lo, v["min_ts"]), max(hi, v["max_ts"]))
+    return out
+
+
 def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[str],
-           load_id: str) -> None:
+           load_id: str, studies: list[str], days: list) -> None:
     """K5 order: studies, participants, enrollments, sites, facts, roll-up.
     Every step is idempotent under a replay of the same load."""
     rows = rows.drop("_too_long", "_bp_overflow", "_has_id", "_bad_id")
     tables.append_keys(spark, store, "studies", "study_id", rows)
     tables.append_keys(spark, store, "participants", "participant_id", rows)
-    tables.merge_enrollments(spark, store, rows)
+    tables.merge_enrollments(spark, store, rows, studies)
     tables.append_keys(spark, store, "sites", "site_id", rows)
     if fresh_jobs:
         tables.append_facts(store, _select_jobs(rows, fresh_jobs)
                             .withColumn("load_id", F.lit(load_id)))
-    tables.merge_rollup(spark, store, rows, load_id)
+    tables.merge_rollup(spark, store, rows, load_id, days)

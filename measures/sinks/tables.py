@@ -63,20 +63,22 @@ def _rewrite_partitions(spark: SparkSession, store: Store, table: str, merged: D
      .parquet(store.path(table)))
 
 
-def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame) -> None:
+def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame,
+                      studies: list[str] | None = None) -> None:
     """K3: first-seen per (participant, study), keeping the earliest; rewrites
     only the touched study partitions."""
     new = dimensions.first_seen(facts)
     old = store.read(spark, "enrollments")
     if old is not None:
         # Studies in a load: a short list, used as a literal partition filter.
-        studies = touched_keys(new, "study_id")
+        studies = studies if studies is not None else touched_keys(new, "study_id")
         old = old.where(F.col("study_id").isin(studies))
     merged = dimensions.merge_enrollments(old, new)
     _rewrite_partitions(spark, store, "enrollments", merged)
 
 
-def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: str) -> None:
+def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: str,
+                 days: list | None = None) -> None:
     """K4: merge the batch's daily buckets into the stored roll-up.
 
     Only the batch's days are read (partition pruning through the semi join
@@ -90,7 +92,7 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
     if old is not None:
         # Calendar days in the load (bounded by its time span): a literal
         # partition filter, so only those day folders are listed and read.
-        days = touched_keys(new, "agg_day")
+        days = days if days is not None else touched_keys(new, "agg_day")
         old = old.where(F.col("agg_day").isin(days))
         done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
         if done:
