@@ -104,3 +104,18 @@ def test_api_layout(spark):
                    "measurementType": "glucose", "value": "95.5", "unit": "mg/dL",
                    "timestamp": "2024-01-15T09:30:00.000Z", "siteId": "SITE_A",
                    "qualityScore": "0.98"}
+
+
+def test_id_depends_on_five_fields_only(spark):
+    base = ("STUDY001", "P001", dt.datetime(2024, 1, 15, 9, 30), "glucose", "95.5")
+    rows = [(*base, "SITE_A", "mg/dL", Decimal("0.98")),
+            (*base, "SITE_B", "mmol/L", None),
+            ("STUDY001", "P001", dt.datetime(2024, 1, 15, 9, 30), "glucose", "95.50", "SITE_A",
+             "mg/dL", Decimal("0.98"))]
+    df = spark.createDataFrame(rows, "study_id string, participant_id string, "
+                                     "timestamp timestamp_ntz, measurement_type string, "
+                                     "value string, site_id string, unit string, "
+                                     "quality_score decimal(3,2)")
+    ids = [r[0] for r in df.select(measurement_id()).collect()]
+    assert ids[0] == ids[1] == "b5040dff-6f05-38d5-08ee-83a83cc26a9d"
+    assert ids[2] != ids[0]  # the raw value text takes part
