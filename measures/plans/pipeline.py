@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.operators import constraints, ledger, validate
-from measures.schema import (LOADED_COLUMNS, MSG_COMPLETED, PROGRESS, REQUIRED_COLUMNS)
+from measures.schema import MSG_COMPLETED, PROGRESS
 from measures.session import ensure_session
 from measures.sinks import tables
 from measures.sources import landing
@@ -43,12 +43,6 @@ class LoadReport:
         return {j["job_id"]: j["status"] for j in self.jobs}
 
 
-def _missing_columns(header: str | None) -> list[str]:
-    names = [landing.normalise_name(c) for c in landing.parse_header(header or "")]
-    order = (*REQUIRED_COLUMNS, *[c for c in LOADED_COLUMNS if c not in REQUIRED_COLUMNS])
-    return [c for c in order if c not in names]
-
-
 def submit_jobs(spark: SparkSession, store: Store, jobs: list[dict]) -> None:
     """L1: record jobs as pending and make sure their studies exist."""
     events = ledger.pending_events(spark, jobs)
@@ -101,8 +95,8 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
         elif v is not None and v["stage"] == "extract":
             j.update(status="failed", progress=v["progress"], message=v["message"],
                      failed_stage=v["stage"])
-        elif _missing_columns(j["header"]):
-            errors = [f"Missing column {c}" for c in _missing_columns(j["header"])]
+        elif landing.missing_columns(j["header"]):
+            errors = [f"Missing column {c}" for c in landing.missing_columns(j["header"])]
             if v is not None and v["bad_types"]:
                 errors.append(f"Invalid types: {list(v['bad_types'])}")
             j.update(status="failed", progress=PROGRESS["transformed"], failed_stage="validate",

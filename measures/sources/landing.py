@@ -84,6 +84,14 @@ def parse_header(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line))) if line else []
 
 
+def missing_columns(header: str | None) -> list[str]:
+    """V1: loaded columns a header lacks -- the required five in their
+    declared order, then unit, site_id, quality_score."""
+    names = {normalise_name(c) for c in parse_header(header or "")}
+    order = (*REQUIRED_COLUMNS, *[c for c in LOADED_COLUMNS if c not in REQUIRED_COLUMNS])
+    return [c for c in order if c not in names]
+
+
 @dataclass
 class LandingScan:
     """Rows of all files (all columns text, names normalised) plus per-file facts."""
@@ -112,9 +120,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
             continue
         raw = parse_header(g["header"])
         names = [normalise_name(c) for c in raw]
-        missing = [c for c in (*REQUIRED_COLUMNS, *[c for c in LOADED_COLUMNS
-                                                    if c not in REQUIRED_COLUMNS])
-                   if c not in names]
+        missing = missing_columns(g["header"])
         groups.append({"header": g["header"], "files": len(g["paths"]), "missing": missing})
         # Field names: the header's own (so Spark's header check agrees), or
         # positional ones when the header repeats a name; the first

@@ -324,3 +324,12 @@ def test_missing_landing_folder(spark, workdir):
     assert report.status() == {JOB: "failed"}
     assert report.jobs[0]["message"] == f"File not found: {JOB}_x.csv"
     assert store.read(spark, "measurements") is None
+
+
+def test_missing_column_and_invalid_type_reported_together(spark, workdir):
+    header = "study_id,participant_id,measurement_type,value,timestamp,site_id,quality_score"
+    body = ("STUDY001,P001,pulse,72,2024-01-15T09:30:00Z,SITE_A,0.9\n"
+            "STUDY001,P001,glucose,95.5,2024-01-15T09:30:00Z,SITE_A,0.9")
+    report, _ = run_single(spark, workdir, f"{JOB}_nounit.csv", header + "\n" + body + "\n")
+    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    assert job["message"] == "Missing column unit; Invalid types: ['pulse']"
