@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Job-level tables up to this many rows (one short row per file) are broadcast.
+BROADCAST_JOBS_MAX = 1_000_000
+
 DUP_IN_FILE = "Load error: duplicate key value violates unique constraint (id repeated in the file)"
 DUP_STORED = "Load error: duplicate key value violates unique constraint (id already stored)"
 DUP_BATCH = ("Load error: duplicate key value violates unique constraint "
@@ -59,10 +62,12 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     """
     spark = candidates.sparkSession
     rank_df = spark.createDataFrame(list(ranks.items()), "job_id string, rank int")
+    if len(ranks) <= BROADCAST_JOBS_MAX:  # one short row per file: bounded
+        rank_df = F.broadcast(rank_df)
     # One row per (job, id) with its multiplicity, partially aggregated
     # before the shuffle on the id.
     pairs = (candidates.groupBy("job_id", "study_id", "id").agg(F.count(F.lit(1)).alias("n"))
-             .join(F.broadcast(rank_df), "job_id", "inner"))
+             .join(rank_df, "job_id", "inner"))
     rejected: dict[str, str] = {}
     replayed: list[str] = []
     if stored is not None:

@@ -30,7 +30,7 @@ from measures.sources.store import Store
 
 # Job lists up to this size are broadcast when selecting accepted rows; the
 # list is one short string per file, so this bounds the broadcast to ~50 MB.
-BROADCAST_JOBS_MAX = 1_000_000
+BROADCAST_JOBS_MAX = constraints.BROADCAST_JOBS_MAX
 
 
 @dataclass
