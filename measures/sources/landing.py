@@ -105,8 +105,13 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
     # File metadata only (path, time, header line); cached because the header
     # grouping and the per-file table both use it.
     heads = read_headers(files).cache()
-    # One entry per distinct header: header text and its files (paths only).
-    grouped = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    # Paths per distinct header.  The driver needs the path list to issue the
+    # reads (Spark's file index holds it there anyway); rows are collected
+    # as they are, so no single task gathers a header's whole file list.
+    by_header: dict[str | None, list[str]] = {}
+    for r in heads.select("header", "path").collect():
+        by_header.setdefault(r["header"], []).append(r["path"])
+    grouped = [{"header": h, "paths": ps} for h, ps in by_header.items()]
     # Zero-length files yield no scan split, so they never reach the header
     # reader; the file index (already listed by Spark) still names them.
     scanned = {_same_path(p) for g in grouped for p in g["paths"]}
