@@ -78,8 +78,10 @@ def counts_by_site_rollup(rollup: DataFrame) -> DataFrame:
 # Q4 -------------------------------------------------------------------------
 def low_quality_buckets(rollup: DataFrame) -> DataFrame:
     """Q4: roll-up buckets holding at least one low-quality reading."""
+    # The bucket key completes the sort key: the order is total, and the
+    # range partitioner can split a run of equal leading keys across tasks.
     return (rollup.where(F.col("low_quality_count") > 0)
-            .orderBy("agg_day", "study_id", "participant_id"))
+            .orderBy("agg_day", "study_id", "participant_id", "site_id", "measurement_type"))
 
 
 # Q5 -------------------------------------------------------------------------
@@ -92,8 +94,10 @@ def recent_measurements(facts: DataFrame, days: int = 30,
     """
     start = (F.date_sub(F.current_date(), days) if as_of is None
              else F.date_sub(F.lit(str(as_of)).cast("date"), days))
+    # `id` completes the sort key: many rows sharing one timestamp (a bulk
+    # import) are still split across range partitions, not sorted in one task.
     return (facts.where(F.col("timestamp") >= start.cast("timestamp_ntz"))
-            .orderBy("timestamp"))
+            .orderBy("timestamp", "id"))
 
 
 # Q6 -------------------------------------------------------------------------

@@ -67,12 +67,12 @@ STATEMENTS: dict[str, str] = {
     # Q4 -- buckets with readings below the quality threshold
     "q4": """
         SELECT * FROM {p}measurement_aggregations WHERE low_quality_count > 0
-        ORDER BY agg_day, study_id, participant_id""",
+        ORDER BY agg_day, study_id, participant_id, site_id, measurement_type""",
     # Q5 -- data collected in the last :days days before :as_of
     "q5": """
         SELECT * FROM {p}clinical_measurements
         WHERE `timestamp` >= CAST(DATE_SUB(CAST(:as_of AS DATE), :days) AS TIMESTAMP_NTZ)
-        ORDER BY `timestamp`""",
+        ORDER BY `timestamp`, id""",
     # Q6 -- participants enrolled per study
     "q6": """
         SELECT study_id, COUNT(*) AS participants FROM {p}participant_enrollments
