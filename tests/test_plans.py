@@ -62,3 +62,19 @@ def test_no_python_in_analytic_plans(spark, store):
                rollup.merge_faithful(roll, rollup.daily_rollup(facts))):
         p = plan(df)
         assert "Python" not in p and "ArrowEval" not in p and "BatchEval" not in p
+
+
+def test_duplicate_check_prunes_stored_facts(spark, store):
+    import datetime as dt
+
+    from measures.operators.constraints import stored_ids_for
+    stored = store.measurements(spark)
+    candidates = stored.where("study_id = 'STUDY002'")
+    windows = {"STUDY002": (dt.datetime(2024, 1, 16, 9), dt.datetime(2024, 1, 16, 12))}
+    p = plan(stored_ids_for(stored, candidates, windows))
+    assert "PartitionFilters: [" in p and "study_id" in p.split("PartitionFilters:")[1].splitlines()[0]
+    assert "STUDY002" in p.split("PartitionFilters:")[1].splitlines()[0]
+    pushed = p.split("PushedFilters:")[1].splitlines()[0]
+    assert "GreaterThanOrEqual(timestamp" in pushed and "LessThanOrEqual(timestamp" in pushed
+    read_schema = p.split("ReadSchema:")[1].splitlines()[0]
+    assert "value_num" not in read_schema
