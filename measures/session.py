@@ -12,6 +12,9 @@ from pyspark.sql import SparkSession
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Text with an offset is read as an instant (then kept as its UTC wall
+    # clock); an NTZ default would drop the offset instead.
+    "spark.sql.timestampType": "TIMESTAMP_LTZ",
 }
 
 # Settings for scale: runtime re-planning, skew splitting, partition

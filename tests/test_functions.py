@@ -119,3 +119,14 @@ def test_id_depends_on_five_fields_only(spark):
     ids = [r[0] for r in df.select(measurement_id()).collect()]
     assert ids[0] == ids[1] == "b5040dff-6f05-38d5-08ee-83a83cc26a9d"
     assert ids[2] != ids[0]  # the raw value text takes part
+
+
+def test_offsets_survive_an_ntz_default_session(spark):
+    from measures.session import ensure_session
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    try:
+        ensure_session(spark)
+        got = one_col(spark, ["2024-01-15T09:30:00+02:00"], parse_timestamp_utc)
+        assert got == [dt.datetime(2024, 1, 15, 7, 30)]
+    finally:
+        spark.conf.set("spark.sql.timestampType", "TIMESTAMP_LTZ")
