@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from measures.functions.parsing import as_day
-from measures.operators.rollup import exact_avg
 
 
 def _round(c: Column, digits: int | None) -> Column:

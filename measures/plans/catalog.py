@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 from measures.operators import constraints, dimensions, ledger, rollup, validate
 from measures.plans import analytics, pipeline, reads
-from measures.plans.oracle import (KEYS, MEASURES, faithful_merge_sql, r6, rollup_cte,
-                                   rollup_select, with_facts)
+from measures.plans.oracle import faithful_merge_sql, r6, rollup_cte, rollup_select, with_facts
 from measures.session import ensure_session, scratch_dir
 from measures.sinks.landing import write_landing
 from measures.sources import adapter
@@ -571,5 +570,3 @@ ORACLES.update({
     "sql_q7_mean_bmi": ORACLES["q7_mean_bmi"],
     "sql_q7_mean_bmi_rollup": _q7_rollup_sql(_STORED_ROLLUP, "merged"),
 })
-
-_ = (KEYS, MEASURES)
