@@ -11,16 +11,28 @@ import pandas as pd
 HEADER_PROBE_BYTES = 1 << 16
 
 
-def _local_or_uri(path: str) -> str:
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    return path
+# Hadoop scheme names that the Arrow file systems know under another name.
+_SCHEME_ALIASES = {"s3a": "s3", "s3n": "s3"}
+
+
+def open_target(path: str):
+    """(file system, path inside it) for a Hadoop-style path string as Spark
+    lists it (`file:/x`, `s3a://bucket/key`, ...; not percent-encoded)."""
+    import pyarrow.fs as pafs
+    from urllib.parse import quote
+    if ":" not in path.split("/", 1)[0]:
+        return pafs.LocalFileSystem(), path
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        local = "/" + rest.lstrip("/")
+        return pafs.LocalFileSystem(), local
+    uri = _SCHEME_ALIASES.get(scheme, scheme) + ":" + quote(rest, safe="/:@!$&'()*+,;=~")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def first_line(path: str) -> str | None:
     """The first line of a file, read in 64 KB blocks until the first newline."""
-    import pyarrow.fs as pafs
-    fs, inner = pafs.FileSystem.from_uri(_local_or_uri(path))
+    fs, inner = open_target(path)
     chunks = []
     with fs.open_input_stream(inner) as stream:
         while True:

@@ -43,9 +43,19 @@ def normalise_name(name: str) -> str:
     return name.lower().strip().replace(" ", "_")
 
 
-def job_id_of(path_col) -> F.Column:
-    found = F.regexp_extract(path_col, _JOB_IN_PATH, 1)
-    return F.when(found != "", found).otherwise(uuid_layout(F.md5(path_col)))
+def canonical_path(path_col, encoded: bool = False) -> F.Column:
+    """One text form for a file path: `file:/x` rather than `file:///x`, and
+    percent-escapes decoded when the input is a URI (`_metadata.file_path`)."""
+    p = F.coalesce(F.try_url_decode(path_col), path_col) if encoded else path_col
+    return F.regexp_replace(p, "^file:///", "file:/")
+
+
+def job_id_of(path_col, encoded: bool = False) -> F.Column:
+    """Job id of a file: the uuid in its name (or its folder's name), else one
+    derived from its canonical path, so listing and rows agree."""
+    path = canonical_path(path_col, encoded)
+    found = F.regexp_extract(path, _JOB_IN_PATH, 1)
+    return F.when(found != "", found).otherwise(uuid_layout(F.md5(path)))
 
 
 def file_name_of(path_col) -> F.Column:
@@ -115,7 +125,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
     # Zero-length files yield no scan split, so they never reach the header
     # reader; the file index (already listed by Spark) still names them.
     scanned = {_same_path(p) for g in grouped for p in g["paths"]}
-    empty = [p for p in files.inputFiles() if _same_path(p) not in scanned]
+    empty = [p for p in files.inputFiles() if _same_path(p, encoded=True) not in scanned]
     if empty:
         heads = heads.unionByName(spark.createDataFrame(
             [(p, None, None) for p in empty], "path string, modified timestamp_ntz, header string"))
@@ -164,18 +174,18 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> Lan
             + [T.StructField("_has_id", T.BooleanType()),
                T.StructField("_too_long", T.BooleanType()),
                T.StructField("path", T.StringType())]))
-    rows = rows.withColumn("job_id", job_id_of(F.col("path")))
+    rows = rows.withColumn("job_id", job_id_of(F.col("path"), encoded=True))
     file_info = heads.select(job_id_of(F.col("path")).alias("job_id"),
                                file_name_of(F.col("path")).alias("filename"), "path", "modified",
                                "header", F.col("header").isNull().alias("empty"))
     return LandingScan(rows=rows, files=file_info, groups=groups)
 
 
-def _same_path(path: str) -> str:
-    """Comparable form of a file path given as `file:/x`, `file:///x` or a
-    percent-encoded URI."""
+def _same_path(path: str, encoded: bool = False) -> str:
+    """Comparable form of a listed path (`file:/x`) or, with `encoded`, of a
+    percent-encoded URI (`file:///x%20y`)."""
     from urllib.parse import unquote
-    p = unquote(path)
+    p = unquote(path) if encoded else path
     if p.startswith("file:///"):
         p = "file:/" + p[len("file:///"):]
     return p

@@ -333,3 +333,23 @@ def test_missing_column_and_invalid_type_reported_together(spark, workdir):
     report, _ = run_single(spark, workdir, f"{JOB}_nounit.csv", header + "\n" + body + "\n")
     job = next(j for j in report.jobs if j["job_id"] == JOB)
     assert job["message"] == "Missing column unit; Invalid types: ['pulse']"
+
+
+def test_file_without_uuid_or_with_spaces(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, "plain name study001.csv", csv_text(F1_ROWS))
+    write_file(land, f"{JOB}_with space.csv", csv_text(F2_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, land, store)
+    assert sorted((j["filename"], j["status"], j["rows"]) for j in report.jobs) == [
+        (f"{JOB}_with space.csv", "completed", 9), ("plain name study001.csv", "completed", 12)]
+    assert store.measurements(spark).count() == 21
+
+
+def test_percent_sign_in_file_name(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{JOB}_100%20done.csv", csv_text(F2_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    report = pipeline.run_load(spark, land, store)
+    assert [(j["filename"], j["status"], j["rows"]) for j in report.jobs] == [
+        (f"{JOB}_100%20done.csv", "completed", 9)]
