@@ -31,7 +31,8 @@ def stored_ids_for(stored: DataFrame, candidates: DataFrame,
         bounds = [{"study_id": k, "lo": lo, "hi": hi} for k, (lo, hi) in windows.items()]
     if not bounds:
         return stored.where(F.lit(False)).select("study_id", "id",
-                                                  F.col("job_id").alias("stored_job_id"))
+                                                  F.col("job_id").alias("stored_job_id"),
+                                                  F.col("load_id").alias("stored_load_id"))
     # Per study (a short list): partition pruning on study_id and row-group
     # pruning on the time span the batch covers in that study.
     window = None
@@ -40,12 +41,14 @@ def stored_ids_for(stored: DataFrame, candidates: DataFrame,
                 & F.col("timestamp").between(F.lit(b["lo"]), F.lit(b["hi"])))
         window = cond if window is None else window | cond
     scoped = stored.where(F.col("study_id").isin([b["study_id"] for b in bounds]) & window)
-    return scoped.select("study_id", "id", F.col("job_id").alias("stored_job_id"))
+    return scoped.select("study_id", "id", F.col("job_id").alias("stored_job_id"),
+                         F.col("load_id").alias("stored_load_id"))
 
 
 def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
                        stored: DataFrame | None = None,
-                       windows: dict[str, tuple] | None = None) -> tuple[DataFrame, list[str]]:
+                       windows: dict[str, tuple] | None = None
+                       ) -> tuple[DataFrame, dict[str, str]]:
     """V6 with the reference's sequential semantics.
 
     `candidates`: rows (job_id, study_id, id, timestamp) of files that passed
@@ -57,8 +60,9 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     `windows` (study -> (first, last) timestamp of the candidates), when
     known, saves the pass that would compute it.
 
-    Returns (rejections: job_id, message) and the jobs whose rows are already
-    stored under their own job id (a replayed load).
+    Returns (rejections: job_id, message) and, for jobs whose rows are
+    already stored under their own job id (a replay), the load that stored
+    them.
     """
     spark = candidates.sparkSession
     rank_df = spark.createDataFrame(list(ranks.items()), "job_id string, rank int")
@@ -69,19 +73,21 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     pairs = (candidates.groupBy("job_id", "study_id", "id").agg(F.count(F.lit(1)).alias("n"))
              .join(rank_df, "job_id", "inner"))
     rejected: dict[str, str] = {}
-    replayed: list[str] = []
+    replayed: dict[str, str] = {}
     if stored is not None:
         hits = (pairs.select("job_id", "study_id", "id")
                 .join(stored_ids_for(stored, candidates, windows), ["study_id", "id"], "inner"))
         per_job = (hits.groupBy("job_id")
                    .agg(F.max(F.col("stored_job_id") != F.col("job_id")).alias("foreign"),
-                        F.max(F.col("stored_job_id") == F.col("job_id")).alias("own"))
+                        F.max(F.col("stored_job_id") == F.col("job_id")).alias("own"),
+                        F.max(F.when(F.col("stored_job_id") == F.col("job_id"),
+                                     F.col("stored_load_id"))).alias("own_load"))
                    .collect())
         for r in per_job:
             if r["foreign"]:
                 rejected[r["job_id"]] = DUP_STORED
             elif r["own"]:
-                replayed.append(r["job_id"])
+                replayed[r["job_id"]] = r["own_load"]
     # Ids repeated inside a file or shared by several files, in one pass.
     # What reaches the driver is job-level: the distinct sets of job ranks
     # sharing an id, and the ranks of files repeating an id.

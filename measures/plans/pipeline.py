@@ -110,7 +110,7 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
     passing = sorted((j for j in jobs.values() if j["status"] is None and j["rows"] > 0),
                      key=lambda j: (j["submitted"] or dt.datetime.min, j["job_id"]))
     ranks = {j["job_id"]: i for i, j in enumerate(passing)}
-    replayed: list[str] = []
+    replayed: dict[str, str] = {}
     if ranks:
         candidates = _select_jobs(typed, list(ranks)).select("job_id", "study_id", "id",
                                                              "timestamp")
@@ -135,8 +135,13 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
                          .unionByName(ledger.stage_events(spark, list(jobs.values()), "checked",
                                                           checked, load_id)))
     if accepted:
+        # Jobs stored by an earlier load are already in facts and roll-up;
+        # jobs stored by this same load (a replay) still go to the roll-up,
+        # whose day markers keep them from counting twice.
+        earlier = {j for j, l in replayed.items() if l != load_id}
         touched = [verdicts[j] for j in accepted]
-        _write(spark, store, rows, [j for j in accepted if j not in replayed], load_id,
+        _write(spark, store, rows, [j for j in accepted if j not in replayed],
+               [j for j in accepted if j not in earlier] if earlier else None, load_id,
                studies=sorted({s for v in touched for s in v["studies"]}),
                days=sorted({d for v in touched for d in v["days"]}))
     tables.append_ledger(store, ledger.stage_events(spark, list(jobs.values()), "finished",
@@ -171,9 +176,10 @@ def _windows(verdicts: list[dict]) -> dict[str, tuple]:
 
 
 def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[str],
-           load_id: str, studies: list[str], days: list) -> None:
+           rollup_jobs: list[str] | None, load_id: str, studies: list[str], days: list) -> None:
     """K5 order: studies, participants, enrollments, sites, facts, roll-up.
-    Every step is idempotent under a replay of the same load."""
+    Every step is idempotent under a replay of the same load.  `rollup_jobs`
+    None means every accepted row goes to the roll-up."""
     rows = rows.drop("_too_long", "_bp_overflow", "_has_id", "_bad_id")
     tables.append_keys(spark, store, "studies", "study_id", rows)
     tables.append_keys(spark, store, "participants", "participant_id", rows)
@@ -182,4 +188,7 @@ def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[
     if fresh_jobs:
         tables.append_facts(store, _select_jobs(rows, fresh_jobs)
                             .withColumn("load_id", F.lit(load_id)))
-    tables.merge_rollup(spark, store, rows, load_id, days)
+    if rollup_jobs is None:
+        tables.merge_rollup(spark, store, rows, load_id, days)
+    elif rollup_jobs:
+        tables.merge_rollup(spark, store, _select_jobs(rows, rollup_jobs), load_id, days)

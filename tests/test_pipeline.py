@@ -353,3 +353,14 @@ def test_percent_sign_in_file_name(spark, workdir):
     report = pipeline.run_load(spark, land, store)
     assert [(j["filename"], j["status"], j["rows"]) for j in report.jobs] == [
         (f"{JOB}_100%20done.csv", "completed", 9)]
+
+
+def test_same_job_in_a_later_load_counts_once(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{F1_JOB}_s.csv", csv_text(F1_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    pipeline.run_load(spark, land, store, load_id="L1")
+    again = pipeline.run_load(spark, land, store, load_id="L2")
+    assert again.status() == {F1_JOB: "completed"}
+    assert store.measurements(spark).count() == 12
+    assert store.rollup(spark).agg(F.sum("measurement_count")).first()[0] == 12
