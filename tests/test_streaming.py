@@ -35,3 +35,21 @@ def test_ingest_stream_then_rollup_stream(spark, workdir):
     want = sorted(tuple(r) for r in rollup.daily_rollup(store.measurements(spark))
                   .select(*ROLLUP_KEYS, *rollup.MEASURES).collect())
     assert got == want
+
+
+def test_one_file_per_micro_batch_rejects_later_copy(spark, workdir):
+    import time as _time
+
+    from conftest import F1B_JOB
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{F1_JOB}_a.csv", csv_text(F1_ROWS))
+    _time.sleep(1.1)  # distinct modification times: the stream takes files oldest first
+    write_file(land, f"{F1B_JOB}_b.csv", csv_text(F1_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    q = start_ingest(spark, land, store, os.path.join(workdir, "ckpt"), max_files_per_trigger=1)
+    q.awaitTermination(300)
+    jobs = {r.job_id: r for r in ledger.current_jobs(store.jobs(spark)).collect()}
+    assert jobs[F1_JOB].status == "completed"
+    assert jobs[F1B_JOB].status == "failed" and "already stored" in jobs[F1B_JOB].message
+    assert store.measurements(spark).count() == 12
+    assert len({r.load_id for r in store.jobs(spark).collect()}) == 2
