@@ -6,7 +6,7 @@ Prints ONE JSON line:
 Each query is executed in full with the `noop` sink (every row is produced,
 nothing is shipped to the driver), after one warm-up run of the adapter scan.
 `etl_two_loads` stages the measurements as landing CSV files and runs the
-whole pipeline twice (morning, then afternoon load, merging into the stored
+whole load path twice (morning, then afternoon load, merging into the stored
 roll-up); the `stored_*` queries then read the partitioned tables it wrote,
 and `stream_*` run the ingestion stream and the streaming roll-up.
 """

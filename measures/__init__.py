@@ -1,11 +1,11 @@
-"""measures: clinical-study measurement pipeline and analytics on Spark.
+"""measures: clinical-study measurement loads and analytics on Spark.
 
 Sub-packages:
   functions  column expressions (parsing, ids, serialisation)
   sources    landing-file scans, table store, driver-table adapter
   operators  validation, constraints, dimensions, roll-up, ledger
   sinks      table writes (facts, dimensions, enrollments, roll-up, ledger)
-  plans      analytic queries (Q1-Q7), readers (R1-R4), the batch pipeline
+  plans      analytic queries (Q1-Q7), readers (R1-R4), the batch load
   streaming  incremental file ingestion and the streaming daily roll-up
 """
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from measures.operators import constraints, dimensions, ledger, rollup, validate
-from measures.plans import analytics, pipeline, reads
+from measures.plans import analytics, loading, reads
 from measures.plans.oracle import faithful_merge_sql, r6, rollup_cte, rollup_select, with_facts
 from measures.session import ensure_session, scratch_dir
 from measures.sinks.landing import write_landing
@@ -174,8 +174,8 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> Store:
         write_landing(_am(m), _job_name(m), f"{base}/landing_am")
         write_landing(_pm(m), _job_name(m), f"{base}/landing_pm")
         store = Store(f"{base}/store")
-        pipeline.run_load(spark, f"{base}/landing_am", store, load_id="am")
-        pipeline.run_load(spark, f"{base}/landing_pm", store, load_id="pm")
+        loading.run_load(spark, f"{base}/landing_am", store, load_id="am")
+        loading.run_load(spark, f"{base}/landing_pm", store, load_id="pm")
         _LOADED[key] = store
     return _LOADED[key]
 

@@ -16,7 +16,7 @@ import hashlib
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from measures.plans import pipeline
+from measures.plans import loading
 from measures.sources.store import Store
 
 # The binaryFile source's fixed layout (streams must name their schema).
@@ -42,7 +42,7 @@ def start_ingest(spark: SparkSession, landing_root: str, store: Store, checkpoin
     def load_batch(batch, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]
         if paths:
-            pipeline.run_load(batch.sparkSession, paths, store,
+            loading.run_load(batch.sparkSession, paths, store,
                               load_id=f"stream-{stream_key}-{batch_id}", glob=glob)
 
     writer = (files.writeStream.foreachBatch(load_batch)

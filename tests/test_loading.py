@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import F1_JOB, F1_ROWS, F1B_JOB, F2_JOB, F2_ROWS, HEADER, csv_text, write_file
 from measures.operators import ledger
-from measures.plans import analytics, pipeline, reads
+from measures.plans import analytics, loading, reads
 from measures.sources.store import Store
 
 
@@ -20,7 +20,7 @@ def loaded(spark, tmp_path_factory):
     write_file(land, f"{F1_JOB}_sample_study001.csv", csv_text(F1_ROWS))
     write_file(land, f"{F2_JOB}_sample_study002.csv", csv_text(F2_ROWS))
     store = Store(os.path.join(base, "store"))
-    report = pipeline.run_load(spark, land, store)
+    report = loading.run_load(spark, land, store)
     return spark, store, report, base
 
 
@@ -117,7 +117,7 @@ def test_second_copy_rejected_state_unchanged(loaded):
     land2 = os.path.join(base, "landing2")
     write_file(land2, f"{F1B_JOB}_sample_study001.csv", csv_text(F1_ROWS))
     before = store.rollup(spark).orderBy("agg_day", "participant_id", "measurement_type").collect()
-    report = pipeline.run_load(spark, land2, store)
+    report = loading.run_load(spark, land2, store)
     assert report.status() == {F1B_JOB: "failed"}
     assert "duplicate key" in report.jobs[0]["message"]
     assert store.measurements(spark).count() == 21
@@ -133,7 +133,7 @@ def run_single(spark, workdir, name, text, manifest=None):
         os.makedirs(land, exist_ok=True)
         write_file(land, "00000000-0000-0000-0000-000000000000_other.csv", csv_text(F2_ROWS))
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, land, store, manifest=manifest)
+    report = loading.run_load(spark, land, store, manifest=manifest)
     return report, store
 
 
@@ -218,7 +218,7 @@ def test_batch_duplicates_first_job_wins(spark, workdir):
     manifest = [{"job_id": j, "filename": f"{j}_x.csv", "created_at": dt.datetime(2024, 1, 1, 0, i)}
                 for i, j in enumerate((a, b, c))]
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, land, store, manifest=manifest)
+    report = loading.run_load(spark, land, store, manifest=manifest)
     # b repeats a row of a (earlier) -> rejected; c repeats b's rows, but b was
     # not loaded, so c is accepted.
     assert report.status() == {a: "completed", b: "failed", c: "completed"}
@@ -229,8 +229,8 @@ def test_replayed_load_is_idempotent(spark, workdir):
     land = os.path.join(workdir, "landing")
     write_file(land, f"{F1_JOB}_s.csv", csv_text(F1_ROWS))
     store = Store(os.path.join(workdir, "store"))
-    pipeline.run_load(spark, land, store, load_id="L1")
-    again = pipeline.run_load(spark, land, store, load_id="L1")
+    loading.run_load(spark, land, store, load_id="L1")
+    again = loading.run_load(spark, land, store, load_id="L1")
     assert again.status() == {F1_JOB: "completed"}
     assert store.measurements(spark).count() == 12
     assert store.rollup(spark).agg(F.sum("measurement_count")).first()[0] == 12
@@ -247,7 +247,7 @@ def test_crlf_and_bom(spark, workdir):
     with open(os.path.join(land, f"{JOB}_crlf.csv"), "w", encoding="utf-8", newline="") as fh:
         fh.write(text)
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, land, store)
+    report = loading.run_load(spark, land, store)
     assert report.status()[JOB] == "completed", report.jobs
     rows = {(r.participant_id, r.measurement_type): r for r in store.measurements(spark).collect()}
     r = rows[("P001", "heart_rate")]
@@ -299,7 +299,7 @@ def test_empty_and_header_only_files(spark, workdir):
     open(os.path.join(land, f"{empty_job}_empty.csv"), "w").close()
     write_file(land, f"{head_job}_head.csv", HEADER)
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, land, store)
+    report = loading.run_load(spark, land, store)
     by_id = {j["job_id"]: j for j in report.jobs}
     assert by_id[empty_job]["status"] == "failed"
     assert by_id[empty_job]["message"].startswith("Extraction error")
@@ -319,7 +319,7 @@ def test_json_rows(spark, loaded):
 def test_missing_landing_folder(spark, workdir):
     manifest = [{"job_id": JOB, "filename": f"{JOB}_x.csv", "created_at": dt.datetime(2024, 1, 1)}]
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, os.path.join(workdir, "no-such-folder"), store,
+    report = loading.run_load(spark, os.path.join(workdir, "no-such-folder"), store,
                                manifest=manifest)
     assert report.status() == {JOB: "failed"}
     assert report.jobs[0]["message"] == f"File not found: {JOB}_x.csv"
@@ -340,7 +340,7 @@ def test_file_without_uuid_or_with_spaces(spark, workdir):
     write_file(land, "plain name study001.csv", csv_text(F1_ROWS))
     write_file(land, f"{JOB}_with space.csv", csv_text(F2_ROWS))
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, land, store)
+    report = loading.run_load(spark, land, store)
     assert sorted((j["filename"], j["status"], j["rows"]) for j in report.jobs) == [
         (f"{JOB}_with space.csv", "completed", 9), ("plain name study001.csv", "completed", 12)]
     assert store.measurements(spark).count() == 21
@@ -350,7 +350,7 @@ def test_percent_sign_in_file_name(spark, workdir):
     land = os.path.join(workdir, "landing")
     write_file(land, f"{JOB}_100%20done.csv", csv_text(F2_ROWS))
     store = Store(os.path.join(workdir, "store"))
-    report = pipeline.run_load(spark, land, store)
+    report = loading.run_load(spark, land, store)
     assert [(j["filename"], j["status"], j["rows"]) for j in report.jobs] == [
         (f"{JOB}_100%20done.csv", "completed", 9)]
 
@@ -359,8 +359,8 @@ def test_same_job_in_a_later_load_counts_once(spark, workdir):
     land = os.path.join(workdir, "landing")
     write_file(land, f"{F1_JOB}_s.csv", csv_text(F1_ROWS))
     store = Store(os.path.join(workdir, "store"))
-    pipeline.run_load(spark, land, store, load_id="L1")
-    again = pipeline.run_load(spark, land, store, load_id="L2")
+    loading.run_load(spark, land, store, load_id="L1")
+    again = loading.run_load(spark, land, store, load_id="L2")
     assert again.status() == {F1_JOB: "completed"}
     assert store.measurements(spark).count() == 12
     assert store.rollup(spark).agg(F.sum("measurement_count")).first()[0] == 12

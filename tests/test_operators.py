@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import F1_JOB, F1_ROWS, csv_text, write_file
 from measures.operators import constraints, ledger, validate
-from measures.plans import pipeline
+from measures.plans import loading
 from measures.sources.store import Store
 
 FACTS = ("id string, study_id string, participant_id string, site_id string, "
@@ -62,14 +62,14 @@ def test_range_report_is_report_only(spark):
 
 def test_submit_then_load_ledger(spark, workdir):
     store = Store(os.path.join(workdir, "store"))
-    pipeline.submit_jobs(spark, store, [{"job_id": F1_JOB, "filename": f"{F1_JOB}_s.csv",
+    loading.submit_jobs(spark, store, [{"job_id": F1_JOB, "filename": f"{F1_JOB}_s.csv",
                                          "study_id": "STUDY777"}])
     assert [r[0] for r in store.read(spark, "studies").collect()] == ["STUDY777"]
     pending = ledger.job_by_id(store.jobs(spark), F1_JOB).first()
     assert pending.status == "pending" and pending.study_id == "STUDY777"
     land = os.path.join(workdir, "landing")
     write_file(land, f"{F1_JOB}_s.csv", csv_text(F1_ROWS))
-    pipeline.run_load(spark, land, store, manifest=[{"job_id": F1_JOB,
+    loading.run_load(spark, land, store, manifest=[{"job_id": F1_JOB,
                                                      "filename": f"{F1_JOB}_s.csv",
                                                      "study_id": "STUDY777"}])
     job = ledger.job_by_id(store.jobs(spark), F1_JOB).first()

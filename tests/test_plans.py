@@ -10,7 +10,7 @@ import pytest
 
 from conftest import F1_JOB, F1_ROWS, F2_JOB, F2_ROWS, csv_text, write_file
 from measures.operators import rollup
-from measures.plans import analytics, pipeline, reads
+from measures.plans import analytics, loading, reads
 from measures.sources.store import Store
 
 
@@ -28,7 +28,7 @@ def store(spark, tmp_path_factory):
     write_file(land, f"{F1_JOB}_a.csv", csv_text(F1_ROWS))
     write_file(land, f"{F2_JOB}_b.csv", csv_text(F2_ROWS))
     s = Store(os.path.join(base, "store"))
-    pipeline.run_load(spark, land, s)
+    loading.run_load(spark, land, s)
     return s
 
 
