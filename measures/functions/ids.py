@@ -10,11 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Timestamp text inside the hash: "yyyy-MM-dd HH:mm:ss+00:00", with
-# ".ffffff" before the offset when the fraction of a second is not zero.
+# --- Fixed values (must equal the reference's for identical ids) ------------
+# Field order in the hash: study_id, participant_id, timestamp,
+# measurement_type, value; separator "|".  Timestamp text inside the hash:
+# "yyyy-MM-dd HH:mm:ss+00:00", with ".ffffff" before the offset when the
+# fraction of a second is not zero.
+_SEPARATOR = "|"
 _SECOND_TEXT = "yyyy-MM-dd HH:mm:ss"
 _FRACTION_TEXT = "SSSSSS"
 _UTC_SUFFIX = "+00:00"
+# -----------------------------------------------------------------------------
 
 
 def utc_text(ts: Column | str = "timestamp") -> Column:
@@ -36,6 +41,6 @@ def measurement_id(study: str = "study_id", participant: str = "participant_id",
                    value: str = "value") -> Column:
     """Deterministic id of a measurement row.  Key fields must be non-NULL
     (the gate rejects files with NULL keys before ids are used)."""
-    key = F.concat_ws("|", F.col(study), F.col(participant), utc_text(ts), F.col(mtype),
+    key = F.concat_ws(_SEPARATOR, F.col(study), F.col(participant), utc_text(ts), F.col(mtype),
                       F.col(value))
     return uuid_layout(F.md5(key))

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 from measures.schema import LOW_QUALITY_THRESHOLD, MISSING_TOKENS
 
-# Surrounding whitespace as a general "strip" removes it (spaces, tabs,
-# line breaks, Unicode spaces), not only ASCII blanks like `trim`.
-_EDGE_WS = r"(?U)^\s+|\s+$"
-# A plain unsigned decimal number, and a "systolic/diastolic" pair.  `\z`
+# --- Fixed values (must equal the reference's for identical results) --------
+# A plain unsigned decimal number (value_num), and a "systolic/diastolic"
+# pair (bp_systolic / bp_diastolic); both matched on the trimmed value.  `\z`
 # anchors at the very end (Java's `$` would also accept a trailing newline).
 _PLAIN_NUMBER = r"^[0-9]+(\.[0-9]+)?\z"
 _BP_PAIR = r"^[0-9]+/[0-9]+\z"
+# Quality is clamped to [0, 1] and stored as DECIMAL(3,2).
+_QUALITY_LOW, _QUALITY_HIGH, _QUALITY_TYPE = 0.0, 1.0, "decimal(3,2)"
+# -----------------------------------------------------------------------------
+# Surrounding whitespace as a general "strip" removes it (spaces, tabs,
+# line breaks, Unicode spaces), not only ASCII blanks like `trim`.
+_EDGE_WS = r"(?U)^\s+|\s+$"
 # ISO-8601 "basic" layouts that a plain cast does not read.
 _BASIC_TIMESTAMP_FORMATS = (
     "yyyyMMdd'T'HHmmss[.SSSSSS][XXX][X]",
@@ -63,8 +68,8 @@ def clamp_quality(c: Column | str) -> Column:
     NULL into 0 and NaN into 1.
     """
     q = _c(c).try_cast("double")
-    clamped = F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
-    return F.when(q.isNull() | F.isnan(q), F.lit(None)).otherwise(clamped).cast("decimal(3,2)")
+    clamped = F.least(F.greatest(q, F.lit(_QUALITY_LOW)), F.lit(_QUALITY_HIGH))
+    return F.when(q.isNull() | F.isnan(q), F.lit(None)).otherwise(clamped).cast(_QUALITY_TYPE)
 
 
 def value_num(c: Column | str = "value") -> Column:
@@ -94,7 +99,7 @@ def bp_overflow(c: Column | str = "value") -> Column:
 
 def is_low_quality(c: Column | str = "quality_score") -> Column:
     """quality < 0.95 on the stored DECIMAL(3,2) value (P8, T3): 0.949 -> 0.95 is not low."""
-    return _c(c) < F.lit(LOW_QUALITY_THRESHOLD).cast("decimal(3,2)")
+    return _c(c) < F.lit(LOW_QUALITY_THRESHOLD).cast(_QUALITY_TYPE)
 
 
 def as_day(c: Column | str = "timestamp") -> Column:

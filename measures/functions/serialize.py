@@ -6,15 +6,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# --- Fixed values (must equal the reference's reader output) -----------------
+# Timestamp layout of a reader row, and stored column -> reader field names.
 ISO_MILLIS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-
-# Stored column -> reader field.
 API_FIELDS = (
     ("id", "id"), ("study_id", "studyId"), ("participant_id", "participantId"),
     ("measurement_type", "measurementType"), ("value", "value"), ("unit", "unit"),
     ("timestamp", "timestamp"), ("site_id", "siteId"), ("quality_score", "qualityScore"),
     ("processed_at", "processedAt"),
 )
+# -----------------------------------------------------------------------------
 
 
 def iso_z(c: Column | str) -> Column:
