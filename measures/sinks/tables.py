@@ -59,8 +59,11 @@ def _rewrite_partitions(spark: SparkSession, store: Store, table: str, merged: D
     frozen = merged.checkpoint(eager=True)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     part = PARTITIONS[table]
-    (_writer(frozen.sortWithinPartitions(*part), "overwrite", table)
-     .parquet(store.path(table)))
+    # Rebalance on the partition column: each day (or study) is written by a
+    # few tasks instead of every task writing a file into every partition;
+    # AQE splits a partition that is unusually large, so no task gets a skew.
+    out = frozen.hint("rebalance", *part).sortWithinPartitions(*part)
+    _writer(out, "overwrite", table).parquet(store.path(table))
 
 
 def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame,
