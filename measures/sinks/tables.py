@@ -108,5 +108,29 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
 
 
 def append_ledger(store: Store, events: DataFrame) -> None:
-    """L2: the ledger is append-only; a job's state is its latest event."""
-    events.coalesce(1).write.mode("append").parquet(store.path("jobs"))
+    """L2: the ledger is append-only; a job's state is its latest event.
+    Events are job-level (a few per file loaded), so one small file per
+    append, under the day the events happened."""
+    (events.withColumn("event_day", F.to_date("event_at")).coalesce(1)
+     .write.mode("append").partitionBy("event_day").parquet(store.path("jobs")))
+
+
+def compact_ledger(spark: SparkSession, store: Store, before: "dt.date | None" = None) -> int:
+    """Rewrite each closed day of the ledger (days before `before`, default
+    today UTC) that holds more than one file into a single file.  Events are
+    kept as they are (the history stays whole); only the file count shrinks.
+    Returns the number of days rewritten."""
+    import datetime as dt
+    before = before or dt.datetime.now(dt.timezone.utc).date()
+    ledger = store.read(spark, "jobs")
+    if ledger is None:
+        return 0
+    crowded = [r["event_day"] for r in
+               ledger.where(F.col("event_day") < F.lit(before))
+               .select("event_day", F.col("_metadata.file_path").alias("f")).distinct()
+               .groupBy("event_day").count().where(F.col("count") > 1).collect()]
+    if not crowded:
+        return 0
+    days = ledger.where(F.col("event_day").isin(crowded))
+    _rewrite_partitions(spark, store, "jobs", days)
+    return len(crowded)

@@ -92,3 +92,24 @@ def test_live_status_overrides_stored(spark):
     got = {r.job_id: (r.status, r.progress, r.message)
            for r in ledger.job_status(stored, live).collect()}
     assert got == {"j1": ("running", 30, "Data transformed"), "j2": ("pending", 0, None)}
+
+
+def test_compact_ledger_keeps_history(spark, workdir):
+    import glob
+
+    from measures.sinks import tables
+    store = Store(os.path.join(workdir, "store"))
+    day1 = dt.datetime(2024, 1, 1, 8)
+    for i in range(3):
+        tables.append_ledger(store, ledger.pending_events(
+            spark, [{"job_id": f"j{i}"}], day1 + dt.timedelta(hours=i)))
+    tables.append_ledger(store, ledger.pending_events(spark, [{"job_id": "j9"}],
+                                                      dt.datetime(2024, 1, 2, 8)))
+    before = sorted((r.job_id, r.event_at) for r in store.jobs(spark).collect())
+    files = lambda: len(glob.glob(os.path.join(workdir, "store", "jobs", "event_day=2024-01-01",
+                                               "*.parquet")))
+    assert files() == 3
+    assert tables.compact_ledger(spark, store, before=dt.date(2024, 1, 3)) == 1
+    assert files() == 1
+    assert sorted((r.job_id, r.event_at) for r in store.jobs(spark).collect()) == before
+    assert tables.compact_ledger(spark, store, before=dt.date(2024, 1, 3)) == 0
