@@ -108,6 +108,16 @@ def merge_exact(*partials: DataFrame) -> DataFrame:
     return u.groupBy(*ROLLUP_KEYS).agg(*aggs)
 
 
+# Stored type of the quality sum in a partial roll-up: exact for any realistic
+# bucket, and narrow enough that the final division keeps 12 decimal places.
+QUALITY_SUM_TYPE = "decimal(28,2)"
+
+
+def stored_partials(partials: DataFrame) -> DataFrame:
+    """Partial roll-up with the fixed column types of the stored table."""
+    return partials.withColumn("sum_quality", F.col("sum_quality").cast(QUALITY_SUM_TYPE))
+
+
 def finalize_partials(partials: DataFrame) -> DataFrame:
     """Partial roll-up -> the roll-up layout of A1."""
     def avg(name: str) -> Column:

@@ -180,6 +180,20 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> Store:
     return _LOADED[key]
 
 
+def q_etl_rollup_exact(spark, d):
+    """The same two loads into a second store, with the exact roll-up rule:
+    the stored roll-up must equal a single recompute over all rows."""
+    store = loaded_store(spark, d)
+    base = store.root.rsplit("/", 1)[0]
+    key = (id(spark), d, "exact")
+    if key not in _LOADED:
+        exact = Store(f"{base}/store_exact")
+        loading.run_load(spark, f"{base}/landing_am", exact, load_id="am", rollup_rule="exact")
+        loading.run_load(spark, f"{base}/landing_pm", exact, load_id="pm", rollup_rule="exact")
+        _LOADED[key] = exact
+    return round_doubles(_LOADED[key].rollup(spark))
+
+
 def q_etl_facts(spark, d):
     store = loaded_store(spark, d)
     return store.measurements(spark).select(
@@ -356,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r2_study": r2,
     "etl_facts": q_etl_facts,
     "etl_rollup": q_etl_rollup,
+    "etl_rollup_exact": q_etl_rollup_exact,
     "etl_enrollments": q_etl_enrollments,
     "etl_jobs": q_etl_jobs,
     "etl_job_lookup": q_etl_job_lookup,
@@ -499,6 +514,7 @@ ORACLES.update({
     "etl_facts": with_facts() + f"SELECT {_FACT_COLS}, "
     + _UUID.format(x=_JOB_NAME) + " AS job_id FROM facts",
     "etl_rollup": ORACLES["rollup_merge_faithful"],
+    "etl_rollup_exact": ORACLES["daily_rollup"],
     "etl_enrollments": ORACLES["enrollments"],
     "etl_jobs": with_facts(_JOBS) + "SELECT job_id, filename, 'completed' AS status, "
     "100 AS progress, 'Job completed successfully' AS message, "

@@ -55,13 +55,17 @@ def submit_jobs(spark: SparkSession, store: Store, jobs: list[dict]) -> None:
 
 def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
              manifest: list[dict] | None = None, load_id: str | None = None,
-             instant: dt.datetime | None = None, glob: str = "*.csv") -> LoadReport:
+             instant: dt.datetime | None = None, glob: str = "*.csv",
+             rollup_rule: str = "faithful") -> LoadReport:
     """Load every file under `landing_root` into `store` as one load.
 
     `manifest`: optional submitted jobs (job_id, filename, study_id,
     created_at); a listed job without a file fails with `File not found`.
     `load_id`: identity of the load; replaying a crashed load with the same id
     does not double-load facts or roll-up buckets.
+    `rollup_rule`: "faithful" merges into the roll-up with the reference's
+    upsert rule (A5); "exact" keeps partial sums so the roll-up always equals
+    a recompute (A6).  Use one rule for the life of a store.
     """
     ensure_session(spark)
     load_id = load_id or uuid.uuid4().hex
@@ -143,7 +147,7 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
         _write(spark, store, rows, [j for j in accepted if j not in replayed],
                [j for j in accepted if j not in earlier] if earlier else None, load_id,
                studies=sorted({s for v in touched for s in v["studies"]}),
-               days=sorted({d for v in touched for d in v["days"]}))
+               days=sorted({d for v in touched for d in v["days"]}), rule=rollup_rule)
     tables.append_ledger(store, ledger.stage_events(spark, list(jobs.values()), "finished",
                                                     ledger.now(), load_id))
     typed.unpersist()
@@ -176,7 +180,8 @@ def _windows(verdicts: list[dict]) -> dict[str, tuple]:
 
 
 def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[str],
-           rollup_jobs: list[str] | None, load_id: str, studies: list[str], days: list) -> None:
+           rollup_jobs: list[str] | None, load_id: str, studies: list[str], days: list,
+           rule: str = "faithful") -> None:
     """K5 order: studies, participants, enrollments, sites, facts, roll-up.
     Every step is idempotent under a replay of the same load.  `rollup_jobs`
     None means every accepted row goes to the roll-up."""
@@ -189,6 +194,6 @@ def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[
         tables.append_facts(store, _select_jobs(rows, fresh_jobs)
                             .withColumn("load_id", F.lit(load_id)))
     if rollup_jobs is None:
-        tables.merge_rollup(spark, store, rows, load_id, days)
+        tables.merge_rollup(spark, store, rows, load_id, days, rule)
     elif rollup_jobs:
-        tables.merge_rollup(spark, store, _select_jobs(rows, rollup_jobs), load_id, days)
+        tables.merge_rollup(spark, store, _select_jobs(rows, rollup_jobs), load_id, days, rule)

@@ -81,7 +81,7 @@ def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame,
 
 
 def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: str,
-                 days: list | None = None) -> None:
+                 days: list | None = None, rule: str = "faithful") -> None:
     """K4: merge the batch's daily buckets into the stored roll-up.
 
     Only the batch's days are read (partition pruning through the semi join
@@ -90,6 +90,11 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
     a crash between the roll-up commit and the ledger write does not double
     count.
     """
+    if rule == "exact":
+        _merge_rollup_exact(spark, store, facts, load_id, days)
+        return
+    if rule != "faithful":
+        raise ValueError(f"unknown roll-up rule {rule!r}")
     old = store.read(spark, "rollup")
     new = rollup.daily_rollup(facts)
     if old is not None:
@@ -107,6 +112,33 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
     _rewrite_partitions(spark, store, "rollup", merged.withColumn("load_id", F.lit(load_id)))
 
 
+def _merge_rollup_exact(spark: SparkSession, store: Store, facts: DataFrame, load_id: str,
+                        days: list | None) -> None:
+    """K4 with the exact rule (A6): merge the batch's partial sums into the
+    stored partials, then rewrite the touched roll-up days from them, so the
+    roll-up always equals a recompute over all loaded rows.  Days whose
+    partials already carry this load's id (a replay) are not merged again;
+    the roll-up of every touched day is re-derived from the partials, so a
+    crash between the two rewrites heals on replay."""
+    new = rollup.rollup_partials(facts)
+    days = days if days is not None else touched_keys(new, "agg_day")
+    old = store.read(spark, "rollup_partials")
+    if old is not None:
+        old = old.where(F.col("agg_day").isin(days))
+        done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
+        if done:
+            new = new.where(~F.col("agg_day").isin(done))
+            old = old.where(~F.col("agg_day").isin(done))
+        merged = rollup.merge_exact(old.drop("load_id"), rollup.stored_partials(new))
+    else:
+        merged = new
+    _rewrite_partitions(spark, store, "rollup_partials",
+                        rollup.stored_partials(merged).withColumn("load_id", F.lit(load_id)))
+    partials = store.read(spark, "rollup_partials").where(F.col("agg_day").isin(days))
+    _rewrite_partitions(spark, store, "rollup",
+                        rollup.finalize_partials(partials).withColumn("load_id", F.lit(load_id)))
+
+
 def append_ledger(store: Store, events: DataFrame) -> None:
     """L2: the ledger is append-only; a job's state is its latest event.
     Events are job-level (a few per file loaded), so one small file per
