@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from measures.functions.serialize import iso_z
 from measures.schema import (LEDGER_SCHEMA, MSG_LOADED, MSG_STARTED, MSG_TRANSFORMED,
                              MSG_VALIDATED, PROGRESS)
 
@@ -98,12 +99,21 @@ def current_jobs(events: DataFrame) -> DataFrame:
         .alias("error_message"))
 
 
-def job_by_id(events: DataFrame, job_id: str) -> DataFrame:
+def job_by_id(events: DataFrame, job_id: str, api_layout: bool = False) -> DataFrame:
     """One job's record (empty result = not found).  The filter is
-    applied before the aggregation, so only that job's events are read."""
-    return current_jobs(events.where(F.col("job_id") == job_id)).select(
+    applied before the aggregation, so only that job's events are read.
+    `api_layout` renders it as a service would: camelCase fields and ISO-8601
+    UTC timestamps with milliseconds."""
+    job = current_jobs(events.where(F.col("job_id") == job_id)).select(
         F.col("job_id").alias("id"), "filename", "study_id", "status", "created_at",
         "updated_at", "completed_at", "error_message")
+    if not api_layout:
+        return job
+    return job.select(
+        "id", "filename", F.col("study_id").alias("studyId"), "status",
+        *[iso_z(c).alias(a) for c, a in (("created_at", "createdAt"), ("updated_at", "updatedAt"),
+                                         ("completed_at", "completedAt"))],
+        F.col("error_message").alias("errorMessage"))
 
 
 def job_status(stored: DataFrame, live: DataFrame | None = None) -> DataFrame:

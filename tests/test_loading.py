@@ -107,6 +107,10 @@ def test_ledger_lookup(loaded):
     assert job.status == "completed" and job.completed_at is not None
     assert job.filename == f"{F1_JOB}_sample_study001.csv"
     assert ledger.job_by_id(store.jobs(spark), "no-such-job").count() == 0
+    api = ledger.job_by_id(store.jobs(spark), F1_JOB, api_layout=True).first().asDict()
+    assert set(api) == {"id", "filename", "studyId", "status", "createdAt", "updatedAt",
+                        "completedAt", "errorMessage"}
+    assert api["completedAt"].endswith("Z") and api["errorMessage"] is None
     st = {r.job_id: (r.status, r.progress, r.message)
           for r in ledger.job_status(store.jobs(spark)).collect()}
     assert st[F2_JOB] == ("completed", 100, "Job completed successfully")
