@@ -48,7 +48,19 @@ def first_line(path: str) -> str | None:
     return text if text else None
 
 
+# Marks a file this reader could not open (e.g. a storage scheme Arrow has no
+# client for); the scan then reads its first line through Spark instead.
+UNREADABLE = "\x00unreadable"
+
+
+def _safe_first_line(path: str) -> str | None:
+    try:
+        return first_line(path)
+    except Exception:  # noqa: BLE001 -- any failure defers to the Spark reader
+        return UNREADABLE
+
+
 def header_lines(batches):
     for pdf in batches:
         yield pd.DataFrame({"path": pdf["path"], "modified": pdf["modified"],
-                            "header": [first_line(p) for p in pdf["path"]]})
+                            "header": [_safe_first_line(p) for p in pdf["path"]]})

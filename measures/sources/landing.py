@@ -110,11 +110,44 @@ class LandingScan:
     groups: list[dict] = field(default_factory=list)
 
 
-def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> LandingScan:
+def jvm_headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """First line per file through Spark's text source, for files the task-side
+    reader cannot open.  Only the first split of each file is kept, and its
+    earliest line is chosen with a partial aggregate (`min_by` over the read
+    order), so no task gathers a file.  Keys are canonical paths."""
+    text = (spark.read.text(paths)
+            .select(F.col("_metadata.file_path").alias("p"),
+                    F.col("_metadata.file_block_start").alias("start"),
+                    F.regexp_replace("value", "^\uFEFF", "").alias("line"),
+                    F.monotonically_increasing_id().alias("pos"))
+            .where(F.col("start") == 0)
+            .groupBy("p").agg(F.min_by("line", "pos").alias("header")))
+    return {_same_path(r["p"], encoded=True): (r["header"] or None) for r in text.collect()}
+
+
+def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
+         header_reader: str = "auto") -> LandingScan:
+    """`header_reader`: "auto" reads first lines in tasks through Arrow file
+    systems and falls back to Spark's text source for files it cannot open;
+    "jvm" uses the text source for every file."""
     files = list_files(spark, root, glob)
     # File metadata only (path, time, header line); cached because the header
     # grouping and the per-file table both use it.
-    heads = read_headers(files).cache()
+    if header_reader == "jvm":
+        heads = files.select("path", "modified",
+                             F.lit(headers.UNREADABLE).alias("header")).cache()
+    else:
+        heads = read_headers(files).cache()
+    unreadable = [r["path"] for r in heads.where(F.col("header") == headers.UNREADABLE)
+                  .select("path").collect()]
+    if unreadable:
+        found = jvm_headers(spark, unreadable)
+        fixed = spark.createDataFrame(
+            [(p, found.get(_same_path(p))) for p in unreadable], "path string, header string")
+        heads = (heads.where(F.col("header") != headers.UNREADABLE)
+                 .unionByName(heads.where(F.col("header") == headers.UNREADABLE).drop("header")
+                              .join(fixed, "path", "inner"))
+                 .cache())
     # Paths per distinct header.  The driver needs the path list to issue the
     # reads (Spark's file index holds it there anyway); rows are collected
     # as they are, so no single task gathers a header's whole file list.

@@ -400,3 +400,19 @@ def test_rollup_rules_over_two_loads(spark, workdir, rule):
                 g, w = getattr(got[t], m), getattr(want[t], m)
                 assert (g is None and w is None) or abs(g - w) < 1e-9, (t, m, g, w)
         assert got["glucose"].avg_value == 95.5
+
+
+def test_spark_text_header_reader(spark, workdir):
+    from measures.sources import landing
+    land = os.path.join(workdir, "landing")
+    header = "Quality_Score, Site ID ,timestamp,UNIT,value,Measurement Type,participant_id,study_id"
+    body = "\n".join(",".join([r.split(",")[i] for i in (7, 6, 5, 4, 3, 2, 1, 0)])
+                     for r in F2_ROWS.splitlines())
+    write_file(land, f"{JOB}_reordered.csv", header + "\n" + body + "\n")
+    write_file(land, f"{F1_JOB}_plain.csv", csv_text(F1_ROWS))
+    auto = landing.scan(spark, land)
+    jvm = landing.scan(spark, land, header_reader="jvm")
+    key = lambda d: sorted(tuple(r) for r in d.drop("path").collect())
+    assert key(auto.rows) == key(jvm.rows)
+    assert sorted(r.header for r in jvm.files.collect()) == sorted(
+        r.header for r in auto.files.collect())
