@@ -56,7 +56,7 @@ def submit_jobs(spark: SparkSession, store: Store, jobs: list[dict]) -> None:
 def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
              manifest: list[dict] | None = None, load_id: str | None = None,
              instant: dt.datetime | None = None, glob: str = "*.csv",
-             rollup_rule: str = "faithful") -> LoadReport:
+             rollup_rule: str = "faithful", multiline: bool = False) -> LoadReport:
     """Load every file under `landing_root` into `store` as one load.
 
     `manifest`: optional submitted jobs (job_id, filename, study_id,
@@ -66,11 +66,13 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
     `rollup_rule`: "faithful" merges into the roll-up with the reference's
     upsert rule (A5); "exact" keeps partial sums so the roll-up always equals
     a recompute (A6).  Use one rule for the life of a store.
+    `multiline`: accept quoted fields with line breaks (each file is then
+    read by one task).
     """
     ensure_session(spark)
     load_id = load_id or uuid.uuid4().hex
     started = ledger.now()
-    scan = landing.scan(spark, landing_root, glob)
+    scan = landing.scan(spark, landing_root, glob, multiline=multiline)
     typed = validate.transform(scan.rows, instant or started).persist(StorageLevel.MEMORY_AND_DISK)
 
     # Job-level metadata (one row per file) -- the only data on the driver.

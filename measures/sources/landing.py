@@ -126,10 +126,13 @@ def jvm_headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
 
 
 def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
-         header_reader: str = "auto") -> LandingScan:
+         header_reader: str = "auto", multiline: bool = False) -> LandingScan:
     """`header_reader`: "auto" reads first lines in tasks through Arrow file
     systems and falls back to Spark's text source for files it cannot open;
-    "jvm" uses the text source for every file."""
+    "jvm" uses the text source for every file.  `multiline` reads quoted
+    fields that contain line breaks (as a general CSV reader does) at the
+    cost of reading each file in one task; off by default, so large files
+    are split across tasks."""
     files = list_files(spark, root, glob)
     # File metadata only (path, time, header line); cached because the header
     # grouping and the per-file table both use it.
@@ -181,6 +184,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
               .option("header", True).option("enforceSchema", True)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("escape", '"').option("encoding", "UTF-8")
+              .option("multiLine", multiline)
               .csv(g["paths"]))
         keep, seen = [], set()
         for p, n in zip(physical, names):

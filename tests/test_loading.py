@@ -416,3 +416,15 @@ def test_spark_text_header_reader(spark, workdir):
     assert key(auto.rows) == key(jvm.rows)
     assert sorted(r.header for r in jvm.files.collect()) == sorted(
         r.header for r in auto.files.collect())
+
+
+def test_quoted_line_break_needs_multiline(spark, workdir):
+    rows = ('STUDY001,P001,glucose,95.5,"mg/\ndL",2024-01-15T09:30:00Z,SITE_A,0.98\n'
+            "STUDY001,P002,glucose,102.1,mg/dL,2024-01-15T10:15:00Z,SITE_A,0.97")
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{JOB}_ml.csv", csv_text(rows))
+    store = Store(os.path.join(workdir, "store"))
+    report = loading.run_load(spark, land, store, multiline=True)
+    assert report.status()[JOB] == "completed"
+    units = sorted(r.unit for r in store.measurements(spark).collect())
+    assert units == ["mg/\ndL", "mg/dL"]
