@@ -23,13 +23,19 @@ _QUALITY_LOW, _QUALITY_HIGH, _QUALITY_TYPE = 0.0, 1.0, "decimal(3,2)"
 # Surrounding whitespace as a general "strip" removes it (spaces, tabs,
 # line breaks, Unicode spaces), not only ASCII blanks like `trim`.
 _EDGE_WS = r"(?U)^\s+|\s+$"
-# ISO-8601 "basic" layouts that a plain cast does not read.
+# ISO-8601 layouts that a plain cast does not read: the "basic" forms, and
+# extended forms with minute or hour precision.
 _BASIC_TIMESTAMP_FORMATS = (
     "yyyyMMdd'T'HHmmss[.SSSSSS][XXX][X]",
     "yyyyMMdd'T'HHmm[XXX][X]",
     "yyyyMMdd'T'HH[XXX][X]",
     "yyyyMMdd",
+    "yyyy-MM-dd'T'HH:mm[XXX][X]",
+    "yyyy-MM-dd HH:mm[XXX][X]",
+    "yyyy-MM-dd'T'HH[XXX][X]",
 )
+# ISO-8601 also allows a comma before the fraction of a second.
+_COMMA_FRACTION = r"(\d{2}:\d{2}:\d{2}),(\d)"
 
 
 def _c(c: Column | str) -> Column:
@@ -54,7 +60,7 @@ def parse_timestamp_utc(c: Column | str) -> Column:
     zone-less text), then its UTC wall clock is kept.  NULL when unreadable;
     the per-file gate turns that into a failed file.
     """
-    c = _c(c)
+    c = F.regexp_replace(_c(c), _COMMA_FRACTION, "$1.$2")
     parsed = F.try_to_timestamp(c)  # same reader as CAST(... AS TIMESTAMP)
     for fmt in _BASIC_TIMESTAMP_FORMATS:
         parsed = F.coalesce(parsed, F.try_to_timestamp(c, F.lit(fmt)))

@@ -30,13 +30,19 @@ def test_low_quality_after_decimal_rounding(spark):
 def test_timestamp_offsets_and_basic_forms(spark):
     got = one_col(spark, ["2024-01-15T09:30:00+02:00", "2024-01-15T09:30:00Z",
                           "2024-01-15 09:30:00", "20240115T093000Z", "2024-01-15",
-                          "15/01/2024", None], parse_timestamp_utc)
+                          "15/01/2024", None, "2024-01-15T09:30Z", "2024-01-15T09:30:00,5Z",
+                          "2024-01-15T09:30:00.123456789Z", "2024-01-15T11+02:00"],
+                  parse_timestamp_utc)
     assert got[0] == dt.datetime(2024, 1, 15, 7, 30)
     assert got[1] == dt.datetime(2024, 1, 15, 9, 30)
     assert got[2] == dt.datetime(2024, 1, 15, 9, 30)
     assert got[3] == dt.datetime(2024, 1, 15, 9, 30)
     assert got[4] == dt.datetime(2024, 1, 15, 0, 0)
     assert got[5] is None and got[6] is None
+    assert got[7] == dt.datetime(2024, 1, 15, 9, 30)
+    assert got[8] == dt.datetime(2024, 1, 15, 9, 30, 0, 500000)
+    assert got[9] == dt.datetime(2024, 1, 15, 9, 30, 0, 123456)
+    assert got[10] == dt.datetime(2024, 1, 15, 9, 0)
 
 
 def test_strip_all_whitespace(spark):
