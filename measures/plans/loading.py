@@ -74,7 +74,16 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
     started = ledger.now()
     scan = landing.scan(spark, landing_root, glob, multiline=multiline)
     typed = validate.transform(scan.rows, instant or started).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _load(spark, store, scan, typed, manifest, load_id, started, rollup_rule)
+    finally:
+        typed.unpersist()
+        scan.release()
 
+
+def _load(spark: SparkSession, store: Store, scan: landing.LandingScan, typed: DataFrame,
+          manifest: list[dict] | None, load_id: str, started: dt.datetime,
+          rollup_rule: str) -> LoadReport:
     # Job-level metadata (one row per file) -- the only data on the driver.
     files = {r["job_id"]: r.asDict() for r in scan.files.groupBy("job_id").agg(
         F.min("filename").alias("filename"), F.min("modified").alias("submitted"),
@@ -90,28 +99,7 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
         j.update(present=True, empty=f["empty"], header=f["header"])
         j["submitted"] = j.get("submitted") or f["submitted"]
     for job_id, j in jobs.items():
-        v = verdicts.get(job_id)
-        j["rows"] = v["rows"] if v else 0
-        if not j.get("present"):
-            j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
-                     message=f"File not found: {j['filename']}")
-        elif j.get("empty"):
-            j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
-                     message="Extraction error: No columns to parse from file")
-        elif v is not None and v["stage"] == "extract":
-            j.update(status="failed", progress=v["progress"], message=v["message"],
-                     failed_stage=v["stage"])
-        elif landing.missing_columns(j["header"]):
-            errors = [f"Missing column {c}" for c in landing.missing_columns(j["header"])]
-            if v is not None and v["bad_types"]:
-                errors.append(f"Invalid types: {list(v['bad_types'])}")
-            j.update(status="failed", progress=PROGRESS["transformed"], failed_stage="validate",
-                     message="; ".join(errors))
-        elif v is not None and v["stage"] is not None:
-            j.update(status="failed", progress=v["progress"], message=v["message"],
-                     failed_stage=v["stage"])
-        else:
-            j.update(status=None, failed_stage=None)
+        _judge_file(j, verdicts.get(job_id))
     # V6 among the files that passed, in submission order.
     passing = sorted((j for j in jobs.values() if j["status"] is None and j["rows"] > 0),
                      key=lambda j: (j["submitted"] or dt.datetime.min, j["job_id"]))
@@ -136,10 +124,9 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
     # not submitted through a manifest are recorded as pending first.
     submitted = {m["job_id"] for m in manifest or []}
     unrecorded = [j for j in jobs.values() if j["job_id"] not in submitted]
-    checked = ledger.now()
     tables.append_ledger(store, ledger.pending_events(spark, unrecorded, started, load_id)
                          .unionByName(ledger.stage_events(spark, list(jobs.values()), "checked",
-                                                          checked, load_id)))
+                                                          ledger.now(), load_id)))
     if accepted:
         # Jobs stored by an earlier load are already in facts and roll-up;
         # jobs stored by this same load (a replay) still go to the roll-up,
@@ -152,11 +139,39 @@ def run_load(spark: SparkSession, landing_root: str | list[str], store: Store,
                days=sorted({d for v in touched for d in v["days"]}), rule=rollup_rule)
     tables.append_ledger(store, ledger.stage_events(spark, list(jobs.values()), "finished",
                                                     ledger.now(), load_id))
-    typed.unpersist()
     return LoadReport(load_id=load_id, jobs=[_public(j) for j in jobs.values()],
                       accepted_rows=rows)
 
 
+def _judge_file(j: dict, v: dict | None) -> None:
+    """Set a job's status from its file facts and row verdict, in stage order:
+    file missing or empty, over-long rows (extract), missing columns (validate,
+    with any invalid types), then the row checks (transform, validate, load).
+    Leaves status None for files that pass (duplicate ids come later)."""
+    j["rows"] = v["rows"] if v else 0
+    missing = landing.missing_columns(j.get("header")) if j.get("present") else []
+    if not j.get("present"):
+        j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
+                 message=f"File not found: {j['filename']}")
+    elif j.get("empty"):
+        j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
+                 message="Extraction error: No columns to parse from file")
+    elif v is not None and v["stage"] == "extract":
+        j.update(status="failed", progress=v["progress"], message=v["message"],
+                 failed_stage=v["stage"])
+    elif missing:
+        errors = [f"Missing column {c}" for c in missing]
+        if v is not None and v["bad_types"]:
+            errors.append(f"Invalid types: {list(v['bad_types'])}")
+        j.update(status="failed", progress=PROGRESS["transformed"], failed_stage="validate",
+                 message="; ".join(errors))
+    elif v is not None and v["stage"] is not None:
+        j.update(status="failed", progress=v["progress"], message=v["message"],
+                 failed_stage=v["stage"])
+    else:
+        j.update(status=None, failed_stage=None)
+
+
 def _public(j: dict) -> dict:
     return {k: j.get(k) for k in ("job_id", "filename", "study_id", "status", "progress",
                                   "message", "rows")}

@@ -108,6 +108,12 @@ class LandingScan:
     rows: DataFrame
     files: DataFrame  # job_id, filename, path, modified, header, empty
     groups: list[dict] = field(default_factory=list)
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Drop the cached file metadata (call when the load is done)."""
+        for df in self.cached:
+            df.unpersist()
 
 
 def jvm_headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
@@ -141,6 +147,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
                              F.lit(headers.UNREADABLE).alias("header")).cache()
     else:
         heads = read_headers(files).cache()
+    cached = [heads]
     unreadable = [r["path"] for r in heads.where(F.col("header") == headers.UNREADABLE)
                   .select("path").collect()]
     if unreadable:
@@ -151,6 +158,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
                  .unionByName(heads.where(F.col("header") == headers.UNREADABLE).drop("header")
                               .join(fixed, "path", "inner"))
                  .cache())
+        cached.append(heads)
     # Paths per distinct header.  The driver needs the path list to issue the
     # reads (Spark's file index holds it there anyway); rows are collected
     # as they are, so no single task gathers a header's whole file list.
@@ -215,7 +223,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
     file_info = heads.select(job_id_of(F.col("path")).alias("job_id"),
                                file_name_of(F.col("path")).alias("filename"), "path", "modified",
                                "header", F.col("header").isNull().alias("empty"))
-    return LandingScan(rows=rows, files=file_info, groups=groups)
+    return LandingScan(rows=rows, files=file_info, groups=groups, cached=cached)
 
 
 def _same_path(path: str, encoded: bool = False) -> str:
