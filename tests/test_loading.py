@@ -428,3 +428,32 @@ def test_quoted_line_break_needs_multiline(spark, workdir):
     assert report.status()[JOB] == "completed"
     units = sorted(r.unit for r in store.measurements(spark).collect())
     assert units == ["mg/\ndL", "mg/dL"]
+
+
+@pytest.mark.parametrize("rule", ["exact", "faithful"])
+def test_rollup_heals_after_crash_before_rollup_commit(spark, workdir, monkeypatch, rule):
+    from measures.operators import rollup as R
+    from measures.sinks import tables
+    store = Store(os.path.join(workdir, "store"))
+    write_file(os.path.join(workdir, "l1"), f"{F1_JOB}_1.csv", csv_text(F1_ROWS))
+    write_file(os.path.join(workdir, "l2"), f"{F2_JOB}_2.csv", csv_text(F2_ROWS))
+    loading.run_load(spark, os.path.join(workdir, "l1"), store, load_id="L1", rollup_rule=rule)
+    real = tables._rewrite_partitions
+
+    def crash_on_rollup(spark_, store_, table, merged):
+        if table == "rollup":
+            raise RuntimeError("driver lost")
+        return real(spark_, store_, table, merged)
+    monkeypatch.setattr(tables, "_rewrite_partitions", crash_on_rollup)
+    with pytest.raises(RuntimeError):
+        loading.run_load(spark, os.path.join(workdir, "l2"), store, load_id="L2",
+                         rollup_rule=rule)
+    monkeypatch.setattr(tables, "_rewrite_partitions", real)
+    loading.run_load(spark, os.path.join(workdir, "l2"), store, load_id="L2", rollup_rule=rule)
+    got = sorted(tuple(r) for r in store.rollup(spark).select(*R.MEASURES[:1], "agg_day",
+                                                                "participant_id",
+                                                                "measurement_type").collect())
+    want = sorted(tuple(r) for r in R.daily_rollup(store.measurements(spark))
+                  .select(*R.MEASURES[:1], "agg_day", "participant_id", "measurement_type")
+                  .collect())
+    assert got == want and store.measurements(spark).count() == 21
