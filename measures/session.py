@@ -33,15 +33,18 @@ PERFORMANCE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "measures",
+def build_session(master: str | None = "local[8]", app: str = "measures",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session configured for this library.
 
-    On a cluster, submit with your own master and a shuffle partition count
-    sized to the data (roughly input bytes / 128 MB); AQE coalesces from there.
+    `master=None` leaves the master to the launcher (spark-submit on a
+    cluster, local[*] otherwise).  On a cluster, size the shuffle partition
+    count to the data (roughly input bytes / 128 MB); AQE coalesces from there.
     """
-    builder = (SparkSession.builder.master(master).appName(app)
-               .config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    builder = (builder.config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for key, value in {**PERFORMANCE_CONF, **SEMANTIC_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
