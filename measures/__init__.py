@@ -10,5 +10,13 @@ Sub-packages:
 """
 
 from measures.session import build_session, ensure_session, scratch_dir
+from measures.sources.store import Store
 
-__all__ = ["build_session", "ensure_session", "scratch_dir"]
+
+def run_load(*args, **kwargs):
+    """Shortcut for `measures.plans.loading.run_load`."""
+    from measures.plans.loading import run_load as _run_load
+    return _run_load(*args, **kwargs)
+
+
+__all__ = ["build_session", "ensure_session", "scratch_dir", "Store", "run_load"]
