@@ -87,11 +87,11 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
                  days: list | None = None, rule: str = "faithful") -> None:
     """K4: merge the batch's daily buckets into the stored roll-up.
 
-    Only the batch's days are read (partition pruning through the semi join
-    on agg_day) and rewritten.  Every rewritten day partition records the load
-    that produced it; a replayed load skips days already carrying its id, so
-    a crash between the roll-up commit and the ledger write does not double
-    count.
+    Only the batch's days are read (a literal partition filter on agg_day)
+    and rewritten.  Every rewritten day partition records the load that
+    produced it; a replayed load skips days already carrying its id, so a
+    crash between the roll-up commit and the ledger write does not double
+    count.  `rule="exact"` maintains partial sums instead (A6).
     """
     if rule == "exact":
         _merge_rollup_exact(spark, store, facts, load_id, days)
