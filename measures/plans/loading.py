@@ -108,9 +108,11 @@ def _load(spark: SparkSession, store: Store, scan: landing.LandingScan, typed: D
     if ranks:
         candidates = _select_jobs(typed, list(ranks)).select("job_id", "study_id", "id",
                                                              "timestamp")
-        rejections, replayed = constraints.resolve_duplicates(
-            candidates, ranks, store.read(spark, "measurements"),
-            windows=_windows([verdicts[j] for j in ranks]))
+        windows = _windows([verdicts[j] for j in ranks])
+        # Only the batch's study folders of the stored facts are listed.
+        stored = store.read_partitions(spark, "measurements", sorted(windows))
+        rejections, replayed = constraints.resolve_duplicates(candidates, ranks, stored,
+                                                              windows=windows)
         for r in rejections.collect():
             jobs[r["job_id"]].update(status="failed", progress=PROGRESS["validated"],
                                      message=r["message"], failed_stage="load")

@@ -74,11 +74,9 @@ def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame,
     """K3: first-seen per (participant, study), keeping the earliest; rewrites
     only the touched study partitions."""
     new = dimensions.first_seen(facts)
-    old = store.read(spark, "enrollments")
-    if old is not None:
-        # Studies in a load: a short list, used as a literal partition filter.
-        studies = studies if studies is not None else touched_keys(new, "study_id")
-        old = old.where(F.col("study_id").isin(studies))
+    # Studies in a load: a short list; only their partition folders are read.
+    studies = studies if studies is not None else touched_keys(new, "study_id")
+    old = store.read_partitions(spark, "enrollments", studies)
     merged = dimensions.merge_enrollments(old, new)
     _rewrite_partitions(spark, store, "enrollments", merged)
 
@@ -98,13 +96,12 @@ def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: s
         return
     if rule != "faithful":
         raise ValueError(f"unknown roll-up rule {rule!r}")
-    old = store.read(spark, "rollup")
     new = rollup.daily_rollup(facts)
+    # Calendar days in the load (bounded by its time span): only those day
+    # folders are listed and read.
+    days = days if days is not None else touched_keys(new, "agg_day")
+    old = store.read_partitions(spark, "rollup", days)
     if old is not None:
-        # Calendar days in the load (bounded by its time span): a literal
-        # partition filter, so only those day folders are listed and read.
-        days = days if days is not None else touched_keys(new, "agg_day")
-        old = old.where(F.col("agg_day").isin(days))
         done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
         if done:
             new = new.where(~F.col("agg_day").isin(done))
@@ -125,9 +122,8 @@ def _merge_rollup_exact(spark: SparkSession, store: Store, facts: DataFrame, loa
     crash between the two rewrites heals on replay."""
     new = rollup.rollup_partials(facts)
     days = days if days is not None else touched_keys(new, "agg_day")
-    old = store.read(spark, "rollup_partials")
+    old = store.read_partitions(spark, "rollup_partials", days)
     if old is not None:
-        old = old.where(F.col("agg_day").isin(days))
         done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
         if done:
             new = new.where(~F.col("agg_day").isin(done))
@@ -137,7 +133,7 @@ def _merge_rollup_exact(spark: SparkSession, store: Store, facts: DataFrame, loa
         merged = new
     _rewrite_partitions(spark, store, "rollup_partials",
                         rollup.stored_partials(merged).withColumn("load_id", F.lit(load_id)))
-    partials = store.read(spark, "rollup_partials").where(F.col("agg_day").isin(days))
+    partials = store.read_partitions(spark, "rollup_partials", days)
     _rewrite_partitions(spark, store, "rollup",
                         rollup.finalize_partials(partials).withColumn("load_id", F.lit(load_id)))
 
