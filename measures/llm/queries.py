@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.llm import exact_dedup, mixing, token_counts
+from measures.llm import decontaminate, exact_dedup, mixing, token_counts
 from measures.llm.common import ship_package
 
 # Target shares of the mix; every other source has share 1.
@@ -29,6 +29,15 @@ def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op2_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"),
+                                             table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(found).select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
     return index.ingest(table(spark, sf_dir, "documents")).select(
@@ -43,11 +52,46 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pfair_mix": op1_pfair_mix,
+    "op2_fm_decontaminate": op2_fm_decontaminate,
     "op6_digest_index": op6_digest_index,
     "op7_token_counts": op7_token_counts,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_fm_decontaminate": """
+WITH folded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size,
+         array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+        FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM folded CROSS JOIN sizes WHERE len(w) >= size)),
+hits AS (
+  SELECT doc_id, i, p.size, item_id FROM places p JOIN windows USING (win) WHERE p.size = windows.size),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM hits) GROUP BY doc_id),
+items_hit AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM folded LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+""",
     "op6_digest_index": """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
