@@ -12,9 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.llm import decontaminate, exact_dedup, mixing, token_counts
+from measures.llm import (decontaminate, exact_dedup, mixing, quality, token_counts,
+                          toxicity)
 from measures.llm.common import ship_package
 
+TOXIC_AT = 0.5
+QUALITY_AT = 0.3
 # Target shares of the mix; every other source has share 1.
 MIX_SHARES = {"src0": 6, "src1": 4, "src2": 3, "src3": 2}
 
@@ -38,6 +41,12 @@ def op2_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_fold(toxicity.score(docs, index), TOXIC_AT)
+
+
 def op6_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
     return index.ingest(table(spark, sf_dir, "documents")).select(
@@ -50,11 +59,20 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, bad_share = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, bad_share, QUALITY_AT).withColumnRenamed("id", "doc_id")
+    return toxicity.with_fold(scored, QUALITY_AT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pfair_mix": op1_pfair_mix,
     "op2_fm_decontaminate": op2_fm_decontaminate,
+    "op4_toxicity_neighbours": op4_toxicity_neighbours,
     "op6_digest_index": op6_digest_index,
     "op7_token_counts": op7_token_counts,
+    "op10_pairwise_quality": op10_pairwise_quality,
 }
 
 ORACLES: dict[str, str] = {
