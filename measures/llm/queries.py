@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.llm import (decontaminate, exact_dedup, mixing, quality, token_counts,
-                          toxicity)
-from measures.llm.common import ship_package
+                          toxicity, warc)
+from measures.llm.common import shared_path, ship_package
 
 TOXIC_AT = 0.5
 QUALITY_AT = 0.3
@@ -59,6 +59,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crawled, lean = shared_path(spark, "warc"), shared_path(spark, "warc-deduplicated")
+    warc.write_archive(table(spark, sf_dir, "pages"), crawled)
+    warc.write_deduplicated(spark, crawled, lean)
+    return warc.read_archive(spark, lean).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"),
+        "refers_to")
+
+
 def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model, bad_share = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -72,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity_neighbours": op4_toxicity_neighbours,
     "op6_digest_index": op6_digest_index,
     "op7_token_counts": op7_token_counts,
+    "op8_warc_revisits": op8_warc_revisits,
     "op10_pairwise_quality": op10_pairwise_quality,
 }
 
@@ -118,5 +128,13 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op8_warc_revisits": """
+SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN strlen(payload) >= 100 AND page_id > first_id THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN strlen(payload) >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS payload,
+             min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
 """,
 }
