@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.llm import (decontaminate, exact_dedup, mixing, quality, token_counts,
-                          toxicity, warc)
+from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, quality,
+                          token_counts, toxicity, warc)
 from measures.llm.common import shared_path, ship_package
 
 TOXIC_AT = 0.5
@@ -41,6 +41,11 @@ def op2_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_token_group_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed(
+        "id", "doc_id")
+
+
 def op4_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -78,6 +83,7 @@ def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pfair_mix": op1_pfair_mix,
     "op2_fm_decontaminate": op2_fm_decontaminate,
+    "op3_token_group_jaccard": op3_token_group_jaccard,
     "op4_toxicity_neighbours": op4_toxicity_neighbours,
     "op6_digest_index": op6_digest_index,
     "op7_token_counts": op7_token_counts,
@@ -119,6 +125,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM folded LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+""",
+    "op3_token_group_jaccard": """
+WITH RECURSIVE folded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + least(len(w), 5) - 1], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i
+        FROM folded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """,
     "op6_digest_index": """
 SELECT doc_id,
