@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, quality,
-                          token_counts, toxicity, warc)
+                          suffix_dedup, token_counts, toxicity, warc)
 from measures.llm.common import shared_path, ship_package
 
 TOXIC_AT = 0.5
@@ -73,6 +73,12 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "refers_to")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model, bad_share = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_digest_index": op6_digest_index,
     "op7_token_counts": op7_token_counts,
     "op8_warc_revisits": op8_warc_revisits,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pairwise_quality": op10_pairwise_quality,
 }
 
