@@ -118,26 +118,31 @@ def load_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int,
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text", window: int = WINDOW,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: id, n_words, n_hit, spans (byte ranges of merged hit words,
+                       block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None
+                       ) -> DataFrame:
+    """Per row: the columns of `keep` (the id by default), n_words, n_hit, spans (byte ranges of merged hit words,
     for removal), items (ids of items with an occurring window, sorted as
     strings)."""
     blocks = load_blocks(benchmark, item_col, item_text_col, window, block_bytes)
 
+    keep = keep or [id_col]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in text_chunks(batch.column("text")):
+            for a, b in text_chunks(batch.column(text_col)):
                 shard = batch.slice(a, b - a)
-                yield _judge(shard, [x.value for x in blocks])
+                yield _judge(shard, text_col, keep, [x.value for x in blocks])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_words bigint, n_hit bigint, "
+    rows = docs.select(*keep, *[c for c in [text_col] if c not in keep])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
+                       if f.name in keep)
+    return rows.mapInArrow(run, f"{fields}, n_words bigint, n_hit bigint, "
                                 "spans array<struct<start:bigint,end:bigint>>, items array<string>")
 
 
-def _judge(shard: pa.RecordBatch, blocks: list[Windows]) -> pa.RecordBatch:
-    buf, offsets = text_buffer(shard.column("text"))
+def _judge(shard: pa.RecordBatch, text_col: str, keep: list[str],
+           blocks: list[Windows]) -> pa.RecordBatch:
+    buf, offsets = text_buffer(shard.column(text_col))
     starts, ends, hashes, first_word = W.find_words(buf, offsets, W.ALNUM)
     n_docs = shard.num_rows
     edge = np.zeros(len(starts) + 1, np.int64)
@@ -163,10 +168,10 @@ def _judge(shard: pa.RecordBatch, blocks: list[Windows]) -> pa.RecordBatch:
             spans[d].append({"start": int(starts[a + s] - offsets[d]),
                              "end": int(ends[a + e - 1] - offsets[d])})
     return pa.record_batch(
-        [shard.column("id"), pa.array(np.diff(first_word)), pa.array(n_hit),
+        [*(shard.column(c) for c in keep), pa.array(np.diff(first_word)), pa.array(n_hit),
          pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
          pa.array([sorted(items.get(d, ())) for d in range(n_docs)], pa.list_(pa.string()))],
-        names=["id", "n_words", "n_hit", "spans", "items"])
+        names=[*keep, "n_words", "n_hit", "spans", "items"])
 
 
 def items_digest(items: set) -> str:

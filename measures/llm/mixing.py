@@ -38,18 +38,21 @@ MAX_PLAN_SLOTS = 4_000_000
 
 def mix(docs: DataFrame, shares: dict[str, int], default_share: int = 1,
         block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source",
-        max_plan_slots: int = MAX_PLAN_SLOTS) -> DataFrame:
+        max_plan_slots: int = MAX_PLAN_SLOTS, whole_rows: bool = False) -> DataFrame:
     """Per row: id, source, block (1, 2, ... in its source), release, deadline
-    and slot (from 0, over the whole mix), place (1, 2, ... in its block).
-    Ordering by (slot, place) gives the mix."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+    and slot (from 0, over the whole mix), place (1, 2, ... in its block), and
+    with `whole_rows` the row itself as a struct `row`.  Ordering by (slot,
+    place) gives the mix."""
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias("key"),  # never null
+        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if whole_rows else []))
     placed = number_within_source(rows)
-    counts = cut_lineage(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
+    counts = cut_lineage(rows.groupBy("key", "source").agg(F.count(F.lit(1)).alias("n")))
     plan = schedule(counts, shares, default_share, block_rows, max_plan_slots)
     block = F.floor((F.col("nth") - 1) / F.lit(block_rows)).cast("bigint")
-    out = (placed.join(F.broadcast(plan), F.expr("placed.source <=> plan.source"))
-           .select("id", F.col("placed.source").alias("source"), "nth", "share", "phases",
-                   block.alias("b")))
+    out = placed.join(F.broadcast(plan), "key").withColumn("b", block)
+    carried = ["row"] if whole_rows else []
     out = (out.withColumn("period", F.expr("b div share"))
            .withColumn("k", F.expr("b % share"))
            .withColumn("phase", F.expr("filter(phases, p -> period < p.until)[0]")))
@@ -59,7 +62,7 @@ def mix(docs: DataFrame, shares: dict[str, int], default_share: int = 1,
         (base + F.expr("(k * phase.length) div share")).alias("release"),
         (base + F.expr("((k + 1) * phase.length + share - 1) div share")).alias("deadline"),
         (base + F.expr("phase.slots[cast(k as int)]")).alias("slot"),
-        (F.expr(f"(nth - 1) % {int(block_rows)}") + 1).alias("place"))
+        (F.expr(f"(nth - 1) % {int(block_rows)}") + 1).alias("place"), *carried)
 
 
 def number_within_source(rows: DataFrame) -> DataFrame:
@@ -73,17 +76,16 @@ def number_within_source(rows: DataFrame) -> DataFrame:
     key = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))
     bucket = (F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") * buckets
               / F.lit(1 << 32)).cast("int")  # equal parts of the md5 order
-    rows = rows.select("id", "source", key.alias("h"), bucket.alias("bucket"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(
+    rows = rows.withColumns({"h": key, "bucket": bucket})
+    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = (rows.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("m"))
-              .select("source", "bucket",
+    starts = (rows.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("m"))
+              .select("key", "bucket",
                       F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before")))
-    own = Window.partitionBy("source", "bucket").orderBy("h", "id")
-    inner = rows.withColumn("rn", F.row_number().over(own)).alias("r")
-    return (inner.join(starts.alias("s"), F.expr("r.source <=> s.source AND r.bucket = s.bucket"))
-            .select("r.id", "r.source", (F.col("before") + F.col("rn")).alias("nth"))
-            .alias("placed"))
+    own = Window.partitionBy("key", "bucket").orderBy("h", "id")
+    # The join finds the rows as the window left them: dealt by (key, bucket).
+    return (rows.withColumn("rn", F.row_number().over(own)).join(starts, ["key", "bucket"])
+            .withColumn("nth", F.col("before") + F.col("rn")).drop("h", "bucket", "before", "rn"))
 
 
 def share_of(source: Column, shares: dict[str, int], default_share: int) -> Column:
@@ -100,7 +102,7 @@ def schedule(counts: DataFrame, shares: dict[str, int], default_share: int, bloc
     """One row per source: share and the phases of the mix, each with the
     slots of the source's blocks inside a period."""
     sized = counts.select(
-        "source", share_of(F.col("source"), shares, default_share).alias("share"),
+        "key", share_of(F.col("source"), shares, default_share).alias("share"),
         F.ceil(F.col("n") / F.lit(block_rows)).cast("bigint").alias("blocks"))
     sized = sized.withColumn("periods", F.expr("(blocks + share - 1) div share"))
     size = sized.agg((F.count(F.lit(1)) * F.sum("share")).alias("slots")).first()["slots"] or 0
@@ -109,7 +111,7 @@ def schedule(counts: DataFrame, shares: dict[str, int], default_share: int, bloc
                          "use smaller shares or fewer sources")
     # Phase i: the periods in which the same sources are still supplied.
     phases = (sized.agg(F.sort_array(F.collect_list(
-        F.struct("source", "share", "periods"))).alias("everyone"))
+        F.struct("key", "share", "periods"))).alias("everyone"))
         .select("everyone", F.explode(F.expr("array_distinct(everyone.periods)")).alias("until"))
         .select("until", F.expr("filter(everyone, x -> x.periods >= until)").alias("live"))
         .withColumn("length", F.expr("aggregate(live, 0L, (n, x) -> n + x.share)")))
@@ -122,12 +124,12 @@ def schedule(counts: DataFrame, shares: dict[str, int], default_share: int, bloc
     each = phases.select(
         "until", "since", "length", "first_slot",
         F.posexplode("live").alias("i", "one"), "order").select(
-        F.col("one.source").alias("source"), F.col("one.share").alias("share"),
+        F.col("one.key").alias("key"), F.col("one.share").alias("share"),
         F.struct("until", "since", "length", "first_slot",
                  F.expr("filter(transform(order, (x, t) -> if(x = i, t, null)), t -> t is not null)")
                  .alias("slots")).alias("phase"))
-    return (each.groupBy("source", "share")
-            .agg(F.sort_array(F.collect_list("phase")).alias("phases")).alias("plan"))
+    return (each.groupBy("key", "share")
+            .agg(F.sort_array(F.collect_list("phase")).alias("phases")))
 
 
 # One period: at slot t, of the sources whose next block is released (release

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, quality,
-                          suffix_dedup, token_counts, toxicity, warc)
+                          sentence_spans, suffix_dedup, token_counts, toxicity, warc)
 from measures.llm.common import shared_path, ship_package
 
 TOXIC_AT = 0.5
@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_name(label: str) -> str:
+    """A table name that no other run uses."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_SHARES).withColumnRenamed(
         "id", "doc_id")
@@ -36,7 +41,7 @@ def op2_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"),
                                              table(spark, sf_dir, "benchmark"))
     return decontaminate.contaminated(found).select(
-        F.col("id").alias("doc_id"), "n_words", "n_hit",
+        "doc_id", "n_words", "n_hit",
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
@@ -52,8 +57,15 @@ def op4_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_fold(toxicity.score(docs, index), TOXIC_AT)
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_sentences", "n_removed",
+        F.octet_length("kept").cast("bigint").alias("kept_bytes"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
+    index = exact_dedup.DigestIndex(spark, fresh_name("digest_index"))
     return index.ingest(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"))
@@ -91,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fm_decontaminate": op2_fm_decontaminate,
     "op3_token_group_jaccard": op3_token_group_jaccard,
     "op4_toxicity_neighbours": op4_toxicity_neighbours,
+    "op5_sentence_spans": op5_sentence_spans,
     "op6_digest_index": op6_digest_index,
     "op7_token_counts": op7_token_counts,
     "op8_warc_revisits": op8_warc_revisits,

@@ -242,20 +242,21 @@ def score(docs: DataFrame, index: BlockMaxIndex | None, id_col: str = "doc_id",
     the neighbours as (example, cosine, label), nearest first."""
     keep = keep or [id_col]
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = docs.select(*keep, *[c for c in [text_col] if c not in keep])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
+                       if f.name in keep)
     evidence = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64()),
                                    ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            for a, b in text_chunks(batch.column("_text")):
+            for a, b in text_chunks(batch.column(text_col)):
                 part = batch.slice(a, b - a)
                 scores = np.full(part.num_rows, index.base_rate if index else 0.0)
                 proof: list[list] = [[] for _ in range(part.num_rows)]
                 if index and len(index.ids):
-                    doc, term, n = index.vocabulary.counts(*text_buffer(part.column("_text")))
+                    doc, term, n = index.vocabulary.counts(*text_buffer(part.column(text_col)))
                     cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
                     for d in np.flatnonzero(np.diff(cuts)).tolist():
                         own = slice(cuts[d], cuts[d + 1])
@@ -264,8 +265,9 @@ def score(docs: DataFrame, index: BlockMaxIndex | None, id_col: str = "doc_id",
                         proof[d] = [{"example": int(index.ids[r]), "cosine": float(c),
                                      "label": int(index.labels[r])}
                                     for r, c in zip(ranks, cosines, strict=True)]
-                yield pa.record_batch([*part.columns[:-1], pa.array(scores), pa.array(proof, evidence)],
-                                      names=[*part.schema.names[:-1], "score", "evidence"])
+                yield pa.record_batch(
+                    [*(part.column(c) for c in keep), pa.array(scores), pa.array(proof, evidence)],
+                    names=[*keep, "score", "evidence"])
 
     return rows.mapInArrow(run, fields + ", score double, evidence array<struct<"
                                          "example:bigint,cosine:double,label:int>>")
