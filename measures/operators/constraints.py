@@ -6,9 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Job-level tables up to this many rows (one short row per file) are broadcast.
-BROADCAST_JOBS_MAX = 1_000_000
-
 DUP_IN_FILE = "Load error: duplicate key value violates unique constraint (id repeated in the file)"
 DUP_STORED = "Load error: duplicate key value violates unique constraint (id already stored)"
 DUP_BATCH = ("Load error: duplicate key value violates unique constraint "
@@ -48,7 +45,7 @@ def stored_ids_for(stored: DataFrame, candidates: DataFrame,
 def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
                        stored: DataFrame | None = None,
                        windows: dict[str, tuple] | None = None
-                       ) -> tuple[DataFrame, dict[str, str]]:
+                       ) -> tuple[DataFrame, set[str]]:
     """V6 with the reference's sequential semantics.
 
     `candidates`: rows (job_id, study_id, id, timestamp) of files that passed
@@ -60,34 +57,29 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
     `windows` (study -> (first, last) timestamp of the candidates), when
     known, saves the pass that would compute it.
 
-    Returns (rejections: job_id, message) and, for jobs whose rows are
-    already stored under their own job id (a replay), the load that stored
-    them.
+    Returns (rejections: job_id, message) and the jobs of which some rows are
+    already stored under their own job id (a replay, or the job sent again).
     """
     spark = candidates.sparkSession
     rank_df = spark.createDataFrame(list(ranks.items()), "job_id string, rank int")
-    if len(ranks) <= BROADCAST_JOBS_MAX:  # one short row per file: bounded
-        rank_df = F.broadcast(rank_df)
     # One row per (job, id) with its multiplicity, partially aggregated
     # before the shuffle on the id.
     pairs = (candidates.groupBy("job_id", "study_id", "id").agg(F.count(F.lit(1)).alias("n"))
              .join(rank_df, "job_id", "inner"))
     rejected: dict[str, str] = {}
-    replayed: dict[str, str] = {}
+    again: set[str] = set()
     if stored is not None:
         hits = (pairs.select("job_id", "study_id", "id")
                 .join(stored_ids_for(stored, candidates, windows), ["study_id", "id"], "inner"))
         per_job = (hits.groupBy("job_id")
                    .agg(F.max(F.col("stored_job_id") != F.col("job_id")).alias("foreign"),
-                        F.max(F.col("stored_job_id") == F.col("job_id")).alias("own"),
-                        F.max(F.when(F.col("stored_job_id") == F.col("job_id"),
-                                     F.col("stored_load_id"))).alias("own_load"))
+                        F.max(F.col("stored_job_id") == F.col("job_id")).alias("own"))
                    .collect())
         for r in per_job:
             if r["foreign"]:
                 rejected[r["job_id"]] = DUP_STORED
             elif r["own"]:
-                replayed[r["job_id"]] = r["own_load"]
+                again.add(r["job_id"])
     # Ids repeated inside a file or shared by several files, in one pass.
     # What reaches the driver is job-level: the distinct sets of job ranks
     # sharing an id, and the ranks of files repeating an id.
@@ -119,30 +111,34 @@ def resolve_duplicates(candidates: DataFrame, ranks: dict[str, int],
         else:
             accepted.add(r)
     rows = [(j, m) for j, m in rejected.items()]
-    return (spark.createDataFrame(rows, "job_id string, message string"), replayed)
+    return (spark.createDataFrame(rows, "job_id string, message string"), again)
 
 
 def fk_orphans(facts: DataFrame, studies: DataFrame, sites: DataFrame,
                participants: DataFrame, enrollments: DataFrame) -> DataFrame:
-    """V7: rows whose foreign key has no parent, counted per constraint."""
+    """V7: rows whose foreign key has no parent, counted per constraint.
+
+    The facts are read once and reduced to one row per key combination before
+    anything is joined, so a key with a third of all rows is one row."""
+    keys = ["study_id", "site_id", "participant_id"]
+    fact_keys = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     checks = [
-        ("measurement.study_id -> studies",
-         facts.select("study_id").join(studies, "study_id", "left_anti")),
-        ("measurement.site_id -> sites",
-         facts.select("site_id").join(sites, "site_id", "left_anti")),
-        ("measurement.(participant_id, study_id) -> enrollments",
-         facts.select("participant_id", "study_id")
-         .join(enrollments.select("participant_id", "study_id"),
-               ["participant_id", "study_id"], "left_anti")),
-        ("enrollment.participant_id -> participants",
-         enrollments.select("participant_id").join(participants, "participant_id", "left_anti")),
-        ("enrollment.study_id -> studies",
-         enrollments.select("study_id").join(studies, "study_id", "left_anti")),
+        ("measurement.study_id -> studies", fact_keys, studies, ["study_id"]),
+        ("measurement.site_id -> sites", fact_keys, sites, ["site_id"]),
+        ("measurement.(participant_id, study_id) -> enrollments", fact_keys, enrollments,
+         ["participant_id", "study_id"]),
+        ("enrollment.participant_id -> participants", enrollments.withColumn("n", F.lit(1)),
+         participants, ["participant_id"]),
+        ("enrollment.study_id -> studies", enrollments.withColumn("n", F.lit(1)), studies,
+         ["study_id"]),
     ]
     out = None
-    for name, orphans in checks:
-        part = orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(
-            F.lit(name).alias("constraint"), "orphan_rows")
+    for name, children, parents, on in checks:
+        # A NULL foreign key refers to nothing and is no orphan.
+        part = (children.groupBy(*on).agg(F.sum("n").alias("n")).dropna(subset=on)
+                .join(parents.select(*on), on, "left_anti")
+                .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
+                .select(F.lit(name).alias("constraint"), "orphan_rows"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -28,10 +28,6 @@ from measures.sinks import tables
 from measures.sources import landing
 from measures.sources.store import Store
 
-# Job lists up to this size are broadcast when selecting accepted rows; the
-# list is one short string per file, so this bounds the broadcast to ~50 MB.
-BROADCAST_JOBS_MAX = constraints.BROADCAST_JOBS_MAX
-
 
 @dataclass
 class LoadReport:
@@ -87,7 +83,7 @@ def _load(spark: SparkSession, store: Store, scan: landing.LandingScan, typed: D
     # Job-level metadata (one row per file) -- the only data on the driver.
     files = {r["job_id"]: r.asDict() for r in scan.files.groupBy("job_id").agg(
         F.min("filename").alias("filename"), F.min("modified").alias("submitted"),
-        F.max("empty").alias("empty"), F.max("header").alias("header")).collect()}
+        F.max("empty").alias("empty"), F.collect_set("header").alias("headers")).collect()}
     verdicts = {r["job_id"]: r.asDict() for r in validate.file_verdicts(typed).collect()}
     jobs: dict[str, dict] = {}
     for m in manifest or []:
@@ -96,7 +92,7 @@ def _load(spark: SparkSession, store: Store, scan: landing.LandingScan, typed: D
     for job_id, f in files.items():
         j = jobs.setdefault(job_id, {"job_id": job_id, "filename": f["filename"],
                                      "study_id": None, "submitted": f["submitted"]})
-        j.update(present=True, empty=f["empty"], header=f["header"])
+        j.update(present=True, empty=f["empty"], headers=f["headers"])
         j["submitted"] = j.get("submitted") or f["submitted"]
     for job_id, j in jobs.items():
         _judge_file(j, verdicts.get(job_id))
@@ -104,15 +100,18 @@ def _load(spark: SparkSession, store: Store, scan: landing.LandingScan, typed: D
     passing = sorted((j for j in jobs.values() if j["status"] is None and j["rows"] > 0),
                      key=lambda j: (j["submitted"] or dt.datetime.min, j["job_id"]))
     ranks = {j["job_id"]: i for i, j in enumerate(passing)}
-    replayed: dict[str, str] = {}
+    again: set[str] = set()  # jobs of which some rows are stored already
+    stored_rows = None
     if ranks:
         candidates = _select_jobs(typed, list(ranks)).select("job_id", "study_id", "id",
                                                              "timestamp")
         windows = _windows([verdicts[j] for j in ranks])
         # Only the batch's study folders of the stored facts are listed.
         stored = store.read_partitions(spark, "measurements", sorted(windows))
-        rejections, replayed = constraints.resolve_duplicates(candidates, ranks, stored,
-                                                              windows=windows)
+        rejections, again = constraints.resolve_duplicates(candidates, ranks, stored,
+                                                           windows=windows)
+        if again:
+            stored_rows = constraints.stored_ids_for(stored, candidates, windows)
         for r in rejections.collect():
             jobs[r["job_id"]].update(status="failed", progress=PROGRESS["validated"],
                                      message=r["message"], failed_stage="load")
@@ -130,13 +129,16 @@ def _load(spark: SparkSession, store: Store, scan: landing.LandingScan, typed: D
                          .unionByName(ledger.stage_events(spark, list(jobs.values()), "checked",
                                                           ledger.now(), load_id)))
     if accepted:
-        # Jobs stored by an earlier load are already in facts and roll-up;
-        # jobs stored by this same load (a replay) still go to the roll-up,
-        # whose day markers keep them from counting twice.
-        earlier = {j for j, l in replayed.items() if l != load_id}
+        # A job sent again, or a load replayed after a crash: rows are taken
+        # one by one.  Facts get the rows not stored yet.  The roll-up gets
+        # the rows no earlier load stored; those of this same load go to it
+        # again, where day markers keep them from counting twice.
+        facts = for_rollup = rows
+        if again:
+            facts = _not_stored(rows, stored_rows)
+            for_rollup = _not_stored(rows, stored_rows.where(F.col("stored_load_id") != load_id))
         touched = [verdicts[j] for j in accepted]
-        _write(spark, store, rows, [j for j in accepted if j not in replayed],
-               [j for j in accepted if j not in earlier] if earlier else None, load_id,
+        _write(spark, store, rows, facts, for_rollup, load_id,
                studies=sorted({s for v in touched for s in v["studies"]}),
                days=sorted({d for v in touched for d in v["days"]}), rule=rollup_rule)
     tables.append_ledger(store, ledger.stage_events(spark, list(jobs.values()), "finished",
@@ -151,7 +153,9 @@ def _judge_file(j: dict, v: dict | None) -> None:
     with any invalid types), then the row checks (transform, validate, load).
     Leaves status None for files that pass (duplicate ids come later)."""
     j["rows"] = v["rows"] if v else 0
-    missing = landing.missing_columns(j.get("header")) if j.get("present") else []
+    # A job may hold several files; each must have every column.
+    lacking = {c for h in j.get("headers") or [] for c in landing.missing_columns(h)}
+    missing = [c for c in landing.missing_columns(None) if c in lacking]
     if not j.get("present"):
         j.update(status="failed", progress=PROGRESS["started"], failed_stage="extract",
                  message=f"File not found: {j['filename']}")
@@ -182,11 +186,14 @@ def _public(j: dict) -> dict:
 def _select_jobs(typed: DataFrame, job_ids: list[str]) -> DataFrame:
     spark = typed.sparkSession
     keep = spark.createDataFrame([(j,) for j in job_ids], "job_id string")
-    if len(job_ids) <= BROADCAST_JOBS_MAX:
-        keep = F.broadcast(keep)
     return typed.join(keep, "job_id", "left_semi")
 
 
+def _not_stored(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    keys = stored.select("study_id", "id", F.col("stored_job_id").alias("job_id"))
+    return rows.join(keys, ["study_id", "id", "job_id"], "left_anti")
+
+
 def _windows(verdicts: list[dict]) -> dict[str, tuple]:
     """Per study, the time span the given files cover (a superset per study
     when a file holds several studies)."""
@@ -198,21 +205,16 @@ def _windows(verdicts: list[dict]) -> dict[str, tuple]:
     return out
 
 
-def _write(spark: SparkSession, store: Store, rows: DataFrame, fresh_jobs: list[str],
-           rollup_jobs: list[str] | None, load_id: str, studies: list[str], days: list,
+def _write(spark: SparkSession, store: Store, rows: DataFrame, facts: DataFrame,
+           for_rollup: DataFrame, load_id: str, studies: list[str], days: list,
            rule: str = "faithful") -> None:
     """K5 order: studies, participants, enrollments, sites, facts, roll-up.
-    Every step is idempotent under a replay of the same load.  `rollup_jobs`
-    None means every accepted row goes to the roll-up."""
-    rows = rows.drop("_too_long", "_bp_overflow", "_has_id", "_bad_id")
+    Every step is idempotent under a replay of the same load."""
+    flags = ("_too_long", "_bp_overflow", "_has_id", "_bad_id")
+    rows = rows.drop(*flags)
     tables.append_keys(spark, store, "studies", "study_id", rows)
     tables.append_keys(spark, store, "participants", "participant_id", rows)
     tables.merge_enrollments(spark, store, rows, studies)
     tables.append_keys(spark, store, "sites", "site_id", rows)
-    if fresh_jobs:
-        tables.append_facts(store, _select_jobs(rows, fresh_jobs)
-                            .withColumn("load_id", F.lit(load_id)))
-    if rollup_jobs is None:
-        tables.merge_rollup(spark, store, rows, load_id, days, rule)
-    elif rollup_jobs:
-        tables.merge_rollup(spark, store, _select_jobs(rows, rollup_jobs), load_id, days, rule)
+    tables.append_facts(store, facts.drop(*flags).withColumn("load_id", F.lit(load_id)))
+    tables.merge_rollup(spark, store, for_rollup.drop(*flags), load_id, days, rule)
