@@ -23,19 +23,16 @@ _QUALITY_LOW, _QUALITY_HIGH, _QUALITY_TYPE = 0.0, 1.0, "decimal(3,2)"
 # Surrounding whitespace as a general "strip" removes it (spaces, tabs,
 # line breaks, Unicode spaces), not only ASCII blanks like `trim`.
 _EDGE_WS = r"(?U)^\s+|\s+$"
-# ISO-8601 layouts that a plain cast does not read: the "basic" forms, and
-# extended forms with minute or hour precision.
-_BASIC_TIMESTAMP_FORMATS = (
-    "yyyyMMdd'T'HHmmss[.SSSSSS][XXX][X]",
-    "yyyyMMdd'T'HHmm[XXX][X]",
-    "yyyyMMdd'T'HH[XXX][X]",
-    "yyyyMMdd",
-    "yyyy-MM-dd'T'HH:mm[XXX][X]",
-    "yyyy-MM-dd HH:mm[XXX][X]",
-    "yyyy-MM-dd'T'HH[XXX][X]",
-)
-# ISO-8601 also allows a comma before the fraction of a second.
-_COMMA_FRACTION = r"(\d{2}:\d{2}:\d{2}),(\d)"
+# ISO-8601 dates: calendar (year, year-month, day), week and ordinal forms; a
+# time of hours, minutes or seconds with a fraction; and a zone as Z or offset.
+_ISO_DATE = (r"(?:(\d{4})(?:-(\d{2}))?|(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2})"
+             r"|(\d{4})-?W(\d{2})(?:-?(\d))?|(\d{4})-?(\d{3}))")
+_ISO_TIME = r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?)?"
+_ISO = "^" + _ISO_DATE + _ISO_TIME + r"\z"
+# The usual extended form, which a plain cast reads as it stands.
+_ISO_USUAL = (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?\z")
+# A number as text; no type suffixes and no hexadecimal.
+_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\z"
 
 
 def _c(c: Column | str) -> Column:
@@ -60,11 +57,47 @@ def parse_timestamp_utc(c: Column | str) -> Column:
     zone-less text), then its UTC wall clock is kept.  NULL when unreadable;
     the per-file gate turns that into a failed file.
     """
-    c = F.regexp_replace(_c(c), _COMMA_FRACTION, "$1.$2")
-    parsed = F.try_to_timestamp(c)  # same reader as CAST(... AS TIMESTAMP)
-    for fmt in _BASIC_TIMESTAMP_FORMATS:
-        parsed = F.coalesce(parsed, F.try_to_timestamp(c, F.lit(fmt)))
-    return parsed.cast("timestamp_ntz")
+    c = _c(c)
+    return F.when(c.rlike(_ISO_USUAL), F.try_to_timestamp(c).cast("timestamp_ntz")).when(
+        c.rlike(_ISO), _rarer_iso(c))
+
+
+def _rarer_iso(c: Column) -> Column:
+    """Any ISO-8601 form, from its parts: day + time of day - offset."""
+    def part(i: int) -> Column:
+        found = F.regexp_extract(c, _ISO, i)
+        return F.when(found != "", found)
+
+    def number(*groups: int, default: int | None = None) -> Column:
+        return F.coalesce(*map(part, groups), F.lit(default)).cast("int")
+
+    def date(*parts: Column) -> Column:
+        text = F.format_string("%04d-%02d-%02d", *parts)
+        return F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+
+    year = number(1, 3, 6, 9, 12)
+    calendar = date(year, number(2, 4, 7, default=1), number(5, 8, default=1))
+    week, weekday = number(10), number(11, default=1)
+    fourth = date(year, F.lit(1), F.lit(4))  # always in week 1
+    by_week = F.when(week.between(1, 53) & weekday.between(1, 7), F.date_add(
+        fourth, (week - 1) * 7 + weekday - 1 - F.weekday(fourth)))
+    ordinal = F.date_add(date(year, F.lit(1), F.lit(1)), number(13) - 1)
+    ordinal = F.when((number(13) >= 1) & (F.year(ordinal) == year), ordinal)
+    day = F.when(part(10).isNotNull(), by_week).when(part(13).isNotNull(), ordinal).otherwise(
+        calendar)
+    hour, minute, second = (number(i, default=0) for i in (14, 15, 16))
+    micros = F.rpad(F.substring(F.coalesce(part(17), F.lit("0")), 1, 6), 6, "0").cast("bigint")
+    zone = F.regexp_replace(F.coalesce(part(18), F.lit("Z")), ":", "")
+    shift = F.when(zone == "Z", F.lit(0)).otherwise(
+        F.concat(F.substring(zone, 1, 1), F.lit("1")).cast("int")
+        * (F.substring(zone, 2, 2).cast("int") * 60
+           + F.coalesce(F.substring(zone, 4, 2).try_cast("int"), F.lit(0))))
+    of_day = (hour * 3600 + minute * 60 + second).cast("bigint") * 1_000_000 + micros
+    valid = (minute < 60) & (second < 60) & (
+        (hour < 24) | ((hour == 24) & (of_day == F.lit(86_400_000_000))))
+    start = F.unix_micros(day.cast("timestamp"))
+    return F.when(valid, F.timestamp_micros(
+        start + of_day - shift.cast("bigint") * 60_000_000).cast("timestamp_ntz"))
 
 
 def clamp_quality(c: Column | str) -> Column:
@@ -73,7 +106,8 @@ def clamp_quality(c: Column | str) -> Column:
     Unreadable, missing and NaN become NULL; `least/greatest` alone would turn
     NULL into 0 and NaN into 1.
     """
-    q = _c(c).try_cast("double")
+    text = F.trim(_c(c).cast("string"))
+    q = F.when(text.rlike(_NUMBER), text.try_cast("double"))
     clamped = F.least(F.greatest(q, F.lit(_QUALITY_LOW)), F.lit(_QUALITY_HIGH))
     return F.when(q.isNull() | F.isnan(q), F.lit(None)).otherwise(clamped).cast(_QUALITY_TYPE)
 

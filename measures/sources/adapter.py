@@ -6,7 +6,7 @@ rule, so every registered query reads the given data and grows with it:
 
   study        STUDY00{1..3} from user and event_id / 6 (weight and height of
                one participant land in the same study)
-  participant  P + 4-digit user id          site   SITE_A..D from user id
+  participant  P + user id, at least 4 digits          site   SITE_A..D from user id
   type         event_id mod 6 over the six types
   value        a number, a `sys/dia` pair for blood pressure, or `invalid`
   quality      0.80-1.00, NULL for some rows
@@ -33,7 +33,7 @@ MEASUREMENTS_SQL = """
 m AS (
 SELECT event_id,
   concat('STUDY00', CAST((user_id + CAST(floor(event_id / 6) AS BIGINT) % 2) % 3 + 1 AS VARCHAR(10))) AS study_id,
-  concat('P', lpad(CAST(user_id AS VARCHAR(10)), 4, '0')) AS participant_id,
+  concat('P', lpad(CAST(user_id AS VARCHAR), CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')) AS participant_id,
   concat('SITE_', CASE user_id % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'D' END) AS site_id,
   CASE event_id % 6 WHEN 0 THEN 'glucose' WHEN 1 THEN 'cholesterol' WHEN 2 THEN 'weight'
        WHEN 3 THEN 'height' WHEN 4 THEN 'blood_pressure' ELSE 'heart_rate' END AS measurement_type,
@@ -76,6 +76,11 @@ def _pick(index, values):
     return expr
 
 
+def _padded(text, width: int):
+    """At least `width` characters; longer text stays whole."""
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def measurements(events: DataFrame) -> DataFrame:
     """Raw measurement rows (as a landing file would carry them, typed)."""
     eid = F.col("event_id")
@@ -89,7 +94,7 @@ def measurements(events: DataFrame) -> DataFrame:
     return events.select(
         eid.alias("event_id"),
         F.concat(F.lit("STUDY00"), study_no.cast("string")).alias("study_id"),
-        F.concat(F.lit("P"), F.lpad(uid.cast("string"), 4, "0")).alias("participant_id"),
+        F.concat(F.lit("P"), _padded(uid.cast("string"), 4)).alias("participant_id"),
         F.concat(F.lit("SITE_"), _pick(uid % 4, _SITES_BY_REMAINDER)).alias("site_id"),
         _pick(kind, _TYPES_BY_REMAINDER).alias("measurement_type"),
         F.when(eid % 97 == 0, F.lit("invalid"))

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from dataclasses import dataclass, field
 
 from pyspark import cloudpickle
@@ -90,6 +91,11 @@ def read_headers(files: DataFrame) -> DataFrame:
         headers.header_lines, "path string, modified timestamp_ntz, header string")
 
 
+def literal_path(path: str) -> str:
+    """A listed path as the readers take it literally: glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def parse_header(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line))) if line else []
 
@@ -121,7 +127,7 @@ def jvm_headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
     reader cannot open.  Only the first split of each file is kept, and its
     earliest line is chosen with a partial aggregate (`min_by` over the read
     order), so no task gathers a file.  Keys are canonical paths."""
-    text = (spark.read.text(paths)
+    text = (spark.read.text([literal_path(p) for p in paths])
             .select(F.col("_metadata.file_path").alias("p"),
                     F.col("_metadata.file_block_start").alias("start"),
                     F.regexp_replace("value", "^\uFEFF", "").alias("line"),
@@ -193,7 +199,7 @@ def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("escape", '"').option("encoding", "UTF-8")
               .option("multiLine", multiline)
-              .csv(g["paths"]))
+              .csv([literal_path(p) for p in g["paths"]]))
         keep, seen = [], set()
         for p, n in zip(physical, names):
             if n in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS) and n not in seen:
@@ -238,10 +244,6 @@ def _same_path(path: str, encoded: bool = False) -> str:
 
 def _field_count(line: F.Column) -> F.Column:
     """Fields in a CSV line: commas outside quoted sections, plus one."""
-    unquoted = F.regexp_replace(line, r'"([^"]|"")*"', "")
+    unquoted = F.regexp_replace(line, r'"[^"]*+"', "")  # possessive: no recursion per character
     return F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", "")) + 1
 
-
-def rows_per_job(rows: DataFrame) -> DataFrame:
-    """Extracted row count per job."""
-    return rows.groupBy("job_id").agg(F.count(F.lit(1)).alias("rows"))
