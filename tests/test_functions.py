@@ -136,3 +136,44 @@ def test_offsets_survive_an_ntz_default_session(spark):
         assert got == [dt.datetime(2024, 1, 15, 7, 30)]
     finally:
         spark.conf.set("spark.sql.timestampType", "TIMESTAMP_LTZ")
+
+
+def test_iso_8601_forms(spark):
+    from measures.functions.parsing import parse_timestamp_utc
+    good = {"2024": dt.datetime(2024, 1, 1), "2024-02": dt.datetime(2024, 2, 1),
+            "20240215": dt.datetime(2024, 2, 15), "2024015": dt.datetime(2024, 1, 15),
+            "2024-366": dt.datetime(2024, 12, 31), "2024-W03": dt.datetime(2024, 1, 15),
+            "2024W037T0930Z": dt.datetime(2024, 1, 21, 9, 30),
+            "2020-W53-5": dt.datetime(2021, 1, 1),
+            "2024-01-15T24:00": dt.datetime(2024, 1, 16),
+            "2024-01-15T09:30:00,5+02:00": dt.datetime(2024, 1, 15, 7, 30, 0, 500000),
+            "2024-01-15 09:30:00.123456789": dt.datetime(2024, 1, 15, 9, 30, 0, 123456),
+            "20240115T093000-0530": dt.datetime(2024, 1, 15, 15, 0),
+            "2024-01-15T09+01": dt.datetime(2024, 1, 15, 8),
+            "2024-01-15T09:30:00Z": dt.datetime(2024, 1, 15, 9, 30)}
+    assert one_col(spark, list(good), parse_timestamp_utc) == list(good.values())
+    bad = ["09:30:00", "202401", "2024-1-5", "2024-01-15T09:30:00 Europe/Paris", "2024-13-01",
+           "2024-02-30", "2024-01-15T24:01", "2024-01-15T09:60", "2023-366", "2024-W54", "", None]
+    assert one_col(spark, bad, parse_timestamp_utc) == [None] * len(bad)
+
+
+def test_quality_takes_plain_numbers_only(spark):
+    got = one_col(spark, ["0.9d", "0.9f", "0x1p-1", "9e-1", "+.5", "1_0"], clamp_quality)
+    assert [None if x is None else str(x) for x in got] == [None, None, None, "0.90", "0.50", None]
+
+
+def test_adapter_keeps_long_user_ids_apart(spark):
+    import duckdb
+    from measures.sources import adapter
+    ids = [7, 1234, 12345, 12346, 123450]
+    events = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1), u, 1.0) for i, u in enumerate(ids)],
+        "event_id bigint, ts timestamp_ntz, user_id bigint, value double")
+    want = ["P0007", "P1234", "P12345", "P12346", "P123450"]
+    assert [r[0] for r in adapter.measurements(events).orderBy("event_id")
+            .select("participant_id").collect()] == want
+    con = duckdb.connect()
+    con.sql("CREATE TABLE events AS SELECT i AS event_id, TIMESTAMP '2024-01-01' AS ts, "
+            f"({ids})[i + 1]::BIGINT AS user_id, 1.0 AS value FROM range({len(ids)}) t(i)")
+    assert [r[0] for r in con.sql(f"WITH {adapter.MEASUREMENTS_SQL} SELECT participant_id "
+                                  "FROM m ORDER BY event_id").fetchall()] == want

@@ -2,7 +2,9 @@
 plus the per-file edge cases (whole-file accept/reject)."""
 
 import datetime as dt
+import hashlib
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ from measures.plans import analytics, loading, reads
 from measures.sources.store import Store
 
 
+def id_of(text):
+    return str(uuid.UUID(hashlib.md5(text.encode()).hexdigest()))
+
+
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("e2e"))
@@ -45,9 +51,9 @@ def test_queries_golden(loaded):
     facts, roll = store.measurements(spark), store.rollup(spark)
     assert roll.count() == 21
     assert [tuple(r) for r in analytics.quality_by_study(facts).collect()] == [
-        ("STUDY001", 0.978, 12), ("STUDY002", 0.962, 9)]
+        ("STUDY001", 0.974, 12), ("STUDY002", 0.957, 9)]
     assert [tuple(r) for r in analytics.quality_by_study_rollup(roll, digits=6).collect()] == [
-        ("STUDY001", 0.978333, 12), ("STUDY002", 0.962222, 9)]
+        ("STUDY001", 0.974167, 12), ("STUDY002", 0.956667, 9)]
     assert [tuple(r) for r in analytics.daily_trend(facts, "P001", "glucose").collect()] == [
         (dt.date(2024, 1, 15), 95.5)]
     assert [tuple(r) for r in analytics.daily_trend_rollup(roll, "P001", "glucose").collect()] == [
@@ -60,13 +66,13 @@ def test_queries_golden(loaded):
     assert [(r.agg_day, r.study_id, r.participant_id, r.measurement_type,
              r.measurement_count, r.avg_systolic, r.avg_diastolic, r.avg_quality_score,
              r.low_quality_count) for r in low] == [
-        (dt.date(2024, 1, 16), "STUDY002", "P001", "blood_pressure", 1, 120.0, 80.0, 0.92, 1),
-        (dt.date(2024, 1, 16), "STUDY002", "P002", "blood_pressure", 1, 130.0, 85.0, 0.94, 1)]
+        (dt.date(2024, 1, 16), "STUDY002", "P001", "blood_pressure", 1, 118.0, 76.0, 0.91, 1),
+        (dt.date(2024, 1, 16), "STUDY002", "P002", "blood_pressure", 1, 141.0, 92.0, 0.93, 1)]
     q6 = sorted(tuple(r) for r in
                 analytics.participants_per_study(store.enrollments(spark)).collect())
     assert q6 == [("STUDY001", 3), ("STUDY002", 3)]
-    assert analytics.mean_bmi(facts, "STUDY001").first()[0] == 24.99
-    assert analytics.mean_bmi_rollup(roll, "STUDY001").first()[0] == 24.99
+    assert analytics.mean_bmi(facts, "STUDY001").first()[0] == 23.38
+    assert analytics.mean_bmi_rollup(roll, "STUDY001").first()[0] == 23.38
     recent = analytics.recent_measurements(facts, days=1, as_of=dt.date(2024, 1, 17)).count()
     assert recent == 9
 
@@ -79,8 +85,8 @@ def test_enrollments_golden(loaded):
                    ("STUDY001", "P002", dt.datetime(2024, 1, 15, 10, 15)),
                    ("STUDY001", "P003", dt.datetime(2024, 1, 15, 11, 0)),
                    ("STUDY002", "P001", dt.datetime(2024, 1, 16, 9, 0)),
-                   ("STUDY002", "P002", dt.datetime(2024, 1, 16, 10, 30)),
-                   ("STUDY002", "P003", dt.datetime(2024, 1, 16, 11, 15))]
+                   ("STUDY002", "P002", dt.datetime(2024, 1, 16, 12, 45)),
+                   ("STUDY002", "P003", dt.datetime(2024, 1, 16, 14, 5))]
 
 
 def test_dimensions(loaded):
@@ -191,8 +197,8 @@ def test_header_normalised_reordered_extra(spark, workdir):
     assert report.status()[JOB] == "completed"
     got = store.measurements(spark).where("measurement_type='heart_rate' AND participant_id='P001'")
     r = got.first()
-    assert (r.value, r.site_id, str(r.quality_score)) == ("72", "SITE_B", "0.98")
-    assert r.id == "d9f8376a-bb49-3e9a-5a13-f3978e7ec89c"
+    assert (r.value, r.site_id, str(r.quality_score)) == ("66", "SITE_B", "0.97")
+    assert r.id == id_of("STUDY002|P001|2024-01-16 09:00:00+00:00|heart_rate|66")
 
 
 def test_missing_column(spark, workdir):
@@ -240,6 +246,66 @@ def test_replayed_load_is_idempotent(spark, workdir):
     assert store.rollup(spark).agg(F.sum("measurement_count")).first()[0] == 12
 
 
+def sums(spark, store):
+    return (store.measurements(spark).count(),
+            store.rollup(spark).agg(F.sum("measurement_count")).first()[0])
+
+
+def test_same_job_sent_again_with_more_rows(spark, workdir):
+    lines = F1_ROWS.splitlines()
+    store = Store(os.path.join(workdir, "store"))
+    for i, n in enumerate((1, 3, 3)):
+        land = os.path.join(workdir, f"landing{i}")
+        write_file(land, f"{F1_JOB}_s.csv", csv_text("\n".join(lines[:n])))
+        assert loading.run_load(spark, land, store).status() == {F1_JOB: "completed"}
+        assert sums(spark, store) == (n, n)
+
+
+def test_replay_over_a_half_written_append(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{F1_JOB}_s.csv", csv_text(F1_ROWS))
+    whole, store = Store(os.path.join(workdir, "whole")), Store(os.path.join(workdir, "store"))
+    loading.run_load(spark, land, whole, load_id="L1")
+    # The crash: two of the load's rows were stored, nothing after them.
+    from measures.sinks import tables
+    tables.append_facts(store, whole.measurements(spark).orderBy("id").limit(2))
+    assert loading.run_load(spark, land, store, load_id="L1").status() == {F1_JOB: "completed"}
+    assert sums(spark, store) == (12, 12)
+    assert sorted(r.id for r in store.measurements(spark).select("id").collect()) == sorted(
+        r.id for r in whole.measurements(spark).select("id").collect())
+
+
+@pytest.mark.parametrize("name", ["a[1].csv", "b{x,y}.csv", "c*.csv", "d?.csv"])
+def test_glob_characters_in_a_file_name(spark, workdir, name):
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{F1_JOB}_{name}", csv_text(F1_ROWS))
+    write_file(land, f"{F2_JOB}_good.csv", csv_text(F2_ROWS))
+    store = Store(os.path.join(workdir, "store"))
+    report = loading.run_load(spark, land, store)
+    assert report.status() == {F1_JOB: "completed", F2_JOB: "completed"}
+    assert store.measurements(spark).count() == 21
+
+
+def test_very_long_quoted_field_fails_only_its_file(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_file(land, f"{F1_JOB}_s.csv", csv_text('STUDY001,P001,"' + "x" * 100_000 + '"'))
+    write_file(land, f"{F2_JOB}_good.csv", csv_text(F2_ROWS))
+    report = loading.run_load(spark, land, Store(os.path.join(workdir, "store")))
+    assert report.status() == {F1_JOB: "failed", F2_JOB: "completed"}
+
+
+def test_job_folder_with_one_incomplete_header(spark, workdir):
+    land = os.path.join(workdir, "landing", f"{F1_JOB}_s.csv")
+    write_file(land, "part-0.csv", csv_text(F1_ROWS))
+    short = "\n".join(",".join(r.split(",")[:4] + r.split(",")[5:7]) for r in F2_ROWS.splitlines())
+    write_file(land, "part-1.csv",
+               "study_id,participant_id,measurement_type,value,timestamp,site_id\n" + short + "\n")
+    report = loading.run_load(spark, os.path.join(workdir, "landing"),
+                              Store(os.path.join(workdir, "store")))
+    assert report.status() == {F1_JOB: "failed"}
+    assert report.jobs[0]["message"] == "Missing column unit; Missing column quality_score"
+
+
 def test_header_matches_fixture_header():
     assert HEADER.split(",")[0] == "study_id"
 
@@ -255,8 +321,8 @@ def test_crlf_and_bom(spark, workdir):
     assert report.status()[JOB] == "completed", report.jobs
     rows = {(r.participant_id, r.measurement_type): r for r in store.measurements(spark).collect()}
     r = rows[("P001", "heart_rate")]
-    assert (r.value, r.site_id, str(r.quality_score)) == ("72", "SITE_B", "0.98")
-    assert r.id == "d9f8376a-bb49-3e9a-5a13-f3978e7ec89c"
+    assert (r.value, r.site_id, str(r.quality_score)) == ("66", "SITE_B", "0.97")
+    assert r.id == id_of("STUDY002|P001|2024-01-16 09:00:00+00:00|heart_rate|66")
 
 
 def test_file_supplied_ids(spark, workdir):
