@@ -8,7 +8,7 @@
   job     STORE JOB_ID                          job record and status
 
 Results go to `--out` as Parquet when given (nothing passes through the
-driver); otherwise the first rows are printed.
+driver at once); otherwise every row is printed, one JSON object a line.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ def _emit(df, out: str | None) -> None:
         df.write.mode("overwrite").parquet(out)
         print(json.dumps({"written": out}))
     else:
-        df.show(20, truncate=False)
+        for line in df.toJSON().toLocalIterator():  # every row, a partition at a time
+            print(line)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -38,8 +39,8 @@ def main(argv: list[str] | None = None) -> int:
 
     p = argparse.ArgumentParser(prog="measures")
     p.add_argument("--master", default=None, help="Spark master (default: the launcher's)")
-    p.add_argument("--shuffle-partitions", type=int, default=200,
-                   help="shuffle partitions before AQE coalescing (size to the data)")
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="shuffle partitions before AQE coalescing (default: the launcher's)")
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("load")
     a.add_argument("landing"), a.add_argument("store")

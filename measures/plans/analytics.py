@@ -129,14 +129,29 @@ def mean_bmi(facts: DataFrame, study_id: str = "STUDY001") -> DataFrame:
     latest height in the study (W1 + J1 + S10 + A15)."""
     scoped = facts.where((F.col("study_id") == study_id)
                          & F.col("measurement_type").isin("weight", "height"))
-    latest = latest_value(scoped, ["participant_id", "measurement_type"], "value_num",
-                          ["timestamp", "id"], "v")
+    # One scan and one shuffle: a participant without one of the two has a
+    # NULL there, so a NULL index, which the average leaves out (as J1 would).
+    both = scoped.groupBy("participant_id").agg(
+        _latest_of("weight").alias("weight_kg"), _latest_of("height").alias("height_cm"))
+    return both.agg(F.round(F.avg(bmi()), 2).alias("avg_bmi"))
+
+
+def _latest_of(kind: str) -> Column:
+    return F.expr("max_by(value_num, struct(timestamp, id)) "
+                  f"FILTER (WHERE measurement_type = '{kind}')")
+
+
+def latest_weight_and_height(facts: DataFrame, study_id: str = "STUDY001") -> DataFrame:
+    """J1 itself: each participant's latest weight joined with the latest height."""
+    latest = latest_value(
+        facts.where((F.col("study_id") == study_id)
+                    & F.col("measurement_type").isin("weight", "height")),
+        ["participant_id", "measurement_type"], "value_num", ["timestamp", "id"], "v")
     weight = latest.where(F.col("measurement_type") == "weight").select(
         "participant_id", F.col("v").alias("weight_kg"))
     height = latest.where(F.col("measurement_type") == "height").select(
         "participant_id", F.col("v").alias("height_cm"))
-    joined = weight.join(height, "participant_id", "inner")
-    return joined.agg(F.round(F.avg(bmi()), 2).alias("avg_bmi"))
+    return weight.join(height, "participant_id", "inner")
 
 
 def mean_bmi_rollup(rollup: DataFrame, study_id: str = "STUDY001") -> DataFrame:

@@ -9,6 +9,8 @@ places in the registered form so summation order cannot change the result.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,7 +156,7 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> Store:
     day and half-day), then load the morning files and the afternoon files
     as two loads, so the second merges into stored day partitions.  The store
     lives in the shared scratch folder; one per session and input."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LOADED:
         ensure_session(spark)
         base = scratch_dir(spark, "etl")
@@ -173,7 +175,7 @@ def q_etl_rollup_exact(spark, d):
     the stored roll-up must equal a single recompute over all rows."""
     store = loaded_store(spark, d)
     base = store.root.rsplit("/", 1)[0]
-    key = (id(spark), d, "exact")
+    key = (spark.sparkContext.applicationId, d, "exact")
     if key not in _LOADED:
         exact = Store(f"{base}/store_exact")
         loading.run_load(spark, f"{base}/landing_am", exact, load_id="am", rollup_rule="exact")
@@ -204,9 +206,7 @@ def q_etl_jobs(spark, d):
 
 def q_etl_job_lookup(spark, d):
     store = loaded_store(spark, d)
-    job = spark.range(1).select(F.md5(F.lit(LOOKUP_JOB)).alias("h")).select(
-        F.concat_ws("-", *[F.substring("h", a, b) for a, b in
-                           ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]).alias("id")).first()[0]
+    job = str(uuid.UUID(hashlib.md5(LOOKUP_JOB.encode()).hexdigest()))
     return ledger.job_by_id(store.jobs(spark), job).select("id", "filename", "study_id",
                                                            "status", "error_message")
 
@@ -231,7 +231,7 @@ def q_stream_ingest_facts(spark, d):
     """X1 over the staged landing files (both halves): one micro-batch, one load."""
     store = loaded_store(spark, d)
     base = store.root.rsplit("/", 1)[0]
-    key = (id(spark), d, "stream")
+    key = (spark.sparkContext.applicationId, d, "stream")
     if key not in _LOADED:
         streamed = Store(f"{base}/store_stream")
         q = start_ingest(spark, f"{base}/landing_*", streamed, checkpoint=f"{base}/ckpt_ingest")
@@ -245,7 +245,7 @@ def q_stream_daily_rollup(spark, d):
     to a Parquet sink; only days closed by the watermark are emitted."""
     store = loaded_store(spark, d)
     base = store.root.rsplit("/", 1)[0]
-    key = (id(spark), d, "rollup_stream")
+    key = (spark.sparkContext.applicationId, d, "rollup_stream")
     if key not in _LOADED:
         out = f"{base}/rollup_stream"
         q = (streaming_daily_rollup(stream_facts(spark, store), lateness=STREAM_LATENESS)
@@ -318,7 +318,7 @@ def _sql(name: str, **params):
     def run(spark, d):
         from measures.plans import sql
         store = loaded_store(spark, d)
-        prefix = f"s{abs(hash(store.root)) % 10**8}_"
+        prefix = f"s{hashlib.md5(store.root.encode()).hexdigest()[:12]}_"
         sql.register_views(spark, store, prefix)
         out = sql.run(spark, name, prefix, **params)
         if name in ("q4",):

@@ -50,8 +50,6 @@ MSG_COMPLETED = "Job completed successfully"
 MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                   "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
                   "nan", "null")
-# Job states.
-JOB_STATES = ("pending", "running", "completed", "failed")
 # ---------------------------------------------------------------------------
 
 ROLLUP_KEYS = ("agg_day", "study_id", "site_id", "participant_id", "measurement_type")

@@ -33,19 +33,21 @@ PERFORMANCE_CONF = {
 }
 
 
-def build_session(master: str | None = "local[8]", app: str = "measures",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+def build_session(master: str | None = None, app: str = "measures",
+                  shuffle_partitions: int | None = None,
+                  extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session configured for this library.
 
-    `master=None` leaves the master to the launcher (spark-submit on a
-    cluster, local[*] otherwise).  On a cluster, size the shuffle partition
-    count to the data (roughly input bytes / 128 MB); AQE coalesces from there.
+    By default the master and the shuffle partition count are the launcher's
+    (spark-submit on a cluster, local[*] otherwise).  On a cluster, size the
+    latter to the data (roughly input bytes / 128 MB); AQE coalesces from there.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = (builder.config("spark.ui.enabled", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+    builder = builder.config("spark.ui.enabled", "false")
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**PERFORMANCE_CONF, **SEMANTIC_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -64,9 +66,10 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; only when nothing is configured (local runs and
-    tests) is a folder under the session's warehouse directory chosen and
-    registered as the checkpoint directory.
+    Read from the session; only when nothing is configured and the master is
+    local (tests) is a folder under the session's warehouse directory chosen
+    and registered as the checkpoint directory.  On a cluster that would be
+    the driver's own disk, so it is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +77,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         configured = warehouse.rstrip("/") + "/_measures_checkpoints"
     sc.setCheckpointDir(configured)

@@ -33,6 +33,6 @@ def write_landing(measurements: DataFrame, job_name: Column, folder: str) -> Non
         F.date_format("timestamp", ISO_MICROS_Z).alias("timestamp"),
         F.col("quality_score").cast("string").alias("quality_score"),
         F.concat(job_uuid(name), F.lit("_"), name).alias(JOB_DIR))
-    # One file per job, as submitted files are: rows of a job go to one task.
-    (out.select(*LANDING_COLUMNS, JOB_DIR).repartition(JOB_DIR)
+    # Few files per job; a job that is unusually large is split over tasks.
+    (out.select(*LANDING_COLUMNS, JOB_DIR).hint("rebalance", JOB_DIR)
      .write.mode("errorifexists").option("header", True).partitionBy(JOB_DIR).csv(folder))

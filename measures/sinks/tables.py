@@ -18,6 +18,8 @@ from measures.sources.store import PARTITIONS, Store
 # Upper bound on rows per written file: keeps files near row-group friendly
 # sizes whatever a task holds.
 MAX_RECORDS_PER_FILE = 5_000_000
+CLUSTERED = {"rollup": ("study_id", "measurement_type", "participant_id"),
+             "rollup_partials": ("study_id", "measurement_type", "participant_id")}
 FACT_COLUMNS = ("id", "study_id", "participant_id", "site_id", "measurement_type", "value",
                 "unit", "timestamp", "quality_score", "processed_at", "created_at", "value_num",
                 "bp_systolic", "bp_diastolic", "job_id", "load_id")
@@ -65,7 +67,8 @@ def _rewrite_partitions(spark: SparkSession, store: Store, table: str, merged: D
     # Rebalance on the partition column: each day (or study) is written by a
     # few tasks instead of every task writing a file into every partition;
     # AQE splits a partition that is unusually large, so no task gets a skew.
-    out = frozen.hint("rebalance", *part).sortWithinPartitions(*part)
+    # Inside a file, rows are ordered as queries filter them.
+    out = frozen.hint("rebalance", *part).sortWithinPartitions(*part, *CLUSTERED.get(table, ()))
     _writer(out, "overwrite", table).parquet(store.path(table))
 
 
