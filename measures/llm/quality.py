@@ -167,6 +167,9 @@ def score(docs: DataFrame, model: BradleyTerry, bad_share: float, cutoff: float
     kind = rows.schema["id"].dataType.simpleString()
     strengths = cut_lineage(rows.mapInArrow(run, f"id {kind}, strength double"))
     at = strengths.agg(F.percentile_approx("strength", float(bad_share), 100_000)).first()[0] or 0.0
+    if bad_share:  # what stands at the quantile, ties included, is below the threshold
+        above = strengths.where(F.col("strength") > at).agg(F.min("strength")).first()[0]
+        at = at if above is None else (at + above) / 2
     shift = math.log(cutoff / (1 - cutoff))
     return strengths.withColumn(
         "score", 1 / (1 + F.exp(-(F.col("strength") - F.lit(at) + F.lit(shift)))))

@@ -1,0 +1,8 @@
+import pytest
+
+from measures.llm.common import ship_package
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    ship_package(spark)
