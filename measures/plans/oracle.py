@@ -7,6 +7,7 @@ Spark code path.
 
 from __future__ import annotations
 
+from measures.plans import dirty
 from measures.plans.params import (AM_SPLIT_HOUR, BMI_STUDY, FIRST_LOAD_END, LOOKUP_JOB,
                                    READ_FILTERS, RECENT_AS_OF, RECENT_DAYS, STUDY_READ,
                                    TREND_PARTICIPANT, TREND_TYPE)
@@ -272,3 +273,13 @@ ORACLES.update({
     "sql_q7_mean_bmi": ORACLES["q7_mean_bmi"],
     "sql_q7_mean_bmi_rollup": _q7_rollup_sql(_STORED_ROLLUP, "merged"),
 })
+
+ORACLES.update(dirty.oracles(with_facts, _FACT_COLS, ORACLES["daily_rollup"]))
+ORACLES["j1_latest_weight_height"] = with_facts(f"""latest AS (
+  SELECT participant_id, measurement_type, value_num AS v FROM facts
+  WHERE study_id = '{BMI_STUDY}' AND measurement_type IN ('weight', 'height')
+  QUALIFY row_number() OVER (PARTITION BY participant_id, measurement_type
+                             ORDER BY "timestamp" DESC, id DESC) = 1)""") + """
+SELECT w.participant_id, round(w.v, 6) AS weight_kg, round(h.v, 6) AS height_cm
+FROM latest w JOIN latest h USING (participant_id)
+WHERE w.measurement_type = 'weight' AND h.measurement_type = 'height'"""
