@@ -44,7 +44,7 @@ def test_run_against_brute_force(spark, small):
     left = {i: t for i, t in docs.items() if not (i < 240 and i % 4 == 0)}
     left = {i: t for i, t in left.items() if i == max(j for j in left if (left[j] or "") == (t or ""))}
     for i in sorted(left):
-        mine = shingles(left[i])
+        mine = shingles(left.get(i))
         for j in [j for j in sorted(left) if j > i]:
             other = shingles(left[j])
             if mine and 100 * len(mine & other) >= 80 * len(mine | other):
