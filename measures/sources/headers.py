@@ -1,7 +1,6 @@
 """First-line reader run inside tasks (header sniffing for the landing scan).
 
-This module is pickled by value, so executors need not have the package
-installed; keep it free of imports from `measures`.
+The executors get the package through `session.ship_package`.
 """
 
 from __future__ import annotations

@@ -20,7 +20,6 @@ import io
 import re
 from dataclasses import dataclass, field
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +27,9 @@ from pyspark.sql.utils import AnalysisException
 
 from measures.functions.ids import uuid_layout
 from measures.schema import LOADED_COLUMNS, OPTIONAL_COLUMNS, REQUIRED_COLUMNS
+from measures.session import ship_package
 from measures.sources import headers
 
-# Ship the task-side reader by value: executors need no installed package.
-cloudpickle.register_pickle_by_value(headers)
-
 UUID_PATTERN = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 # `<uuid>_<name>` as the last path component, or as the parent directory.
 _JOB_IN_PATH = rf"({UUID_PATTERN})_([^/]*)(/[^/]*)?$"
@@ -87,6 +84,7 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str = "*.csv")
 
 def read_headers(files: DataFrame) -> DataFrame:
     """(path, modified, header) per listed file; one line read per file, in tasks."""
+    ship_package(files.sparkSession)
     return files.select("path", "modified").mapInPandas(
         headers.header_lines, "path string, modified timestamp_ntz, header string")
 

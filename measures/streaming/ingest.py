@@ -17,8 +17,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from measures.plans import loading
+from measures.sources.landing import literal_path
 from measures.sources.store import Store
 
+# Files per micro-batch: a load keeps one record per file on the driver.
+FILES_PER_TRIGGER = 10_000
 # The binaryFile source's fixed layout (streams must name their schema).
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
                       "content binary")
@@ -27,10 +30,11 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
 def start_ingest(spark: SparkSession, landing_root: str, store: Store, checkpoint: str,
                  glob: str = "*.csv", available_now: bool = True,
                  processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> StreamingQuery:
     """Start the ingestion stream.  `available_now` processes what is there
     and stops (scheduled runs); otherwise a processing-time trigger keeps it
-    running."""
+    running.  A backlog is taken in micro-batches of at most
+    `max_files_per_trigger` files, all of it, oldest files first."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
@@ -40,7 +44,7 @@ def start_ingest(spark: SparkSession, landing_root: str, store: Store, checkpoin
     stream_key = hashlib.md5(checkpoint.encode("utf-8")).hexdigest()[:12]
 
     def load_batch(batch, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]
+        paths = [literal_path(r["path"]) for r in batch.collect()]
         if paths:
             loading.run_load(batch.sparkSession, paths, store,
                               load_id=f"stream-{stream_key}-{batch_id}", glob=glob)
