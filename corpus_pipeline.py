@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.llm import decontaminate, exact_dedup, jaccard, mixing, toxicity
-from measures.llm.common import cut_lineage, shared_path, ship_package
+from measures.llm.common import cut_lineage, shared_path
 from measures.llm.queries import MIX_SHARES, TOXIC_AT, fresh_name
 
 BROADCAST_ROWS = 300_000  # at most 20 MB of rejected keys; more are joined by a shuffle
@@ -32,7 +32,6 @@ def without(docs: DataFrame, rejected: DataFrame, on) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     index = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows, names = unclashing(docs)
     scored = toxicity.score(rows, index, names["doc_id"], names["text"], keep=rows.columns)
@@ -49,14 +48,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each component stays."""
-    ship_package(spark)
     found = jaccard.jaccard_components(docs)
     gone = found.where("id <> component_id").select(F.col("id").alias("gone_id")).distinct()
     return without(docs, cut_lineage(gone), F.expr("doc_id = gone_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     rows, names = unclashing(docs)
     found = decontaminate.find_contamination(
         rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), names["doc_id"], names["text"],

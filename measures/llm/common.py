@@ -3,39 +3,22 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from measures.session import checkpoint_root
+from measures.session import checkpoint_root, ship_package
+
+__all__ = ["blocks_for", "cut_lineage", "shared_path", "ship_package", "stored", "text_buffer",
+           "text_chunks"]
 
 # Text handled at once inside a task; a single longer text is handled alone.
 CHUNK_BYTES = 4 << 20
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per application."""
-    sc = spark.sparkContext
-    name = f"measures-{sc.applicationId}.zip"
-    if any(str(f).endswith(name) for f in sc.listFiles):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="measures-ship-"), name)
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(top):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)  # served by the driver to every executor
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` once to the cluster's shared checkpoint folder and go on
     from there, so that a lost executor never recomputes what came before."""
@@ -48,8 +31,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Like `cut_lineage`, as Parquet: much smaller for wide or repetitive rows."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_chunks(texts: pa.Array, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

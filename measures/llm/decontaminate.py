@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
-from measures.llm.common import blocks_for, text_buffer, text_chunks
+from measures.llm.common import blocks_for, ship_package, text_buffer, text_chunks
 from measures.llm.fm_index import FMIndex
 
 WINDOW = 13
@@ -123,6 +123,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """Per row: the columns of `keep` (the id by default), n_words, n_hit, spans (byte ranges of merged hit words,
     for removal), items (ids of items with an occurring window, sorted as
     strings)."""
+    ship_package(docs.sparkSession)
     blocks = load_blocks(benchmark, item_col, item_text_col, window, block_bytes)
 
     keep = keep or [id_col]

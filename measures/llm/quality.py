@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
-from measures.llm.common import cut_lineage, text_buffer, text_chunks
+from measures.llm.common import cut_lineage, ship_package, text_buffer, text_chunks
 from measures.llm.labelled import is_held_out, learning_sample
 
 SAMPLE_ROWS = 16_000
@@ -143,6 +143,7 @@ class BradleyTerry:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
         sample_rows: int = SAMPLE_ROWS) -> tuple[BradleyTerry, float]:
     """The model, and the share of bad documents among all learning labels."""
+    ship_package(docs.sparkSession)
     sample = learning_sample(docs, labels, label, sample_rows)
     rows = feature_rows(sample, ["doc_id", "y"], "text").orderBy("doc_id").collect()
     share = labels.where(~is_held_out(F.col("doc_id"))).agg(
@@ -155,6 +156,7 @@ def score(docs: DataFrame, model: BradleyTerry, bad_share: float, cutoff: float
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, strength, score in (0, 1); the score is at least `cutoff`
     for all but the lowest `bad_share` of all documents."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, quality,
                           sentence_spans, suffix_dedup, token_counts, toxicity, warc)
-from measures.llm.common import shared_path, ship_package
+from measures.llm.common import shared_path
 
 TOXIC_AT = 0.5
 QUALITY_AT = 0.3
@@ -23,7 +23,6 @@ MIX_SHARES = {"src0": 6, "src1": 4, "src2": 3, "src3": 2}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

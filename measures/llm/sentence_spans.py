@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
-from measures.llm.common import cut_lineage, text_buffer, text_chunks
+from measures.llm.common import cut_lineage, ship_package, text_buffer, text_chunks
 
 SENTENCES = 2
 WORDS = 20
@@ -106,6 +106,7 @@ def all_spans(rows: DataFrame, sentences: int, words: int) -> DataFrame:
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """Per row: id, n_sentences, n_removed (sentences), kept (text)."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from measures.llm.common import ship_package
+
 MEMO_ENTRIES = 1_000_000
 MEMO_CHARS = 64
 LIST_CHARS = 1 << 20
@@ -124,6 +126,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                    pa.array(tokens, pa.int64())],
                                   names=["id", "n_bytes", "n_tokens"])
 
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("bigint")
                        .alias("n_bytes"),

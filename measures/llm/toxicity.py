@@ -9,9 +9,10 @@ each term keeps its largest weight per block, so a document opens blocks in
 order of their bound and stops when no unopened block can reach its current
 k-th neighbour: the k nearest are exact.
 
-The score is the neighbours' vote, each weighted by its cosine (so by closeness),
-with a prior weight at the base rate of the labels; a document that shares no
-term with any example scores the base rate.
+The score is the neighbours' vote, each weighted by its squared cosine (so by
+closeness), with a prior weight at the base rate of the labels: far neighbours
+alone move it little, and a document that shares no term with any example
+scores the base rate.
 
 Rules
 - null or empty text scores the base rate; without labels every score is 0.
@@ -32,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
-from measures.llm.common import cut_lineage, text_buffer, text_chunks
+from measures.llm.common import cut_lineage, ship_package, text_buffer, text_chunks
 from measures.llm.labelled import is_held_out, learning_sample
 
 SAMPLE_ROWS = 8_000
 NEIGHBOURS = 16
-PRIOR_WEIGHT = 0.25
+PRIOR_WEIGHT = 1.0
 LEAST_DOCS = 3
 LEVELS = (1, 2, 3, 4, 6)
 BLOCK = 32
@@ -154,8 +155,9 @@ class BlockMaxIndex:
         return ranks, np.minimum(cosines, 1.0)
 
     def vote(self, ranks: np.ndarray, cosines: np.ndarray, prior: float) -> float:
-        return float((np.sum(cosines * self.labels[ranks]) + prior * self.base_rate)
-                     / (np.sum(cosines) + prior))
+        weight = cosines * cosines
+        return float((np.sum(weight * self.labels[ranks]) + prior * self.base_rate)
+                     / (np.sum(weight) + prior))
 
 
 def choose_terms(sample: DataFrame) -> Vocabulary:
@@ -209,6 +211,7 @@ def choose_terms(sample: DataFrame) -> Vocabulary:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
         sample_rows: int = SAMPLE_ROWS) -> BlockMaxIndex | None:
     """Index the labelled examples; None without any label."""
+    ship_package(docs.sparkSession)
     sample = learning_sample(docs, labels, label, sample_rows)
     total, positive = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not total:
@@ -240,6 +243,7 @@ def score(docs: DataFrame, index: BlockMaxIndex | None, id_col: str = "doc_id",
           keep: list[str] | None = None) -> DataFrame:
     """Per row: the columns of `keep` (the id by default), score, and evidence:
     the neighbours as (example, cosine, label), nearest first."""
+    ship_package(docs.sparkSession)
     keep = keep or [id_col]
     shared = docs.sparkSession.sparkContext.broadcast(index)
     rows = docs.select(*keep, *[c for c in [text_col] if c not in keep])

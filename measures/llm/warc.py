@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.llm.common import cut_lineage
+from measures.llm.common import cut_lineage, ship_package
 
 MIN_BYTES = 100
 FILE_RECORDS = 2_000
@@ -105,6 +105,7 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False) -> Data
                 if rows:
                     yield _batch(rows, names)
 
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return files.select("content").mapInArrow(run, HEADERS + ", payload binary" * payloads)
 

@@ -7,38 +7,40 @@ bytes, mixed with its length, so equal words hash alike wherever they stand.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 _RNG = np.random.Generator(np.random.PCG64(20240917))
 _VALUE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_PIECE = 1 << 20
+_PIECE = 1 << 19
+
+
+_TABLES: dict[int, np.ndarray] = {}
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> np.ndarray:
-    table = np.empty(size, np.uint64)
-    table[0] = 1
-    n, step = 1, base
-    while n < size:  # doubling: table[n:2n] = table[:n] * base**n
-        m = min(n, size - n)
-        table[n:n + m] = table[:m] * np.uint64(step)
-        n, step = n + m, step * step % 2**64
-    return table
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1), modulo 2**64; one table per base, grown as needed."""
+    table = _TABLES.get(base)
+    if table is None or len(table) < n:
+        table = np.empty(1 << max(n - 1, 1).bit_length(), np.uint64)
+        table[0] = 1
+        done, step = 1, base
+        while done < len(table):  # doubling: table[n:2n] = table[:n] * base**n
+            table[done:2 * done] = table[:done] * np.uint64(step)
+            done, step = 2 * done, step * step % 2**64
+        _TABLES[base] = table
+    return table[:n]
 
 
 def powers(n: int) -> np.ndarray:
-    """base**0 .. base**(n-1), modulo 2**64."""
-    return _powers(int(_BASE), 1 << max(n - 1, 1).bit_length())[:n]
+    return _powers(int(_BASE), n)
 
 
 def inverse_powers(n: int) -> np.ndarray:
-    return _powers(pow(int(_BASE), -1, 2**64), 1 << max(n - 1, 1).bit_length())[:n]
+    return _powers(pow(int(_BASE), -1, 2**64), n)
 
 
-_POW, _INV = powers(_PIECE + 1), inverse_powers(_PIECE + 1)
+_POW, _INV = powers(_PIECE), inverse_powers(_PIECE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -1,8 +1 @@
-import pytest
-
-from measures.llm.common import ship_package
-
-
-@pytest.fixture(scope="session", autouse=True)
-def shipped(spark):
-    ship_package(spark)
+"""Makes the helpers of this folder importable by its tests."""
