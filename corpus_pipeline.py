@@ -41,7 +41,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, fresh_name("digest_index"))
     gone = index.ingest(docs).where("NOT kept").select(
-        F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct()
+        F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest"))
     return without(docs, cut_lineage(gone), F.expr("doc_id <=> gone_id") & (
         exact_dedup.digest_of(docs["text"]) == F.col("gone_digest")))
 
