@@ -42,13 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
-from measures.llm.common import blocks_for, cut_lineage, shared_path, text_buffer, text_chunks
+from measures.llm.common import (blocks_for, cut_lineage, shared_path, ship_package,
+                                 text_buffer, text_chunks)
 from measures.llm.components import components
 
 SIZE = 5
 PERCENT = 80
 GROUP = 48
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 SAMPLE_DOCS = 20_000
 COMMON_IN = 200  # a token in one of so many sampled documents is common
@@ -286,8 +287,13 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
 
 
-def open_groups(one: dict, other: dict | None, links: Links, percent: int) -> Iterator[tuple]:
-    """Links between the documents of two groups (or inside one)."""
+def open_groups(one: dict, other: dict | None, percent: int) -> Iterator[tuple]:
+    """Links between the documents of two groups (or inside one), as many as
+    it takes to connect what is linked: the groups' own links are known."""
+    links = Links()
+    for known in (one, other or one):
+        for a, b in zip(known["a"], known["b"], strict=True):
+            links.join(a, b)
     ids, sizes, sets, _ = unpack(one)
     ids2, sizes2, sets2, every = unpack(other) if other else (ids, sizes, sets, None)
     for i in range(len(ids)):
@@ -315,8 +321,8 @@ def build_group(percent: int, members: pa.Table) -> pa.Table:
     prefix = np.unique(np.concatenate([np.frombuffer(r["prefix"], np.uint64) for r in rows]))
     group = {"ids": [r["id"] for r in rows], "sizes": [r["n"] for r in rows],
              "lengths": [len(s) for s in sets], "tokens": _pack(sets, np.uint64),
-             "every": np.unique(np.concatenate(sets)).tobytes()}
-    found = list(open_groups(group, None, Links(), percent))
+             "every": np.unique(np.concatenate(sets)).tobytes(), "a": [], "b": []}
+    found = list(open_groups(group, None, percent))
     return pa.Table.from_batches([_rows([(
         rows[0]["g"], group["ids"], group["sizes"], group["lengths"], group["tokens"],
         group["every"], prefix.view(np.int64).tolist(),
@@ -325,7 +331,7 @@ def build_group(percent: int, members: pa.Table) -> pa.Table:
 
 def open_pairs(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Exact links between the documents of each pair (g, h) of groups."""
-    payload = F.struct("ids", "sizes", "lengths", "tokens", "every")
+    payload = F.struct("ids", "sizes", "lengths", "tokens", "every", "a", "b")
     left = groups.select("g", payload.alias("one"))
     right = groups.select(F.col("g").alias("h"), payload.alias("other"))
 
@@ -334,7 +340,7 @@ def open_pairs(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             found = []
             for i in range(batch.num_rows):
                 found += open_groups(batch.column("one")[i].as_py(),
-                                     batch.column("other")[i].as_py(), Links(), percent)
+                                     batch.column("other")[i].as_py(), percent)
             yield _rows(found, "a bigint, b bigint")
 
     joined = (pairs.select("g", "h").hint("merge").join(left, "g")
@@ -342,10 +348,24 @@ def open_pairs(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels after further links: components of the components."""
+    a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+            for c in ("a", "b"))
+    tops = more.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    merged = components(tops.where("a <> b")).withColumnsRenamed({"node": "old", "label": "new"})
+    # A label that had no link before is a document of its own.
+    everyone = labels.union(tops.select("a", "a")).union(tops.select("b", "b")).distinct()
+    return cut_lineage(everyone.hint("merge").join(merged, everyone.label == merged.old, "left")
+                       .select("node", F.coalesce("new", "label").alias("label")))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Per row: id, n_shingles, component_id (least id reachable by links)."""
     spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.col(text_col).cast("string").alias("text"))
     named = rows.where("id IS NOT NULL")
@@ -404,9 +424,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select(F.col("x.g").alias("g"), F.col("y.g").alias("h")).distinct())
     done = first.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
     second = cut_lineage(rest.join(done, ["g", "h"], "left_anti"))
-    more = cut_lineage(open_pairs(second, groups, percent))
-    if more.limit(1).count():
-        labels = components(links.union(more))
+    if second.limit(1).count():
+        more = cut_lineage(open_pairs(second, groups, percent))
+        if more.limit(1).count():
+            labels = joined(labels, more)
 
     # Back to all documents.
     known = cut_lineage(same.hint("merge").join(
