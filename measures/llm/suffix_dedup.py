@@ -38,12 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
-from measures.llm.common import blocks_for, cut_lineage, shared_path, text_buffer, text_chunks
+from measures.llm.common import (blocks_for, cut_lineage, ship_package, stored,
+                                 text_buffer, text_chunks)
 from measures.llm.grouping_sort import suffix_order
 
 LENGTH = 200
 K = 32
-PIECE = 2 << 20
+PIECE = 1 << 20
 SHARD_BYTES = 1 << 20
 KEY_FRAGMENTS = 5_000
 BROADCAST_IDS = 500_000  # 4 MB of ids; more are joined by a shuffle
@@ -95,10 +96,10 @@ def pieces(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def fragments(buf: np.ndarray, offsets: np.ndarray, length: int, k: int):
-    """Key, text, first and last window of every anchor's fragment."""
+    """Key, hash, text, first and last window of every anchor's fragment."""
     none = np.zeros(0, np.int64)
     if len(buf) < length:
-        return np.zeros(0, np.uint64), none, none, none
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none
     hashed = Hashed(buf)
     at = np.arange(len(buf) - k + 1)
     gram = hashed.ranges(at, at + k)
@@ -111,11 +112,11 @@ def fragments(buf: np.ndarray, offsets: np.ndarray, length: int, k: int):
                     | (gram[:len(least) - 1] == least[:-1]))
     first = np.flatnonzero(change[:-1] & ok)
     last = np.flatnonzero(change[1:] & ok)
-    return least[first], text[first], first, last
+    return least[first], hashed.ranges(first, last + length), text[first], first, last
 
 
-OCCURRENCE = ("key bigint, f1 bigint, f2 bigint, uid bigint, start bigint, windows int, "
-              "times int")
+# A fragment's name is (key, f): 64 bits tell apart the fragments of one key.
+OCCURRENCE = "key bigint, f bigint, uid bigint, start bigint, windows int, times int"
 
 
 def occurrences(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -125,22 +126,18 @@ def occurrences(docs: DataFrame, length: int, k: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("uid").to_numpy(zero_copy_only=False)
             for buf, offsets, row, base in pieces(batch.column("text"), length):
-                key, text, first, last = fragments(buf, offsets, length, k)
+                key, f, text, first, last = fragments(buf, offsets, length, k)
                 if not len(key):
                     continue
-                end = last + length
-                f1 = Hashed(buf).ranges(first, end)
-                f2 = Hashed(buf, _SECOND).ranges(first, end)
                 new = np.ones(len(key), bool)
-                new[1:] = ((key[1:] != key[:-1]) | (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])
+                new[1:] = ((key[1:] != key[:-1]) | (f[1:] != f[:-1])
                            | (text[1:] != text[:-1]) | (first[1:] != last[:-1] + 1))
                 at = np.flatnonzero(new)
                 times = np.diff(np.append(at, len(key))).astype(np.int32)
-                key, f1, f2, text = key[at], f1[at], f2[at], text[at]
-                first, last = first[at], last[at]
+                key, f, text, first, last = key[at], f[at], text[at], first[at], last[at]
                 yield pa.record_batch(
-                    [pa.array(key.view(np.int64)), pa.array(f1.view(np.int64)),
-                     pa.array(f2.view(np.int64)), pa.array(ids[row[text]]),
+                    [pa.array(key.view(np.int64)), pa.array(f.view(np.int64)),
+                     pa.array(ids[row[text]]),
                      pa.array(first - offsets[text] + base[text]),
                      pa.array((last - first + 1).astype(np.int32)), pa.array(times)],
                     names=[x.split()[0] for x in OCCURRENCE.split(", ")])
@@ -148,7 +145,7 @@ def occurrences(docs: DataFrame, length: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, OCCURRENCE)
 
 
-REPEATS = "key bigint, f1 bigint, f2 bigint, lo array<int>, hi array<int>"
+REPEATS = "key bigint, f bigint, lo array<int>, hi array<int>"
 
 
 def repeated_windows(length: int, shard: pa.Table) -> pa.Table:
@@ -165,9 +162,9 @@ def repeated_windows(length: int, shard: pa.Table) -> pa.Table:
     edges = np.append(cuts[some], len(lo)).astype(np.int32)
     base = np.repeat(offsets[some], np.diff(edges))
     keep = pa.array(some)
-    return pa.table([shard.column(c).take(keep) for c in ("key", "f1", "f2")]
+    return pa.table([shard.column(c).take(keep) for c in ("key", "f")]
                     + [pa.ListArray.from_arrays(edges, pa.array((x - base).astype(np.int32)))
-                       for x in (lo, hi)], names=["key", "f1", "f2", "lo", "hi"])
+                       for x in (lo, hi)], names=["key", "f", "lo", "hi"])
 
 
 def _repeated(buf: np.ndarray, offsets: np.ndarray, weight: np.ndarray, length: int) -> np.ndarray:
@@ -232,24 +229,29 @@ def _repeated(buf: np.ndarray, offsets: np.ndarray, weight: np.ndarray, length:
 def fetch_bytes(reps: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """The bytes of each distinct fragment, from its first occurrence."""
     per_doc = reps.groupBy("uid").agg(F.collect_list(
-        F.struct("key", "f1", "f2", "start", "windows", "copies")).alias("parts"))
+        F.struct("key", "f", "start", "windows", "copies")).alias("parts"))
     found = narrowed(docs, per_doc.select("uid")).hint("merge").join(per_doc, "uid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = batch.column("text")[i].as_buffer()
-                parts = batch.column("parts")[i].values
-                starts = parts.field("start").to_numpy()
-                ends = starts + parts.field("windows").to_numpy() + (length - 1)
-                cut = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            for a, b in text_chunks(batch.column("text")):
+                part = batch.slice(a, b - a)
+                buf, offsets = text_buffer(part.column("text"))
+                lists = part.column("parts")
+                parts = lists.flatten()
+                doc = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
+                starts = parts.field("start").to_numpy() + offsets[doc]
+                sizes = parts.field("windows").to_numpy() + (length - 1)
+                ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                place = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
+                cut = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(buf[place])])
                 yield pa.record_batch(
-                    [parts.field(c) for c in ("key", "f1", "f2", "copies")]
-                    + [pa.array([bytes(c) for c in cut], pa.binary())],
-                    names=["key", "f1", "f2", "copies", "bytes"])
+                    [parts.field(c) for c in ("key", "f", "copies")] + [cut.cast(pa.binary())],
+                    names=["key", "f", "copies", "bytes"])
 
     return found.select("text", "parts").mapInArrow(
-        run, "key bigint, f1 bigint, f2 bigint, copies bigint, bytes binary")
+        run, "key bigint, f bigint, copies bigint, bytes binary")
 
 
 def narrowed(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -266,17 +268,15 @@ def removal_runs(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     and the runs [lo, hi] of repeated windows inside the fragment."""
     found = occurrences(docs, length, k)
     met = found.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
-    candidates = cut_lineage(found.hint("merge").join(met, "key"))
-    frags = cut_lineage(candidates.groupBy("key", "f1", "f2").agg(
+    candidates = stored(found.hint("merge").join(met, "key"), "fragments-met")
+    frags = stored(candidates.groupBy("key", "f").agg(
         F.min(F.struct("uid", "start", "windows")).alias("at"), F.sum("times").alias("copies"))
-        .select("key", "f1", "f2", "at.*", "copies"))
+        .select("key", "f", "at.*", "copies"), "fragments")
     crowded = cut_lineage(frags.groupBy("key").count().where(
         F.col("count") > KEY_FRAGMENTS).select("key"))
     texts = fetch_bytes(frags, docs, length)
     if crowded.limit(1).count():
-        path = shared_path(docs.sparkSession, "fragments")
-        texts.write.parquet(path)
-        texts = docs.sparkSession.read.parquet(path)
+        texts = stored(texts, "fragment-texts")
         usual = texts.hint("merge").join(crowded, "key", "left_anti")
         extra = window_by_window(texts.hint("merge").join(crowded, "key", "left_semi"), length)
     else:
@@ -286,8 +286,8 @@ def removal_runs(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     repeats = (usual.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
                .groupBy("shard").applyInArrow(
                    lambda shard: repeated_windows(length, shard), REPEATS))
-    repeats = cut_lineage(repeats if extra is None else repeats.union(extra))
-    return (candidates.hint("merge").join(repeats, ["key", "f1", "f2"])
+    repeats = stored(repeats if extra is None else repeats.union(extra), "repeats")
+    return (candidates.hint("merge").join(repeats, ["key", "f"])
             .select("uid", "start", "windows", "times", "lo", "hi"))
 
 
@@ -302,24 +302,25 @@ def window_by_window(frags: DataFrame, length: int) -> DataFrame:
                 at = np.flatnonzero(np.arange(len(buf)) + length <= offsets[text + 1])
                 row = pa.array(text[at])
                 yield pa.record_batch(
-                    [part.column(c).take(row) for c in ("key", "f1", "f2", "copies")]
+                    [part.column(c).take(row) for c in ("key", "f", "copies")]
                     + [pa.array((at - offsets[text[at]]).astype(np.int32)),
                        pa.array(Hashed(buf).ranges(at, at + length).view(np.int64)),
                        pa.array(Hashed(buf, _SECOND).ranges(at, at + length).view(np.int64))],
-                    names=["key", "f1", "f2", "copies", "at", "h1", "h2"])
+                    names=["key", "f", "copies", "at", "h1", "h2"])
 
-    rows = frags.select("key", "f1", "f2", "copies", "bytes").mapInArrow(
-        explode, "key bigint, f1 bigint, f2 bigint, copies bigint, at int, h1 bigint, h2 bigint")
+    rows = frags.select("key", "f", "copies", "bytes").mapInArrow(
+        explode, "key bigint, f bigint, copies bigint, at int, h1 bigint, h2 bigint")
     twice = cut_lineage(rows.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).where("n > 1")
                         .select("h1", "h2"))
-    return (rows.hint("merge").join(twice, ["h1", "h2"]).groupBy("key", "f1", "f2")
+    return (rows.hint("merge").join(twice, ["h1", "h2"]).groupBy("key", "f")
             .agg(F.sort_array(F.collect_list("at")).alias("lo"))  # at most one fragment's windows
-            .select("key", "f1", "f2", "lo", F.col("lo").alias("hi")))
+            .select("key", "f", "lo", F.col("lo").alias("hi")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, k: int = K) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept (binary)."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
                        .alias("text"))
@@ -333,24 +334,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
-                edge = np.zeros(len(text) + 1, np.int32)
-                own = batch.column("runs")[i].values
-                start, windows, times = (own.field(c).to_numpy()
-                                         for c in ("start", "windows", "times"))
-                for r in range(len(own)):
-                    at = start[r] + int(windows[r]) * np.arange(times[r])[:, None]
-                    lo, hi = (own.field(c)[r].values.to_numpy() for c in ("lo", "hi"))
-                    np.add.at(edge, (at + lo).ravel(), 1)
-                    np.add.at(edge, (at + hi).ravel() + length, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                yield pa.record_batch(
-                    [batch.column("id").slice(i, 1), pa.array([len(text)]),
-                     pa.array([int(gone.sum())]), pa.array([spans]),
-                     pa.array([text[~gone].tobytes()], pa.binary())],
-                    names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+            for a, b in text_chunks(batch.column("text")):
+                yield _cut(batch.slice(a, b - a), length)
 
     schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     cut = narrowed(rows, ids).hint("merge").join(per_doc, "uid").select(
@@ -361,3 +346,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"),
         F.col("text").alias("kept"))
     return clean.union(cut)
+
+
+def _cut(part: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Rows (id, text, runs) without the bytes of their repeated windows."""
+    buf, offsets = text_buffer(part.column("text"))
+    lists = part.column("runs")
+    runs = lists.flatten()
+    base = np.repeat(offsets[:-1], lists.value_lengths().to_numpy())
+    start, windows, times = (runs.field(c).to_numpy() for c in ("start", "windows", "times"))
+    many = runs.field("lo").value_lengths().to_numpy()
+    lo, hi = (runs.field(c).flatten().to_numpy() for c in ("lo", "hi"))
+    # Equal fragments in a row: the run again, `windows` bytes further each time.
+    step, n = np.repeat(windows, many), np.repeat(times, many)
+    first = np.repeat(base + start, many)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    shift = np.repeat(first, n) + nth * np.repeat(step, n)
+    edge = np.bincount(shift + np.repeat(lo, n), minlength=len(buf) + 1) \
+        - np.bincount(shift + np.repeat(hi, n) + length, minlength=len(buf) + 1)
+    gone = np.cumsum(edge[:-1]) > 0
+    opens = gone.copy()
+    opens[1:] &= ~gone[:-1]
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    opens[heads] = gone[heads]
+    removed, spans = (np.concatenate([[0], np.cumsum(x)])[offsets] for x in (gone, opens))
+    kept_ends = offsets - removed
+    kept = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), part.num_rows,
+        [None, pa.py_buffer(kept_ends.astype(np.int64)), pa.py_buffer(buf[~gone])])
+    return pa.record_batch(
+        [part.column("id"), pa.array(np.diff(offsets)), pa.array(np.diff(removed)),
+         pa.array(np.diff(spans)), kept.cast(pa.binary())],
+        names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
