@@ -57,7 +57,8 @@ def op4_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents")).select(
+    return sentence_spans.remove_repeated_spans(
+        table(spark, sf_dir, "documents"), passage=sentence_spans.PASSAGE).select(
         F.col("id").alias("doc_id"), "n_sentences", "n_removed",
         F.octet_length("kept").cast("bigint").alias("kept_bytes"),
         F.sha2("kept", 256).alias("kept_sha256"))
