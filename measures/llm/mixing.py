@@ -19,8 +19,9 @@ Rules
 - rows are laid out by md5 of the id, then the id; rows that share an id (a
   null id included) are told apart by their remaining columns' order of
   arrival only, and identical rows are interchangeable.
-- the number of sources times the sum of shares is checked against
-  `max_plan_slots`: that is the size of what is broadcast.
+- up to `max_plan_slots` (the number of sources times the sum of shares) the plan
+  is broadcast; above it the same schedule is made as one row per source and
+  period, joined by a shuffle (`schedule_rows`).
 """
 
 from __future__ import annotations
@@ -49,13 +50,20 @@ def mix(docs: DataFrame, shares: dict[str, int], default_share: int = 1,
         *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if whole_rows else []))
     placed = number_within_source(rows)
     counts = cut_lineage(rows.groupBy("key", "source").agg(F.count(F.lit(1)).alias("n")))
-    plan = schedule(counts, shares, default_share, block_rows, max_plan_slots)
+    sized = size_up(counts, shares, default_share, block_rows)
+    size = sized.agg((F.count(F.lit(1)) * F.sum("share")).alias("slots")).first()["slots"] or 0
     block = F.floor((F.col("nth") - 1) / F.lit(block_rows)).cast("bigint")
-    out = placed.join(F.broadcast(plan), "key").withColumn("b", block)
+    out = placed.withColumn("b", block)
     carried = ["row"] if whole_rows else []
-    out = (out.withColumn("period", F.expr("b div share"))
-           .withColumn("k", F.expr("b % share"))
-           .withColumn("phase", F.expr("filter(phases, p -> period < p.until)[0]")))
+    if size <= max_plan_slots:
+        out = (out.join(F.broadcast(schedule(sized)), "key")
+               .withColumn("period", F.expr("b div share"))
+               .withColumn("phase", F.expr("filter(phases, p -> period < p.until)[0]")))
+    else:
+        out = (out.withColumn("share", share_of(F.col("source"), shares, default_share))
+               .withColumn("period", F.expr("b div share"))
+               .join(schedule_rows(sized, shares, default_share), ["key", "period"]))
+    out = out.withColumn("k", F.expr("b % share"))
     base = F.expr("phase.first_slot + (period - phase.since) * phase.length")
     return out.select(
         "id", "source", (F.col("b") + 1).alias("block"),
@@ -97,18 +105,18 @@ def share_of(source: Column, shares: dict[str, int], default_share: int) -> Colu
     return out.cast("bigint")
 
 
-def schedule(counts: DataFrame, shares: dict[str, int], default_share: int, block_rows: int,
-             max_plan_slots: int) -> DataFrame:
-    """One row per source: share and the phases of the mix, each with the
-    slots of the source's blocks inside a period."""
+def size_up(counts: DataFrame, shares: dict[str, int], default_share: int,
+            block_rows: int) -> DataFrame:
+    """One row per source: its share, and how many blocks and periods it fills."""
     sized = counts.select(
         "key", share_of(F.col("source"), shares, default_share).alias("share"),
         F.ceil(F.col("n") / F.lit(block_rows)).cast("bigint").alias("blocks"))
-    sized = sized.withColumn("periods", F.expr("(blocks + share - 1) div share"))
-    size = sized.agg((F.count(F.lit(1)) * F.sum("share")).alias("slots")).first()["slots"] or 0
-    if size > max_plan_slots:
-        raise ValueError(f"{size} slots to plan; the bound is {max_plan_slots}: "
-                         "use smaller shares or fewer sources")
+    return sized.withColumn("periods", F.expr("(blocks + share - 1) div share"))
+
+
+def schedule(sized: DataFrame) -> DataFrame:
+    """One row per source: share and the phases of the mix, each with the
+    slots of the source's blocks inside a period."""
     # Phase i: the periods in which the same sources are still supplied.
     phases = (sized.agg(F.sort_array(F.collect_list(
         F.struct("key", "share", "periods"))).alias("everyone"))
@@ -149,3 +157,81 @@ aggregate(
                       'out', concat(s.out, array(p))))[0],
   s -> s.out)
 """
+
+
+def schedule_rows(sized: DataFrame, shares: dict[str, int], default_share: int) -> DataFrame:
+    """The schedule as one row per source and period, for any number of sources.
+
+    Sources without a stated share are alike: their blocks are due in the order
+    of (k, key) and take the slots that the others leave, one after another.  So
+    one period is folded over the state of the stated sources alone, one row per
+    phase, and every other source finds its slots by its rank in the phase."""
+    names = sorted(("=" + name for name in shares), key=lambda x: x.encode())
+    other = ~F.col("key").isin(names) if names else F.lit(True)
+    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("until"))  # a row per phase, none per source
+    up = Window.partitionBy(F.lit(0)).orderBy("until")
+
+    def tally(condition: Column) -> Column:
+        return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
+
+    phases = sized.groupBy(F.col("periods").alias("until")).agg(
+        F.sum("share").alias("length"), tally(other).alias("others"),
+        *[tally(F.col("key") == F.lit(x)).alias(f"on{i}") for i, x in enumerate(names)],
+        *[tally(other & (F.col("key") < F.lit(x))).alias(f"before{i}")
+          for i, x in enumerate(names)])
+    phases = phases.withColumns({c: F.sum(c).over(down) for c in phases.columns if c != "until"})
+    stated = F.array(*[F.struct(
+        F.lit(x).alias("key"), F.lit(int(shares[x[1:]])).cast("bigint").alias("share"),
+        F.col(f"before{i}").alias("before"), F.col(f"on{i}").alias("on"))
+        for i, x in enumerate(names)]) if names else F.expr(
+        "cast(array() as array<struct<key:string,share:bigint,before:bigint,on:bigint>>)")
+    phases = (phases.withColumn("stated", F.filter(stated, lambda x: x["on"] > 0))
+              .select("until", "length", "others", "stated",
+                      F.lit(int(default_share)).cast("bigint").alias("each"))
+              .withColumn("since", F.coalesce(F.lag("until").over(up), F.lit(0)))
+              .withColumn("first_slot", F.coalesce(
+                  F.sum(F.expr("(until - since) * length")).over(
+                      up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    phases = cut_lineage(phases.repartition("until").withColumn("taken", F.expr(STATED_FIRST)))
+    periods = phases.withColumn("period", F.explode(F.expr("sequence(since, until - 1)")))
+    lives = sized.withColumn("period", F.explode(F.expr("sequence(0L, periods - 1)")))
+    first = (lives.where(other).join(phases.select(F.col("since").alias("period"), "until"),
+                                     "period")
+             .withColumn("rank", F.row_number().over(
+                 Window.partitionBy("until").orderBy("key")).cast("bigint") - 1)
+             .select("key", "until", "rank"))
+    rows = lives.select("key", "period").join(periods, "period").join(
+        first, ["key", "until"], "left")
+    slots = F.expr("""if(rank is null,
+        transform(filter(taken, x -> stated[x.j].key = key), x -> cast(x.t as bigint)),
+        transform(transform(sequence(0L, each - 1), k -> k * others + rank),
+                  q -> q + size(filter(taken, (x, i) -> x.t - i <= q))))""")
+    return rows.select("key", "period", F.struct(
+        "until", "since", "length", "first_slot", slots.alias("slots")).alias("phase"))
+
+
+# The slots of one period that go to stated sources, as (slot t, source j).  The
+# other sources' next block is the q-th of all theirs: the (q / others)-th of the
+# source of rank q % others.  A stated source comes before the rank `before`.
+STATED_FIRST = """
+aggregate(
+  sequence(0L, length - 1),
+  named_struct('had', transform(stated, x -> 0L), 'q', 0L,
+               'out', cast(array() as array<struct<t:bigint,j:int>>)),
+  (s, t) -> transform(array(array_min(filter(
+    concat(
+      transform(stated, (x, j) -> if(
+        s.had[j] < x.share AND (s.had[j] * length) div x.share <= t,
+        named_struct('due', ((s.had[j] + 1) * length + x.share - 1) div x.share,
+                     'place', x.before, 'kind', 0, 'j', j), null)),
+      array(if(
+        s.q < others * each AND ((s.q div greatest(others, 1L)) * length) div each <= t,
+        named_struct('due', ((s.q div greatest(others, 1L) + 1) * length + each - 1) div each,
+                     'place', s.q % greatest(others, 1L), 'kind', 1, 'j', -1), null))),
+    c -> c is not null))),
+    p -> named_struct(
+      'had', transform(s.had, (h, j) -> if(j = p.j, h + 1, h)),
+      'q', s.q + p.kind,
+      'out', if(p.kind = 0, concat(s.out, array(named_struct('t', t, 'j', p.j))), s.out)))[0],
+  s -> s.out)
+"""
