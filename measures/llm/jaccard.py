@@ -233,8 +233,10 @@ def settle(percent: int, batch: pa.Table) -> pa.Table:
             continue
         prefix = shared[:max(n - needed(n, percent) + 1 - (n - len(shared)), 0)]
         hashed = W.mix(shared)
-        # A set with tokens of its own has no equal: its signature is its id's.
-        signed = hashed if len(shared) == n else W.mix(ids[d:d + 1].view(np.uint64))
+        # A set with tokens of its own has no equal: its id is signed too.  Sets of one id
+        # that agree in size and shared tokens have the same links.
+        signed = hashed if len(shared) == n else np.append(
+            hashed, W.mix(ids[d:d + 1].view(np.uint64)))
         out.append((int(ids[d]), n, int(np.sum(signed, dtype=np.uint64).view(np.int64)),
                     int(np.bitwise_xor.reduce(signed * np.uint64(0x9E3779B97F4A7C15))
                         .view(np.int64)), int(hashed.min().view(np.int64)),
@@ -387,7 +389,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     same = cut_lineage(able.select("id", "s1", "s2", "n").hint("merge").join(
         equal, ["s1", "s2", "n"]).select("id", "rep"))
     reps = equal.where("rep IS NOT NULL").select(F.col("rep").alias("id"), "s1", "s2", "n")
-    sets = able.join(reps, ["id", "s1", "s2", "n"], "left_semi").dropDuplicates(["id", "s1", "s2"])
+    sets = able.join(reps, ["id", "s1", "s2", "n"], "left_semi").dropDuplicates(
+        ["id", "s1", "s2", "n"])
 
     # Groups of similar documents; a large one is split by id.
     alike = sets.select("id", "least")
