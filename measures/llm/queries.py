@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, quality,
-                          sentence_spans, suffix_dedup, token_counts, toxicity, warc)
+                          secrets, sentence_spans, suffix_dedup, token_counts, toxicity, warc)
 from measures.llm.common import shared_path
 
 TOXIC_AT = 0.5
@@ -98,6 +98,16 @@ def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_fold(scored, QUALITY_AT)
 
 
+def op11_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    many = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        F.col("id").alias("doc_id"), many("assign").alias("n_assign"),
+        many("access").alias("n_access"), many("hex").alias("n_hex"),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(secrets.in_order(F.concat("base", "added"))).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pfair_mix": op1_pfair_mix,
     "op2_fm_decontaminate": op2_fm_decontaminate,
@@ -109,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pairwise_quality": op10_pairwise_quality,
+    "op11_entropy_secrets": op11_entropy_secrets,
 }
 
 ORACLES: dict[str, str] = {
@@ -179,6 +190,7 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
+    "op11_entropy_secrets": secrets.oracle_sql(),
     "op8_warc_revisits": """
 SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
        CASE WHEN strlen(payload) >= 100 AND page_id > first_id THEN 'revisit'
