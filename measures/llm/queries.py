@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, quality,
+from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, prefix_trie, quality,
                           secrets, sentence_spans, suffix_dedup, token_counts, toxicity, warc)
 from measures.llm.common import shared_path
 
@@ -108,6 +108,24 @@ def op11_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.joined(secrets.in_order(F.concat("base", "added"))).alias("spans"))
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """The contract's conversations: the first h turns of conv_id - conv_id % 20,
+    then the own turns after the first h."""
+    own = prefix_trie.turn_lists(turns)
+    heads = own.where("conv_id % 20 = 0").select(
+        F.col("conv_id").alias("head_id"), F.slice("turns", 1, 3).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    none = F.slice("turns", 1, 0)
+    return (own.join(heads, F.expr("conv_id - conv_id % 20 = head_id"), "left")
+            .select("conv_id", F.concat(
+                F.coalesce(F.slice("head", F.lit(1), h), none),
+                F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0)))).alias("turns")))
+
+
+def op12_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_table(rebuilt(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pfair_mix": op1_pfair_mix,
     "op2_fm_decontaminate": op2_fm_decontaminate,
@@ -120,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pairwise_quality": op10_pairwise_quality,
     "op11_entropy_secrets": op11_entropy_secrets,
+    "op12_zfast_trie": op12_zfast_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -191,6 +210,49 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
     "op11_entropy_secrets": secrets.oracle_sql(),
+    "op12_zfast_trie": """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(strlen(role)::VARCHAR || ':' || role || text ORDER BY turn NULLS FIRST, md5(strlen(role)::VARCHAR || ':' || role || text)) AS said,
+         list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) ORDER BY turn NULLS FIRST, md5(strlen(role)::VARCHAR || ':' || role || text)) AS words
+  FROM turns GROUP BY conv_id),
+hashed AS (
+  SELECT *, (4294967295 - list_reduce(
+      list_prepend(4294967295::BIGINT, [ord(x)::BIGINT for x in string_split(conv_id::VARCHAR, '')]),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT for i in range(8)]),
+        lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END))) % 4 AS h
+  FROM own),
+rebuilt AS (
+  SELECT a.conv_id,
+         list_concat(coalesce(b.said[1:a.h], []), a.said[a.h + 1:]) AS said,
+         list_concat(coalesce(b.words[1:a.h], []), a.words[a.h + 1:]) AS words
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+places AS (
+  SELECT conv_id, len(said) AS n, d, sha256(array_to_string([md5(x) for x in said[1:d]], ' ')) AS key,
+         sha256(array_to_string([md5(x) for x in said[1:d - 1]], ' ')) AS up,
+         CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words
+  FROM (SELECT *, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT key, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends
+  FROM places GROUP BY key, d),
+kids AS (SELECT up, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up),
+whole AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.key),
+paths AS (SELECT DISTINCT key, d, unnest(list_transform(range(0, d + 1), lambda i: sha256(array_to_string([md5(x) for x in said[1:i]], ' ')))) AS above
+  FROM (SELECT DISTINCT said[1:d] AS said, d, key FROM (
+    SELECT said, d, sha256(array_to_string([md5(x) for x in said[1:d]], ' ')) AS key
+    FROM (SELECT said, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)))),
+sums AS (
+  SELECT above, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+         sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM paths JOIN whole USING (key, d) GROUP BY above)
+SELECT a.conv_id, a.d AS depth, CASE WHEN a.d > 0 THEN b.conv_id END AS parent_conv_id, a.n_convs,
+       a.n_children, n_leaves, saved_tokens, sha256(a.ends) AS ends_sha256
+FROM whole a JOIN sums ON sums.above = a.key LEFT JOIN nodes b ON b.key = a.up AND b.d = a.d - 1
+""",
     "op8_warc_revisits": """
 SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
        CASE WHEN strlen(payload) >= 100 AND page_id > first_id THEN 'revisit'
