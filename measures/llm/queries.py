@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from measures.llm import (decontaminate, exact_dedup, jaccard, mixing, prefix_trie, quality,
-                          secrets, sentence_spans, suffix_dedup, token_counts, toxicity, warc)
+from measures.llm import (decontaminate, exact_dedup, jaccard, lexical_search, mixing, prefix_trie,
+                          quality, secrets, sentence_spans, suffix_dedup, token_counts, toxicity,
+                          warc)
 from measures.llm.common import shared_path
 
 TOXIC_AT = 0.5
 QUALITY_AT = 0.3
+RANKED = 20
 # Target shares of the mix; every other source has share 1.
 MIX_SHARES = {"src0": 6, "src1": 4, "src2": 3, "src3": 2}
 
@@ -126,6 +128,11 @@ def op12_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_table(rebuilt(table(spark, sf_dir, "conversations")))
 
 
+def op13_rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), RANKED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pfair_mix": op1_pfair_mix,
     "op2_fm_decontaminate": op2_fm_decontaminate,
@@ -139,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pairwise_quality": op10_pairwise_quality,
     "op11_entropy_secrets": op11_entropy_secrets,
     "op12_zfast_trie": op12_zfast_trie,
+    "op13_rmq_search": op13_rmq_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -260,5 +268,36 @@ SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_dig
        CASE WHEN strlen(payload) >= 100 AND page_id > first_id THEN first_id END AS refers_to
 FROM (SELECT page_id, coalesce(html, '') AS payload,
              min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
+""",
+    "op13_rmq_search": """
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+           translate(string_agg(DISTINCT coalesce(text, ''), chr(10)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id),
+sums AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM texts WHERE len(w) > 0),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats
+  FROM (SELECT item_id, unnest(w) AS term FROM items) GROUP BY item_id, term),
+held AS (
+  SELECT doc_id, term, n, count(*) AS tf
+  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM texts)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term, n),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM held, sums GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, sum(repeats * weight * (1000000000 * tf // (
+           1000 * tf + 12 * (100 - 25 + 25 * n * n_docs // n_terms))))::BIGINT AS score
+  FROM held JOIN weights USING (term) JOIN asked USING (term), sums GROUP BY item_id, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scores WHERE score > 0)
+WHERE rank <= 20
 """,
 }
