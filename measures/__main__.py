@@ -65,8 +65,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "load":
         report = loading.run_load(spark, args.landing, store, load_id=args.load_id,
                                   rollup_rule=args.rule, multiline=args.multiline)
-        for j in report.jobs:
-            print(json.dumps(j, default=str))
+        for j in report.jobs.collect():
+            print(json.dumps(j.asDict(), default=str))
     elif args.cmd == "ingest":
         start_ingest(spark, args.landing, store, args.checkpoint).awaitTermination()
     elif args.cmd == "query":

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.functions.serialize import iso_z
@@ -24,24 +24,18 @@ def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def pending_events(spark: SparkSession, jobs: list[dict], at: dt.datetime | None = None,
+def pending_events(jobs: DataFrame, at: dt.datetime | None = None,
                    load_id: str | None = None) -> DataFrame:
     """L1: record submitted jobs (job_id, filename, study_id) as pending."""
-    at = at or now()
-    rows = [(j["job_id"], j.get("filename"), j.get("study_id"), "pending", 0, None, None, at, 0,
-             load_id) for j in jobs]
-    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+    return _events(jobs, F.array(_event("pending", 0, None, 0)), at or now(), load_id)
 
 
-# Stages a job passes, in order: (stage, progress, message template).
-STAGES = (("extract", PROGRESS["extracted"], "Extracted {rows} rows"),
-          ("transform", PROGRESS["transformed"], MSG_TRANSFORMED),
-          ("validate", PROGRESS["validated"], MSG_VALIDATED),
-          ("load", PROGRESS["loaded"], MSG_LOADED))
+# Stages a job passes, in order: (stage, progress).
+STAGES = (("extract", PROGRESS["extracted"]), ("transform", PROGRESS["transformed"]),
+          ("validate", PROGRESS["validated"]), ("load", PROGRESS["loaded"]))
 
 
-def stage_events(spark: SparkSession, jobs: list[dict], phase: str, at: dt.datetime,
-                 load_id: str) -> DataFrame:
+def stage_events(jobs: DataFrame, phase: str, at: dt.datetime, load_id: str) -> DataFrame:
     """L2/L3: a job's history as events, written in two phases.
 
     phase "checked" (before any table changes): `running`, then one event per
@@ -50,36 +44,42 @@ def stage_events(spark: SparkSession, jobs: list[dict], phase: str, at: dt.datet
     jobs, then the final state -- completed (100 %) or failed with the
     progress of its last passed stage and the error message.
 
-    `jobs`: dicts with job_id, filename, study_id, status, progress, message,
-    rows and failed_stage (None when the job passed every check).
+    `jobs`: job_id, filename, study_id, status, progress, message, rows and
+    failed_stage (null when the job passed every check).
     """
-    rows = []
-    for j in jobs:
-        base = (j["job_id"], j.get("filename"), j.get("study_id"))
-        passed = [s for s in STAGES if _passed(j, s[0])]
-        if phase == "checked":
-            rows.append((*base, "running", PROGRESS["started"], MSG_STARTED, None, at, 1, load_id))
-            for i, (stage, progress, text) in enumerate(passed):
-                if stage == "load":
-                    continue
-                rows.append((*base, "running", progress, text.format(rows=j.get("rows", 0)),
-                             None, at, 2 + i, load_id))
-        else:
-            if any(stage == "load" for stage, _, _ in passed):
-                rows.append((*base, "running", PROGRESS["loaded"], MSG_LOADED, None, at, 5,
-                             load_id))
-            error = j["message"] if j["status"] == "failed" else None
-            rows.append((*base, j["status"], int(j["progress"]), j["message"], error, at, 6,
-                         load_id))
-    return spark.createDataFrame(rows, LEDGER_SCHEMA)
-
-
-def _passed(job: dict, stage: str) -> bool:
-    order = [s for s, _, _ in STAGES]
-    failed = job.get("failed_stage")
-    if failed is None:
-        return job["status"] == "completed" or stage != "load"
-    return order.index(stage) < order.index(failed)
+    passed = F.coalesce(
+        *[F.when(F.col("failed_stage") == s, F.lit(i)) for i, (s, _) in enumerate(STAGES)],
+        F.when(F.col("status") == "completed", F.lit(len(STAGES))).otherwise(len(STAGES) - 1))
+    texts = (F.concat(F.lit("Extracted "), F.col("rows").cast("string"), F.lit(" rows")),
+             F.lit(MSG_TRANSFORMED), F.lit(MSG_VALIDATED), F.lit(MSG_LOADED))
+    stage = [F.when(passed > i, _event("running", STAGES[i][1], texts[i], 2 + i))
+             for i in range(len(STAGES))]
+    if phase == "checked":
+        events = F.array(_event("running", PROGRESS["started"], F.lit(MSG_STARTED), 1), *stage[:3])
+    else:
+        final = F.struct(
+            F.col("status").alias("status"), F.col("progress").cast("int").alias("progress"),
+            F.col("message").alias("message"),
+            F.when(F.col("status") == "failed", F.col("message")).alias("error_message"),
+            F.lit(6).alias("seq"))
+        events = F.array(stage[3], final)
+    return _events(jobs, events, at, load_id)
+
+
+def _event(status: str, progress: int, message, seq: int):
+    return F.struct(F.lit(status).alias("status"), F.lit(progress).alias("progress"),
+                    (F.lit(None) if message is None else message).cast("string").alias("message"),
+                    F.lit(None).cast("string").alias("error_message"), F.lit(seq).alias("seq"))
+
+
+def _events(jobs: DataFrame, events, at: dt.datetime, load_id: str | None) -> DataFrame:
+    rows = jobs.select("job_id", "filename", "study_id", F.explode(
+        F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    return rows.select(
+        "job_id", "filename", "study_id",
+        *[f"e.{c}" for c in ("status", "progress", "message", "error_message")],
+        F.lit(at).cast("timestamp_ntz").alias("event_at"), "e.seq",
+        F.lit(load_id).cast("string").alias("load_id"))
 
 
 def current_jobs(events: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def _names_where(flags: dict[str, Column]) -> Column:
                     lambda x: x.isNotNull())
 
 
-def _py_list(arr: Column) -> Column:
+def python_list(arr: Column) -> Column:
     """Render an array of strings like a Python list: ['a', 'b']."""
     quoted = F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
@@ -103,7 +103,7 @@ def file_verdicts(typed: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set("study_id")).alias("studies"),
         F.array_sort(F.collect_set(F.to_date("timestamp"))).alias("days"),
         F.min("timestamp").alias("min_ts"), F.max("timestamp").alias("max_ts"))
-    types_msg = F.concat(F.lit("Invalid types: "), _py_list(F.col("bad_types")))
+    types_msg = F.concat(F.lit("Invalid types: "), python_list(F.col("bad_types")))
     has_bad_types = F.size("bad_types") > 0
     load_errors = F.concat(
         F.transform(_names_where({c: F.col(f"null_{c}") for c in NOT_NULL_COLUMNS}),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from measures.operators import constraints, dimensions, ledger, rollup, validate
-from measures.plans import analytics, dirty, loading, reads
+from measures.plans import analytics, dirty, loading, reads, scenarios
 from measures.plans.params import (AM_SPLIT_HOUR, BMI_STUDY, FIRST_LOAD_END, LOOKUP_JOB,
                                    READ_FILTERS, RECENT_AS_OF, RECENT_DAYS, STREAM_LATENESS,
                                    STUDY_READ, TREND_PARTICIPANT, TREND_TYPE)
@@ -388,6 +388,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_q7_mean_bmi": _sql("q7_raw", study=BMI_STUDY),
     "sql_q7_mean_bmi_rollup": _sql("q7_rollup", study=BMI_STUDY),
 }
-QUERIES |= dirty.QUERIES
+QUERIES |= dirty.QUERIES | scenarios.QUERIES
 QUERIES["j1_latest_weight_height"] = lambda spark, d: round_doubles(
     analytics.latest_weight_and_height(_facts(spark, d), BMI_STUDY))

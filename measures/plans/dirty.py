@@ -143,7 +143,8 @@ def replayed_store(spark: SparkSession, sf_dir: str) -> Store:
         _clean(_text_rows(spark, sf_dir, "first"), f"{base}/landing")
         whole, store = Store(f"{base}/other"), Store(f"{base}/store")
         loading.run_load(spark, f"{base}/landing", whole, load_id="L", rollup_rule="exact")
-        tables.append_facts(store, whole.measurements(spark).where("pmod(hash(id), 3) = 0"))
+        tables.append_facts(store.begin(spark),
+                            whole.measurements(spark).where("pmod(hash(id), 3) = 0"))
         for _ in range(2):
             loading.run_load(spark, f"{base}/landing", store, load_id="L", rollup_rule="exact")
         return store

@@ -1,45 +1,56 @@
 """Table maintenance (K1-K4): appends, insert-if-absent and partition rewrites.
 
-Parquet has no MERGE; an upsert is a rewrite of the partitions it touches
-(dynamic partition overwrite).  Because the rewrite reads the partitions it
-replaces, the merged result is first checkpointed to the shared checkpoint
-folder, cutting the lineage to the files about to be replaced.
+All writes go through a `Commit` (sources/store.py): rows are written to the
+commit's own folders, and what they replace is superseded in the manifest.
+Nothing that is read is ever overwritten, so a merge needs no checkpoint and a
+crash at any point leaves the published version whole.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measures.operators import dimensions, rollup
-from measures.session import checkpoint_root
-from measures.sources.store import PARTITIONS, Store
+from measures.sources.store import PARTITIONS, Commit, Store
 
 # Upper bound on rows per written file: keeps files near row-group friendly
 # sizes whatever a task holds.
 MAX_RECORDS_PER_FILE = 5_000_000
 CLUSTERED = {"rollup": ("study_id", "measurement_type", "participant_id"),
-             "rollup_partials": ("study_id", "measurement_type", "participant_id")}
+             "rollup_partials": ("study_id", "measurement_type", "participant_id"),
+             "measurements": ("measurement_type", "participant_id", "timestamp")}
 FACT_COLUMNS = ("id", "study_id", "participant_id", "site_id", "measurement_type", "value",
                 "unit", "timestamp", "quality_score", "processed_at", "created_at", "value_num",
                 "bp_systolic", "bp_diastolic", "job_id", "load_id")
 
 
-def _writer(df: DataFrame, mode: str, table: str):
-    w = df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+@contextmanager
+def committing(spark: SparkSession, store: Store) -> Iterator[Commit]:
+    """A commit published when the block ends without an error."""
+    commit = store.begin(spark)
+    yield commit
+    commit.publish()
+
+
+def _write(commit: Commit, df: DataFrame, table: str) -> None:
+    w = df.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if table in PARTITIONS:
         w = w.partitionBy(*PARTITIONS[table])
-    return w
+    w.parquet(commit.target(table))
 
 
-def append_keys(spark: SparkSession, store: Store, table: str, key: str,
-                incoming: DataFrame) -> None:
+def append_keys(commit: Commit, table: str, key: str, incoming: DataFrame) -> None:
     """K2 via J2: add keys not stored yet (studies, participants, sites)."""
-    new = dimensions.insert_if_absent(store.read(spark, table), incoming, key)
-    _writer(new, "append", table).parquet(store.path(table))
+    stored = commit.read(commit.spark, table)
+    _write(commit, dimensions.insert_if_absent(stored, incoming, key), table)
 
 
-def append_facts(store: Store, facts: DataFrame) -> None:
+def append_facts(commit: Commit, facts: DataFrame) -> None:
     """K1: append accepted measurements.  No shuffle: each task sorts what it
     holds by (study, type, participant, time) and writes one file per study
     it holds, so a study with a third of all rows is written by every task,
@@ -50,7 +61,7 @@ def append_facts(store: Store, facts: DataFrame) -> None:
     files)."""
     out = facts.select(*FACT_COLUMNS).sortWithinPartitions(
         "study_id", "measurement_type", "participant_id", "timestamp")
-    _writer(out, "append", "measurements").parquet(store.path("measurements"))
+    _write(commit, out, "measurements")
 
 
 def touched_keys(df: DataFrame, key: str) -> list:
@@ -58,113 +69,100 @@ def touched_keys(df: DataFrame, key: str) -> list:
     return [r[0] for r in df.select(key).distinct().collect()]
 
 
-def _rewrite_partitions(spark: SparkSession, store: Store, table: str, merged: DataFrame) -> None:
-    """Replace exactly the partitions present in `merged`."""
-    checkpoint_root(spark)
-    frozen = merged.checkpoint(eager=True)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def _rewrite_partitions(commit: Commit, table: str, merged: DataFrame) -> None:
+    """The partitions present in `merged` take the place of the stored ones."""
     part = PARTITIONS[table]
     # Rebalance on the partition column: each day (or study) is written by a
     # few tasks instead of every task writing a file into every partition;
     # AQE splits a partition that is unusually large, so no task gets a skew.
     # Inside a file, rows are ordered as queries filter them.
-    out = frozen.hint("rebalance", *part).sortWithinPartitions(*part, *CLUSTERED.get(table, ()))
-    _writer(out, "overwrite", table).parquet(store.path(table))
+    _write(commit, merged.hint("rebalance", *part).sortWithinPartitions(
+        *part, *CLUSTERED.get(table, ())), table)
+    commit.supersede(table)
 
 
-def merge_enrollments(spark: SparkSession, store: Store, facts: DataFrame,
-                      studies: list[str] | None = None) -> None:
+def merge_enrollments(commit: Commit, first_seen: DataFrame, studies: list[str]) -> None:
     """K3: first-seen per (participant, study), keeping the earliest; rewrites
     only the touched study partitions."""
-    new = dimensions.first_seen(facts)
-    # Studies in a load: a short list; only their partition folders are read.
-    studies = studies if studies is not None else touched_keys(new, "study_id")
-    old = store.read_partitions(spark, "enrollments", studies)
-    merged = dimensions.merge_enrollments(old, new)
-    _rewrite_partitions(spark, store, "enrollments", merged)
-
-
-def merge_rollup(spark: SparkSession, store: Store, facts: DataFrame, load_id: str,
-                 days: list | None = None, rule: str = "faithful") -> None:
-    """K4: merge the batch's daily buckets into the stored roll-up.
-
-    Only the batch's days are read (a literal partition filter on agg_day)
-    and rewritten.  Every rewritten day partition records the load that
-    produced it; a replayed load skips days already carrying its id, so a
-    crash between the roll-up commit and the ledger write does not double
-    count.  `rule="exact"` maintains partial sums instead (A6).
-    """
-    if rule == "exact":
-        _merge_rollup_exact(spark, store, facts, load_id, days)
-        return
-    if rule != "faithful":
-        raise ValueError(f"unknown roll-up rule {rule!r}")
-    new = rollup.daily_rollup(facts)
-    # Calendar days in the load (bounded by its time span): only those day
-    # folders are listed and read.
-    days = days if days is not None else touched_keys(new, "agg_day")
-    old = store.read_partitions(spark, "rollup", days)
-    if old is not None:
-        done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
-        if done:
-            new = new.where(~F.col("agg_day").isin(done))
-            old = old.where(~F.col("agg_day").isin(done))
-        merged = rollup.merge_faithful(old.drop("load_id"), new)
+    old = commit.read_partitions(commit.spark, "enrollments", studies)
+    _rewrite_partitions(commit, "enrollments", dimensions.merge_enrollments(old, first_seen))
+
+
+def merge_rollup(commit: Commit, facts: DataFrame, load_id: str, days: list,
+                 rule: str = "faithful") -> None:
+    """K4: merge the batch's daily buckets into the stored roll-up.  Only the
+    batch's days are read and rewritten.  `rule="exact"` maintains partial sums
+    instead (A6), from which the touched days are derived anew."""
+    spark, stamp = commit.spark, F.lit(load_id)
+    if rule == "faithful":
+        new, old = rollup.daily_rollup(facts), commit.read_partitions(spark, "rollup", days)
+        merged = new if old is None else rollup.merge_faithful(old.drop("load_id"), new)
+        _rewrite_partitions(commit, "rollup", merged.withColumn("load_id", stamp))
+    elif rule == "exact":
+        new = rollup.stored_partials(rollup.rollup_partials(facts))
+        old = commit.read_partitions(spark, "rollup_partials", days)
+        merged = new if old is None else rollup.merge_exact(old.drop("load_id"), new)
+        _rewrite_partitions(commit, "rollup_partials",
+                            rollup.stored_partials(merged).withColumn("load_id", stamp))
+        partials = commit.read_partitions(spark, "rollup_partials", days)
+        if partials is not None:
+            _rewrite_partitions(commit, "rollup", rollup.finalize_partials(partials)
+                                .withColumn("load_id", stamp))
     else:
-        merged = new
-    _rewrite_partitions(spark, store, "rollup", merged.withColumn("load_id", F.lit(load_id)))
-
-
-def _merge_rollup_exact(spark: SparkSession, store: Store, facts: DataFrame, load_id: str,
-                        days: list | None) -> None:
-    """K4 with the exact rule (A6): merge the batch's partial sums into the
-    stored partials, then rewrite the touched roll-up days from them, so the
-    roll-up always equals a recompute over all loaded rows.  Days whose
-    partials already carry this load's id (a replay) are not merged again;
-    the roll-up of every touched day is re-derived from the partials, so a
-    crash between the two rewrites heals on replay."""
-    new = rollup.rollup_partials(facts)
-    days = days if days is not None else touched_keys(new, "agg_day")
-    old = store.read_partitions(spark, "rollup_partials", days)
-    if old is not None:
-        done = touched_keys(old.where(F.col("load_id") == load_id), "agg_day")
-        if done:
-            new = new.where(~F.col("agg_day").isin(done))
-            old = old.where(~F.col("agg_day").isin(done))
-        merged = rollup.merge_exact(old.drop("load_id"), rollup.stored_partials(new))
-    else:
-        merged = new
-    _rewrite_partitions(spark, store, "rollup_partials",
-                        rollup.stored_partials(merged).withColumn("load_id", F.lit(load_id)))
-    partials = store.read_partitions(spark, "rollup_partials", days)
-    _rewrite_partitions(spark, store, "rollup",
-                        rollup.finalize_partials(partials).withColumn("load_id", F.lit(load_id)))
+        raise ValueError(f"unknown roll-up rule {rule!r}")
 
 
-def append_ledger(store: Store, events: DataFrame) -> None:
+def append_ledger(commit: Commit, events: DataFrame) -> None:
     """L2: the ledger is append-only; a job's state is its latest event.
-    Events are job-level (a few per file loaded), so one small file per
-    append, under the day the events happened."""
-    (events.withColumn("event_day", F.to_date("event_at")).coalesce(1)
-     .write.mode("append").partitionBy("event_day").parquet(store.path("jobs")))
-
-
-def compact_ledger(spark: SparkSession, store: Store, before: "dt.date | None" = None) -> int:
-    """Rewrite each closed day of the ledger (days before `before`, default
-    today UTC) that holds more than one file into a single file.  Events are
-    kept as they are (the history stays whole); only the file count shrinks.
-    Returns the number of days rewritten."""
-    import datetime as dt
-    before = before or dt.datetime.now(dt.timezone.utc).date()
-    ledger = store.read(spark, "jobs")
-    if ledger is None:
-        return 0
-    crowded = [r["event_day"] for r in
-               ledger.where(F.col("event_day") < F.lit(before))
-               .select("event_day", F.col("_metadata.file_path").alias("f")).distinct()
-               .groupBy("event_day").count().where(F.col("count") > 1).collect()]
-    if not crowded:
-        return 0
-    days = ledger.where(F.col("event_day").isin(crowded))
-    _rewrite_partitions(spark, store, "jobs", days)
+    Events are job-level (a few per file loaded), under the day they happened."""
+    _write(commit, events.withColumn("event_day", F.to_date("event_at"))
+           .hint("rebalance", "event_day"), "jobs")
+
+
+def append_seen(commit: Commit, files: DataFrame) -> None:
+    """Record the files (path, modified) that a load has taken."""
+    _write(commit, files, "seen_files")
+
+
+def append_consumed(commit: Commit, folders: DataFrame) -> None:
+    """Record the fact folders that a roll-up has merged."""
+    _write(commit, folders, "consumed")
+
+
+def compact(spark: SparkSession, store: Store, table: str, keep: list[str] | None = None) -> int:
+    """Rewrite each partition that several commits have written (but for the
+    partition folders named in `keep`) into one commit's folder, rows as they
+    are.  Returns the number of partitions rewritten."""
+    held: dict[str, list[str]] = {}
+    for f in store.folders(spark, table):
+        held.setdefault(f.split("/")[1], []).append(f)
+    crowded = {p: fs for p, fs in held.items() if len(fs) > 1 and p not in (keep or ())}
+    if crowded:
+        with committing(spark, store) as commit:
+            _rewrite_partitions(commit, table, commit._read(
+                spark, table, [f for fs in crowded.values() for f in fs]))
     return len(crowded)
+
+
+def compact_ledger(spark: SparkSession, store: Store, before: dt.date | None = None) -> int:
+    """Compact the closed days of the ledger (days before `before`, default
+    today UTC).  The history stays whole; only the file count shrinks."""
+    before = before or dt.datetime.now(dt.timezone.utc).date()
+    open_days = [p for p in (f.split("/")[1] for f in store.folders(spark, "jobs"))
+                 if p.split("=")[1] >= before.isoformat()]
+    return compact(spark, store, "jobs", open_days)
+
+
+def delete_keys(spark: SparkSession, store: Store, studies: DataFrame | None = None,
+                participants: DataFrame | None = None, sites: DataFrame | None = None) -> None:
+    """V8 on the stored tables, in one commit: the given keys (a DataFrame of
+    one column each) go, with the enrollments and measurements that refer to
+    them; jobs stay, without their study.
+
+    A deleted study's partitions are superseded as a whole and never read.
+    Elsewhere only the partitions that hold a deleted key are rewritten, by
+    anti-joins on the keys.  The roll-up has no foreign keys and stays, as in
+    the reference."""
+    from measures.operators import constraints
+    with committing(spark, store) as commit:
+        constraints.cascade_stored(commit, studies, participants, sites, _write)

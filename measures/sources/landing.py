@@ -3,9 +3,9 @@
 Files are matched to columns by header *name*, as the reference's per-file
 reader does, while Spark's CSV reader maps an explicit schema by position.
 So the scan (1) lists the files, (2) reads each file's first line in a
-distributed task, (3) issues one multi-file CSV read per distinct header and
-(4) unions the groups by name.  Only file paths and header lines -- metadata,
-never rows -- reach the driver.
+distributed task, (3) reads all files in one CSV scan by position and (4) picks
+each row's columns through the positions of its file's header.  File facts are
+DataFrames throughout.
 
 Job identity: the file name is `<job uuid>_<original name>`; for folders
 written by Spark (one directory per job, part files inside) the uuid prefix of
@@ -18,7 +18,7 @@ from __future__ import annotations
 import csv
 import io
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +27,15 @@ from pyspark.sql.utils import AnalysisException
 
 from measures.functions.ids import uuid_layout
 from measures.schema import LOADED_COLUMNS, OPTIONAL_COLUMNS, REQUIRED_COLUMNS
-from measures.session import ship_package
+from measures.session import scratch_dir, ship_package
 from measures.sources import headers
+from measures.sources.files import listed
 
 UUID_PATTERN = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 # `<uuid>_<name>` as the last path component, or as the parent directory.
 _JOB_IN_PATH = rf"({UUID_PATTERN})_([^/]*)(/[^/]*)?$"
 CORRUPT = "_corrupt_record"
+PATH = "_landing_path"
 
 
 def normalise_name(name: str) -> str:
@@ -44,7 +46,9 @@ def normalise_name(name: str) -> str:
 def canonical_path(path_col, encoded: bool = False) -> F.Column:
     """One text form for a file path: `file:/x` rather than `file:///x`, and
     percent-escapes decoded when the input is a URI (`_metadata.file_path`)."""
-    p = F.coalesce(F.try_url_decode(path_col), path_col) if encoded else path_col
+    # A plus sign stands for itself in a path.
+    p = F.coalesce(F.try_url_decode(F.replace(path_col, F.lit("+"), F.lit("%2B"))), path_col) \
+        if encoded else path_col
     return F.regexp_replace(p, "^file:///", "file:/")
 
 
@@ -74,6 +78,7 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str = "*.csv")
         listing = (spark.read.format("binaryFile")
                    .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
                    .load(roots))
+        listing.schema  # noqa: B018  resolve now so a missing path raises here
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
@@ -82,6 +87,14 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str = "*.csv")
                           F.col("modificationTime").cast("timestamp_ntz").alias("modified"))
 
 
+def empty_files(listing: DataFrame, others: DataFrame) -> DataFrame:
+    """(path) of the listed files that are not among `others`: zero-length
+    ones yield no scan split, but the file index still names them."""
+    named = listed(listing).select(canonical_path(F.col("path"), encoded=True).alias("path"))
+    return named.join(others.select(canonical_path(F.col("path")).alias("path")), "path",
+                      "left_anti")
+
+
 def read_headers(files: DataFrame) -> DataFrame:
     """(path, modified, header) per listed file; one line read per file, in tasks."""
     ship_package(files.sparkSession)
@@ -98,146 +111,159 @@ def parse_header(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line))) if line else []
 
 
-def missing_columns(header: str | None) -> list[str]:
-    """V1: loaded columns a header lacks -- the required five in their
+COLUMNS = (*LOADED_COLUMNS, *OPTIONAL_COLUMNS)
+
+
+def positions(header: str | None) -> tuple[int, list[int]]:
+    """Fields of a header line, and the place of each of COLUMNS in it (-1
+    where it lacks one; the first of a repeated name)."""
+    names = [normalise_name(c) for c in parse_header(header or "")]
+    return len(names), [names.index(c) if c in names else -1 for c in COLUMNS]
+
+
+def missing_names(at) -> F.Column:
+    """V1: loaded columns whose place is -1 -- the required five in their
     declared order, then unit, site_id, quality_score."""
-    names = {normalise_name(c) for c in parse_header(header or "")}
     order = (*REQUIRED_COLUMNS, *[c for c in LOADED_COLUMNS if c not in REQUIRED_COLUMNS])
-    return [c for c in order if c not in names]
+    return F.filter(F.array(*[F.when(F.get(at, F.lit(COLUMNS.index(c))) < 0, F.lit(c))
+                              for c in order]), lambda c: c.isNotNull())
 
 
 @dataclass
 class LandingScan:
     """Rows of all files (all columns text, names normalised) plus per-file facts."""
     rows: DataFrame
-    files: DataFrame  # job_id, filename, path, modified, header, empty
-    groups: list[dict] = field(default_factory=list)
-    cached: list[DataFrame] = field(default_factory=list)
-
-    def release(self) -> None:
-        """Drop the cached file metadata (call when the load is done)."""
-        for df in self.cached:
-            df.unpersist()
-
-
-def jvm_headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
-    """First line per file through Spark's text source, for files the task-side
-    reader cannot open.  Only the first split of each file is kept, and its
-    earliest line is chosen with a partial aggregate (`min_by` over the read
-    order), so no task gathers a file.  Keys are canonical paths."""
-    text = (spark.read.text([literal_path(p) for p in paths])
-            .select(F.col("_metadata.file_path").alias("p"),
+    files: DataFrame  # job_id, filename, path, modified, header, empty, missing
+
+
+def first_lines(spark: SparkSession, root, glob: str) -> DataFrame:
+    """(path, header) through Spark's text source, for storage that the
+    task-side reader has no client for.  Only the first split of each file is
+    kept, and its earliest line is chosen with a partial aggregate (`min_by`
+    over the read order), so no task gathers a file."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+            .text(root)
+            .select(canonical_path(F.col("_metadata.file_path"), encoded=True).alias("place"),
                     F.col("_metadata.file_block_start").alias("start"),
                     F.regexp_replace("value", "^\uFEFF", "").alias("line"),
                     F.monotonically_increasing_id().alias("pos"))
             .where(F.col("start") == 0)
-            .groupBy("p").agg(F.min_by("line", "pos").alias("header")))
-    return {_same_path(r["p"], encoded=True): (r["header"] or None) for r in text.collect()}
+            .groupBy("place").agg(F.min_by("line", "pos").alias("found")))
+
+
+def _with_positions(batches):
+    for pdf in batches:
+        found = [positions(h) for h in pdf["header"]]
+        pdf["width"] = [w for w, _ in found]
+        pdf["at"] = [a for _, a in found]
+        yield pdf
+
+
+HEADS = "path string, modified timestamp_ntz, header string, width int, at array<int>"
+# File facts joined to rows by broadcast up to here (some 20 MB); more by a shuffle.
+BROADCAST_FILES = 50_000
 
 
 def scan(spark: SparkSession, root: str | list[str], glob: str = "*.csv",
          header_reader: str = "auto", multiline: bool = False) -> LandingScan:
-    """`header_reader`: "auto" reads first lines in tasks through Arrow file
+    """One CSV scan over all files, whatever their headers: fields are read by
+    position (as many as the widest header has), and each row picks its columns
+    through the positions of its own file's header, joined by path.
+
+    `header_reader`: "auto" reads first lines in tasks through Arrow file
     systems and falls back to Spark's text source for files it cannot open;
     "jvm" uses the text source for every file.  `multiline` reads quoted
     fields that contain line breaks (as a general CSV reader does) at the
     cost of reading each file in one task; off by default, so large files
     are split across tasks."""
-    files = list_files(spark, root, glob)
-    # File metadata only (path, time, header line); cached because the header
-    # grouping and the per-file table both use it.
+    roots = [root] if isinstance(root, str) else list(root)
+    files = list_files(spark, roots, glob)
     if header_reader == "jvm":
-        heads = files.select("path", "modified",
-                             F.lit(headers.UNREADABLE).alias("header")).cache()
+        heads = files.select("path", "modified", F.lit(headers.UNREADABLE).alias("header"))
     else:
-        heads = read_headers(files).cache()
-    cached = [heads]
-    unreadable = [r["path"] for r in heads.where(F.col("header") == headers.UNREADABLE)
-                  .select("path").collect()]
-    if unreadable:
-        found = jvm_headers(spark, unreadable)
-        fixed = spark.createDataFrame(
-            [(p, found.get(_same_path(p))) for p in unreadable], "path string, header string")
-        heads = (heads.where(F.col("header") != headers.UNREADABLE)
-                 .unionByName(heads.where(F.col("header") == headers.UNREADABLE).drop("header")
-                              .join(fixed, "path", "inner"))
-                 .cache())
-        cached.append(heads)
-    # Paths per distinct header.  The driver needs the path list to issue the
-    # reads (Spark's file index holds it there anyway); rows are collected
-    # as they are, so no single task gathers a header's whole file list.
-    by_header: dict[str | None, list[str]] = {}
-    for r in heads.select("header", "path").collect():
-        by_header.setdefault(r["header"], []).append(r["path"])
-    grouped = [{"header": h, "paths": ps} for h, ps in by_header.items()]
-    # Zero-length files yield no scan split, so they never reach the header
-    # reader; the file index (already listed by Spark) still names them.
-    scanned = {_same_path(p) for g in grouped for p in g["paths"]}
-    empty = [p for p in files.inputFiles() if _same_path(p, encoded=True) not in scanned]
-    if empty:
-        heads = heads.unionByName(spark.createDataFrame(
-            [(p, None, None) for p in empty], "path string, modified timestamp_ntz, header string"))
-    parts, groups = [], []
-    for g in grouped:
-        if g["header"] is None:
-            continue
-        raw = parse_header(g["header"])
-        names = [normalise_name(c) for c in raw]
-        missing = missing_columns(g["header"])
-        groups.append({"header": g["header"], "files": len(g["paths"]), "missing": missing})
-        # Field names: the header's own (so Spark's header check agrees), or
-        # positional ones when the header repeats a name; the first
-        # occurrence of a repeated column wins.
-        unique = len(set(raw)) == len(raw) and CORRUPT not in raw and all(raw)
-        physical = list(raw) if unique else [f"c{i}" for i in range(len(raw))]
-        schema = T.StructType([T.StructField(p, T.StringType()) for p in physical]
-                              + [T.StructField(CORRUPT, T.StringType())])
-        df = (spark.read.schema(schema)
-              .option("header", True).option("enforceSchema", True)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("escape", '"').option("encoding", "UTF-8")
-              .option("multiLine", multiline)
-              .csv([literal_path(p) for p in g["paths"]]))
-        keep, seen = [], set()
-        for p, n in zip(physical, names):
-            if n in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS) and n not in seen:
-                keep.append(F.col(f"`{p}`").alias(n))
-                seen.add(n)
-        width = len(raw)
-        parts.append(df.select(
-            *keep,
-            *[F.lit(None).cast("string").alias(c) for c in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS)
-              if c not in seen],
-            F.lit("id" in seen).alias("_has_id"),
-            # A row longer than its header fails the file; shorter rows are padded.
-            (F.col(CORRUPT).isNotNull() & (_field_count(F.col(CORRUPT)) > F.lit(width)))
-            .alias("_too_long"),
-            F.col("_metadata.file_path").alias("path")))
-    if parts:
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
+        heads = read_headers(files)
+    # Per-file facts stay in the shared scratch folder: headers are read once.
+    heads = written(heads.mapInPandas(_with_positions, HEADS), "heads")
+    facts = header_facts(heads)
+    if facts["unread"]:
+        heads = written(
+            heads.withColumn("place", canonical_path(F.col("path")))
+            .join(first_lines(spark, roots, glob), "place", "left")
+            .select("path", "modified", F.when(F.col("header") == headers.UNREADABLE, F.nullif(
+                "found", F.lit(""))).otherwise(F.col("header")).alias("header"))
+            .mapInPandas(_with_positions, HEADS), "heads")
+        facts = header_facts(heads)
+    rows = _rows(spark, roots, glob, heads, facts, multiline)
+    every = heads.unionByName(empty_files(files, heads), allowMissingColumns=True)
+    info = every.select(job_id_of(F.col("path")).alias("job_id"),
+                        file_name_of(F.col("path")).alias("filename"), "path", "modified",
+                        "header", F.col("header").isNull().alias("empty"),
+                        F.coalesce(missing_names(F.col("at")), F.array().cast("array<string>"))
+                        .alias("missing"))
+    return LandingScan(rows=rows, files=info)
+
+
+def header_facts(heads: DataFrame):
+    """How many headers there are, how wide, and the least and greatest layout
+    (the same when all files share one): what reaches the driver of them."""
+    return heads.where("header IS NOT NULL").agg(
+        F.max("width").alias("width"), F.max_by("header", F.struct("width", "header")).alias(
+            "widest"), F.count("*").alias("n"), F.min("at").alias("least"),
+        F.max("at").alias("most"), F.min("width").alias("narrowest"),
+        F.max(F.col("header") == headers.UNREADABLE).alias("unread")).head()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _rows(spark: SparkSession, roots: list[str], glob: str, heads: DataFrame, facts,
+          multiline: bool) -> DataFrame:
+    flags = [T.StructField("_has_id", T.BooleanType()), T.StructField("_too_long", T.BooleanType()),
+             T.StructField("path", T.StringType()), T.StructField("job_id", T.StringType())]
+    if not facts["n"]:
+        return spark.createDataFrame([], T.StructType(
+            [T.StructField(c, T.StringType()) for c in COLUMNS] + flags))
+    width = facts["width"]
+    # The widest header's own names, so that Spark's header check agrees with
+    # most files, or positional ones where that header repeats a name.
+    cells = parse_header(facts["widest"])
+    if len({c.lower() for c in cells}) < width or not all(cells) or any(
+            c.startswith("_") or "`" in c for c in cells):
+        cells = [f"c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*cells, CORRUPT)])
+    raw = (spark.read.schema(schema)
+           .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+           .option("header", True).option("enforceSchema", True)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+           .option("escape", '"').option("encoding", "UTF-8").option("multiLine", multiline)
+           .option("maxColumns", max(20480, width + 1))
+           .csv(roots).select(*[F.col(f"`{c}`") for c in schema.names],
+                              F.col("_metadata.file_path").alias(PATH)))
+    if facts["least"] == facts["most"] and facts["narrowest"] == width:
+        # One layout: no join, and only the named cells are kept.
+        pick = lambda i: F.col(f"`{cells[facts['least'][i]]}`") if facts["least"][i] >= 0 \
+            else F.lit(None).cast("string")
+        rows, own = raw, F.lit(width)
+        has_id = F.lit(facts["least"][COLUMNS.index("id")] >= 0)
     else:
-        rows = spark.createDataFrame([], T.StructType(
-            [T.StructField(c, T.StringType()) for c in (*LOADED_COLUMNS, *OPTIONAL_COLUMNS)]
-            + [T.StructField("_has_id", T.BooleanType()),
-               T.StructField("_too_long", T.BooleanType()),
-               T.StructField("path", T.StringType())]))
-    rows = rows.withColumn("job_id", job_id_of(F.col("path"), encoded=True))
-    file_info = heads.select(job_id_of(F.col("path")).alias("job_id"),
-                               file_name_of(F.col("path")).alias("filename"), "path", "modified",
-                               "header", F.col("header").isNull().alias("empty"))
-    return LandingScan(rows=rows, files=file_info, groups=groups, cached=cached)
-
-
-def _same_path(path: str, encoded: bool = False) -> str:
-    """Comparable form of a listed path (`file:/x`) or, with `encoded`, of a
-    percent-encoded URI (`file:///x%20y`)."""
-    from urllib.parse import unquote
-    p = unquote(path) if encoded else path
-    if p.startswith("file:///"):
-        p = "file:/" + p[len("file:///"):]
-    return p
+        by_path = heads.select(canonical_path(F.col("path")).alias("_place"),
+                               F.col("width").alias("_own"), F.col("at").alias("_at"))
+        raw = raw.withColumn("_place", canonical_path(F.col(PATH), encoded=True))
+        small = facts["n"] <= BROADCAST_FILES
+        rows = raw.join(F.broadcast(by_path) if small else by_path, "_place", "left")
+        row = F.array(*[F.col(f"`{c}`") for c in cells])
+        pick = lambda i: F.get(row, F.get("_at", F.lit(i)))
+        own = F.col("_own")
+        has_id = F.coalesce(F.get("_at", F.lit(COLUMNS.index("id"))) >= 0, F.lit(False))
+    # A row longer than its header fails the file; shorter rows are padded.
+    fields = F.when(F.col(CORRUPT).isNull(), F.lit(width)).otherwise(_field_count(F.col(CORRUPT)))
+    return rows.select(
+        *[pick(i).alias(c) for i, c in enumerate(COLUMNS)], has_id.alias("_has_id"),
+        F.coalesce(fields > own, F.lit(False)).alias("_too_long"), F.col(PATH).alias("path"),
+        job_id_of(F.col(PATH), encoded=True).alias("job_id"))
 
 
 def _field_count(line: F.Column) -> F.Column:

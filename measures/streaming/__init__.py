@@ -1,4 +1,5 @@
 from measures.streaming.ingest import start_ingest
-from measures.streaming.rollup import stream_facts, streaming_daily_rollup
+from measures.streaming.rollup import (start_rollup_stream, stream_facts,
+                                       streaming_daily_rollup)
 
-__all__ = ["start_ingest", "stream_facts", "streaming_daily_rollup"]
+__all__ = ["start_ingest", "start_rollup_stream", "stream_facts", "streaming_daily_rollup"]

@@ -33,7 +33,7 @@ def loaded(spark, tmp_path_factory):
 def test_jobs_completed(loaded):
     _, _, report, _ = loaded
     assert report.status() == {F1_JOB: "completed", F2_JOB: "completed"}
-    assert {j["job_id"]: j["rows"] for j in report.jobs} == {F1_JOB: 12, F2_JOB: 9}
+    assert {j["job_id"]: j["rows"] for j in report.jobs.collect()} == {F1_JOB: 12, F2_JOB: 9}
 
 
 def test_glucose_read_golden(loaded):
@@ -129,7 +129,7 @@ def test_second_copy_rejected_state_unchanged(loaded):
     before = store.rollup(spark).orderBy("agg_day", "participant_id", "measurement_type").collect()
     report = loading.run_load(spark, land2, store)
     assert report.status() == {F1B_JOB: "failed"}
-    assert "duplicate key" in report.jobs[0]["message"]
+    assert "duplicate key" in report.jobs.collect()[0]["message"]
     assert store.measurements(spark).count() == 21
     after = store.rollup(spark).orderBy("agg_day", "participant_id", "measurement_type").collect()
     assert before == after
@@ -166,7 +166,7 @@ JOB = "11111111-2222-3333-4444-555555555555"
 ])
 def test_file_rejected_whole(spark, workdir, rows, expect):
     report, store = run_single(spark, workdir, f"{JOB}_case.csv", csv_text(rows))
-    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    job = next(j for j in report.jobs.collect() if j["job_id"] == JOB)
     assert job["status"] == "failed" and expect in job["message"], job
     assert store.read(spark, "measurements") is None
 
@@ -205,15 +205,15 @@ def test_missing_column(spark, workdir):
     header = "study_id,participant_id,measurement_type,value,unit,site_id,quality_score"
     body = "STUDY001,P001,glucose,95.5,mg/dL,SITE_A,0.98"
     report, _ = run_single(spark, workdir, f"{JOB}_nots.csv", header + "\n" + body + "\n")
-    assert report.jobs[0]["status"] == "failed"
-    assert report.jobs[0]["message"] == "Missing column timestamp"
+    assert report.jobs.collect()[0]["status"] == "failed"
+    assert report.jobs.collect()[0]["message"] == "Missing column timestamp"
 
 
 def test_file_not_found_from_manifest(spark, workdir):
     manifest = [{"job_id": JOB, "filename": f"{JOB}_gone.csv", "study_id": "STUDY001",
                  "created_at": dt.datetime(2024, 1, 1)}]
     report, store = run_single(spark, workdir, None, None, manifest=manifest)
-    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    job = next(j for j in report.jobs.collect() if j["job_id"] == JOB)
     assert job["status"] == "failed" and job["message"] == f"File not found: {JOB}_gone.csv"
 
 
@@ -268,7 +268,7 @@ def test_replay_over_a_half_written_append(spark, workdir):
     loading.run_load(spark, land, whole, load_id="L1")
     # The crash: two of the load's rows were stored, nothing after them.
     from measures.sinks import tables
-    tables.append_facts(store, whole.measurements(spark).orderBy("id").limit(2))
+    tables.append_facts(store.begin(spark), whole.measurements(spark).orderBy("id").limit(2))
     assert loading.run_load(spark, land, store, load_id="L1").status() == {F1_JOB: "completed"}
     assert sums(spark, store) == (12, 12)
     assert sorted(r.id for r in store.measurements(spark).select("id").collect()) == sorted(
@@ -303,7 +303,7 @@ def test_job_folder_with_one_incomplete_header(spark, workdir):
     report = loading.run_load(spark, os.path.join(workdir, "landing"),
                               Store(os.path.join(workdir, "store")))
     assert report.status() == {F1_JOB: "failed"}
-    assert report.jobs[0]["message"] == "Missing column unit; Missing column quality_score"
+    assert report.jobs.collect()[0]["message"] == "Missing column unit; Missing column quality_score"
 
 
 def test_header_matches_fixture_header():
@@ -318,7 +318,7 @@ def test_crlf_and_bom(spark, workdir):
         fh.write(text)
     store = Store(os.path.join(workdir, "store"))
     report = loading.run_load(spark, land, store)
-    assert report.status()[JOB] == "completed", report.jobs
+    assert report.status()[JOB] == "completed", report.jobs.collect()
     rows = {(r.participant_id, r.measurement_type): r for r in store.measurements(spark).collect()}
     r = rows[("P001", "heart_rate")]
     assert (r.value, r.site_id, str(r.quality_score)) == ("66", "SITE_B", "0.97")
@@ -338,7 +338,7 @@ def test_file_supplied_bad_id_rejects(spark, workdir):
     header = "id,study_id,participant_id,measurement_type,value,unit,timestamp,site_id,quality_score"
     bad = "not-a-uuid,STUDY009,P001,glucose,95.5,mg/dL,2024-01-15T09:30:00Z,SITE_A,0.98"
     report, _ = run_single(spark, workdir, f"{JOB}_ids.csv", header + "\n" + bad + "\n")
-    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    job = next(j for j in report.jobs.collect() if j["job_id"] == JOB)
     assert job["status"] == "failed" and 'column "id"' in job["message"]
 
 
@@ -357,7 +357,7 @@ def test_varchar_limit_rejects(spark, workdir):
     long_site = "S" * 51
     rows = f"STUDY001,P001,glucose,95.5,mg/dL,2024-01-15T09:30:00Z,{long_site},0.98\n" + F1_ROWS
     report, _ = run_single(spark, workdir, f"{JOB}_long.csv", csv_text(rows))
-    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    job = next(j for j in report.jobs.collect() if j["job_id"] == JOB)
     assert job["status"] == "failed" and 'value too long for column "site_id"' in job["message"]
 
 
@@ -370,7 +370,7 @@ def test_empty_and_header_only_files(spark, workdir):
     write_file(land, f"{head_job}_head.csv", HEADER)
     store = Store(os.path.join(workdir, "store"))
     report = loading.run_load(spark, land, store)
-    by_id = {j["job_id"]: j for j in report.jobs}
+    by_id = {j["job_id"]: j for j in report.jobs.collect()}
     assert by_id[empty_job]["status"] == "failed"
     assert by_id[empty_job]["message"].startswith("Extraction error")
     assert by_id[head_job]["status"] == "completed" and by_id[head_job]["rows"] == 0
@@ -392,7 +392,7 @@ def test_missing_landing_folder(spark, workdir):
     report = loading.run_load(spark, os.path.join(workdir, "no-such-folder"), store,
                                manifest=manifest)
     assert report.status() == {JOB: "failed"}
-    assert report.jobs[0]["message"] == f"File not found: {JOB}_x.csv"
+    assert report.jobs.collect()[0]["message"] == f"File not found: {JOB}_x.csv"
     assert store.read(spark, "measurements") is None
 
 
@@ -401,7 +401,7 @@ def test_missing_column_and_invalid_type_reported_together(spark, workdir):
     body = ("STUDY001,P001,pulse,72,2024-01-15T09:30:00Z,SITE_A,0.9\n"
             "STUDY001,P001,glucose,95.5,2024-01-15T09:30:00Z,SITE_A,0.9")
     report, _ = run_single(spark, workdir, f"{JOB}_nounit.csv", header + "\n" + body + "\n")
-    job = next(j for j in report.jobs if j["job_id"] == JOB)
+    job = next(j for j in report.jobs.collect() if j["job_id"] == JOB)
     assert job["message"] == "Missing column unit; Invalid types: ['pulse']"
 
 
@@ -411,7 +411,7 @@ def test_file_without_uuid_or_with_spaces(spark, workdir):
     write_file(land, f"{JOB}_with space.csv", csv_text(F2_ROWS))
     store = Store(os.path.join(workdir, "store"))
     report = loading.run_load(spark, land, store)
-    assert sorted((j["filename"], j["status"], j["rows"]) for j in report.jobs) == [
+    assert sorted((j["filename"], j["status"], j["rows"]) for j in report.jobs.collect()) == [
         (f"{JOB}_with space.csv", "completed", 9), ("plain name study001.csv", "completed", 12)]
     assert store.measurements(spark).count() == 21
 
@@ -421,7 +421,7 @@ def test_percent_sign_in_file_name(spark, workdir):
     write_file(land, f"{JOB}_100%20done.csv", csv_text(F2_ROWS))
     store = Store(os.path.join(workdir, "store"))
     report = loading.run_load(spark, land, store)
-    assert [(j["filename"], j["status"], j["rows"]) for j in report.jobs] == [
+    assert [(j["filename"], j["status"], j["rows"]) for j in report.jobs.collect()] == [
         (f"{JOB}_100%20done.csv", "completed", 9)]
 
 
@@ -506,10 +506,10 @@ def test_rollup_heals_after_crash_before_rollup_commit(spark, workdir, monkeypat
     loading.run_load(spark, os.path.join(workdir, "l1"), store, load_id="L1", rollup_rule=rule)
     real = tables._rewrite_partitions
 
-    def crash_on_rollup(spark_, store_, table, merged):
+    def crash_on_rollup(commit, table, merged):
         if table == "rollup":
             raise RuntimeError("driver lost")
-        return real(spark_, store_, table, merged)
+        return real(commit, table, merged)
     monkeypatch.setattr(tables, "_rewrite_partitions", crash_on_rollup)
     with pytest.raises(RuntimeError):
         loading.run_load(spark, os.path.join(workdir, "l2"), store, load_id="L2",

@@ -40,7 +40,8 @@ def test_cascade_delete(spark):
                                              "enrolled_at timestamp_ntz"),
         "jobs": spark.createDataFrame([("j1", "S1"), ("j2", "S2")], "job_id string, study_id string"),
     }
-    out = constraints.cascade_delete(tables, studies=["S1"])
+    gone = spark.createDataFrame([("S1",)], "k string")
+    out = constraints.cascade_delete(tables, studies=gone)
     assert [r[0] for r in out["studies"].collect()] == ["S2"]
     assert [r.id for r in out["measurements"].collect()] == ["2"]
     assert [r.study_id for r in out["enrollments"].collect()] == ["S2"]
@@ -84,9 +85,15 @@ def test_submit_then_load_ledger(spark, workdir):
                        ("completed", 100, "Job completed successfully")]
 
 
+def pending(spark, job_ids, at):
+    jobs = spark.createDataFrame([(j, None, None) for j in job_ids],
+                                 "job_id string, filename string, study_id string")
+    return ledger.pending_events(jobs, at)
+
+
 def test_live_status_overrides_stored(spark):
     at = dt.datetime(2024, 1, 1)
-    stored = ledger.pending_events(spark, [{"job_id": "j1"}, {"job_id": "j2"}], at)
+    stored = pending(spark, ["j1", "j2"], at)
     live = spark.createDataFrame([("j1", "running", 30, "Data transformed")],
                                  "job_id string, status string, progress int, message string")
     got = {r.job_id: (r.status, r.progress, r.message)
@@ -101,13 +108,13 @@ def test_compact_ledger_keeps_history(spark, workdir):
     store = Store(os.path.join(workdir, "store"))
     day1 = dt.datetime(2024, 1, 1, 8)
     for i in range(3):
-        tables.append_ledger(store, ledger.pending_events(
-            spark, [{"job_id": f"j{i}"}], day1 + dt.timedelta(hours=i)))
-    tables.append_ledger(store, ledger.pending_events(spark, [{"job_id": "j9"}],
-                                                      dt.datetime(2024, 1, 2, 8)))
+        with tables.committing(spark, store) as commit:
+            tables.append_ledger(commit, pending(spark, [f"j{i}"], day1 + dt.timedelta(hours=i)))
+    with tables.committing(spark, store) as commit:
+        tables.append_ledger(commit, pending(spark, ["j9"], dt.datetime(2024, 1, 2, 8)))
     before = sorted((r.job_id, r.event_at) for r in store.jobs(spark).collect())
-    files = lambda: len(glob.glob(os.path.join(workdir, "store", "jobs", "event_day=2024-01-01",
-                                               "*.parquet")))
+    files = lambda: len([f for folder in store.folders(spark, "jobs") if "2024-01-01" in folder
+                         for f in glob.glob(os.path.join(store.path("jobs"), folder, "*.parquet"))])
     assert files() == 3
     assert tables.compact_ledger(spark, store, before=dt.date(2024, 1, 3)) == 1
     assert files() == 1

@@ -69,9 +69,8 @@ def test_duplicate_check_prunes_stored_facts(spark, store):
 
     from measures.operators.constraints import stored_ids_for
     stored = store.measurements(spark)
-    candidates = stored.where("study_id = 'STUDY002'")
     windows = {"STUDY002": (dt.datetime(2024, 1, 16, 9), dt.datetime(2024, 1, 16, 12))}
-    p = plan(stored_ids_for(stored, candidates, windows))
+    p = plan(stored_ids_for(stored, windows))
     assert "PartitionFilters: [" in p and "study_id" in p.split("PartitionFilters:")[1].splitlines()[0]
     assert "STUDY002" in p.split("PartitionFilters:")[1].splitlines()[0]
     pushed = p.split("PushedFilters:")[1].splitlines()[0]
