@@ -7,7 +7,8 @@ the corpus is removed, judged on the input.
    `K`-gram, which equal windows share.  The windows of one anchor are one
    fragment of text; (key, fragment) is counted over the corpus and only keys
    that occur twice go on, each distinct fragment once, with its count.
-2. Fragments are sharded by key.  In a shard the text is cut at local hash
+2. All windows of a key with a single distinct fragment repeat.  The fragments
+   of the others are sharded by key.  In a shard the text is cut at local hash
    minima into short tokens, and the suffixes of all fragments are sorted by
    linear grouping of Lyndon prefixes (`grouping_sort`).  Neighbours in that
    order that share the tokens of the middle of a window are the candidates;
@@ -43,7 +44,7 @@ from measures.llm.common import (blocks_for, cut_lineage, ship_package, stored,
 from measures.llm.grouping_sort import suffix_order
 
 LENGTH = 200
-K = 32
+K = 64  # long enough that two fragments seldom meet by chance
 PIECE = 1 << 20
 SHARD_BYTES = 1 << 20
 KEY_FRAGMENTS = 5_000
@@ -272,8 +273,12 @@ def removal_runs(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     frags = stored(candidates.groupBy("key", "f").agg(
         F.min(F.struct("uid", "start", "windows")).alias("at"), F.sum("times").alias("copies"))
         .select("key", "f", "at.*", "copies"), "fragments")
-    crowded = cut_lineage(frags.groupBy("key").count().where(
-        F.col("count") > KEY_FRAGMENTS).select("key"))
+    # A key whose fragments are all equal needs no bytes: every window repeats.
+    several = cut_lineage(frags.groupBy("key").agg(F.count("*").alias("several")).where("several > 1"))
+    alone = frags.hint("merge").join(several, "key", "left_anti").select(
+        "key", "f", F.array(F.lit(0)).alias("lo"), F.array(F.col("windows") - 1).alias("hi"))
+    frags = frags.hint("merge").join(several.select("key"), "key", "left_semi")
+    crowded = cut_lineage(several.where(F.col("several") > KEY_FRAGMENTS).select("key"))
     texts = fetch_bytes(frags, docs, length)
     if crowded.limit(1).count():
         texts = stored(texts, "fragment-texts")
@@ -286,7 +291,8 @@ def removal_runs(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     repeats = (usual.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
                .groupBy("shard").applyInArrow(
                    lambda shard: repeated_windows(length, shard), REPEATS))
-    repeats = stored(repeats if extra is None else repeats.union(extra), "repeats")
+    repeats = alone.union(repeats if extra is None else repeats.union(extra))
+    repeats = stored(repeats, "repeats")
     return (candidates.hint("merge").join(repeats, ["key", "f"])
             .select("uid", "start", "windows", "times", "lo", "hi"))
 
