@@ -1,38 +1,31 @@
 """Substring dedup by sliding sentence spans.
 
-Texts are cut into sentences; from every sentence a span starts, the shortest
-run of at least `sentences` consecutive sentences that holds at least `words`
-words.  Spans are hashed (128 bits, of folded words) and joined globally: of
-spans with equal words the first by (id, place) is the original, and every
-sentence covered by any other one is removed.
-
-Sentences end after a word ending in `.`, `!` or `?` and at line breaks.
-
-With `passage` (the registered query: 50) two things are removed besides:
-- the end of a run of sentences: spans are also taken backward from every
-  sentence, so that a repeated run of at least `sentences` sentences and
-  `words` words goes as a whole, its short last sentences too;
-- every repeated run of `passage` words, wherever it starts and ends and however
-  its sentences are cut.  Of the hashes of half-length word runs the least in
-  each stretch of `passage` words is joined globally (winnowing: equal passages
-  choose equal runs); the passages around the repeated ones are then joined by
-  their own hashes, and all but the first by (id, place) are cut out.  Samples
-  that follow each other wherever they stand make a chain, which is joined as a
-  whole; of the passages only those at its two ends are then needed.
+Texts are cut into sentences, every run of `sentences` consecutive ones is
+hashed (96 bits, of folded words), and equal runs are joined globally: the
+first by (id, place) is the original, and every sentence covered by any other
+one is removed.
+
+Sentences end after a word ending in `.`, `!` or `?` and at line breaks.  One of
+at least `long` words is cut further, after the word of least hash in each
+stretch of `long` words, so that equal passages are cut alike wherever their
+sentences begin.  A word of over LONG_WORD bytes (a script without white space)
+counts as its characters.  With the defaults any passage of 51 words holds a
+whole run, however it is cut out of its sentences: at most 8 words at either end
+depend on what stands around it, and 35 words hold three whole pieces of at most
+8.  Of a repeated passage those ends may stay.
 
 Hashes alone are counted first; a bitmap of those that occur twice or more
 (MAX_FILTER_BITS at most, false hits are dropped by the join) goes to all tasks,
-and only the spans it lets through are shuffled whole.
-A word of over LONG_WORD bytes (a script without white space) counts as its
-characters here.  `n_removed` counts the sentences of which nothing is left.
+and only the runs it lets through are shuffled whole.
 
 Rules
-- null, empty or wordless text has no sentence and is kept as it is; a text
-  too short for a full span is one span if it has `words` words in all.
-- spans inside one text repeat each other too: the first stays.
+- null, empty or wordless text has no sentence and is kept as it is, and so is a
+  text of fewer than `sentences` sentences.
+- runs inside one text repeat each other too: the first stays.
 - rows that share an id are told apart by their text; identical rows with one
   id are one document: they keep and lose the same sentences.  A null id comes
   before all others.  An empty table gives no rows.
+- texts of any length are read whole; only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -41,130 +34,88 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measures.llm import words as W
 from measures.llm.common import cut_lineage, ship_package, stored, text_buffer, text_chunks
 
-SENTENCES = 2
-WORDS = 20
-PASSAGE = 50
+SENTENCES = 3
+LONG = 8
 LONG_WORD = 200
 BROADCAST_IDS = 500_000  # 8 MB of keys; more are joined by a shuffle
 MAX_FILTER_BITS = 1 << 27
 _BLOCK = 1 << 15  # bits of Spark's bitmap aggregate
 _SECOND = np.uint64(0xA24BAED4963EE407)
-_SAMPLE = np.uint64(0x9FB21C651E98DF25)  # tell samples and links from spans of the same words
-_LINK = np.uint64(0xD6E8FEB86659FD93)
-SAMPLE, LINK = 0, -1  # in place of a number of sentences or words
+_CHOICE = np.uint64(0x9FB21C651E98DF25)
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
 
 
+def find_words(buf: np.ndarray, offsets: np.ndarray):
+    """Starts, ends and hashes of words, long ones cut into characters, and the
+    index of each text's first word."""
+    starts, ends, hashes, first = W.find_words(buf, offsets, W.SPACED)
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    if len(long):
+        inside = np.zeros(len(buf) + 1, np.int8)
+        inside[starts[long]] += 1
+        inside[ends[long]] -= 1
+        chars = np.flatnonzero((np.cumsum(inside[:-1]) > 0) & ((buf & 0xC0) != 0x80))
+        run_end = np.repeat(ends[long], np.diff(np.append(
+            np.searchsorted(chars, starts[long]), len(chars))))
+        char_end = np.minimum(np.append(chars[1:], len(buf)), run_end)
+        short = ends - starts <= LONG_WORD
+        starts = np.concatenate([starts[short], chars])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], np.concatenate([ends[short], char_end])[order]
+        hashes = W.hash_ranges(buf, starts, ends, W.SPACED.value)
+        first = np.searchsorted(starts, offsets).astype(np.int64)
+    return starts, ends, hashes, first
+
+
 class Sentences:
     """Sentences of many texts: word ranges, byte starts, and whose they are."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
-        starts, ends, self.hashes, first = W.find_words(buf, offsets, W.SPACED)
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, long: int = LONG):
+        starts, ends, self.hashes, first = find_words(buf, offsets)
         n = len(starts)
-        self.doc_of_word = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        doc_of_word = np.repeat(np.arange(len(first) - 1), np.diff(first))
         breaks = np.concatenate([[0], np.cumsum(buf == 10)])
         last = np.zeros(n, bool)
         if n:
             last[:-1] = (breaks[starts[1:]] > breaks[ends[:-1]]) \
-                | (self.doc_of_word[1:] != self.doc_of_word[:-1])
+                | (doc_of_word[1:] != doc_of_word[:-1])
             last |= _END[buf[ends - 1]]
             last[-1] = True
+            last[self._minima(last, long)] = True
         self.end = np.flatnonzero(last) + 1  # word ranges [begin, end)
         self.begin = np.concatenate([[0], self.end[:-1]])[:len(self.end)]
-        self.doc = self.doc_of_word[self.begin] if n else self.begin
+        self.doc = doc_of_word[self.begin] if n else self.begin
         self.first = np.searchsorted(self.doc, np.arange(len(offsets)))
         # A sentence owns the bytes from its first word to the next sentence's.
         self.byte = starts[self.begin] if n else self.begin
 
-    def spans(self, sentences: int, words: int, backward: bool = False):
-        """(first sentence, number of sentences, two hashes) of every span; with
-        `backward` also of the shortest spans that end with each sentence."""
-        m = len(self.end)
-        i = np.arange(m)
-        stop = self.first[self.doc + 1] if m else i  # sentences of the text end here
-        last = np.maximum(i + sentences, np.searchsorted(self.end, self.begin + words) + 1)
-        whole = last <= stop
-        # A text that has no full span is one span itself.
-        short = (i == self.first[self.doc]) & ~whole if m else whole
-        short &= self.end[np.maximum(stop - 1, 0)] - self.begin >= words if m else short
-        keep = np.flatnonzero(whole | short)
-        last = np.where(whole, last, stop)
-        if backward and m:
-            head = np.minimum(i - sentences + 1, np.searchsorted(
-                self.begin, self.end - words, side="right") - 1)
-            ends = np.flatnonzero(head >= self.first[self.doc])
-            ends = ends[last[head[ends]] != ends + 1]  # the others are spans already
-            keep, last = np.concatenate([keep, head[ends]]), np.concatenate([last[keep], ends + 1])
-        else:
-            last = last[keep]
-        a, b = self.begin[keep], self.end[last - 1]
-        return keep, last - keep, *_two(self.hashes, a, b)
-
-
-class Words:
-    """Words of many texts, long ones cut into characters, and their passages."""
-
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
-        starts, ends, hashes, first = W.find_words(buf, offsets, W.SPACED)
-        long = np.flatnonzero(ends - starts > LONG_WORD)
-        if len(long):
-            inside = np.zeros(len(buf) + 1, np.int8)
-            inside[starts[long]] += 1
-            inside[ends[long]] -= 1
-            chars = np.flatnonzero((np.cumsum(inside[:-1]) > 0) & ((buf & 0xC0) != 0x80))
-            run_end = np.repeat(ends[long], np.diff(np.append(
-                np.searchsorted(chars, starts[long]), len(chars))))
-            char_end = np.minimum(np.append(chars[1:], len(buf)), run_end)
-            short = ends - starts <= LONG_WORD
-            starts = np.concatenate([starts[short], chars])
-            order = np.argsort(starts, kind="stable")
-            starts, ends = starts[order], np.concatenate([ends[short], char_end])[order]
-            hashes = W.hash_ranges(buf, starts, ends, W.SPACED.value)
-            first = np.searchsorted(starts, offsets).astype(np.int64)
-        self.byte, self.hashes, self.first = starts, hashes, first
-        self.doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-
-    def samples(self, passage: int):
-        """(first word, kind, two hashes) of the runs of (passage + 1) // 2 words
-        that have the least hash among the runs of some passage, and of the links:
-        all words from such a run to the end of the next."""
-        size, n = (passage + 1) // 2, len(self.hashes)
-        if n < passage:
-            return *[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.uint64)] * 2
-        at = np.arange(n - size + 1)
-        h1, h2 = _two(self.hashes, at, at + size)
-        width = passage - size + 1
-        least = _sliding(np.minimum, h1, width)
-        least[self.doc[:n - passage + 1] != self.doc[passage - 1:]] = 0  # not in one text
-        pad = np.zeros(width - 1, np.uint64)
-        chosen = np.flatnonzero(_sliding(
-            np.maximum, np.concatenate([pad, least, pad]), width) == h1)
-        linked = np.flatnonzero(self.doc[chosen[:-1]] == self.doc[chosen[1:]])
-        l1, l2 = _two(self.hashes, chosen[linked], chosen[linked + 1] + size)
-        return (np.concatenate([chosen, chosen[linked]]),
-                np.repeat([SAMPLE, LINK], [len(chosen), len(linked)]),
-                np.concatenate([h1[chosen] ^ _SAMPLE, l1 ^ _LINK]),
-                np.concatenate([h2[chosen], l2]))
-
-
-def _sliding(f, x: np.ndarray, width: int) -> np.ndarray:
-    """f over each `width` consecutive values (len - width + 1)."""
-    n, have = len(x) - width + 1, 1
-    while 2 * have <= width:
-        x, have = f(x[:-have], x[have:]), 2 * have
-    return f(x[:n], x[width - have:][:n])
-
-
-def _two(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return _ranges(hashes, a, b), _ranges(W.mix(hashes + _SECOND), a, b)
+    def _minima(self, last: np.ndarray, long: int) -> np.ndarray:
+        """The (first) word of least hash in every stretch of `long` words that
+        lies in one sentence."""
+        if len(last) < long:
+            return np.zeros(0, np.int64)
+        rank = np.lib.stride_tricks.sliding_window_view(W.mix(self.hashes ^ _CHOICE), long)
+        ends = np.concatenate([[0], np.cumsum(last)])
+        whole = np.flatnonzero(ends[long - 1:-1] == ends[:len(last) - long + 1])
+        chosen = np.zeros(len(last), bool)
+        for a in range(0, len(whole), 1 << 16):  # a block at a time, to bound memory
+            at = whole[a:a + (1 << 16)]
+            chosen[at + rank[at].argmin(axis=1)] = True
+        return np.flatnonzero(chosen)
+
+    def runs(self, sentences: int):
+        """(first sentence, two hashes) of every run of `sentences` of a text."""
+        at = np.arange(max(len(self.end) - sentences + 1, 0))
+        at = at[self.doc[at] == self.doc[at + sentences - 1]]
+        a, b = self.begin[at], self.end[at + sentences - 1]
+        return at, _ranges(self.hashes, a, b), _ranges(W.mix(self.hashes + _SECOND), a, b)
 
 
 def _ranges(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -174,179 +125,132 @@ def _ranges(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return W.mix(h + (b - a).astype(np.uint64))
 
 
-SPAN = "h1 bigint, h2 bigint, id bigint, th bigint, place int, n int"
+RUN = "h1 bigint, h2 int, id bigint, th bigint, place int"
 
 
-def _span_rows(part: pa.RecordBatch, doc: np.ndarray, place, n, h1, h2) -> pa.RecordBatch:
-    doc = pa.array(doc)
-    return pa.record_batch(
-        [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-         part.column("id").take(doc), part.column("th").take(doc),
-         pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32))],
-        names=[x.split()[0] for x in SPAN.split(", ")])
-
-
-def all_spans(rows: DataFrame, sentences: int, words: int, passage: int | None) -> DataFrame:
-    """The spans, samples and links that may occur more than once."""
-    def find(part: pa.RecordBatch) -> Iterator[tuple]:
-        texts = text_buffer(part.column("text"))
-        s = Sentences(*texts)
-        at, n, h1, h2 = s.spans(sentences, words, passage is not None)
-        yield s, at, n, h1, h2
-        if passage is not None:
-            w = Words(*texts)
-            yield w, *w.samples(passage)
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b in text_chunks(batch.column("text")):
+            yield batch.slice(a, b - a)
 
+
+def repeated_hashes(rows: DataFrame, sentences: int, long: int) -> DataFrame:
+    """First hashes of the runs that occur more than once."""
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            for _, _, _, h1, _ in find(part):
-                yield pa.record_batch([pa.array(h1.view(np.int64))], names=["h1"])
+            _, h1, _ = Sentences(*text_buffer(part.column("text")), long).runs(sentences)
+            yield pa.record_batch([pa.array(h1.view(np.int64))], names=["h1"])
 
-    twice = stored(rows.select("text").mapInArrow(hashes, "h1 bigint").groupBy("h1").agg(
+    return stored(rows.select("text").mapInArrow(hashes, "h1 bigint").groupBy("h1").agg(
         F.count(F.lit(1)).alias("times")).where("times > 1").select("h1"), "repeated-spans")
-    bits = _BLOCK
-    n_twice = twice.count()
-    while bits < min(16 * n_twice, MAX_FILTER_BITS):
+
+
+def bitmap_of(hashes: DataFrame) -> np.ndarray:
+    """A bit per hash, by its low bits; at most MAX_FILTER_BITS."""
+    bits, n = _BLOCK, hashes.count()
+    while bits < min(16 * n, MAX_FILTER_BITS):
         bits *= 2
     slot = F.col("h1").bitwiseAND(F.lit(bits - 1))
-    blocks = (twice.select(F.shiftright(slot, 15).alias("block"), (slot % _BLOCK).alias("bit"))
+    blocks = (hashes.select(F.shiftright(slot, 15).alias("block"), (slot % _BLOCK).alias("bit"))
               .repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit")).collect())
     bitmap = np.zeros(bits // 8, np.uint8)
     for block, some in blocks:
         at = block * _BLOCK // 8
         bitmap[at:at + _BLOCK // 8] = np.frombuffer(some, np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+    return bitmap
+
+
+def runs_met(rows: DataFrame, sentences: int, long: int) -> DataFrame:
+    """The runs that may occur more than once, with their places."""
+    shared = rows.sparkSession.sparkContext.broadcast(
+        bitmap_of(repeated_hashes(rows, sentences, long)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        mask = np.uint64(8 * len(known) - 1)
         for part in _parts(batches):
-            for texts, at, n, h1, h2 in find(part):
-                slot = (h1 & np.uint64(bits - 1)).astype(np.int64)
-                may = np.flatnonzero(known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
-                at, n = at[may], n[may]
-                doc = texts.doc[at]
-                yield _span_rows(part, doc, at - texts.first[doc], n, h1[may], h2[may])
-
-    return rows.mapInArrow(run, SPAN)
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b in text_chunks(batch.column("text")):
-            yield batch.slice(a, b - a)
+            s = Sentences(*text_buffer(part.column("text")), long)
+            at, h1, h2 = s.runs(sentences)
+            slot = (h1 & mask).astype(np.int64)
+            may = np.flatnonzero(known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            doc = s.doc[at[may]]
+            whose = pa.array(doc)
+            yield pa.record_batch(
+                [pa.array(h1[may].view(np.int64)), pa.array(h2[may].astype(np.uint32).view(np.int32)),
+                 part.column("id").take(whose), part.column("th").take(whose),
+                 pa.array((at[may] - s.first[doc]).astype(np.int32))],
+                names=[x.split()[0] for x in RUN.split(", ")])
 
+    return stored(rows.mapInArrow(run, RUN), "sentence-runs")
 
-def passages_around(seen: DataFrame, passage: int) -> DataFrame:
-    """The chains of samples, and the passages that hold a chain's first or last."""
-    size = (passage + 1) // 2
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
-            w = Words(*text_buffer(part.column("text")))
-            lists = part.column("covered")
-            doc = pc.list_parent_indices(lists).to_numpy()
-            place, n, times = (pc.struct_field(lists.flatten(), c).to_numpy()
-                               for c in ("place", "n", "times"))
-            place = w.first[doc] + place
-            at, one = np.unique(place[n == SAMPLE], return_index=True)
-            often = times[n == SAMPLE][one]
-            on = np.zeros(len(at), np.int64)  # how often the link to the next sample occurs
-            on[np.searchsorted(at, place[n == LINK])] = times[n == LINK]
-            # Where all three occur equally often, they only occur together.
-            same = (on[:-1] == often[:-1]) & (often[:-1] == often[1:])
-            head = at[np.append(True, ~same)[:len(at)]]
-            tail = at[np.append(~same, True)[:len(at)]]
-            edge = np.zeros(len(w.hashes) + 1, np.int64)
-            for end in (head, tail):
-                d = w.doc[end]
-                np.add.at(edge, np.maximum(end + size - passage, w.first[d]), 1)
-                np.add.at(edge, np.minimum(end, w.first[d + 1] - passage) + 1, -1)
-            a = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-            chains = tail + size - head > passage
-            a, n = np.concatenate([a, head[chains]]), np.concatenate(
-                [np.full(len(a), passage), (tail + size - head)[chains]])
-            yield _span_rows(part, w.doc[a], a - w.first[w.doc[a]], n,
-                             *_two(w.hashes, a, a + n))
-
-    return seen.select("id", "th", "text", "covered").where(
-        "exists(covered, x -> x.n = 0)").mapInArrow(run, SPAN)
-
-
-def repeats(spans: DataFrame) -> DataFrame:
-    """Per text: place and n of its spans that stand elsewhere first, and of its
-    samples and links that stand elsewhere at all, and how often they occur."""
+def covered_by_later(runs: DataFrame) -> DataFrame:
+    """Per text (i, t): the places of its runs that stand elsewhere first."""
     place = F.struct("id", "th", "place")
-    originals = stored(spans.groupBy("h1", "h2").agg(
-        F.min(place).alias("original"), F.count(F.lit(1)).alias("times"))
-        .where("times > 1"), "sentence-originals")
-    again = (spans.hint("merge").join(originals, ["h1", "h2"])
-             .where((F.col("n") <= 0) | ~place.eqNullSafe(F.col("original"))))
-    return cut_lineage(again.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(
-        F.collect_list(F.struct("place", "n", "times"))
-        .alias("covered")))  # at most the words of a text
+    first = runs.groupBy("h1", "h2").agg(F.min(place).alias("original"),
+                                         F.count(F.lit(1)).alias("times")).where("times > 1")
+    again = runs.hint("merge").join(first, ["h1", "h2"]).where(
+        ~place.eqNullSafe(F.col("original")))
+    return stored(again.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(
+        F.collect_list("place").alias("covered")), "sentence-covered")  # at most a text's sentences
 
 
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          sentences: int = SENTENCES, words: int = WORDS,
-                          passage: int | None = None) -> DataFrame:
+                          sentences: int = SENTENCES, long: int = LONG) -> DataFrame:
     """Per row: id, n_sentences, n_removed (sentences), kept (text)."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("th", F.xxhash64("text"))
-    per_doc = repeats(all_spans(rows, sentences, words, passage))
-    keys = per_doc.select("i", "t")
+    unclear = rows.groupBy("id").count().where("id IS NULL OR count > 1").limit(1).count()
+    rows = rows.withColumn("th", F.xxhash64("text") if unclear else F.lit(0).cast("bigint"))
+    per_doc = covered_by_later(runs_met(rows, sentences, long))
+    keys = cut_lineage(per_doc.select("i", "t"))
     if keys.count() <= BROADCAST_IDS:
         keys = F.broadcast(keys)
     named = F.expr("id <=> i AND th = t")
-    touched = rows.join(keys, named, "left_semi").hint("merge").join(per_doc, named).drop("i", "t")
-    if passage is None:
-        touched = touched.withColumn("passages", F.lit(None).cast("array<struct<place:int,n:int,times:bigint>>"))
-    else:
-        touched = stored(touched, "sentence-spans")
-        found = repeats(passages_around(touched, passage)).withColumnRenamed("covered", "passages")
-        touched = touched.hint("merge").join(found, named, "left")
+    touched = rows.join(keys, named, "left_semi").hint("merge").join(per_doc, named)
     schema = "id bigint, n_sentences bigint, n_removed bigint, kept string"
-    cut = touched.select("id", "text", "covered", "passages").mapInArrow(cut_sentences, schema)
-    clean = rows.join(keys, named, "left_anti").select("id", "text").mapInArrow(
-        count_sentences, schema)
-    return clean.union(cut)
-
-
-def count_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b in text_chunks(batch.column("text")):
-            part = batch.slice(a, b - a)
-            n = np.diff(Sentences(*text_buffer(part.column("text"))).first)
-            yield pa.record_batch([part.column("id"), pa.array(n), pa.array(np.zeros_like(n)),
-                                   part.column("text")],
-                                  names=["id", "n_sentences", "n_removed", "kept"])
-
-
-def cut_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            buf, offsets = text_buffer(batch.column("text").slice(i, 1))
-            s = Sentences(buf, offsets)
-            # A word, like a sentence, owns the bytes up to the next one.
-            bounds = np.append(s.byte, len(buf))
-            bounds[0] = 0
-            edge = np.zeros(len(buf) + 1, np.int64)
-            _mark(edge, bounds, batch.column("covered")[i])
-            if batch.column("passages")[i].is_valid:
-                of_words = np.append(Words(buf, offsets).byte, len(buf))
-                of_words[0] = 0
-                _mark(edge, of_words, batch.column("passages")[i])
-            stays = np.cumsum(edge[:-1]) == 0
-            left = np.add.reduceat(stays, bounds[:-1], dtype=np.int64)
-            yield pa.record_batch(
-                [batch.column("id").slice(i, 1), pa.array([len(s.end)]),
-                 pa.array([int((left == 0).sum())]), pa.array([buf[stays].tobytes().decode()])],
-                names=["id", "n_sentences", "n_removed", "kept"])
-
 
-def _mark(edge: np.ndarray, bounds: np.ndarray, covered: pa.ListScalar) -> None:
-    at, n = (covered.values.field(c).to_numpy().astype(np.int64) for c in ("place", "n"))
-    at, n = at[n > 0], n[n > 0]  # samples and links cover nothing
-    np.add.at(edge, bounds[at], 1)
-    np.add.at(edge, bounds[at + n], -1)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            yield _cut(part, sentences, long)
+
+    none = F.array().cast("array<int>").alias("covered")
+    clean = rows.join(keys, named, "left_anti").select("id", "text", none)
+    return clean.mapInArrow(cut, schema).union(
+        touched.select("id", "text", "covered").mapInArrow(cut, schema))
+
+
+def _cut(part: pa.RecordBatch, sentences: int, long: int) -> pa.RecordBatch:
+    """Rows (id, text, covered) without the sentences of their covered runs."""
+    buf, offsets = text_buffer(part.column("text"))
+    s = Sentences(buf, offsets, long)
+    n = np.diff(s.first)
+    places = part.column("covered")
+    if not len(places.flatten()):
+        return pa.record_batch(
+            [part.column("id"), pa.array(n), pa.array(np.zeros_like(n)), part.column("text")],
+            names=["id", "n_sentences", "n_removed", "kept"])
+    at = np.repeat(s.first[:-1], places.value_lengths().to_numpy()) + places.flatten().to_numpy()
+    m = len(s.end)
+    edge = np.bincount(at, minlength=m + 1) - np.bincount(at + sentences, minlength=m + 1)
+    gone = np.cumsum(edge[:m]) > 0
+    # A sentence owns the bytes up to the next one; a text's first one, all before it.
+    own = np.append(s.byte, len(buf))
+    heads = s.first[:-1][n > 0]
+    own[heads] = offsets[:-1][n > 0]
+    stays = np.ones(len(buf), bool)
+    flip = np.zeros(len(buf) + 1, np.int64)
+    stop = own[1:].copy()
+    stop[(s.first[1:] - 1)[n > 0]] = offsets[1:][n > 0]
+    np.add.at(flip, own[:-1][gone], 1)
+    np.add.at(flip, stop[gone], -1)
+    stays = np.cumsum(flip[:-1]) == 0
+    removed = np.concatenate([[0], np.cumsum(~stays)])[offsets]
+    kept = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), part.num_rows,
+        [None, pa.py_buffer((offsets - removed).astype(np.int64)), pa.py_buffer(buf[stays])])
+    return pa.record_batch(
+        [part.column("id"), pa.array(n),
+         pa.array(np.diff(np.concatenate([[0], np.cumsum(gone)])[s.first])),
+         kept.cast(pa.binary()).cast(pa.string())], names=["id", "n_sentences", "n_removed", "kept"])
