@@ -39,18 +39,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows, names = unclashing(docs)
     index = exact_dedup.DigestIndex(spark, fresh_name("digest_index"))
-    gone = index.ingest(docs).where("NOT kept").select(
+    gone = index.ingest(rows, names["doc_id"], names["text"]).where("NOT kept").select(
         F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest"))
-    return without(docs, cut_lineage(gone), F.expr("doc_id <=> gone_id") & (
-        exact_dedup.digest_of(docs["text"]) == F.col("gone_digest")))
+    return without(rows, cut_lineage(gone), F.expr(f"{names['doc_id']} <=> gone_id") & (
+        exact_dedup.digest_of(F.col(names["text"])) == F.col("gone_digest"))).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each component stays."""
-    found = jaccard.jaccard_components(docs)
+    rows, names = unclashing(docs)
+    found = jaccard.jaccard_components(rows, names["doc_id"], names["text"])
     gone = found.where("id <> component_id").select(F.col("id").alias("gone_id")).distinct()
-    return without(docs, cut_lineage(gone), F.expr("doc_id = gone_id"))
+    return without(rows, cut_lineage(gone), F.expr(f"{names['doc_id']} = gone_id")).toDF(
+        *docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +66,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds `slot` and `place`: ordering by them gives the mix."""
-    order = [F.col(c).alias(c if c not in docs.columns else f"mix_{c}") for c in ("slot", "place")]
+    """Adds `slot` and `place` (with `mix_` before a name that is taken): ordering
+    by them gives the mix."""
+    def free(name: str) -> str:
+        return free(f"mix_{name}") if name in docs.columns else name
+
+    order = [F.col(c).alias(free(c)) for c in ("slot", "place")]
     return mixing.mix(docs, MIX_SHARES, whole_rows=True).select("row.*", *order)
 
 
