@@ -125,7 +125,9 @@ class BradleyTerry:
         self.scale = np.maximum(z.std(axis=0), 1e-9)
         z = (z - self.mean) / self.scale
         turn = np.arange(len(bad) * pairs)
-        diff = z[good[(turn * 7919) % len(good)]] - z[bad[turn % len(bad)]]
+        # A stride without a common factor walks over all the good rows.
+        stride = next(s for s in range(7919, 7919 + len(good) + 2) if math.gcd(s, len(good)) == 1)
+        diff = z[good[(turn * stride) % len(good)]] - z[bad[turn % len(bad)]]
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(diff @ self.w, -30, 30)))
             grad = diff.T @ (p - 1) / len(diff) + ridge * self.w

@@ -99,3 +99,26 @@ def test_quality_without_labels_or_rows(spark):
 def test_held_out_null(spark):
     df = spark.createDataFrame([(None,), (1,)], "doc_id bigint").select(is_held_out(F.col("doc_id")))
     assert [r[0] for r in df.collect()][0] is False
+
+
+def test_strengths_from_pairs_again():
+    """The model against the loss's own minimum, from the features on; a number
+    of good rows that divides the old stride changes nothing."""
+    import numpy as np
+    from measures.llm.quality import FEATURES, PAIRS, RIDGE, BradleyTerry, expand
+    r = np.random.Generator(np.random.PCG64(2))
+    for n_good in (7919, 7920):
+        y = np.concatenate([np.ones(n_good, int), np.zeros(40, int)])
+        x = np.abs(r.normal(size=(len(y), len(FEATURES)))) + 0.4 * y[:, None]
+        model = BradleyTerry(x, y)
+        good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+        turn = np.arange(len(bad) * PAIRS)
+        stride = 7919 if n_good % 7919 else 7920
+        z = expand(x)
+        z = (z - z.mean(axis=0)) / np.maximum(z.std(axis=0), 1e-9)
+        diff = z[good[turn * stride % n_good]] - z[bad[turn % len(bad)]]
+        assert len(set(turn * stride % n_good)) > 30
+        grad = diff.T @ (1 / (1 + np.exp(-diff @ model.w)) - 1) / len(diff) + RIDGE * model.w
+        assert np.abs(grad).max() < 1e-4
+        won = (model.strength(x)[good][:40, None] > model.strength(x)[bad][None, :]).mean()
+        assert won > 0.7
