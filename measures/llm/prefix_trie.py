@@ -266,22 +266,23 @@ def _split(nodes: DataFrame, found: DataFrame) -> DataFrame:
             key_at(F.col("edge"), a - F.col("lo"))).alias("up"))
 
 
-def build(paths: DataFrame) -> DataFrame:
-    """Nodes of the trie over distinct paths: a small batch first, then the
-    rest, each path located in what stands."""
+def build(paths: DataFrame) -> Trie:
+    """The trie over distinct paths: a small batch first, then the rest, each
+    path located in what stands."""
     longest = paths.agg(F.max("length")).head()[0] or 0
     early = F.abs(F.xxhash64(F.lit("batch"), "id") % FIRST_BATCH) == 0
     trie = insert(None, paths.where(early), longest)
-    return insert(trie, paths.where(~early), longest).nodes
+    return insert(trie, paths.where(~early), longest)
 
 
 # --- what is asked of it -------------------------------------------------------------------------
 
-def summarise(nodes: DataFrame, paths: DataFrame) -> DataFrame:
+def summarise(trie: Trie, paths: DataFrame) -> DataFrame:
     """Per compacted node, root included: extent (the key at hi), its place,
     and over its subtree n (conversations), conv_id (least), leaves, spent
     (words of all conversations from the root), held (words of its distinct
     turns); `kids` are its children."""
+    nodes = trie.nodes
     root = nodes.sparkSession.createDataFrame(
         [(None, 0, 0, b"", [0], None)], NODE)
     below = nodes.groupBy("up").agg(F.count("*").alias("kids")).withColumnRenamed("up", "k_up")
@@ -306,7 +307,7 @@ def summarise(nodes: DataFrame, paths: DataFrame) -> DataFrame:
         higher = rows.where("above IS NOT NULL").select(
             F.col("extent").alias("h_extent"), F.col("above").alias("h_above"))
         rows = stored(
-            rows.hint("merge").join(higher, F.expr("above = h_extent AND above <> X''"), "left")
+            trie.lookup(rows, higher, F.expr("above = h_extent AND above <> X''"))
             .join(up, F.expr("extent = s_above"), "left")
             .select("extent", "lo", "hi", "cum", "up", "kids", F.col("h_above").alias("above"),
                     *[(F.col(c) + F.coalesce(f"s_{c}", F.lit(0))).alias(c) for c in sums],
@@ -314,11 +315,11 @@ def summarise(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     return rows
 
 
-def expand(nodes: DataFrame, ends: DataFrame) -> DataFrame:
-    """One row per depth of every edge; `ends` (id, ends_sha256) are the
-    digests of the conversations that end at a key."""
+def expand(trie: Trie, nodes: DataFrame, ends: DataFrame) -> DataFrame:
+    """One row per depth of every edge of the summarised nodes; `ends` (id,
+    ends_sha256) are the digests of the conversations that end at a key."""
     over = nodes.select(F.col("extent").alias("u_extent"), F.col("conv_id").alias("u_conv_id"))
-    rows = (nodes.hint("merge").join(over, F.expr("up = u_extent"), "left")
+    rows = (trie.lookup(nodes, over, F.expr("up = u_extent"))
             .join(ends, F.expr("extent = id"), "left")
             .withColumn("depth", F.explode(F.when(F.col("hi") == 0, F.array(F.lit(0))).otherwise(
                 F.sequence(F.col("lo") + 1, F.col("hi"))))))
@@ -389,6 +390,6 @@ def trie_table(lists: DataFrame) -> DataFrame:
     """(conv_id, turns) -> one row per trie node, expanded."""
     paths = stored(paths_of(lists), "trie-paths")
     distinct = stored(distinct_paths(paths), "trie-distinct")
-    nodes = summarise(build(distinct), distinct)
+    trie = build(distinct)
     # Without conversations there is no root either.
-    return expand(nodes, end_digests(paths)).where("n_convs > 0")
+    return expand(trie, summarise(trie, distinct), end_digests(paths)).where("n_convs > 0")

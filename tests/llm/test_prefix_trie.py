@@ -121,7 +121,7 @@ def test_exit_nodes_are_found(spark):
     lists = T.turn_lists(spark.createDataFrame(rows, TURNS))
     paths = T.distinct_paths(T.paths_of(lists)).cache()
     inside = F.abs(F.xxhash64("id")) % 2 == 0
-    trie = T.Trie(T.build(paths.where(inside)))
+    trie = T.build(paths.where(inside))
     known = {r.path[i:i + T.KEY] for r in paths.where(inside).collect()
              for i in range(0, len(r.path), T.KEY)}
     longest = max(r.length for r in paths.collect())
