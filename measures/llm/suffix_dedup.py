@@ -318,7 +318,10 @@ def window_by_window(frags: DataFrame, length: int) -> DataFrame:
         explode, "key bigint, f bigint, copies bigint, at int, h1 bigint, h2 bigint")
     twice = cut_lineage(rows.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).where("n > 1")
                         .select("h1", "h2"))
-    return (rows.hint("merge").join(twice, ["h1", "h2"]).groupBy("key", "f")
+    # Few windows of a crowded key repeat; then the others are not shuffled again.
+    met = rows.join(F.broadcast(twice), ["h1", "h2"]) if twice.count() <= BROADCAST_IDS \
+        else rows.hint("merge").join(twice, ["h1", "h2"])
+    return (met.groupBy("key", "f")
             .agg(F.sort_array(F.collect_list("at")).alias("lo"))  # at most one fragment's windows
             .select("key", "f", "lo", F.col("lo").alias("hi")))
 
