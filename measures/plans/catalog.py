@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from measures.operators import constraints, dimensions, ledger, rollup, validate
 from measures.plans import analytics, dirty, loading, reads, scenarios
 from measures.plans.params import (AM_SPLIT_HOUR, BMI_STUDY, FIRST_LOAD_END, LOOKUP_JOB,
-                                   READ_FILTERS, RECENT_AS_OF, RECENT_DAYS, STREAM_LATENESS,
+                                   LOAD_INSTANT, READ_FILTERS, RECENT_AS_OF, RECENT_DAYS, STREAM_LATENESS,
                                    STUDY_READ, TREND_PARTICIPANT, TREND_TYPE)
 from measures.session import ensure_session, scratch_dir
 from measures.sinks.landing import write_landing
@@ -164,8 +164,9 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> Store:
         write_landing(_am(m), _job_name(m), f"{base}/landing_am")
         write_landing(_pm(m), _job_name(m), f"{base}/landing_pm")
         store = Store(f"{base}/store")
-        loading.run_load(spark, f"{base}/landing_am", store, load_id="am")
-        loading.run_load(spark, f"{base}/landing_pm", store, load_id="pm")
+        for half in ("am", "pm"):
+            loading.run_load(spark, f"{base}/landing_{half}", store, load_id=half,
+                             instant=LOAD_INSTANT)
         _LOADED[key] = store
     return _LOADED[key]
 
@@ -305,12 +306,12 @@ def q_stored_q7_rollup(spark, d):
 
 def q_stored_r1(spark, d):
     return reads.query_measurements(loaded_store(spark, d).measurements(spark),
-                                    **READ_FILTERS).drop("processed_at")
+                                    **READ_FILTERS)
 
 
 def q_stored_r2(spark, d):
     return reads.study_measurements(loaded_store(spark, d).measurements(spark),
-                                    STUDY_READ).drop("processed_at")
+                                    STUDY_READ)
 
 
 def _sql(name: str, **params):

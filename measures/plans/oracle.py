@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from measures.plans import dirty, scenarios
 from measures.plans.params import (AM_SPLIT_HOUR, BMI_STUDY, FIRST_LOAD_END, LOOKUP_JOB,
-                                   READ_FILTERS, RECENT_AS_OF, RECENT_DAYS, STUDY_READ,
+                                   LOAD_INSTANT, READ_FILTERS, RECENT_AS_OF, RECENT_DAYS, STUDY_READ,
                                    TREND_PARTICIPANT, TREND_TYPE)
 from measures.schema import RANGE_LIMITS
 from measures.sources.adapter import FACTS_SQL
@@ -255,8 +255,10 @@ ORACLES.update({
     "stored_q6_participants": ORACLES["q6_participants"],
     "stored_q7_mean_bmi": ORACLES["q7_mean_bmi"],
     "stored_q7_mean_bmi_rollup": _q7_rollup_sql(_STORED_ROLLUP, "merged"),
-    "stored_r1_measurements": ORACLES["r1_measurements"],
-    "stored_r2_study": ORACLES["r2_study"],
+    "stored_r1_measurements": f"SELECT *, TIMESTAMP '{LOAD_INSTANT}' AS processed_at "
+    f"FROM ({ORACLES['r1_measurements']})",
+    "stored_r2_study": f"SELECT *, TIMESTAMP '{LOAD_INSTANT}' AS processed_at "
+    f"FROM ({ORACLES['r2_study']})",
     "sql_q1_quality_by_study": ORACLES["q1_quality_by_study"],
     "sql_q1_quality_by_study_rollup": _merged_oracle("q1_quality_by_study_rollup"),
     "sql_q2_trend": ORACLES["q2_trend"],

@@ -19,3 +19,5 @@ AM_SPLIT_HOUR = 12
 FIRST_LOAD_END = "2024-01-02"
 LOOKUP_JOB = "STUDY001_2024-01-15_am"
 STREAM_LATENESS = "1 day"
+# When the two registered loads take place.
+LOAD_INSTANT = dt.datetime(2024, 3, 1, 12)

@@ -11,6 +11,7 @@ usage: python scripts/show_plans.py [sf_dir]
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
 import os
 import sys
@@ -55,7 +56,7 @@ def main(sf_dir: str) -> None:
         "A5 merge of a batch into the stored roll-up": rollup.merge_faithful(
             roll, rollup.daily_rollup(facts)),
         "V6 stored ids in reach of a batch": stored_ids_for(
-            facts, facts.where("study_id = 'STUDY002'")),
+            facts, {"STUDY002": (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12))}),
     }
     for name, df in plans.items():
         print(f"### {name}\n```\n{summary(df)}\n```\n")
