@@ -187,8 +187,11 @@ def runs_met(rows: DataFrame, sentences: int, long: int) -> DataFrame:
 def covered_by_later(runs: DataFrame) -> DataFrame:
     """Per text (i, t): the places of its runs that stand elsewhere first."""
     place = F.struct("id", "th", "place")
-    first = runs.groupBy("h1", "h2").agg(F.min(place).alias("original"),
-                                         F.count(F.lit(1)).alias("times")).where("times > 1")
+    # Stored, so that the join shuffles both sides and the skew rule can split a
+    # run that very many texts share.
+    first = stored(runs.groupBy("h1", "h2").agg(
+        F.min(place).alias("original"), F.count(F.lit(1)).alias("times")).where("times > 1"),
+        "sentence-originals")
     again = runs.hint("merge").join(first, ["h1", "h2"]).where(
         ~place.eqNullSafe(F.col("original")))
     return stored(again.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(
