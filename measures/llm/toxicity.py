@@ -1,13 +1,14 @@
 """Toxicity by the nearest labelled examples.
 
-Terms are words and their first 4, 5 and 6 bytes (of longer words), each also
-as "at least 2 / 3 / 4 / 6 times".  Those that tell the labels apart in a
-bounded learning sample are the vocabulary (likelihood-ratio test, at a level
-where less than one of all terms tested would pass by chance); examples and documents are unit TF-IDF
-vectors over it.  The examples stand in an inverted index cut into blocks;
-each term keeps its largest weight per block, so a document opens blocks in
-order of their bound and stops when no unopened block can reach its current
-k-th neighbour: the k nearest are exact.
+Documents and examples are unit TF-IDF vectors over all words of their whole
+texts.  Terms that lean toxic in a bounded learning sample (likelihood-ratio
+test, at a level where less than one of all terms tested would pass by chance)
+weigh `emphasis` times as much; among these are also the first 4, 5 and 6 bytes
+of longer words, and words met "at least 2 / 3 / 4 / 6 times".  The examples, of
+both labels, stand in an inverted index cut into blocks; each term keeps its
+largest weight per block, so a document opens blocks in order of their bound
+and stops when no unopened block can reach its current k-th neighbour: the k
+nearest are exact.
 
 The score is the neighbours' vote, each weighted by its squared cosine (so by
 closeness), with a prior weight at the base rate of the labels: far neighbours
@@ -16,10 +17,15 @@ scores the base rate.
 
 Rules
 - null or empty text scores the base rate; without labels every score is 0.
+- words that no example holds are left out of a document's vector.
 - ties between neighbours go to the smaller example id; rows are scored one
   by one, so repeated rows score alike; an empty table gives no rows.
-- the learning sample holds at most `sample_rows` rows; that bounds all that
-  is collected or broadcast.
+- very long texts are scored whole; examples are the labelled rows with the
+  smallest hashes of their ids, at most `sample_rows` of them, of at most
+  `sample_bytes` of text together and a 32nd of that each.  That bounds all
+  that is collected or broadcast.
+- columns other than the id, the text and `keep` are not read, so extra
+  columns may have any name; `keep` may not name `score` or `evidence`.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +44,13 @@ from measures.llm.common import cut_lineage, ship_package, text_buffer, text_chu
 from measures.llm.labelled import is_held_out, learning_sample
 
 SAMPLE_ROWS = 8_000
+SAMPLE_BYTES = 32 << 20
+EMPHASIS = 100.0
 NEIGHBOURS = 16
 PRIOR_WEIGHT = 1.0
 LEAST_DOCS = 3
 LEVELS = (1, 2, 3, 4, 6)
-BLOCK = 32
+BLOCK = 64
 PREFIXES = (4, 5, 6)
 
 
@@ -59,9 +68,10 @@ def terms_of(buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 class Vocabulary:
     """Terms (hash, level), behind a bit table that settles most misses."""
 
-    def __init__(self, hashes: np.ndarray, levels: np.ndarray):
+    def __init__(self, hashes: np.ndarray, levels: np.ndarray, emphasis: np.ndarray):
         order = np.lexsort((levels, hashes))
         self.terms, self.levels = hashes[order].astype(np.uint64), levels[order]
+        self.emphasis = emphasis[order]
         self.mask = np.uint64((1 << 22) - 1)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[self.terms & self.mask] = True
@@ -91,67 +101,83 @@ class Vocabulary:
         return doc[reached], term[reached], n[reached]
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges [start, end), and how many each has."""
+    many = ends - starts
+    last = np.cumsum(many, dtype=np.int32)
+    at = np.repeat(starts - (last - many), many)
+    at += np.arange(len(at), dtype=np.int32)
+    return at, many
+
+
 class BlockMaxIndex:
     """Unit TF-IDF vectors of the examples, in blocks with per-term maxima."""
 
-    def __init__(self, vocabulary: Vocabulary, examples: list[tuple[int, int, list, list]],
-                 n_sample: int, base_rate: float, block: int = BLOCK):
-        # examples: (id, label, term places, counts), only those with a term.
-        examples = sorted(examples)
+    def __init__(self, vocabulary: Vocabulary, ids: np.ndarray, labels: np.ndarray,
+                 cuts: np.ndarray, terms: np.ndarray, counts: np.ndarray, n_sample: int,
+                 base_rate: float, block: int = BLOCK):
+        # Example i, of at least one term, has terms[cuts[i]:cuts[i + 1]].
         self.vocabulary, self.base_rate, self.block = vocabulary, base_rate, block
-        self.ids = np.array([e[0] for e in examples], np.int64)
-        self.labels = np.array([e[1] for e in examples], np.float64)
-        df = np.bincount(np.array([t for e in examples for t in e[2]], np.int64),
-                         minlength=len(vocabulary.terms))
+        n_terms, n = len(vocabulary.terms), len(ids)
+        df = np.bincount(terms, minlength=n_terms)
         self.idf = np.log1p(n_sample / np.maximum(df, 1))
-        # Similar examples side by side: by their heaviest term.
-        vectors = [self.unit(np.array(e[2], np.int64), np.array(e[3], np.int64)) for e in examples]
-        order = sorted(range(len(examples)),
-                       key=lambda i: (int(examples[i][2][int(np.argmax(vectors[i]))]), i))
-        self.ids, self.labels = self.ids[order], self.labels[order]
-        n_blocks = -(-len(order) // block)
-        postings = sorted((t, rank, w) for rank, i in enumerate(order)
-                          for t, w in zip(examples[i][2], vectors[i], strict=True))
-        self.post_term = np.array([p[0] for p in postings], np.int64)
-        self.post_rank = np.array([p[1] for p in postings], np.int64)
-        self.post_weight = np.array([p[2] for p in postings], np.float64)
+        owner = np.repeat(np.arange(n), np.diff(cuts))
+        weight = (1 + np.log(counts)) * self.idf[terms] * vocabulary.emphasis[terms]
+        weight /= np.sqrt(np.bincount(owner, weight * weight, minlength=n))[owner]
+        # Similar examples side by side: by the term that binds them most.
+        strongest = np.lexsort((terms, -weight * df[terms], owner))[cuts[:-1]]
+        order = np.lexsort((ids, terms[strongest])) if n else np.zeros(0, np.int64)
+        self.ids, self.labels = ids[order], labels[order].astype(np.float64)
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        by_term = np.lexsort((rank[owner], terms))
+        self.post_term = terms[by_term].astype(np.int32)
+        self.post_rank = rank[owner][by_term].astype(np.int32)
+        self.post_weight = weight[by_term]
         # A posting block: the postings of one term in one block of examples.
-        key = self.post_term * max(n_blocks, 1) + self.post_rank // block
+        self.n_blocks = max(-(-n // block), 1)
+        key = self.post_term.astype(np.int64) * self.n_blocks + self.post_rank // block
         cut = np.flatnonzero(np.diff(key, prepend=-1))
-        self.block_from = np.append(cut, len(key))
-        self.block_of = key[cut] % max(n_blocks, 1)
+        # 32 bits hold all places: the sample has at most SAMPLE_BYTES words.
+        self.block_from = np.append(cut, len(key)).astype(np.int32)
+        self.block_of = (key[cut] % self.n_blocks).astype(np.int32)
         self.block_max = np.maximum.reduceat(self.post_weight, cut) if len(cut) else np.zeros(0)
-        self.term_from = np.searchsorted(key[cut] // max(n_blocks, 1),
-                                         np.arange(len(vocabulary.terms) + 1))
-        self.n_blocks = n_blocks
+        self.term_from = np.searchsorted(key[cut] // self.n_blocks, np.arange(n_terms + 1)).astype(np.int32)
 
     def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
+        w = (1 + np.log(counts)) * self.idf[terms] * self.vocabulary.emphasis[terms]
         return w / np.sqrt(np.sum(w * w))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int):
-        """Ranks and cosines of the exact k nearest examples (cosine > 0)."""
-        lists = [np.arange(self.term_from[t], self.term_from[t + 1]) for t in terms.tolist()]
-        entry = np.concatenate(lists)
-        weight = np.repeat(weights, [len(x) for x in lists])
-        bound = np.zeros(self.n_blocks)
-        np.add.at(bound, self.block_of[entry], weight * self.block_max[entry])
-        by_block = np.argsort(self.block_of[entry], kind="stable")
-        edges = np.searchsorted(self.block_of[entry][by_block], np.arange(self.n_blocks + 1))
+        """Ranks and cosines of the exact k nearest examples (cosine > 0).
+        Blocks are opened in order of their bounds, four times as many each turn."""
+        entry, many = ranges(self.term_from[terms], self.term_from[terms + 1])
+        block, weight = self.block_of[entry], np.repeat(weights, many)
+        bound = np.bincount(block, weight * self.block_max[entry], minlength=self.n_blocks)
+        order = np.argsort(-bound, kind="stable")
+        turn = np.empty(self.n_blocks, np.int64)
+        turn[order] = np.arange(self.n_blocks)
+        turn = turn[block]
         ranks, cosines, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(ranks) == k and bound[b] < floor - 1e-12):
+        done, size = 0, 8
+        while done < self.n_blocks:
+            reach = bound[order[done:done + size]]
+            able = int(np.sum((reach > 0) & (reach >= floor - 1e-12)))
+            if not able:
                 break
-            score = np.zeros(self.block)
-            for e in by_block[edges[b]:edges[b + 1]].tolist():
-                own = slice(self.block_from[entry[e]], self.block_from[entry[e] + 1])
-                score[self.post_rank[own] - b * self.block] += weight[e] * self.post_weight[own]
-            here = np.flatnonzero(score > 0)
-            ranks = np.concatenate([ranks, here + b * self.block])
-            cosines = np.concatenate([cosines, score[here]])
+            own = np.flatnonzero((turn >= done) & (turn < done + able))
+            post, many = ranges(self.block_from[entry[own]], self.block_from[entry[own] + 1])
+            score = np.bincount(self.post_rank[post],
+                                np.repeat(weight[own], many) * self.post_weight[post],
+                                minlength=len(self.ids))
+            here = np.flatnonzero(score > max(floor - 1e-9, 0))
+            if len(here) > k:
+                here = here[score[here] >= np.partition(score[here], -k)[-k] - 1e-9]
+            ranks, cosines = np.concatenate([ranks, here]), np.concatenate([cosines, score[here]])
             best = np.lexsort((self.ids[ranks], -np.round(cosines, 12)))[:k]
             ranks, cosines = ranks[best], cosines[best]
             floor = cosines[-1] if len(cosines) == k else 0.0
+            done, size = done + size, 4 * size
         return ranks, np.minimum(cosines, 1.0)
 
     def vote(self, ranks: np.ndarray, cosines: np.ndarray, prior: float) -> float:
@@ -160,8 +186,8 @@ class BlockMaxIndex:
                      / (np.sum(weight) + prior))
 
 
-def choose_terms(sample: DataFrame) -> Vocabulary:
-    """Terms whose document frequencies differ between the labels."""
+def toxic_terms(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and levels of the terms that lean toxic."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_chunks(batch.column("text")):
@@ -187,7 +213,7 @@ def choose_terms(sample: DataFrame) -> Vocabulary:
 
     total, toxic = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not toxic or toxic == total:
-        return Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     seen = cut_lineage(
         sample.mapInArrow(count, "term bigint, level int, n bigint, pos bigint")
         .groupBy("term", "level").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
@@ -204,19 +230,42 @@ def choose_terms(sample: DataFrame) -> Vocabulary:
                         part(f"({t} - n - {p} + pos)", f"({t} - n) * {t - p} / {t}") + ")"])
     kept = seen.where(f"({ratio}) >= {g2} AND pos / {p} > (n - pos) / {t - p}")
     rows = [(r.term, r.level) for r in kept.select("term", "level").toLocalIterator()]
-    return Vocabulary(np.array([r[0] for r in rows], np.int64).view(np.uint64),
-                      np.array([r[1] for r in rows], np.int64))
+    return (np.array([r[0] for r in rows], np.int64).view(np.uint64),
+            np.array([r[1] for r in rows], np.int64))
+
+
+def all_words(sample: DataFrame) -> np.ndarray:
+    """Hashes of the words of the sample; its size bounds them."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in text_chunks(batch.column("text")):
+                text = text_buffer(batch.column("text").slice(a, b - a))
+                hashes = np.unique(W.find_words(*text, W.ALNUM)[2])
+                yield pa.record_batch([pa.array(hashes.view(np.int64))], names=["term"])
+
+    found = sample.mapInArrow(words, "term bigint").distinct().toArrow()
+    return found.column("term").to_numpy().astype(np.int64).view(np.uint64)
+
+
+def choose_vocabulary(sample: DataFrame, emphasis: float) -> Vocabulary:
+    """Every word of the sample, and the terms that lean toxic."""
+    hashes, levels = toxic_terms(sample)
+    words = np.setdiff1d(all_words(sample), hashes[levels == 1])
+    return Vocabulary(np.concatenate([hashes, words]),
+                      np.concatenate([levels, np.ones(len(words), np.int64)]),
+                      np.concatenate([np.full(len(hashes), emphasis), np.ones(len(words))]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
-        sample_rows: int = SAMPLE_ROWS) -> BlockMaxIndex | None:
+        sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
+        emphasis: float = EMPHASIS) -> BlockMaxIndex | None:
     """Index the labelled examples; None without any label."""
     ship_package(docs.sparkSession)
-    sample = learning_sample(docs, labels, label, sample_rows)
+    sample = learning_sample(docs, labels, label, sample_rows, sample_bytes)
     total, positive = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not total:
         return None
-    vocabulary = choose_terms(sample)
+    vocabulary = choose_vocabulary(sample, emphasis)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,14 +277,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
                 edges = np.append(cuts[some], len(doc)).astype(np.int32)
                 yield pa.record_batch(
                     [part.column("doc_id").take(pa.array(some)), part.column("y").take(pa.array(some)),
-                     pa.ListArray.from_arrays(edges, pa.array(term)),
-                     pa.ListArray.from_arrays(edges, pa.array(n))],
+                     pa.ListArray.from_arrays(edges, pa.array(term.astype(np.int32))),
+                     pa.ListArray.from_arrays(edges, pa.array(n.astype(np.int32)))],
                     names=["doc_id", "y", "terms", "counts"])
 
-    rows = [] if not len(vocabulary.terms) else sample.mapInArrow(
-        vectors, "doc_id bigint, y int, terms array<bigint>, counts array<bigint>").collect()
-    return BlockMaxIndex(vocabulary, [(r.doc_id, r.y, r.terms, r.counts) for r in rows],
-                         total, positive / total)
+    found = sample.mapInArrow(
+        vectors, "doc_id bigint, y int, terms array<int>, counts array<int>").toArrow()
+    rows = found.combine_chunks()
+    sizes = pc.list_value_length(rows.column("terms")).to_numpy().astype(np.int64)
+    terms, counts = (pc.list_flatten(rows.column(c)).to_numpy().astype(np.int64)
+                     for c in ("terms", "counts"))
+    return BlockMaxIndex(vocabulary, rows.column("doc_id").to_numpy(), rows.column("y").to_numpy(),
+                         np.append(0, np.cumsum(sizes)), terms, counts, total, positive / total)
 
 
 def score(docs: DataFrame, index: BlockMaxIndex | None, id_col: str = "doc_id",
