@@ -36,4 +36,4 @@ def learning_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int,
     so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
     fit = (sizes.where(F.col("size") <= text_bytes // 32).withColumn("so_far", so_far)
            .where(F.col("so_far") <= text_bytes).select("doc_id"))
-    return cut_lineage(sample.join(F.broadcast(fit), "doc_id"))
+    return sample.join(F.broadcast(cut_lineage(fit)), "doc_id")

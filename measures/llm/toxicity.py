@@ -8,7 +8,9 @@ of longer words, and words met "at least 2 / 3 / 4 / 6 times".  The examples, of
 both labels, stand in an inverted index cut into blocks; each term keeps its
 largest weight per block, so a document opens blocks in order of their bound
 and stops when no unopened block can reach its current k-th neighbour: the k
-nearest are exact.
+nearest are exact.  The lists of the most frequent terms (in more than an eighth
+of the examples, at most 256 of them) are summed first, for a group of documents
+at once, as one matrix product; block maxima bound what the other lists add.
 
 The score is the neighbours' vote, each weighted by its squared cosine (so by
 closeness), with a prior weight at the base rate of the labels: far neighbours
@@ -51,6 +53,8 @@ PRIOR_WEIGHT = 1.0
 LEAST_DOCS = 3
 LEVELS = (1, 2, 3, 4, 6)
 BLOCK = 64
+COMMON_SHARE, COMMON_TERMS = 8, 256
+GROUP = 64  # documents whose common terms are summed at once
 PREFIXES = (4, 5, 6)
 
 
@@ -72,12 +76,22 @@ class Vocabulary:
         order = np.lexsort((levels, hashes))
         self.terms, self.levels = hashes[order].astype(np.uint64), levels[order]
         self.emphasis = emphasis[order]
+        self.derive()
+
+    def derive(self) -> None:
         self.mask = np.uint64((1 << 22) - 1)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[self.terms & self.mask] = True
         self.distinct, self.term_from = np.unique(self.terms, return_index=True)
         self.term_from = np.append(self.term_from, len(self.terms))
 
+    def __getstate__(self):
+        return self.terms, self.levels, self.emphasis
+
+    def __setstate__(self, state) -> None:
+        self.terms, self.levels, self.emphasis = state
+        self.derive()
+
     def counts(self, buf: np.ndarray, offsets: np.ndarray):
         """(document, term, count) of all vocabulary terms, by document."""
         docs, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -131,9 +145,23 @@ class BlockMaxIndex:
         rank = np.empty(n, np.int64)
         rank[order] = np.arange(n)
         by_term = np.lexsort((rank[owner], terms))
-        self.post_term = terms[by_term].astype(np.int32)
+        self.df = df.astype(np.int32)
         self.post_rank = rank[owner][by_term].astype(np.int32)
         self.post_weight = weight[by_term]
+        self.derive()
+
+    def __getstate__(self):
+        """Postings alone travel; what follows from them is derived on arrival."""
+        return {c: getattr(self, c) for c in ("vocabulary", "base_rate", "block", "idf", "ids",
+                                              "labels", "df", "post_rank", "post_weight")}
+
+    def __setstate__(self, state) -> None:
+        self.__dict__.update(state)
+        self.derive()
+
+    def derive(self) -> None:
+        n, n_terms, block, df = len(self.ids), len(self.df), self.block, self.df
+        self.post_term = np.repeat(np.arange(n_terms, dtype=np.int32), df)
         # A posting block: the postings of one term in one block of examples.
         self.n_blocks = max(-(-n // block), 1)
         key = self.post_term.astype(np.int64) * self.n_blocks + self.post_rank // block
@@ -142,38 +170,69 @@ class BlockMaxIndex:
         self.block_from = np.append(cut, len(key)).astype(np.int32)
         self.block_of = (key[cut] % self.n_blocks).astype(np.int32)
         self.block_max = np.maximum.reduceat(self.post_weight, cut) if len(cut) else np.zeros(0)
-        self.term_from = np.searchsorted(key[cut] // self.n_blocks, np.arange(n_terms + 1)).astype(np.int32)
-
-    def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        self.term_from = np.searchsorted(key[cut] // self.n_blocks,
+                                         np.arange(n_terms + 1)).astype(np.int32)
+        # Lists of the most frequent terms, also as rows over all examples.
+        common = np.argsort(-df, kind="stable")[:COMMON_TERMS]
+        common = common[df[common] * COMMON_SHARE > n]
+        self.row_of = np.full(n_terms, -1, np.int32)
+        self.row_of[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n_blocks * block))
+        own = np.flatnonzero(self.row_of[self.post_term] >= 0)
+        self.rows[self.row_of[self.post_term[own]], self.post_rank[own]] = self.post_weight[own]
+
+    def weigh(self, terms: np.ndarray, counts: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Weights of unit vectors; `doc` tells to which vector a term belongs."""
         w = (1 + np.log(counts)) * self.idf[terms] * self.vocabulary.emphasis[terms]
-        return w / np.sqrt(np.sum(w * w))
+        return w / np.sqrt(np.bincount(doc, w * w))[doc]
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int):
+    def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return self.weigh(terms, counts, np.zeros(len(terms), np.int64))
+
+    def common_sums(self, doc: np.ndarray, n_docs: int, terms: np.ndarray, weights: np.ndarray):
+        """What the common terms add to every cosine, one row per document."""
+        row = self.row_of[terms]
+        own = row >= 0
+        w = np.zeros((n_docs, len(self.rows)))
+        w[doc[own], row[own]] = weights[own]
+        return w @ self.rows
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int,
+                sums: np.ndarray | None = None):
         """Ranks and cosines of the exact k nearest examples (cosine > 0).
         Blocks are opened in order of their bounds, four times as many each turn."""
-        entry, many = ranges(self.term_from[terms], self.term_from[terms + 1])
-        block, weight = self.block_of[entry], np.repeat(weights, many)
-        bound = np.bincount(block, weight * self.block_max[entry], minlength=self.n_blocks)
+        if sums is None:
+            sums = self.common_sums(np.zeros(len(terms), np.int64), 1, terms, weights)[0]
+        sums = sums.reshape(self.n_blocks, self.block)
+        rare = self.row_of[terms] < 0
+        entry, many = ranges(self.term_from[terms[rare]], self.term_from[terms[rare] + 1])
+        block, weight = self.block_of[entry], np.repeat(weights[rare], many)
+        bound = sums.max(axis=1) + np.bincount(block, weight * self.block_max[entry],
+                                               minlength=self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         turn = np.empty(self.n_blocks, np.int64)
         turn[order] = np.arange(self.n_blocks)
         turn = turn[block]
         ranks, cosines, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        done, size = 0, 8
+        done, size = 0, 4
         while done < self.n_blocks:
             reach = bound[order[done:done + size]]
-            able = int(np.sum((reach > 0) & (reach >= floor - 1e-12)))
+            able = int(np.sum((reach > 0) & (reach >= floor - 1e-9)))
             if not able:
                 break
             own = np.flatnonzero((turn >= done) & (turn < done + able))
             post, many = ranges(self.block_from[entry[own]], self.block_from[entry[own] + 1])
             score = np.bincount(self.post_rank[post],
                                 np.repeat(weight[own], many) * self.post_weight[post],
-                                minlength=len(self.ids))
+                                minlength=sums.size).reshape(sums.shape)
+            opened = order[done:done + able]
+            score = (score[opened] + sums[opened]).ravel()
             here = np.flatnonzero(score > max(floor - 1e-9, 0))
             if len(here) > k:
                 here = here[score[here] >= np.partition(score[here], -k)[-k] - 1e-9]
-            ranks, cosines = np.concatenate([ranks, here]), np.concatenate([cosines, score[here]])
+            cosines = np.concatenate([cosines, score[here]])
+            ranks = np.concatenate([ranks, opened[here // self.block] * self.block
+                                    + here % self.block])
             best = np.lexsort((self.ids[ranks], -np.round(cosines, 12)))[:k]
             ranks, cosines = ranks[best], cosines[best]
             floor = cosines[-1] if len(cosines) == k else 0.0
@@ -315,9 +374,15 @@ def score(docs: DataFrame, index: BlockMaxIndex | None, id_col: str = "doc_id",
                 if index and len(index.ids):
                     doc, term, n = index.vocabulary.counts(*text_buffer(part.column(text_col)))
                     cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                    for d in np.flatnonzero(np.diff(cuts)).tolist():
+                    weight = index.weigh(term, n, doc)
+                    for d in range(part.num_rows):
+                        if d % GROUP == 0:
+                            own = slice(cuts[d], cuts[min(d + GROUP, part.num_rows)])
+                            sums = index.common_sums(doc[own] - d, GROUP, term[own], weight[own])
                         own = slice(cuts[d], cuts[d + 1])
-                        ranks, cosines = index.nearest(term[own], index.unit(term[own], n[own]), k)
+                        if cuts[d] == cuts[d + 1]:
+                            continue
+                        ranks, cosines = index.nearest(term[own], weight[own], k, sums[d % GROUP])
                         scores[d] = index.vote(ranks, cosines, prior)
                         proof[d] = [{"example": int(index.ids[r]), "cosine": float(c),
                                      "label": int(index.labels[r])}
