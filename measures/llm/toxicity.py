@@ -5,10 +5,11 @@ texts.  Terms that lean toxic in a bounded learning sample (likelihood-ratio
 test, at a level where less than one of all terms tested would pass by chance)
 weigh `emphasis` times as much; among these are also the first 4, 5 and 6 bytes
 of longer words, and words met "at least 2 / 3 / 4 / 6 times".  The examples, of
-both labels, stand in an inverted index cut into blocks; each term keeps its
-largest weight per block, so a document opens blocks in order of their bound
-and stops when no unopened block can reach its current k-th neighbour: the k
-nearest are exact.
+both labels, stand in an inverted index.  A document adds up the postings of
+its terms, but for the common ones, those of more than a quarter of the
+examples: over these, no example can add more than the product of both norms.
+Only the examples that could still reach the k-th neighbour found have their
+common terms added too: the k nearest are exact.
 
 The score is the neighbours' vote, each weighted by its squared cosine (so by
 closeness), with a prior weight at the base rate of the labels: far neighbours
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,7 @@ NEIGHBOURS = 16
 PRIOR_WEIGHT = 1.0
 LEAST_DOCS = 3
 LEVELS = (1, 2, 3, 4, 6)
-BLOCK = 64
+COMMON = 0.25  # share of the examples from which on a term is common
 PREFIXES = (4, 5, 6)
 
 
@@ -110,23 +112,21 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, many
 
 
-class BlockMaxIndex:
-    """Unit TF-IDF vectors of the examples, in blocks with per-term maxima."""
+class NeighbourIndex:
+    """Unit TF-IDF vectors of the examples, as postings by term."""
 
     def __init__(self, vocabulary: Vocabulary, ids: np.ndarray, labels: np.ndarray,
                  cuts: np.ndarray, terms: np.ndarray, counts: np.ndarray, n_sample: int,
-                 base_rate: float, block: int = BLOCK):
+                 base_rate: float):
         # Example i, of at least one term, has terms[cuts[i]:cuts[i + 1]].
-        self.vocabulary, self.base_rate, self.block = vocabulary, base_rate, block
+        self.vocabulary, self.base_rate = vocabulary, base_rate
         n_terms, n = len(vocabulary.terms), len(ids)
         df = np.bincount(terms, minlength=n_terms)
         self.idf = np.log1p(n_sample / np.maximum(df, 1))
         owner = np.repeat(np.arange(n), np.diff(cuts))
         weight = (1 + np.log(counts)) * self.idf[terms] * vocabulary.emphasis[terms]
         weight /= np.sqrt(np.bincount(owner, weight * weight, minlength=n))[owner]
-        # Similar examples side by side: by the term that binds them most.
-        strongest = np.lexsort((terms, -weight * df[terms], owner))[cuts[:-1]]
-        order = np.lexsort((ids, terms[strongest])) if n else np.zeros(0, np.int64)
+        order = np.argsort(ids, kind="stable")
         self.ids, self.labels = ids[order], labels[order].astype(np.float64)
         rank = np.empty(n, np.int64)
         rank[order] = np.arange(n)
@@ -134,51 +134,48 @@ class BlockMaxIndex:
         self.post_term = terms[by_term].astype(np.int32)
         self.post_rank = rank[owner][by_term].astype(np.int32)
         self.post_weight = weight[by_term]
-        # A posting block: the postings of one term in one block of examples.
-        self.n_blocks = max(-(-n // block), 1)
-        key = self.post_term.astype(np.int64) * self.n_blocks + self.post_rank // block
-        cut = np.flatnonzero(np.diff(key, prepend=-1))
         # 32 bits hold all places: the sample has at most SAMPLE_BYTES words.
-        self.block_from = np.append(cut, len(key)).astype(np.int32)
-        self.block_of = (key[cut] % self.n_blocks).astype(np.int32)
-        self.block_max = np.maximum.reduceat(self.post_weight, cut) if len(cut) else np.zeros(0)
-        self.term_from = np.searchsorted(key[cut] // self.n_blocks, np.arange(n_terms + 1)).astype(np.int32)
+        self.post_from = np.searchsorted(self.post_term, np.arange(n_terms + 1)).astype(np.int32)
 
     def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms] * self.vocabulary.emphasis[terms]
         return w / np.sqrt(np.sum(w * w))
 
+    @cached_property
+    def common(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each term's place among the common ones (or -1), the examples' weights
+        at these, and the norms of them: at most 1 / COMMON cells a posting.
+        Made where it is first used, so that only postings are broadcast."""
+        often = np.flatnonzero(np.diff(self.post_from) > COMMON * len(self.ids))
+        place = np.full(len(self.idf), -1, np.int32)
+        place[often] = np.arange(len(often))
+        own = np.flatnonzero(place[self.post_term] >= 0)
+        rows = np.zeros((len(self.ids), len(often)))
+        rows[self.post_rank[own], place[self.post_term[own]]] = self.post_weight[own]
+        return place, rows, np.sqrt(np.sum(rows * rows, axis=1))
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int):
-        """Ranks and cosines of the exact k nearest examples (cosine > 0).
-        Blocks are opened in order of their bounds, four times as many each turn."""
-        entry, many = ranges(self.term_from[terms], self.term_from[terms + 1])
-        block, weight = self.block_of[entry], np.repeat(weights, many)
-        bound = np.bincount(block, weight * self.block_max[entry], minlength=self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        turn = np.empty(self.n_blocks, np.int64)
-        turn[order] = np.arange(self.n_blocks)
-        turn = turn[block]
-        ranks, cosines, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        done, size = 0, 8
-        while done < self.n_blocks:
-            reach = bound[order[done:done + size]]
-            able = int(np.sum((reach > 0) & (reach >= floor - 1e-12)))
-            if not able:
-                break
-            own = np.flatnonzero((turn >= done) & (turn < done + able))
-            post, many = ranges(self.block_from[entry[own]], self.block_from[entry[own] + 1])
-            score = np.bincount(self.post_rank[post],
-                                np.repeat(weight[own], many) * self.post_weight[post],
-                                minlength=len(self.ids))
-            here = np.flatnonzero(score > max(floor - 1e-9, 0))
-            if len(here) > k:
-                here = here[score[here] >= np.partition(score[here], -k)[-k] - 1e-9]
-            ranks, cosines = np.concatenate([ranks, here]), np.concatenate([cosines, score[here]])
-            best = np.lexsort((self.ids[ranks], -np.round(cosines, 12)))[:k]
-            ranks, cosines = ranks[best], cosines[best]
-            floor = cosines[-1] if len(cosines) == k else 0.0
-            done, size = done + size, 4 * size
-        return ranks, np.minimum(cosines, 1.0)
+        """Ranks and cosines of the exact k nearest examples (cosine > 0)."""
+        place, rows, norms = self.common
+        place = place[terms]
+        rare = place < 0
+        post, many = ranges(self.post_from[terms[rare]], self.post_from[terms[rare] + 1])
+        score = np.bincount(self.post_rank[post],
+                            np.repeat(weights[rare], many) * self.post_weight[post],
+                            minlength=len(self.ids))
+        query = np.zeros(rows.shape[1])
+        query[place[~rare]] = weights[~rare]
+        bound = score + np.sqrt(np.sum(query * query)) * norms
+        floor, tried = 0.0, 4 * k
+        if tried < len(bound):
+            # The k-th best of some: the k-th best of all is no less.
+            some = np.argpartition(bound, -tried)[-tried:]
+            floor = np.partition(score[some] + rows[some] @ query, -k)[-k]
+        here = np.flatnonzero((bound > 0) & (bound >= floor - 1e-9))
+        cosines = score[here] + rows[here] @ query
+        here, cosines = here[cosines > 0], cosines[cosines > 0]
+        best = np.lexsort((self.ids[here], -np.round(cosines, 12)))[:k]
+        return here[best], np.minimum(cosines[best], 1.0)
 
     def vote(self, ranks: np.ndarray, cosines: np.ndarray, prior: float) -> float:
         weight = cosines * cosines
@@ -258,7 +255,7 @@ def choose_vocabulary(sample: DataFrame, emphasis: float) -> Vocabulary:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
         sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
-        emphasis: float = EMPHASIS) -> BlockMaxIndex | None:
+        emphasis: float = EMPHASIS) -> NeighbourIndex | None:
     """Index the labelled examples; None without any label."""
     ship_package(docs.sparkSession)
     sample = learning_sample(docs, labels, label, sample_rows, sample_bytes)
@@ -287,11 +284,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     sizes = pc.list_value_length(rows.column("terms")).to_numpy().astype(np.int64)
     terms, counts = (pc.list_flatten(rows.column(c)).to_numpy().astype(np.int64)
                      for c in ("terms", "counts"))
-    return BlockMaxIndex(vocabulary, rows.column("doc_id").to_numpy(), rows.column("y").to_numpy(),
+    return NeighbourIndex(vocabulary, rows.column("doc_id").to_numpy(), rows.column("y").to_numpy(),
                          np.append(0, np.cumsum(sizes)), terms, counts, total, positive / total)
 
 
-def score(docs: DataFrame, index: BlockMaxIndex | None, id_col: str = "doc_id",
+def score(docs: DataFrame, index: NeighbourIndex | None, id_col: str = "doc_id",
           text_col: str = "text", k: int = NEIGHBOURS, prior: float = PRIOR_WEIGHT,
           keep: list[str] | None = None) -> DataFrame:
     """Per row: the columns of `keep` (the id by default), score, and evidence:
